@@ -22,15 +22,20 @@ def texts_of(docs: DataFrame) -> DataFrame:
     return docs.select(docs["doc_id"].cast("long").alias("doc_id"), F.coalesce(docs["text"].cast("string"), F.lit("")).alias("text"))
 
 
-def shared(df: DataFrame) -> DataFrame:
-    """df, written to the folder that all executors share, so that it outlives them and is computed once.
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that all executors share: the one that the cluster names in spark.checkpoint.dir.
 
-    The cluster names that folder in spark.checkpoint.dir; only where nothing is set (local runs) a new one is made.
+    Only where nothing is set (local runs) a new one is made.
     """
-    spark = df.sparkSession
     context = spark.sparkContext
     if not context._jsc.sc().getCheckpointDir().isDefined():
         context.setCheckpointDir(context.getConf().get("spark.checkpoint.dir") or tempfile.mkdtemp(prefix="spark-"))
+    return context._jsc.sc().getCheckpointDir().get()
+
+
+def shared(df: DataFrame) -> DataFrame:
+    """df, written to the shared folder, so that it outlives executors and is computed once."""
+    shared_folder(df.sparkSession)
     return df.checkpoint(eager=True)
 
 

@@ -100,7 +100,7 @@ RULES = (
     Rule("symbols", lambda f: 10 * f.n_symbols > f.n_words),
     Rule("shouting", lambda f: f.upper_share > 0.6),
     Rule("echoes", lambda f: 5 * f.n_echoes > f.n_words),
-    Rule("duplicate_lines", lambda f: 10 * f.n_dup_lines > 3 * len(f.lines)),
+    Rule("duplicate_lines", lambda f: 2 * f.n_dup_lines > len(f.lines)),
     Rule("word_length", lambda f: not 2 * f.n_words <= f.word_chars <= 20 * f.n_words),
 )
 

@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
-from . import bpe, quality, secrets, simhash
+from . import bpe, decontaminate, linedup, lm, quality, secrets, simhash
 
 QUERIES = {
     "op1_secret_scan": secrets.op1_secret_scan,
+    "op2_line_dedup": linedup.op2_line_dedup,
+    "op5_lm_score": lm.op5_lm_score,
     "op6_simhash": simhash.op6_simhash,
     "op8_bpe": bpe.op8_bpe,
     "op9_quality_rules": quality.op9_quality_rules,
+    "op10_decontaminate": decontaminate.op10_decontaminate,
 }
 
 ORACLE_SQL: dict[str, str] = {}
