@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
-from . import bpe, decontaminate, linedup, lm, quality, secrets, simhash
+from . import bpe, decontaminate, license, linedup, lm, pii, quality, secrets, simhash, toxicity
 
 QUERIES = {
     "op1_secret_scan": secrets.op1_secret_scan,
     "op2_line_dedup": linedup.op2_line_dedup,
+    "op3_license_scan": license.op3_license_scan,
+    "op4_toxicity": toxicity.op4_toxicity,
     "op5_lm_score": lm.op5_lm_score,
     "op6_simhash": simhash.op6_simhash,
+    "op7_pii": pii.op7_pii,
     "op8_bpe": bpe.op8_bpe,
     "op9_quality_rules": quality.op9_quality_rules,
     "op10_decontaminate": decontaminate.op10_decontaminate,
