@@ -52,12 +52,12 @@ def pair_hash(v: np.ndarray, w: np.ndarray) -> np.ndarray:
 
 def _planes(x: np.ndarray) -> bytes:
     """Bytes of like weight together, which the shuffle's compression likes."""
-    return x.view(np.uint8).reshape(len(x), -1).T.tobytes()
+    return x.view(np.uint8).reshape(len(x), x.itemsize).T.tobytes()
 
 
 def _unplanes(data: bytes, dtype) -> np.ndarray:
     size = np.dtype(dtype).itemsize
-    return np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(size, -1).T).view(dtype).reshape(-1)
+    return np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(size, len(data) // size).T).view(dtype).reshape(-1)
 
 
 class Block:

@@ -57,7 +57,7 @@ def window_entropies(s: str, window: int) -> list[float]:
     """Bits a character of each window of s; the counts are carried from window to window."""
     if len(s) < window:
         return []
-    clog = [0.0] + [c * math.log2(c) for c in range(1, window + 1)]
+    clog = [0.0] + [c * math.log2(c) for c in range(1, window + 2)]
     counts: dict[str, int] = {}
     total, out, top = 0.0, [], math.log2(window)
     for i, ch in enumerate(s):
