@@ -1,0 +1,285 @@
+"""The operators of the llm subpackage against brute force, and on awkward tables."""
+
+import hashlib
+import random
+import re
+import zlib
+from collections import Counter
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from posetables.llm import bpe, decontaminate, license, linedup, lm, pii, quality, secrets, simhash, toxicity
+from posetables.llm.components import connected_components
+
+SF = "/root/testdata/sf0.001"
+SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, _gone string, component string, n_lines int"
+LONG = " ".join(f"w{i % 977}q{i}" for i in range(30_000))
+ROWS = [(1, None, None, None, None), (2, "", "en", "a", 0), (3, " \n\t\n", "en", "a", 4), (4, LONG, None, "a", 1), (None, "null id " * 9, "en", None, 2), (5, "twice the same row of text", "en", "a", 1), (5, "twice the same row of text", "en", "a", 1)]
+
+
+@pytest.fixture(scope="module")
+def awkward(spark):
+    return spark.createDataFrame([(*r, "x", "y", 1) for r in ROWS], SCHEMA)
+
+
+@pytest.fixture(scope="module")
+def documents(spark):
+    return spark.read.parquet(f"{SF}/documents.parquet").cache()
+
+
+@pytest.fixture(scope="module")
+def texts(documents):
+    return {r.doc_id: r.text for r in documents.collect()}
+
+
+def everything(spark, docs):
+    labels = spark.createDataFrame([(2, 1), (3, 0), (None, 1)], "doc_id long, toxic int")
+    bench = spark.createDataFrame([(1, None), (2, "too short"), (None, "null id " * 9)], "item_id long, text string")
+    return {
+        "secrets": secrets.scan_secrets(docs), "lines": linedup.line_report(docs), "dedup": linedup.dedup_lines(docs), "license": license.scan_licenses(docs, license.fit(docs)),
+        "toxicity": toxicity.score_toxicity(docs, labels, F.lit(False)), "lm": lm.score_texts(docs, F.col("doc_id") == 2), "simhash": simhash.simhash_components(docs), "one": simhash.keep_one(docs),
+        "pii": pii.scan_pii(docs, pii.fit(docs)), "bpe": bpe.decode_documents(bpe.encode_documents(docs)), "quality": quality.quality_report(docs), "good": quality.keep_good(docs),
+        "leaks": decontaminate.contamination(docs, bench), "clean": decontaminate.drop_contaminated(docs, bench),
+    }
+
+
+def test_awkward_rows(spark, awkward):
+    got = {k: v.collect() for k, v in everything(spark, awkward).items()}
+    for k in ("secrets", "lines", "dedup", "toxicity", "lm", "simhash", "pii", "bpe", "quality"):
+        assert len(got[k]) == len(ROWS), k
+    empty = {r.doc_id: r for r in got["secrets"]}[1]
+    assert empty.spans == "" and empty.base_sha256 == hashlib.sha256(b"").hexdigest()
+    assert {r.doc_id: r.n_tokens for r in got["lm"]}[1] == 1
+    assert {r.doc_id: r.component_id for r in got["simhash"]}[3] == 1  # blank texts have fingerprint zero
+    assert {r.doc_id: r.text for r in got["bpe"]}[4] == LONG
+    assert {r.doc_id for r in got["one"]} == {1, 4, 5, None}
+    assert [r.doc_id for r in got["leaks"]] == [None] and got["leaks"][0].item_id is None
+    assert {r.doc_id for r in got["good"]} == {4} and not got["license"]
+    assert {r.text for r in got["dedup"] if r.doc_id == 1} == {None}
+
+
+def test_empty_tables(spark, awkward):
+    for k, df in everything(spark, awkward.where("false")).items():
+        assert df.count() == 0, k
+
+
+def test_components(spark):
+    r = random.Random(4)
+    pairs = [(r.randrange(300), r.randrange(300)) for _ in range(180)] + [(1000, i) for i in range(1001, 1400)] + [(i, i + 1) for i in range(2000, 2100)]
+    parent = {}
+    root = lambda x: x if parent.setdefault(x, x) == x else root(parent[x])
+    for a, b in pairs:
+        a, b = root(a), root(b)
+        parent[max(a, b)] = min(a, b)
+    want = {x: root(x) for x in parent if any(x in p and p[0] != p[1] for p in pairs)}
+    got = {x.node: x.component for x in connected_components(spark.createDataFrame(pairs, "a long, b long").repartition(5)).collect()}
+    assert got == want
+
+
+def test_secrets(documents, texts):
+    for r in secrets.scan_secrets(documents).collect():
+        t = texts[r.doc_id]
+        spans = [("assign", *m.span()) for m in re.finditer(r"""(?ai)(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", t) if len(m[2]) >= 6]
+        spans += [("access", *m.span()) for m in re.finditer("AKIA[A-Z0-9]+", t) if len(m[0]) >= 20] + [("hex", *m.span()) for m in re.finditer("[0-9a-f]+", t) if len(m[0]) >= 24]
+        spans.sort(key=lambda s: (s[1], ["assign", "access", "hex"].index(s[0])))
+        assert r.base_sha256 == hashlib.sha256(",".join(f"{k}:{a}:{b}" for k, a, b in spans).encode()).hexdigest()
+
+
+def test_window_entropy():
+    s = "".join(random.Random(1).choices("abcdef0123", k=90))
+    for i, h in enumerate(secrets.window_entropies(s, 20)):
+        c = np.array(list(Counter(s[i : i + 20]).values())) / 20
+        assert abs(h + (c * np.log2(c)).sum()) < 1e-9
+    assert secrets.secret_spans("id Zx9QpL2vTr8WkY4mNb7CsD1f end")[1] == [("entropy", 3, 27)]
+    assert not secrets.secret_spans("id AAAAAAAAAAAAAAAAAAAAAAAAAAAA00 abcdefghijklmnopqrstuvwxyz0123456789")[1]
+
+
+def test_line_dedup(documents, texts):
+    places = {}
+    for d, t in texts.items():
+        for n, x in enumerate(t.split("\n")):
+            if x := linedup.normal(x):
+                places.setdefault(x, []).append((d, n))
+    lines, parent = list(places), {}
+    root = lambda x: x if parent.setdefault(x, x) == x else root(parent[x])
+    sets = [linedup.shingles(x) for x in lines]
+    for i in range(len(lines)):
+        for j in range(i):
+            both = len(sets[i] & sets[j])
+            if both >= 0.8 * (len(sets[i]) + len(sets[j]) - both):
+                a, b = root(i), root(j)
+                parent[max(a, b)] = min(a, b)
+    groups = {}
+    for i, x in enumerate(lines):
+        groups.setdefault(root(i), []).extend(places[x])
+    want = {p for g in groups.values() for p in g if p != min(g)}
+    got = {(r.doc_id, int(n)) for r in linedup.line_report(documents).collect() for n in r.dropped.split(",") if n}
+    assert got == want
+    after = {r.doc_id: r.text for r in linedup.dedup_lines(documents).collect()}
+    assert all(after[d] == "\n".join(x for n, x in enumerate(t.split("\n")) if (d, n) not in want) for d, t in texts.items())
+
+
+def test_license(documents, texts):
+    got = {(r.doc_id, r.para): r.family for r in license.scan_licenses(documents, license.fit(documents)).collect()}
+    want = {(d, n) for d, t in texts.items() for n, x in enumerate(t.split("\n")) if re.search("(?i)license|CC BY", x)}
+    assert set(got) == want
+    assert all(("Apache" in texts[d].split("\n")[n]) == (f == "apache-2.0") for (d, n), f in got.items())
+
+
+def test_license_plan_has_no_python(documents):
+    plan = license.scan_licenses(documents, license.fit(documents))._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan
+
+
+def test_toxicity(spark):
+    sf = "/root/testdata/sf0.1"
+    docs, labels = spark.read.parquet(f"{sf}/documents.parquet"), spark.read.parquet(f"{sf}/labels.parquet")
+    rows = toxicity.op4_toxicity(spark, sf).join(labels, "doc_id").where("held_out").collect()
+    assert sum(r.predicted for r in rows if r.toxic) > 0.7 * sum(r.toxic for r in rows)
+    assert sum(r.predicted for r in rows if not r.toxic) < 0.01 * len(rows)
+    assert docs.count() == toxicity.op4_toxicity(spark, sf).count()
+
+
+def test_counterfactual_penalty():
+    r = np.random.default_rng(0)
+    rows = [[0, 1] if r.random() < 0.8 else [0] for _ in range(100)] + [[2, 1] if r.random() < 0.1 else [2] for _ in range(100)]
+    labels, swaps = np.array([1.0] * 100 + [0.0] * 100), [[(1, 1)]]
+    free, fair = (toxicity.fit_logistic(rows, labels, swaps, 3, fairness=f)[0] for f in (0.0, 50.0))
+    assert abs(fair[1]) < 0.1 * abs(free[1]) and fair[0] > 1
+
+
+def test_lm(spark, documents, texts):
+    docs = {d: [*(w.decode() for w in t.encode().lower().split()), "</s>"] for d, t in texts.items()}
+    held = {d: zlib.crc32(str(d).encode()) % 10 == 0 for d in docs}
+    uni, bi = Counter(), Counter()
+    for d, t in docs.items():
+        if not held[d]:
+            uni.update(t)
+            bi.update(zip(["<s>", *t], t))
+    n, v, k = sum(uni.values()), len(uni), lm.CONCENTRATION
+    for r in lm.op5_lm_score(spark, SF).collect():
+        t, base, score = docs[r.doc_id], 0.0, 0.0
+        for a, b in zip(["<s>", *t], t):
+            p = (uni[b] + 0.1) / (n + 0.1 * (v + 1))
+            base += np.log10(p)
+            score += np.log10((bi[a, b] + k * p) / (uni["</s>" if a == "<s>" else a] + k))
+        assert (r.held_out, r.n_tokens, r.n_known, r.train_tokens) == (held[r.doc_id], len(t), sum(uni[w] > 0 for w in t), n)
+        assert abs(r.base_score - base) < 1e-6 and abs(r.score - score) < 1e-6
+
+
+def test_pivot_links():
+    r = np.random.default_rng(2)
+    base = r.integers(0, 2**64, 40, dtype=np.uint64)
+    flips = np.array([sum(1 << int(b) for b in r.choice(64, r.integers(0, 6), replace=False)) for _ in range(400)], np.uint64)
+    fps = np.unique(r.choice(base, 400) ^ flips)
+    i, j = simhash.pivot_links(fps, None)
+    a, b = np.triu_indices(len(fps), 1)
+    near = np.bitwise_count(fps[a] ^ fps[b]) <= 3
+    assert {tuple(sorted(p)) for p in zip(i.tolist(), j.tolist())} == set(zip(a[near].tolist(), b[near].tolist()))
+
+
+def test_simhash(documents, texts):
+    ids = sorted(texts)
+    fps = np.array([int(simhash.fingerprint_array([texts[d]])[0]) for d in ids], np.uint64)
+    parent = {d: d for d in ids}
+    root = lambda x: x if parent[x] == x else root(parent[x])
+    for i, d in enumerate(ids):
+        for j in np.flatnonzero(np.bitwise_count(fps ^ fps[i]) <= 3).tolist():
+            a, b = root(d), root(ids[j])
+            parent[max(a, b)] = min(a, b)
+    assert {r.doc_id: r.component_id for r in simhash.simhash_components(documents).collect()} == {d: root(d) for d in ids}
+
+
+def test_pii(documents, texts):
+    model = pii.fit(documents, most=300, epochs=2)
+    for r in pii.scan_pii(documents, model).collect():
+        assert set(x for x in pii.spans_text(pii.base_spans(texts[r.doc_id]), pii.KINDS).split(",") if x) <= set(r.spans.split(","))
+    assert pii.base_spans("a.b@c.de 10.0.0.256 10.0.0.255, 4111 1111 1111 1111 +1 (212) 555-8457") == [("email", 0, 8), ("ip", 20, 30), ("card", 32, 51), ("phone", 52, 69)]
+
+
+def test_crf_gradients():
+    r = np.random.default_rng(5)
+    model = pii.BiLstmCrf(chars=9, dim=3, hidden=4, tags=3)
+    model.p = {k: v.astype(np.float64) for k, v in model.p.items()}
+    ids, tags = r.integers(0, 9, (2, 6)), r.integers(0, 3, (2, 6))
+    _, g = model.gradients(ids, tags)
+    for key in ("E", "Xf", "Hb", "bf", "W", "T", "c"):
+        at = tuple(r.integers(0, s) for s in model.p[key].shape)
+        old, e = model.p[key][at], 1e-4
+        model.p[key][at] = old + e
+        up = model.gradients(ids, tags)[0]
+        model.p[key][at] = old - e
+        down = model.gradients(ids, tags)[0]
+        model.p[key][at] = old
+        assert abs((up - down) / (2 * e) - g[key][at]) < 2e-3, key
+
+
+def test_bpe(documents, texts):
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    whole = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    r = random.Random(3)
+    odd = ["".join(r.choices("ab 's\n\t 　é漢1,.\r😀", k=r.randrange(900))) for _ in range(200)] + ["x<|endoftext|> y" * 50, "  " * 700, "a" * 3000]
+    encoder = bpe.ChunkEncoder(bpe.load_encoding().encode_ordinary, chunks=20, joins=10)
+    for t in [*odd, *texts.values()]:
+        assert np.frombuffer(encoder.encode(t), "<u4").tolist() == whole.encode(t, add_special_tokens=False).ids
+    for x in bpe.decode_documents(bpe.encode_documents(documents)).collect():
+        assert x.text == texts[x.doc_id]
+
+
+def test_chunks_are_shared():
+    encoder = bpe.ChunkEncoder(bpe.load_encoding().encode_ordinary)
+    encoder.encode(LONG)
+    before = encoder.encoded
+    encoder.encode("something else in front of it " + LONG)
+    assert encoder.encoded - before < 0.02 * before
+
+
+def test_quality(documents, texts):
+    for r in quality.quality_report(documents).collect():
+        t = texts[r.doc_id]
+        words = [w for w in re.split("[\x20\x09-\x0d]+", t) if w]
+        windows = Counter(tuple(words[i : i + 8]) for i in range(len(words) - 7))
+        inside = {i + k for i in range(len(words) - 7) if windows[tuple(words[i : i + 8])] > 1 for k in range(8)}
+        lines = [x for x in t.split("\n") if re.search("[^\x20\x09-\x0d]", x)]
+        failed = len(words) < 20 or 100 * len(inside) > 30 * len(words)
+        assert (r.n_words, r.word_chars, r.n_symbols, r.n_dup_lines, r.n_repeat_words, r.base_failed) == (len(words), sum(map(len, words)), sum(c in "#*$%&|<>" for c in t), len(lines) - len(set(lines)), len(inside), failed)
+        assert r.kept == quality.passes(quality.Features(t), quality.RULES)
+
+
+def test_cascade_order():
+    order = quality.cascade_order({r.name: (1.0 + i, 0.5 if i == 3 else 0.1) for i, r in enumerate(quality.RULES)})
+    assert order[0] is max(quality.RULES, key=lambda r: (0.5 if quality.RULES.index(r) == 3 else 0.1) / (1.0 + quality.RULES.index(r)))
+
+
+def test_decontamination(spark):
+    item = "A train leaves Boston carrying 120 people and after 45 minutes another 30 people board it at the second stop near Salem before noon"
+    changed = item.replace("120", "88").replace("45", "20").replace("30", "12")
+    mixed = changed + " and " + "after 45 minutes another 31 people went"
+    bench = spark.createDataFrame([(7, item)], "item_id long, text string")
+    docs = spark.createDataFrame([(1, "before " + item + " after"), (2, "prose. " + changed), (3, "nothing of the kind is in here at all"), (4, mixed), (5, item.replace("Boston", "boston"))], "doc_id long, text string")
+    assert sorted(r.doc_id for r in decontaminate.contamination(docs, bench).collect()) == [1, 2, 4, 5]
+    twice = "We add 5 and 5 and then 5 more to get the total of all that we had"
+    unfit = twice.replace("5", "8", 1)
+    bench = spark.createDataFrame([(1, twice)], "item_id long, text string")
+    docs = spark.createDataFrame([(1, twice.replace("5", "9")), (2, unfit)], "doc_id long, text string")
+    assert [r.doc_id for r in decontaminate.contamination(docs, bench).collect()] == [1]
+
+
+def test_pipeline(spark, texts):
+    import corpus_pipeline
+
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    good = {d for d, t in texts.items() if quality.passes(quality.Features(t), quality.RULES)}
+    first = corpus_pipeline.quality_rules(spark, docs, SF)
+    assert {r.doc_id for r in first.collect()} == good and first.columns == docs.columns
+    rest = {r.doc_id: r.text for r in linedup.dedup_lines(first).collect()}
+    comps = {r.doc_id: r.component_id for r in simhash.simhash_components(linedup.dedup_lines(first)).collect()}
+    bench = [r.text for r in spark.read.parquet(f"{SF}/benchmark.parquet").collect()]
+    kept = {d for d, c in comps.items() if d == c and not any(b in rest[d] for b in bench)}
+    out = corpus_pipeline.run(spark, SF).collect()
+    assert {r.doc_id for r in out} == kept
+    assert all(r.decoded_sha256 == hashlib.sha256(rest[r.doc_id].encode()).hexdigest() for r in out)
