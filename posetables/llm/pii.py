@@ -20,7 +20,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from .common import map_texts, sha256_hex, slices, spans_text, table, texts_of
+from .common import map_texts, sha256_hex, shared, slices, spans_text, table, texts_of
 
 KINDS = ["email", "ip", "card", "phone"]
 _EMAIL = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
@@ -232,8 +232,14 @@ def training_windows(docs: DataFrame, most: int = SAMPLE_WINDOWS) -> tuple[np.nd
                                 out_t.append(t.astype(np.uint8).tobytes())
                 yield pa.RecordBatch.from_arrays([pa.array(out_i, pa.binary()), pa.array(out_t, pa.binary()), pa.array([any(t) for t in out_t], pa.bool_())], names=["ids", "tags", "has"])
 
-    found = texts_of(docs).mapInArrow(work, "ids binary, tags binary, has boolean")
-    rows = [r for has in (True, False) for r in found.where(F.col("has") == has).orderBy(F.xxhash64("ids"), "ids").limit(most).collect()]
+    found = shared(texts_of(docs).mapInArrow(work, "ids binary, tags binary, has boolean"))
+    counts = {r["has"]: r["n"] for r in found.groupBy("has").agg(F.count("*").alias("n")).collect()}
+    h, rows = F.xxhash64("ids"), []
+    for has, n in sorted(counts.items(), reverse=True):
+        some = found.where(F.col("has") == has)
+        if n > 4 * most:  # the lowest hashes, about 4 * most rows, so that tasks send few rows each however many tasks there are
+            some = some.where(h < -(2**63) + 2**64 * 4 * most // n)
+        rows += some.orderBy(h, "ids").limit(most).collect()
     both = [np.frombuffer(b"".join(bytes(r[k]) for r in rows), np.uint8).reshape(-1, WIDTH).astype(np.int64) for k in ("ids", "tags")]
     return both[0], both[1]
 
