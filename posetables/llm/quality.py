@@ -174,3 +174,19 @@ def keep_good(docs: DataFrame, rules: tuple[Rule, ...] = RULES, fraction: float
 
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_report(table(spark, sf_dir, "documents"))
+
+
+#: The same rows in DuckDB.
+OP9_SQL = r"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
+ w AS (SELECT doc_id, t, list_filter(regexp_split_to_array(t, '[\x20\x09-\x0D]+'), lambda x: x <> '') AS ws, list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS ls FROM d),
+ win AS (SELECT doc_id, i, array_to_string(ws[i:i + 7], ' ') AS win FROM (SELECT doc_id, ws, unnest(range(1, len(ws) - 6)) AS i FROM w WHERE len(ws) >= 8) x),
+ twice AS (SELECT doc_id, i FROM (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, win) AS n FROM win) x WHERE n > 1),
+ inside AS (SELECT doc_id, count(DISTINCT p) AS n FROM (SELECT doc_id, unnest(range(i, i + 8)) AS p FROM twice) x GROUP BY doc_id),
+ echo AS (SELECT doc_id, count(*) AS n FROM (SELECT doc_id, ws, unnest(range(1, len(ws))) AS i FROM w) x WHERE ws[i] = ws[i + 1] GROUP BY doc_id),
+ f AS (SELECT w.doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(length(array_to_string(ws, '')) AS BIGINT) AS word_chars, CAST(length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
+   CAST(len(ls) - len(list_distinct(ls)) AS BIGINT) AS n_dup_lines, coalesce(inside.n, 0) AS n_repeat_words, coalesce(echo.n, 0) AS n_echoes, len(ls) AS n_lines,
+   length(regexp_replace(t, '[^A-Z]', '', 'g')) AS up, length(regexp_replace(t, '[^a-z]', '', 'g')) AS low FROM w LEFT JOIN inside ON inside.doc_id = w.doc_id LEFT JOIN echo ON echo.doc_id = w.doc_id),
+ b AS (SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed FROM f)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+ NOT base_failed AND 10 * n_symbols <= n_words AND up / greatest(1, up + low) <= 0.6e0 AND 5 * n_echoes <= n_words AND 2 * n_dup_lines <= n_lines AND word_chars BETWEEN 2 * n_words AND 20 * n_words AS kept FROM b"""

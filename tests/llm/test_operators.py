@@ -283,3 +283,16 @@ def test_pipeline(spark, texts):
     out = corpus_pipeline.run(spark, SF).collect()
     assert {r.doc_id for r in out} == kept
     assert all(r.decoded_sha256 == hashlib.sha256(rest[r.doc_id].encode()).hexdigest() for r in out)
+
+
+@pytest.mark.parametrize("name", ["op9_quality_rules"])
+def test_oracle(spark, name):
+    import sys
+    from pathlib import Path
+
+    sys.path.insert(0, str(Path(__file__).resolve().parent.parent))
+    import oracle
+
+    from posetables.llm import registry
+
+    assert not oracle.differences(registry.QUERIES[name](spark, SF), oracle.connect(SF), registry.ORACLE_SQL[name])
