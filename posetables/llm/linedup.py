@@ -2,12 +2,12 @@
 
 A line is normalised (trimmed, white space collapsed, A-Z lowered) and ended by SHINGLE - 1 blank marks, so that a
 line of n characters has n shingles of SHINGLE characters. Each distinct line gets one-permutation MinHash
-minima, empty bins filled from the next full one, cut into BANDS bands of ROWS (recall 0.997 at a Jaccard
-similarity of 0.8, above 0.99999 at 0.9). Equal lines count once. The distinct lines of a band's bucket are compared
-with its smallest member, then with its largest; where a bucket still holds lines of several components after that,
-the remaining pairs across them are compared as well, so no link that a band shows is lost. Links need an exact Jaccard similarity of
-THRESHOLD over the shingle sets. Components come from distributed union-find. The first line of each component by
-doc_id and line number stays.
+minima, empty bins filled from full ones (optimal densification; Shrivastava, 2017), cut into BANDS bands of ROWS (recall 0.995 at a Jaccard
+similarity of 0.8, 0.99998 at 0.9). Equal lines count once. Lines that buckets connect form a group, whose
+texts are shipped once; all pairs of a group are verified, by rows of bits over the shingles that the group has. A
+group of more than TILE lines or TILE_CHARS characters is dealt out as pairs of tiles, and a task gives a spanning
+forest of its links. Links need an exact Jaccard similarity of THRESHOLD over the shingle sets. Components of the
+verified links come from distributed union-find. The first line of each component by doc_id and line number stays.
 
 Defined results: null and empty texts have one blank line; blank lines are never duplicates and stay; rows with
 the same doc_id share their places, so equal lines at the same place of such rows all stay or all go; lines of rows
@@ -24,12 +24,13 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from .bits import bit_table, holds
 from .common import shared, slices, table, texts_of
-from .components import connected_components
+from .components import connected_components, spanning_stars
 
 SHINGLE = 8
-BANDS, ROWS = 8, 3
+BANDS, ROWS = 10, 4
 THRESHOLD = 0.8
 _BINS = BANDS * ROWS
+TILE, TILE_CHARS = 256, 4_000_000
 
 
 def normal(line: str) -> bytes:
@@ -64,15 +65,16 @@ def band_keys(lines: list[bytes]) -> np.ndarray:
     least = np.full(len(lines) * _BINS, 0xFFFFFFFF, np.uint32)
     np.minimum.at(least, bins, h * np.uint32(0xC2B2AE35) >> np.uint32(1))
     least = least.reshape(-1, _BINS).astype(np.uint64)
-    for hop in range(1, _BINS):  # an empty bin takes the next full one, marked by the distance
-        empty = least == 0xFFFFFFFF
-        if not empty.any():
+    full = least != 0xFFFFFFFF
+    for hop in range(1, 4 * _BINS):  # an empty bin takes that of a full one, each looking in an order of its own
+        i, bin_ = np.nonzero(least == 0xFFFFFFFF)
+        if not len(i):
             break
-        fill = np.roll(least, -1, axis=1)
-        least = np.where(empty & (fill != 0xFFFFFFFF), fill + np.uint64(1 << 33), least)
+        donor = (bin_ * 7919 + hop * hop * 104729 + hop * bin_ * 1299709) % 1000003 % _BINS
+        least[i, bin_] = np.where(full[i, donor], least[i, donor] + np.uint64(hop << 33), np.uint64(0xFFFFFFFF))
     keys = np.zeros((len(lines), BANDS), np.uint64)
     for r in range(ROWS):
-        keys = (keys ^ least[:, r::ROWS]) * np.uint64(0x9E3779B97F4A7C15)
+        keys = (keys ^ least[:, r * BANDS : (r + 1) * BANDS]) * np.uint64(0x9E3779B97F4A7C15)
         keys ^= keys >> np.uint64(31)
     return (keys + np.arange(BANDS, dtype=np.uint64) * np.uint64(0xD6E8FEB86659FD93)).view(np.int64)
 
@@ -178,42 +180,81 @@ def _texts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     return texts_of(docs).mapInArrow(work, "h long, line string").groupBy("h").agg(F.min("line").alias("line"))
 
 
-def _verified(pairs: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
-    """The pairs a, b whose lines reach the threshold."""
+def _packed(line: str) -> np.ndarray | list[str]:
+    """The distinct shingles of a line: eight Latin-1 characters are one number, others stay strings."""
+    s = line + "\0" * (SHINGLE - 1)
+    if SHINGLE == 8 and (line.isascii() or max(line) < "\u0100"):
+        raw = np.frombuffer(s.encode("latin-1"), np.uint8)
+        return np.unique(np.lib.stride_tricks.sliding_window_view(raw, 8).copy().view(np.uint64))
+    return list({s[i : i + SHINGLE] for i in range(len(line))})
+
+
+def similar_pairs(lines: list[str], threshold: float = THRESHOLD) -> list[tuple[int, int]]:
+    """Indices of the pairs with an exact Jaccard similarity of threshold, by rows of bits over all shingles met."""
+    if len(lines) == 2:
+        return [(0, 1)] if jaccard(lines[0].encode(), lines[1].encode()) >= threshold else []
+    sets = [_packed(x) for x in lines]
+    if all(isinstance(x, np.ndarray) for x in sets):
+        every = np.unique(np.concatenate(sets), return_inverse=True)[1]
+    else:
+        number: dict = {}
+        every = np.array([number.setdefault(int.to_bytes(int(g), 8, "little").decode("latin-1") if not isinstance(g, str) else g, len(number)) for x in sets for g in x])
+    sizes = np.array([len(x) for x in sets])
+    rows = np.repeat(np.arange(len(sets)), sizes)
+    both = np.zeros((len(sets), len(sets)), np.int64)
+    step = 1 << 18  # a bounded table of bits for long lines
+    for low in range(0, int(every.max()) + 1, step):
+        here = (every >= low) & (every < low + step)
+        bits = np.zeros((len(sets), min(step, int(every.max()) + 1 - low)), bool)
+        bits[rows[here], every[here] - low] = True
+        packed = np.packbits(bits, axis=1)
+        packed = np.pad(packed, ((0, 0), (0, -packed.shape[1] % 8))).view(np.uint64)
+        for i in range(len(sets) - 1):
+            both[i, i + 1 :] += np.bitwise_count(packed[i] & packed[i + 1 :]).sum(axis=1, dtype=np.int64)
+    i, j = np.nonzero(both >= np.maximum(1, threshold * (sizes[:, None] + sizes[None, :] - both)))
+    return list(zip(i.tolist(), j.tolist()))
+
+
+def _verify(threshold: float):
+    """Spanning links a, b of each run of rows with the same (k, pa, pb): the pairs with the similarity."""
+    keys = ["k", "pa", "pb"]
+
+    def links(hashes: list[int], lines: list[str]) -> tuple[list[int], list[int]]:
+        found = similar_pairs(lines, threshold) if len(lines) > 1 else []
+        return spanning_stars([hashes[i] for i, _ in found], [hashes[j] for _, j in found])
 
     def work(batches):
+        key, hashes, lines = None, [], []
         for batch in batches:
-            keep, last, own = [], None, set()
-            for x, y in zip(batch.column("x").to_pylist(), batch.column("y").to_pylist()):
-                if y != last:
-                    last, own = y, shingles(y.encode())
-                other = shingles(x.encode())
-                both = len(own & other)
-                keep.append(both >= threshold * (len(own) + len(other) - both))
-            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
-
-    one = pairs.join(texts.select(F.col("h").alias("a"), F.col("line").alias("x")), "a")
-    two = one.join(texts.select(F.col("h").alias("b"), F.col("line").alias("y")), "b")
-    return two.select("a", "b", "x", "y").mapInArrow(work, "a long, b long")
+            a, b = [], []
+            for *own, h, line in zip(*(batch.column(c).to_pylist() for c in [*keys, "h", "line"])):
+                if own != key:
+                    x, y = links(hashes, lines)
+                    a += x
+                    b += y
+                    key, hashes, lines = own, [], []
+                hashes.append(h)
+                lines.append(line)
+            yield pa.RecordBatch.from_pydict({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+        a, b = links(hashes, lines)
+        yield pa.RecordBatch.from_pydict({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+
+    return work
 
 
 def line_components(docs: DataFrame, lines: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """h, component of distinct lines that have a near duplicate. lines: _lines(docs), written."""
     banded = lines.where("size(bands) > 0").select("h", F.explode("bands").alias("key"))
     members = shared(_bucket_members(banded))
-    texts = shared(_texts(docs, members.select("h")))
-    ends = members.groupBy("key").agg(F.min("h").alias("low"), F.max("h").alias("high"))
-    star = members.join(ends, "key").select("h", F.explode(F.array("low", "high")).alias("b")).where("h <> b")
-    star = star.select(F.least("h", "b").alias("a"), F.greatest("h", "b").alias("b")).distinct()
-    links = shared(_verified(star, texts, threshold))
-    found = connected_components(links)
-    placed = shared(members.join(found, members["h"] == found["node"], "left").select("key", "h", F.coalesce("component", "h").alias("c")))
-    mixed = placed.groupBy("key").agg(F.min("c").alias("low"), F.max("c").alias("high")).where("low <> high").select("key")
-    rest = placed.join(mixed, "key")
-    left, right = rest.select("key", F.col("h").alias("a"), F.col("c").alias("ca")), rest.select("key", F.col("h").alias("b"), F.col("c").alias("cb"))
-    across = left.join(right, "key").where("ca < cb").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct().join(star, ["a", "b"], "left_anti")
-    more = _verified(across, texts, threshold)
-    return connected_components(links.union(more)).select(F.col("node").alias("h"), "component")
+    star = members.join(members.groupBy("key").agg(F.min("h").alias("low")), "key").where("h <> low").select(F.col("h").alias("a"), F.col("low").alias("b")).distinct()
+    met = connected_components(star).select(F.col("node").alias("h"), F.col("component").alias("k"))  # groups of lines that buckets connect
+    texts = shared(_texts(docs, met.select("h")).join(met, "h"))
+    tiles = texts.groupBy("k").agg(F.greatest(F.ceil(F.count("*") / TILE), F.ceil(F.sum(F.length("line")) / TILE_CHARS)).cast("int").alias("tiles"))
+    placed = texts.join(tiles, "k").withColumn("tile", F.pmod(F.xxhash64("h"), F.col("tiles")).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)))
+    dealt = placed.select("k", F.least("tile", "other").alias("pa"), F.greatest("tile", "other").alias("pb"), "h", "line")
+    n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    links = dealt.repartition(n, "k", "pa", "pb").sortWithinPartitions("k", "pa", "pb").mapInArrow(_verify(threshold), "a long, b long")
+    return connected_components(links).select(F.col("node").alias("h"), "component")
 
 
 def dropped_lines(docs: DataFrame, lines: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
@@ -240,9 +281,9 @@ def line_report(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
 
 def dedup_lines(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """docs with the dropped lines taken out of text and n_chars counted anew; null texts and other columns stay as they are."""
-    gone = dropped_lines(docs, shared(_lines(docs)), threshold).groupBy("doc_id").agg(F.collect_set("line_no").alias("_gone"))
-    gone = gone.withColumnRenamed("doc_id", "_id")
-    whole = docs.join(gone, docs["doc_id"].cast("long").eqNullSafe(gone["_id"]), "left")
+    free = "_" * (1 + max(map(len, docs.columns)))  # a name that no column has
+    gone = dropped_lines(docs, shared(_lines(docs)), threshold).groupBy("doc_id").agg(F.collect_set("line_no").alias(free))
+    whole = docs.join(gone, docs["doc_id"].cast("long").eqNullSafe(gone["doc_id"]), "left")
     names, at = docs.columns, {f.name: i for i, f in enumerate(docs.schema.fields)}
 
     def work(batches):
@@ -259,7 +300,7 @@ def dedup_lines(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
                 columns[at["n_chars"]] = pa.array([o if t is None else len(t) for t, o in zip(texts, columns[at["n_chars"]].to_pylist())], kind)
             yield pa.RecordBatch.from_arrays(columns, names=names)
 
-    return whole.select(*[docs[c] for c in docs.columns], gone["_gone"]).mapInArrow(work, docs.schema)
+    return whole.select(*[docs[c] for c in docs.columns], gone[free]).mapInArrow(work, docs.schema)
 
 
 def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
