@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from .bits import bit_table, holds
-from .common import slices, table, texts_of
+from .common import shared, slices, table, texts_of
 
 WINDOW = 5
 SHARE = 0.8
@@ -149,7 +149,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, share: float = SHARE, m
     """doc_id, item_id, matched and n_windows (distinct windows of the item), longest_run (words) of each matching pair."""
     items = benchmark_windows(benchmark)
     sizes = items.groupBy("item_id").agg(F.countDistinct("window").alias("n_windows"))
-    hits = _windows(texts_of(docs), "doc_id", bit_table(items, "window")).select("doc_id", "window", F.col("pos").alias("doc_pos"), F.col("slots").alias("doc_slots"))
+    hits = shared(_windows(texts_of(docs), "doc_id", bit_table(items, "window")).select("doc_id", "window", F.col("pos").alias("doc_pos"), F.col("slots").alias("doc_slots")))
     met = hits.join(items, "window").withColumn("shift", F.col("doc_pos") - F.col("pos"))
     # Windows at one shift are one copy of the item; there each value of the item must stand for one value of the document.
     slots = met.where("slots <> ''").select("doc_id", "item_id", "shift", F.explode(F.arrays_zip(F.split("slots", " ").alias("a"), F.split("doc_slots", " ").alias("b"))).alias("s"))
