@@ -5,9 +5,9 @@ sample of the corpus's own paragraphs that hold no word of LICENSE_WORDS is the
 multinomial logistic regression over word 1- to 3-grams is fitted on three quarters of them; on the rest, temperature
 and the least probability are chosen: the probability at which at most one in a hundred unknown paragraphs gets a family.
 
-Scanning: the paragraphs (lines) of every text are cut into n-grams, which are joined to the model's weights, a table of at
-most VOCABULARY rows that is broadcast; n-grams without a weight drop out in the join, so only few rows are shuffled, to be summed
-for each paragraph. Softmax with an unknown class gives family and probability. A prediction stands if a
+Scanning: from the weights follows a list of words of which a paragraph needs at least one to be given any family
+(LicenseModel.triggers; the bound is exact, so nothing is lost). Paragraphs (lines) with such a word are cut into n-grams, which are joined to the model's weights, a table of at
+most VOCABULARY rows that is broadcast, and summed for each paragraph. Softmax with an unknown class gives family and probability. A prediction stands if a
 notice of the family is similar: its distinct word pairs cover at least COVER of the paragraph's or the paragraph's cover as much of the notice's.
 
 Defined results: null and empty texts have no paragraphs; repeated rows of one doc_id are one paragraph each time they occur at
@@ -17,6 +17,10 @@ are ignored. Paragraphs of any length are read whole.
 
 from __future__ import annotations
 
+import functools
+import math
+import operator
+
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import CountVectorizer
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -95,7 +99,7 @@ def training_paragraphs(docs: DataFrame, sample: int = SAMPLE_PARAGRAPHS, templa
     cuts = known.select("family", "w", F.explode(F.sequence(F.lit(0), F.size("w") - 1)).alias("at"), F.explode(F.array(F.lit(0), F.lit(1), F.lit(2), F.lit(4))).alias("n"))
     cut = cuts.select("family", F.concat(F.expr("slice(w, 1, at)"), F.expr("slice(w, at + n + 1, greatest(size(w) - at - n, 0))")).alias("w")).where(F.size("w") >= 3).distinct()
     named = F.arrays_overlap(words(F.col("text")), F.array(*map(F.lit, LICENSE_WORDS)))
-    other = paragraphs(docs).where(~named).sample(fraction=0.05, seed=3).orderBy(F.xxhash64("text"), "text").limit(sample).select(F.lit(UNKNOWN).alias("family"), words(F.col("text")).alias("w"))
+    other = paragraphs(docs).sample(fraction=0.05, seed=3).where(~named).orderBy(F.xxhash64("text"), "text").limit(sample).select(F.lit(UNKNOWN).alias("family"), words(F.col("text")).alias("w"))
     # License words outside of notices belong to no family, either.
     loose = docs.sparkSession.createDataFrame([(UNKNOWN, [w]) for w in LICENSE_WORDS], "family string, w array<string>")
     return known.union(cut).union(other).union(loose).withColumn("fold", F.pmod(F.xxhash64(F.array_join("w", " ")), F.lit(4)))
@@ -104,14 +108,34 @@ def training_paragraphs(docs: DataFrame, sample: int = SAMPLE_PARAGRAPHS, templa
 class LicenseModel:
     """families; weights (n-gram -> one weight for each family); intercepts; temperature and least probability."""
 
-    def __init__(self, families: list[str], weights: DataFrame, intercepts: list[float], temperature: float, least: float):
-        self.families, self.weights, self.intercepts, self.temperature, self.least = families, weights, intercepts, temperature, least
+    def __init__(self, families: list[str], rows: list[tuple[str, list[float]]], intercepts: list[float], common: dict[str, int], temperature: float = 1.0, least: float = 0.5):
+        self.families, self.rows, self.intercepts, self.common, self.temperature, self.least = families, rows, intercepts, common, temperature, least
 
     def probabilities(self, scores: Column) -> Column:
         """Softmax of the families' scores at the model's temperature."""
         shifted = F.transform(scores, lambda s: F.exp((s - F.array_max(scores)) / F.lit(self.temperature)))
         return F.transform(shifted, lambda e: e / F.aggregate(shifted, F.lit(0.0), lambda a, b: a + b))
 
+    def triggers(self) -> list[str] | None:
+        """Words of which a paragraph needs one to get a family; None if there is no such list.
+
+        A family needs evidence against the unknown class of logit(least) and the difference of the intercepts. N-grams are
+        left out of the list, those of the commonest words first, as long as all that are left out can't reach this together.
+        """
+        families = range(1, len(self.families))
+        need = [self.temperature * math.log(self.least / (1 - self.least)) + self.intercepts[0] - self.intercepts[k] for k in families]
+        if min(need) <= 0:
+            return None
+        of = {g: min(g.split(" "), key=lambda w: (self.common.get(w, 0), -len(w), w)) for g, _ in self.rows}
+        left, listed = [0.0] * len(need), set()
+        for g, w in sorted(self.rows, key=lambda r: (-self.common.get(of[r[0]], 0), r[0])):
+            more = [a + max(0.0, w[k] - w[0]) for a, k in zip(left, families)]
+            if all(a < b - 1e-6 for a, b in zip(more, need)):
+                left = more
+            elif any(w[k] > w[0] for k in families):
+                listed.add(of[g])
+        return sorted(w for w in listed if not any(v != w and v in w for v in listed))
+
 
 def fit(docs: DataFrame, sample: int = SAMPLE_PARAGRAPHS, templates=TEMPLATES) -> LicenseModel:
     """The model; the driver gets its weights, at most VOCABULARY rows."""
@@ -125,8 +149,10 @@ def fit(docs: DataFrame, sample: int = SAMPLE_PARAGRAPHS, templates=TEMPLATES) -
     # A family that the sample's folds never reach has no row of its own in the coefficients.
     matrix, cut = fitted.coefficientMatrix.toArray(), fitted.interceptVector.toArray()
     rows = [(g, [float(matrix[k, i]) if k < len(cut) else 0.0 for k in range(len(families))]) for i, g in enumerate(terms.vocabulary) if matrix[:, i].any()]
-    weights = spark.createDataFrame(rows, "gram string, weight array<double>").coalesce(1)
-    model = LicenseModel(families, weights, [float(cut[k]) if k < len(cut) else -30.0 for k in range(len(families))], 1.0, 0.5)
+    unknown = train.where("label = 0").select(F.explode(F.array_distinct("grams")).alias("g"))
+    single = sorted({w for g, _ in rows for w in g.split(" ")})  # at most three for each n-gram
+    common = {r["g"]: r["n"] for r in unknown.join(F.broadcast(spark.createDataFrame([(w,) for w in single], "g string")), "g").groupBy("g").agg(F.count("*").alias("n")).collect()}
+    model = LicenseModel(families, rows, [float(cut[k]) if k < len(cut) else -30.0 for k in range(len(families))], common)
     held = shared(fitted.transform(vectors.where("fold = 0")).select("label", F.expr("cast(rawPrediction as string)").alias("r")).select("label", F.from_json("r", "array<double>").alias("r")))
     losses = [(held.select(F.avg(-F.log(F.greatest(F.element_at(model_at(model, t).probabilities(F.col("r")), F.col("label").cast("int") + 1), F.lit(1e-12))))).first()[0] or 0.0, t) for t in (0.5, 1.0, 2.0)]
     model.temperature = min(losses)[1]
@@ -137,25 +163,30 @@ def fit(docs: DataFrame, sample: int = SAMPLE_PARAGRAPHS, templates=TEMPLATES) -
 
 
 def model_at(model: LicenseModel, temperature: float) -> LicenseModel:
-    return LicenseModel(model.families, model.weights, model.intercepts, temperature, model.least)
+    return LicenseModel(model.families, model.rows, model.intercepts, model.common, temperature, model.least)
 
 
 def scan_licenses(docs: DataFrame, model: LicenseModel, templates=TEMPLATES) -> DataFrame:
     """doc_id, para, family, probability, template_id, cover of every paragraph that is a notice."""
-    grams = paragraphs(docs).select("doc_id", "para", words(F.col("text")).alias("w")).select("doc_id", "para", F.explode(ngrams("w")).alias("gram"))
-    met = grams.join(F.broadcast(model.weights), "gram")  # VOCABULARY rows at most
-    sums = met.dropDuplicates(["doc_id", "para", "gram"]).groupBy("doc_id", "para").agg(*[F.sum(F.element_at("weight", k + 1)).alias(f"s{k}") for k in range(len(model.families))])
+    texts, triggers = texts_of(docs), model.triggers()
+    has = lambda c: functools.reduce(operator.or_, [F.contains(F.lower(c), F.lit(w)) for w in triggers], F.lit(False)) if triggers is not None else F.lit(True)
+    likely = paragraphs(texts.where(has(F.col("text")))).where(has(F.col("text")))
+    likely = shared(likely.select("doc_id", "para", words(F.col("text")).alias("w")))
+    weights = docs.sparkSession.createDataFrame(model.rows or [("", [0.0] * len(model.families))], "gram string, weight array<double>").coalesce(1)
+    grams = likely.select("doc_id", "para", F.explode(F.array_distinct(ngrams("w"))).alias("gram"))
+    met = grams.join(F.broadcast(weights), "gram")  # VOCABULARY rows at most
+    sums = met.groupBy("doc_id", "para").agg(*[F.sum(F.element_at("weight", k + 1)).alias(f"s{k}") for k in range(len(model.families))])
     scores = F.array(*[F.col(f"s{k}") + F.lit(b) for k, b in enumerate(model.intercepts)])
     p = sums.select("doc_id", "para", scores.alias("scores")).withColumn("p", model.probabilities(F.col("scores"))).withColumn("best", F.array_position("p", F.array_max("p")).cast("int"))
-    likely = p.where((F.col("best") > 1) & (F.array_max("p") >= model.least)).select("doc_id", "para", F.element_at(F.array(*map(F.lit, model.families)), F.col("best")).alias("family"), F.array_max("p").alias("probability"))
-    return confirm(docs, likely, templates)
+    named = p.where((F.col("best") > 1) & (F.array_max("p") >= model.least)).select("doc_id", "para", F.element_at(F.array(*map(F.lit, model.families)), F.col("best")).alias("family"), F.array_max("p").alias("probability"))
+    return confirm(likely, named, templates)
 
 
-def confirm(docs: DataFrame, likely: DataFrame, templates=TEMPLATES) -> DataFrame:
-    """likely (doc_id, para, family, probability) where a notice of the family covers the paragraph or is covered by it, with the best one."""
+def confirm(texts: DataFrame, named: DataFrame, templates=TEMPLATES) -> DataFrame:
+    """named (doc_id, para, family, probability) where a notice of the family covers the paragraph's words w or is covered by them, with the best one."""
     pairs = F.array_distinct(ngrams("w", (1, 2)))
-    known = template_table(docs.sparkSession, templates).select("template_id", F.col("family").alias("f"), words(F.col("text")).alias("w")).select("template_id", "f", pairs.alias("t"))
-    texts = paragraphs(docs).alias("d").join(likely.alias("l"), F.expr("d.doc_id <=> l.doc_id and d.para = l.para")).select("l.*", words(F.col("text")).alias("w")).distinct()
+    known = template_table(texts.sparkSession, templates).select("template_id", F.col("family").alias("f"), words(F.col("text")).alias("w")).select("template_id", "f", pairs.alias("t"))
+    texts = texts.alias("d").join(named.alias("l"), F.expr("d.doc_id <=> l.doc_id and d.para = l.para")).select("l.*", "w").distinct()
     both = F.size(F.array_intersect("g", "t"))
     near = texts.select("doc_id", "para", "family", "probability", pairs.alias("g")).join(F.broadcast(known), F.col("family") == F.col("f"))  # the notices, a fixed list
     near = near.withColumn("cover", F.round(both / F.greatest(F.least(F.size("g"), F.size("t")), F.lit(1)), 6)).where(F.col("cover") >= COVER)
