@@ -160,8 +160,8 @@ def simhash_components(docs: DataFrame, max_bits: int = MAX_BITS, blocks: int =
 def keep_one(docs: DataFrame, max_bits: int = MAX_BITS, blocks: int = BLOCKS) -> DataFrame:
     """One document of each component, the one with the smallest doc_id, with all its columns.
 
-    Documents need a doc_id to be known again; those with a null doc_id stay. Of rows with the same doc_id one stays
-    if they are the same in every column, all of them otherwise.
+    Documents are known by doc_id: rows that share one are one document and stay or go together; those with a null
+    doc_id stay.
     """
     kept = simhash_components(docs, max_bits, blocks).where("doc_id = component_id").select(F.col("doc_id").alias("_kept")).distinct()
     return docs.join(kept, docs["doc_id"].cast("long") == kept["_kept"], "left_semi").unionByName(docs.where("doc_id is null"))
