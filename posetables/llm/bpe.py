@@ -28,8 +28,8 @@ from .common import sha256_hex, slices, table, texts_of
 WINDOW = 16
 MEAN_CHUNK = 256
 #: A task's cache of chunks has two generations of so many chunks each; the older one goes when the newer one is full.
-CACHE_CHUNKS = 40_000
-CACHE_JOINS = 100_000
+CACHE_CHUNKS = 20_000
+CACHE_JOINS = 50_000
 RANKS_FILE = "byte_bpe_50k.tiktoken"  # the vocabulary of byte_bpe_50k.json as ranks
 SPECIAL = {"<|endoftext|>": 50256}
 

@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 #: Texts are handled in slices of about so many characters, whatever the size of an Arrow batch.
-SLICE_CHARS = 4_000_000
+SLICE_CHARS = 1_000_000
 DOCUMENT_COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 

@@ -79,6 +79,17 @@ def band_keys(lines: list[bytes]) -> np.ndarray:
     return (keys + np.arange(BANDS, dtype=np.uint64) * np.uint64(0xD6E8FEB86659FD93)).view(np.int64)
 
 
+def _keys_in_parts(lines: list[bytes], most: int = 250_000) -> np.ndarray:
+    """band_keys of so many bytes of lines at a time."""
+    parts, start, size = [band_keys([])], 0, 0
+    for i, line in enumerate(lines):
+        size += len(line)
+        if size >= most or i + 1 == len(lines):
+            parts.append(band_keys(lines[start : i + 1]))
+            start, size = i + 1, 0
+    return np.concatenate(parts)
+
+
 def shingles(line: bytes) -> set[str]:
     s = line.decode() + "\0" * (SHINGLE - 1)
     return {s[i : i + SHINGLE] for i in range(len(s) - SHINGLE + 1)}
@@ -112,7 +123,7 @@ def _lines(docs: DataFrame) -> DataFrame:
                                 new.append(line)
                 if len(seen) > 500_000:
                     seen.clear()
-                keys, fresh = band_keys(new), np.array(fresh, bool)
+                keys, fresh = _keys_in_parts(new), np.array(fresh, bool)
                 offsets = np.concatenate([[0], np.cumsum(np.where(fresh, BANDS, 0))]).astype(np.int32)
                 yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(numbers, pa.int32()), pa.array(hashes, pa.int64()), pa.ListArray.from_arrays(offsets, pa.array(keys.reshape(-1)))], names=["doc_id", "line_no", "h", "bands"])
 
@@ -202,7 +213,7 @@ def similar_pairs(lines: list[str], threshold: float = THRESHOLD) -> list[tuple[
     sizes = np.array([len(x) for x in sets])
     rows = np.repeat(np.arange(len(sets)), sizes)
     both = np.zeros((len(sets), len(sets)), np.int64)
-    step = 1 << 18  # a bounded table of bits for long lines
+    step = 1 << 16  # a bounded table of bits for long lines
     for low in range(0, int(every.max()) + 1, step):
         here = (every >= low) & (every < low + step)
         bits = np.zeros((len(sets), min(step, int(every.max()) + 1 - low)), bool)
