@@ -146,6 +146,23 @@ def worker_encoding(path: str | None):
     return _worker[path]
 
 
+def _encoded(encoder: ChunkEncoder, texts: list[str]) -> list[np.ndarray]:
+    return [np.frombuffer(encoder.encode(t), "<u4") for t in texts]
+
+
+def _decoded(encoding, doc_id: pa.Array, ids: list[np.ndarray]) -> pa.RecordBatch:
+    """DECODED of rows with these ids."""
+    return pa.RecordBatch.from_pydict({
+        "doc_id": doc_id,
+        "n_tokens": pa.array([len(x) for x in ids], pa.int64()),
+        "ids_sha256": pa.array([sha256_hex(x.astype("<u4").tobytes()) for x in ids], pa.string()),
+        "text": pa.array([encoding.decode_bytes(x.tolist()).decode("utf-8", "replace") for x in ids], pa.string()),
+    })
+
+
+DECODED = "doc_id long, n_tokens long, ids_sha256 string, text string"
+
+
 def encode_documents(docs: DataFrame, path: str | None = None) -> DataFrame:
     """doc_id, ids (array of int) of every document."""
 
@@ -153,9 +170,9 @@ def encode_documents(docs: DataFrame, path: str | None = None) -> DataFrame:
         _, encoder = worker_encoding(path)
         for batch in batches:
             for start, end, texts in slices(batch):
-                ids = [encoder.encode(t) for t in texts]
-                offsets = np.concatenate([[0], np.cumsum([len(x) // 4 for x in ids])]).astype(np.int32)
-                values = pa.array(np.frombuffer(b"".join(ids), "<i4"), pa.int32())
+                ids = _encoded(encoder, texts)
+                offsets = np.concatenate([[0], np.cumsum([len(x) for x in ids])]).astype(np.int32)
+                values = pa.array(np.concatenate(ids).view("<i4"), pa.int32())
                 yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(start, end - start), pa.ListArray.from_arrays(offsets, values)], names=["doc_id", "ids"])
 
     return texts_of(docs).mapInArrow(work, "doc_id long, ids array<int>")
@@ -171,17 +188,23 @@ def decode_documents(encoded: DataFrame, path: str | None = None) -> DataFrame:
             offsets, values = lists.offsets.to_numpy(), lists.values.to_numpy()
             for a in range(0, batch.num_rows, 256):
                 rows = range(a, min(a + 256, batch.num_rows))
-                ids = [values[offsets[i] : offsets[i + 1]] for i in rows]
-                yield pa.RecordBatch.from_pydict({
-                    "doc_id": batch.column("doc_id").slice(a, len(rows)),
-                    "n_tokens": pa.array([len(x) for x in ids], pa.int64()),
-                    "ids_sha256": [sha256_hex(x.astype("<u4").tobytes()) for x in ids],
-                    "text": [encoding.decode_bytes(x.tolist()).decode("utf-8", "replace") for x in ids],
-                })
+                yield _decoded(encoding, batch.column("doc_id").slice(a, len(rows)), [values[offsets[i] : offsets[i + 1]] for i in rows])
+
+    return encoded.mapInArrow(work, DECODED)
+
+
+def encode_and_decode(docs: DataFrame, path: str | None = None) -> DataFrame:
+    """decode_documents(encode_documents(docs)) with one Python worker for each task rather than two; ids stay in it."""
+
+    def work(batches):
+        encoding, encoder = worker_encoding(path)
+        for batch in batches:
+            for start, end, texts in slices(batch):
+                yield _decoded(encoding, batch.column("doc_id").slice(start, end - start), _encoded(encoder, texts))
 
-    return encoded.mapInArrow(work, "doc_id long, n_tokens long, ids_sha256 string, text string")
+    return texts_of(docs).mapInArrow(work, DECODED)
 
 
 def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    decoded = decode_documents(encode_documents(table(spark, sf_dir, "documents")))
+    decoded = encode_and_decode(table(spark, sf_dir, "documents"))
     return decoded.select("doc_id", "n_tokens", "ids_sha256", F.sha2(F.col("text").cast("binary"), 256).alias("decoded_sha256"))

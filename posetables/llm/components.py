@@ -48,7 +48,8 @@ def connected_components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
 
     Loops and repeated edges don't matter; without edges the result is empty.
     """
-    e = shared(_local(edges.select("a", "b").where("a <> b")))
+    # distinct() also parts _local from what made the edges, so that no task holds two Python workers.
+    e = shared(_local(edges.select("a", "b").where("a <> b").distinct()))
     before = None
     for _ in range(most_rounds):
         both = e.select("a", "b").union(e.select(e["b"].alias("a"), e["a"].alias("b")))

@@ -257,7 +257,7 @@ def line_components(docs: DataFrame, lines: DataFrame, threshold: float = THRESH
     """h, component of distinct lines that have a near duplicate. lines: _lines(docs), written."""
     banded = lines.where("size(bands) > 0").select("h", F.explode("bands").alias("key"))
     members = shared(_bucket_members(banded))
-    star = members.join(members.groupBy("key").agg(F.min("h").alias("low")), "key").where("h <> low").select(F.col("h").alias("a"), F.col("low").alias("b")).distinct()
+    star = members.join(members.groupBy("key").agg(F.min("h").alias("low")), "key").where("h <> low").select(F.col("h").alias("a"), F.col("low").alias("b"))
     met = connected_components(star).select(F.col("node").alias("h"), F.col("component").alias("k"))  # groups of lines that buckets connect
     texts = shared(_texts(docs, met.select("h")).join(met, "h"))
     tiles = texts.groupBy("k").agg(F.greatest(F.ceil(F.count("*") / TILE), F.ceil(F.sum(F.length("line")) / TILE_CHARS)).cast("int").alias("tiles"))

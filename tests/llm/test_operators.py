@@ -40,14 +40,14 @@ def everything(spark, docs):
     return {
         "secrets": secrets.scan_secrets(docs), "lines": linedup.line_report(docs), "dedup": linedup.dedup_lines(docs), "license": license.scan_licenses(docs, license.fit(docs)),
         "toxicity": toxicity.score_toxicity(docs, labels, F.lit(False)), "lm": lm.score_texts(docs, F.col("doc_id") == 2), "simhash": simhash.simhash_components(docs), "one": simhash.keep_one(docs),
-        "pii": pii.scan_pii(docs, pii.fit(docs)), "bpe": bpe.decode_documents(bpe.encode_documents(docs)), "quality": quality.quality_report(docs), "good": quality.keep_good(docs),
+        "pii": pii.scan_pii(docs, pii.fit(docs)), "bpe": bpe.encode_and_decode(docs), "bpe2": bpe.decode_documents(bpe.encode_documents(docs)), "quality": quality.quality_report(docs), "good": quality.keep_good(docs),
         "leaks": decontaminate.contamination(docs, bench), "clean": decontaminate.drop_contaminated(docs, bench),
     }
 
 
 def test_awkward_rows(spark, awkward):
     got = {k: v.collect() for k, v in everything(spark, awkward).items()}
-    for k in ("secrets", "lines", "dedup", "toxicity", "lm", "simhash", "pii", "bpe", "quality"):
+    for k in ("secrets", "lines", "dedup", "toxicity", "lm", "simhash", "pii", "bpe", "bpe2", "quality"):
         assert len(got[k]) == len(ROWS), k
     empty = {r.doc_id: r for r in got["secrets"]}[1]
     assert empty.spans == "" and empty.base_sha256 == hashlib.sha256(b"").hexdigest()
@@ -228,6 +228,8 @@ def test_bpe(documents, texts):
         assert np.frombuffer(encoder.encode(t), "<u4").tolist() == whole.encode(t, add_special_tokens=False).ids
     for x in bpe.decode_documents(bpe.encode_documents(documents)).collect():
         assert x.text == texts[x.doc_id]
+    apart, at_once = (sorted(df.collect()) for df in (bpe.decode_documents(bpe.encode_documents(documents)), bpe.encode_and_decode(documents)))
+    assert apart == at_once
 
 
 def test_chunks_are_shared():
