@@ -17,9 +17,7 @@ are ignored. Paragraphs of any length are read whole.
 
 from __future__ import annotations
 
-import functools
 import math
-import operator
 
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import CountVectorizer
@@ -134,7 +132,7 @@ class LicenseModel:
                 left = more
             elif any(w[k] > w[0] for k in families):
                 listed.add(of[g])
-        return sorted(w for w in listed if not any(v != w and v in w for v in listed))
+        return sorted(listed)
 
 
 def fit(docs: DataFrame, sample: int = SAMPLE_PARAGRAPHS, templates=TEMPLATES) -> LicenseModel:
@@ -168,10 +166,11 @@ def model_at(model: LicenseModel, temperature: float) -> LicenseModel:
 
 def scan_licenses(docs: DataFrame, model: LicenseModel, templates=TEMPLATES) -> DataFrame:
     """doc_id, para, family, probability, template_id, cover of every paragraph that is a notice."""
-    texts, triggers = texts_of(docs), model.triggers()
-    has = lambda c: functools.reduce(operator.or_, [F.contains(F.lower(c), F.lit(w)) for w in triggers], F.lit(False)) if triggers is not None else F.lit(True)
-    likely = paragraphs(texts.where(has(F.col("text")))).where(has(F.col("text")))
-    likely = shared(likely.select("doc_id", "para", words(F.col("text")).alias("w")))
+    triggers = model.triggers()
+    likely = paragraphs(docs).select("doc_id", "para", words(F.col("text")).alias("w"))
+    if triggers is not None:  # whole words: as a part of longer words, short triggers are everywhere
+        likely = likely.where(F.arrays_overlap("w", F.array(*map(F.lit, triggers))) if triggers else F.lit(False))
+    likely = shared(likely)
     weights = docs.sparkSession.createDataFrame(model.rows or [("", [0.0] * len(model.families))], "gram string, weight array<double>").coalesce(1)
     grams = likely.select("doc_id", "para", F.explode(F.array_distinct(ngrams("w"))).alias("gram"))
     met = grams.join(F.broadcast(weights), "gram")  # VOCABULARY rows at most
