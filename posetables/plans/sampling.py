@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions import geometry as g
+from ..llm.common import shared
 from ..operators.joins import uniform, uniform_sql
 from ..queries import query, r6
 
@@ -105,9 +106,9 @@ CANDIDATES = 8
 _CAND = key_sql("frame_id", "k")
 
 
-def orbit_candidates(frames: DataFrame, seed: int, low: float, high: float) -> DataFrame:
-    """CANDIDATES positions for each frame, uniform in direction, at a radius from low to high."""
-    each = frames.withColumn("k", F.explode(F.sequence(F.lit(0), F.lit(CANDIDATES - 1))))
+def orbit_candidates(frames: DataFrame, seed: int, low: float, high: float, start: int = 0, end: int = CANDIDATES) -> DataFrame:
+    """Positions start to end - 1 for each frame, uniform in direction, at a radius from low to high."""
+    each = frames.withColumn("k", F.explode(F.sequence(F.lit(start), F.lit(end - 1))))
     key = key_of("frame_id", "k")
     d, r = direction(seed, key), between(uniform(seed, key, "radius"), low, high)
     return each.withColumns({"px": d[0] * r, "py": d[1] * r, "pz": d[2] * r})
@@ -151,6 +152,56 @@ def plan_camera_scene(frames, annotations):
     return far.select("frame_id").join(first, "frame_id", "left").select("frame_id", F.col("c.k").alias("k"), *_r(**{n: F.col(f"c.{n}") for n in ("px", "py", "pz")}))
 
 
+#: Tries that a frame has in all, as in the surveyed code, and by how much a round of them outgrows the one before.
+TRIES, GROWTH = 10_000, 8
+
+
+def _until_found(frames: DataFrame, find, tries: int) -> DataFrame:
+    """frame_id, k, px, py, pz: the first good candidate of each frame, of tries at most.
+
+    find(rest, start, end) gives those of candidates start to end - 1. Only frames that are still without one enter the
+    next round; what a round found is written to the shared folder.
+    """
+    rest, start, end, found = shared(frames), 0, min(CANDIDATES, tries), None
+    while True:
+        got = shared(find(rest, start, end))
+        found = got if found is None else found.unionByName(got)
+        if end >= tries:
+            return found
+        rest = shared(rest.join(got.select("frame_id"), "frame_id", "left_anti"))
+        if rest.isEmpty():
+            return found
+        start, end = end, min(end * GROWTH, tries)
+
+
+def camera_orbit(frames: DataFrame, tries: int = TRIES) -> DataFrame:
+    """plan_camera_orbit with all tries; only a frame for which each of them fails keeps nulls."""
+
+    def find(rest, start, end):
+        good = orbit_candidates(rest, 15, 1.0, 3.0, start, end).where(by_pitch(0.2, 1.2))
+        return good.groupBy("frame_id").agg(F.min(F.struct("k", "px", "py", "pz")).alias("c")).select("frame_id", "c.*")
+
+    ids = frames.select("frame_id")
+    return ids.join(_until_found(ids, find, tries), "frame_id", "left").select("frame_id", "k", *_r(px=F.col("px"), py=F.col("py"), pz=F.col("pz")))
+
+
+def camera_scene(frames: DataFrame, annotations: DataFrame, tries: int = TRIES) -> DataFrame:
+    """plan_camera_scene with all tries; only a frame for which each of them fails keeps nulls."""
+    # A frame's objects travel with it, so that candidates are tested where they are made.
+    objects = annotations.groupBy("frame_id").agg((F.max(F.greatest(F.col("x2") - F.col("x1"), F.col("y2") - F.col("y1"))) / 640.0).alias("d"), F.collect_list(F.struct("pos_x", "pos_y", "pos_z")).alias("objects"))
+    hfov, _ = g.field_of_view(F.col("fx"), F.col("img_w"), F.col("img_h"))
+    far = frames.join(objects, "frame_id").select("frame_id", g.fill_distance(F.col("d"), F.lit(0.2), hfov).alias("dist"), "objects")
+
+    def clear(o: Column) -> Column:
+        return ~F.coalesce(~(g.norm(g.subtract((o["pos_x"], o["pos_y"], o["pos_z"]), g.cols("px", "py", "pz"))) - 0.05 > 0.5), F.lit(False))
+
+    def find(rest, start, end):
+        good = orbit_candidates(rest, 16, F.col("dist"), 2 * F.col("dist"), start, end).where(by_pitch(0.2, 1.2)).where(F.forall("objects", clear))
+        return good.groupBy("frame_id").agg(F.min(F.struct("k", "px", "py", "pz")).alias("c")).select("frame_id", "c.*")
+
+    return far.select("frame_id").join(_until_found(far, find, tries), "frame_id", "left").select("frame_id", "k", *_r(px=F.col("px"), py=F.col("py"), pz=F.col("pz")))
+
+
 _OBJ = key_sql("frame_id", "instance_index")
 
 
@@ -194,6 +245,36 @@ def plan_scene_objects(frames, assets, slots=6, draws=12, ratio=0.7):
     return each.withColumn("pick", pick.cast("int")).join(chosen.select("frame_id", "pick", "asset_id"), ["frame_id", "pick"]).select("frame_id", "slot", "asset_id")
 
 
+def scene_objects(frames: DataFrame, assets: DataFrame, slots: int = 6, ratio: float = 0.7, tries: int = TRIES) -> DataFrame:
+    """slots objects for each frame: 1 to slots picks of like size, the rest copies of these.
+
+    As in the surveyed code a pick is drawn again until its size fits and two picks may be the same asset. Draws come in
+    rounds for the frames that still lack picks. Only a frame that tries draws don't fill has fewer picks, and one for
+    which none of them meets an asset with a diameter has no rows.
+    """
+    top = shared(assets.agg(F.max("asset_id").alias("top")))  # one row
+    sizes = assets.where("diameter > 0").select("asset_id", "diameter")
+    w = Window.partitionBy("frame_id").orderBy("k")
+    rest = shared(frames.select("frame_id", (1 + F.floor(uniform(18, "frame_id", "classes") * slots)).cast("int").alias("most"), F.lit(0).alias("have"), F.lit(None).cast("double").alias("d0")))
+    found, start, end = None, 0, min(2 * slots, tries)
+    while True:
+        drawn = rest.withColumn("k", F.explode(F.sequence(F.lit(start), F.lit(end - 1)))).join(F.broadcast(top))
+        drawn = drawn.withColumn("asset_id", 1 + F.floor(uniform(18, key_of("frame_id", "k"), "asset") * F.col("top")))
+        sized = drawn.join(sizes, "asset_id").withColumn("d0", F.coalesce("d0", F.first("diameter").over(w)))
+        alike = sized.where(F.abs(F.col("diameter") - F.col("d0")) / F.col("d0") <= ratio).withColumn("pick", F.col("have") + F.row_number().over(w) - 1)
+        got = shared(alike.where("pick < most").select("frame_id", "pick", "asset_id", F.col("d0").cast("double").alias("d0")))
+        found = got if found is None else found.unionByName(got)
+        more = got.groupBy("frame_id").agg((F.max("pick") + 1).alias("n"), F.min("d0").alias("d"))
+        rest = shared(rest.join(more, "frame_id", "left").select("frame_id", "most", F.coalesce("n", "have").alias("have"), F.coalesce("d0", "d").alias("d0")).where("have < most"))
+        if end >= tries or rest.isEmpty():
+            break
+        start, end = end, min(end * GROWTH, tries)
+    classes = found.groupBy("frame_id").agg((F.max("pick") + 1).alias("n_classes"))
+    each = classes.select("frame_id", "n_classes", F.explode(F.sequence(F.lit(0), F.lit(slots - 1))).alias("slot"))
+    pick = F.when(F.col("slot") < F.col("n_classes"), F.col("slot")).otherwise(F.floor(uniform(18, key_of("frame_id", "slot"), "copy") * F.col("n_classes")))
+    return each.withColumn("pick", pick.cast("int")).join(found.select("frame_id", "pick", "asset_id"), ["frame_id", "pick"]).select("frame_id", "slot", "asset_id")
+
+
 @query("plan_table_pose", f"""WITH w AS (SELECT n_nationkey, sum(n_nationkey + 1) OVER (ORDER BY n_nationkey) AS hi, n_nationkey + 1 AS weight, sum(n_nationkey + 1) OVER () AS total FROM nation),
  u AS (SELECT *, {uniform_sql(19, 'frame_id', 'pose')} AS u, {TAU}e0 * {uniform_sql(19, 'frame_id', 'yaw')} AS yaw, 1 - 2*(cam_qx*cam_qx + cam_qy*cam_qy) AS dz, 2*(cam_qx*cam_qz + cam_qy*cam_qw) AS dx, 2*(cam_qy*cam_qz - cam_qx*cam_qw) AS dy FROM fx_frames)
  SELECT frame_id, n_nationkey AS pose, {_rs(yaw='yaw', gx='CASE WHEN dz <> 0 THEN cam_x - cam_z / dz * dx END', gy='CASE WHEN dz <> 0 THEN cam_y - cam_z / dz * dy END')} FROM u JOIN w ON u * total >= hi - weight AND u * total < hi""", "fx_frames", "nation")
