@@ -5,8 +5,10 @@ placeholders, other words are lower-cased without the punctuation around them. W
 the documents are hash-joined to those of the benchmark. A bit table of all benchmark windows, whose size does not
 depend on the benchmark, first drops windows that no item has; the join decides. A document and an item match if
 80 % of the item's windows are found, or a run of windows that spans min_run words; and the slots must fit: within
-the pair, a value of the item always stands for one value of the document (so a re-parameterised question is
-caught and a chance meeting of placeholders is not).
+one copy, a value of the item stands for one value of the document (so a re-parameterised question is caught and a
+chance meeting of placeholders is not). Where a value stands for several, only the windows that conflict are dropped:
+windows stay if their words are literally the item's or if their values are those that stand most often for the
+item's, and the longest run that is consistent in itself counts too.
 
 Defined results: null and empty texts match nothing; items of fewer than five template tokens are not searched;
 repeated rows of documents with one doc_id are one document; null doc_id or item_id is a group of its own; an
@@ -16,6 +18,7 @@ empty table on either side gives an empty result; further columns are ignored (c
 from __future__ import annotations
 
 import re
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -145,6 +148,44 @@ def benchmark_windows(benchmark: DataFrame) -> DataFrame:
     return _windows(items, "item_id", None)
 
 
+def fitting_windows(places: list[int], pairs: list[list[tuple[str, str]]]) -> tuple[np.ndarray, int]:
+    """Which windows of one copy stay, and the words of its longest consistent run.
+
+    places: the windows' positions in the item, ascending; pairs: (item's, document's) value of each slot.
+    """
+    votes = Counter(x for own in pairs for x in own)
+    stands: dict[str, str] = {}
+    for a, b in sorted(votes, key=lambda x: (votes[x], x[0] == x[1], x[1])):
+        stands[a] = b  # the most frequent one comes last, of several the literal one
+    keep = np.array([all(a == b for a, b in own) or all(stands[a] == b for a, b in own) for own in pairs], bool)
+    low, longest, values = 0, 0, {}  # values of the run from low on: how often each item's value stands for each of the document's
+    for high, own in enumerate(pairs):
+        if high and places[high] > places[high - 1] + 1:
+            low, values = high, {}
+        for a, b in own:
+            values.setdefault(a, Counter())[b] += 1
+        while any(len(values[a]) > 1 for a, _ in own):
+            for a, b in pairs[low]:
+                values[a][b] -= 1
+                if not values[a][b]:
+                    del values[a][b]
+            low += 1
+        if low <= high:
+            longest = max(longest, places[high] - places[low] + WINDOW)
+    return keep, longest
+
+
+def _fitting(group: pa.Table) -> pa.Table:
+    """The windows of a copy that stay, and a row without place that has its longest run."""
+    group = group.sort_by("pos")
+    pairs = [list(zip(a.split(" "), b.split(" "))) if a else [] for a, b in zip(group["slots"].to_pylist(), group["doc_slots"].to_pylist())]
+    keep, longest = fitting_windows(group["pos"].to_pylist(), pairs)
+    kept, one = group.filter(pa.array(keep)), group.slice(0, 1)
+    kept = kept.select(["doc_id", "item_id", "pos", "window"]).append_column("run", pa.nulls(len(kept), pa.int64()))
+    none = pa.nulls(1, pa.int64())
+    return pa.concat_tables([kept, pa.Table.from_arrays([one["doc_id"], one["item_id"], none, none, pa.array([longest], pa.int64())], schema=kept.schema)])
+
+
 def contamination(docs: DataFrame, benchmark: DataFrame, share: float = SHARE, min_run: int = MIN_RUN) -> DataFrame:
     """doc_id, item_id, matched and n_windows (distinct windows of the item), longest_run (words) of each matching pair."""
     items = benchmark_windows(benchmark)
@@ -154,11 +195,14 @@ def contamination(docs: DataFrame, benchmark: DataFrame, share: float = SHARE, m
     # Windows at one shift are one copy of the item; there each value of the item must stand for one value of the document.
     slots = met.where("slots <> ''").select("doc_id", "item_id", "shift", F.explode(F.arrays_zip(F.split("slots", " ").alias("a"), F.split("doc_slots", " ").alias("b"))).alias("s"))
     misfit = slots.groupBy("doc_id", "item_id", "shift", "s.a").agg(F.min("s.b").alias("low"), F.max("s.b").alias("high")).where("low <> high").select("doc_id", "item_id", "shift").distinct()
-    fits = met.alias("p").join(misfit.alias("m"), F.expr("p.doc_id <=> m.doc_id and p.item_id <=> m.item_id and p.shift = m.shift"), "left_anti")
-    places = fits.groupBy("doc_id", "item_id", "pos").agg(F.first("window").alias("window"))
+    same = F.expr("p.doc_id <=> m.doc_id and p.item_id <=> m.item_id and p.shift = m.shift")
+    whole = met.alias("p").join(misfit.alias("m"), same, "left_anti").select("doc_id", "item_id", "pos", "window", F.lit(None).cast("long").alias("run"))
+    mixed = met.alias("p").join(misfit.alias("m"), same, "left_semi").select("doc_id", "item_id", "shift", "pos", "window", "slots", "doc_slots")
+    fits = whole.unionByName(mixed.groupBy("doc_id", "item_id", "shift").applyInArrow(_fitting, "doc_id long, item_id long, pos long, window long, run long"))
+    places = fits.groupBy("doc_id", "item_id", "pos").agg(F.first("window").alias("window"), F.max("run").alias("run"))
     by_pair = Window.partitionBy("doc_id", "item_id").orderBy("pos")  # at most the item's windows
-    runs = places.withColumn("island", F.col("pos") - F.row_number().over(by_pair)).groupBy("doc_id", "item_id", "island").agg(F.count("*").alias("n"), F.collect_set("window").alias("w"))
-    pairs = runs.groupBy("doc_id", "item_id").agg((F.max("n") + WINDOW - 1).alias("longest_run"), F.size(F.array_distinct(F.flatten(F.collect_list("w")))).cast("long").alias("matched"))
+    runs = places.withColumn("island", F.col("pos") - F.row_number().over(by_pair)).groupBy("doc_id", "item_id", "island").agg(F.count("pos").alias("n"), F.collect_set("window").alias("w"), F.max("run").alias("run"))
+    pairs = runs.groupBy("doc_id", "item_id").agg(F.greatest(F.max("n") + WINDOW - 1, F.max("run")).alias("longest_run"), F.size(F.array_distinct(F.flatten(F.collect_list("w")))).cast("long").alias("matched"))
     found = pairs.alias("p").join(sizes.alias("s"), F.expr("p.item_id <=> s.item_id")).where((F.col("matched") >= share * F.col("n_windows")) | (F.col("longest_run") >= min_run))
     return found.select("doc_id", F.col("p.item_id").alias("item_id"), "matched", "n_windows", "longest_run")
 

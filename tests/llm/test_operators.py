@@ -271,6 +271,26 @@ def test_decontamination(spark):
     assert [r.doc_id for r in decontaminate.contamination(docs, bench).collect()] == [1]
 
 
+def test_decontamination_keeps_what_fits(spark):
+    filler = [f"word{chr(97 + i % 26)}{chr(97 + i // 26)}" for i in range(57)]
+    item = " ".join([*filler[:20], "5", *filler[20:40], "5", *filler[40:]])
+    sums = "We add 5 and 5 and then 5 more to get the total of all that we had"
+    bench = spark.createDataFrame([(1, item), (2, sums), (3, "take 5 of 5 and 5 from 5 to 5")], "item_id long, text string")
+    docs = [(1, item.replace("5", "6", 1)), (2, sums.replace("5", "8", 1)), (3, "take 1 of 2 and 3 from 4 to 6"), (4, "take 9 of 9 and 9 from 9 to 9")]
+    got = {(r.doc_id, r.item_id): r for r in decontaminate.contamination(spark.createDataFrame(docs, "doc_id long, text string"), bench).collect()}
+    assert set(got) == {(1, 1), (2, 2), (4, 3)}
+    assert got[1, 1].longest_run == 41 and got[1, 1].matched == got[1, 1].n_windows - 5
+    assert got[2, 2].longest_run == 15
+
+
+def test_fitting_windows():
+    fit = lambda places, pairs: (lambda keep, longest: (keep.tolist(), longest))(*decontaminate.fitting_windows(places, pairs))
+    pairs = [[("a", "x")]] * 9 + [[("a", "x"), ("a", "y")]] + [[("a", "y")]] * 12
+    assert fit(list(range(22)), pairs) == ([False] * 10 + [True] * 12, 16)
+    assert fit(list(range(12)) + list(range(20, 30)), pairs) == ([False] * 10 + [True] * 12, 14)
+    assert fit([0, 1, 2], [[("a", "a")], [("a", "x")], [("a", "x")]]) == ([True] * 3, 6)
+
+
 def test_pipeline(spark, texts):
     import corpus_pipeline
 
