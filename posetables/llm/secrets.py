@@ -3,7 +3,8 @@
 A candidate is a run of 20 or more characters of [A-Za-z0-9+/_=-]. Within it, a window slides over each run of
 a character class; the counts in the window change by one character in and one out, and with them the sum of
 c*log2(c), so that the entropy of every window takes constant time. Windows above their class's threshold are
-joined into one span, unless the allow-list names the string.
+joined into one span, unless the allow-list names the string. A run of 20 to 23 characters of the base64 class is one
+window.
 
 Defined results: null and empty texts have no spans (base_sha256 is that of the empty string); repeated rows
 give repeated results; an empty table an empty one; other columns are ignored. Texts of any length are scanned whole.
@@ -29,18 +30,22 @@ _HINTS = ("passw", "secret", "token", "api")
 
 @dataclass(frozen=True)
 class CharClass:
-    """Windows of so many characters of the class, and the bits a character from which they count as random."""
+    """Windows of so many characters of the class, and the bits a character from which they count as random.
+
+    A run shorter than window, but not than least, is one window; its threshold is as far below the most it can reach.
+    """
 
     name: str
     pattern: str
     window: int
     bits: float
+    least: int = 0
 
 
 CLASSES = (
-    CharClass("hex", r"[0-9a-f]+", 20, 3.0),
-    CharClass("upper", r"[A-Z0-9]+", 16, 3.2),
-    CharClass("base64", r"[A-Za-z0-9+/_=-]+", 24, 3.9),
+    CharClass("hex", r"[0-9a-f]+", 20, 3.0, 20),
+    CharClass("upper", r"[A-Z0-9]+", 16, 3.2, 16),
+    CharClass("base64", r"[A-Za-z0-9+/_=-]+", 24, 3.9, 20),
 )
 #: Strings that look random and are no secrets: placeholders, alphabets, UUIDs, digits only, words without a digit.
 ALLOW = (
@@ -81,9 +86,10 @@ def entropy_spans(text: str, classes=CLASSES, allow=ALLOW) -> list[tuple[str, in
     for m in _CANDIDATE.finditer(text):
         for cls in classes:
             for run in re.finditer(cls.pattern, m[0]):
-                for i, h in enumerate(window_entropies(run[0], cls.window)):
-                    if h >= cls.bits:
-                        found.append((m.start() + run.start() + i, m.start() + run.start() + i + cls.window))
+                window = min(cls.window, max(cls.least or cls.window, len(run[0])))
+                for i, h in enumerate(window_entropies(run[0], window)):
+                    if h >= cls.bits - math.log2(cls.window / window):
+                        found.append((m.start() + run.start() + i, m.start() + run.start() + i + window))
     joined: list[list[int]] = []
     for a, b in sorted(found):
         if joined and a <= joined[-1][1]:

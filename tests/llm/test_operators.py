@@ -96,6 +96,14 @@ def test_window_entropy():
     assert not secrets.secret_spans("id AAAAAAAAAAAAAAAAAAAAAAAAAAAA00 abcdefghijklmnopqrstuvwxyz0123456789")[1]
 
 
+def test_short_secrets():
+    r = random.Random(7)
+    for n in range(20, 30):
+        keys = ["".join(r.choices("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789", k=n)) for _ in range(500)]
+        assert sum(secrets.secret_spans(f"id {k} end")[1] == [("entropy", 3, 3 + n)] for k in keys) > 0.9 * len(keys), n
+    assert not secrets.secret_spans("see internationalisation2 aaaa1111bbbb2222cccc end")[1]
+
+
 def test_line_dedup(documents, texts):
     places = {}
     for d, t in texts.items():
