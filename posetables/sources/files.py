@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 CAMERA = "map<string,struct<cam_K:array<double>,depth_scale:double>>"
 GROUND_TRUTH = "map<string,array<struct<cam_R_m2c:array<double>,cam_t_m2c:array<double>,obj_id:int>>>"
@@ -49,6 +49,85 @@ def convert_scenes(spark: SparkSession, root: str, classes: DataFrame) -> DataFr
     return frames.join(found, ["subset", "img_index"], "left")
 
 
+def image_files(spark: SparkSession, root: str) -> DataFrame:
+    """subset, img_index, kind (rgb, depth, mask, mask_visib), instance_index (-1 for rgb and depth), path, content of every image."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.png").load(root).select("path", "content")
+    part = lambda k: F.regexp_extract("path", r"([^/]+)/(rgb|depth|mask|mask_visib)/(\d+)(?:_(\d+))?\.png$", k)
+    instance = F.when(part(4) != "", part(4).cast("int")).otherwise(F.lit(-1))
+    return files.where(part(3) != "").select(part(1).alias("subset"), part(3).cast("int").alias("img_index"), part(2).alias("kind"), instance.alias("instance_index"), "path", "content")
+
+
+def join_frame_images(frames: DataFrame, annotations: DataFrame, images: DataFrame) -> DataFrame:
+    """images of each frame (rgb, depth) and of each instance (mask, mask_visib) of frames; a missing one is an error."""
+    from ..operators.joins import require_match
+
+    kinds = lambda *names: F.explode(F.array(*map(F.lit, names))).alias("kind")
+    ids = frames.select("subset", "img_index").distinct()
+    own = ids.select("subset", "img_index", kinds("rgb", "depth"), F.lit(-1).alias("instance_index"))
+    masks = annotations.join(ids, ["subset", "img_index"], "left_semi").select("subset", "img_index", kinds("mask", "mask_visib"), "instance_index")
+    return require_match(own.unionByName(masks), images, ["subset", "img_index", "kind", "instance_index"])
+
+
+_BOX = "array<int>"
+_LABELS = f"array<struct<bbox_visib: {_BOX}, bbox_obj: {_BOX}, px_count_visib: long, px_count_valid: long, px_count_all: long, visib_fract: double>>"
+_PIXELS = f"subset string, img_index int, height int, width int, rgb binary, depth binary, mask binary, labels {_LABELS}"
+
+
+def _frame_pixels(group):
+    """One frame's images: rgb, depth in float32 metres, instances as int32 (0 is background), and the labels of its masks in order."""
+    import numpy as np
+    import pandas as pd
+
+    from .images import decode_png
+
+    def box(m):
+        y, x = np.nonzero(m)
+        return [int(x.min()), int(y.min()), int(x.max()), int(y.max())] if len(x) else [0] * 4
+
+    at = {(k, i): decode_png(bytes(c)) for k, i, c in zip(group["kind"], group["instance_index"], group["content"])}
+    rgb, scale = at["rgb", -1].astype(np.uint8), float(group["depth_scale"].iloc[0])
+    depth = (at["depth", -1][..., 0].astype(np.float64) * scale / 1000).astype(np.float32)
+    mask, labels = np.zeros(depth.shape, np.int32), []
+    for i in sorted(i for k, i in at if k == "mask"):
+        whole, visible = at["mask", i][..., 0] > 0, at["mask_visib", i][..., 0] > 0
+        mask[visible] = i + 1
+        n, seen = int(whole.sum()), int(visible.sum())
+        labels.append({"bbox_visib": box(visible), "bbox_obj": box(whole), "px_count_visib": seen, "px_count_valid": int((visible & (depth > 0)).sum()), "px_count_all": n, "visib_fract": seen / n if n else 0.0})
+    row = (group["subset"].iloc[0], group["img_index"].iloc[0], *depth.shape, rgb.tobytes(), depth.tobytes(), mask.tobytes(), labels)
+    return pd.DataFrame([row], columns=["subset", "img_index", "height", "width", "rgb", "depth", "mask", "labels"])
+
+
+def converted_frames(spark: SparkSession, root: str, classes: DataFrame) -> DataFrame:
+    """A row for each frame of all scenes: subset, frame_index (from 0 in each subset), pixels, cam_matrix and labelled objs."""
+    from ..functions.geometry import matrix_to_quat
+    from ..operators.joins import require_match
+
+    key = ["subset", "img_index"]
+    frames = require_match(frame_listing(spark, root), scene_cameras(spark, root), key)
+    poses = scene_annotations(spark, root).join(frames.select(*key), key, "left_semi")
+    found = require_match(poses, classes.select("class_id", "class_name"), ["class_id"])
+    pixels = join_frame_images(frames, found, image_files(spark, root)).join(frames.select(*key, "depth_scale"), key)
+    pixels = pixels.groupBy(*key).applyInPandas(_frame_pixels, _PIXELS)
+    quat = F.array(*matrix_to_quat(tuple(F.col("rotation")[i] for i in range(9))))
+    objs = found.withColumn("quat", quat).groupBy(*key).agg(F.array_sort(F.collect_list(F.struct("instance_index", "class_name", "obj_id", "position", "quat"))).alias("o"))
+    whole = frames.join(pixels, key).join(objs, key, "left").withColumn("o", F.coalesce("o", F.array().cast(objs.schema["o"].dataType)))
+
+    def labelled(o, i):
+        own = F.col("labels")[i]
+        return F.struct(o["class_name"].alias("class"), o["obj_id"].alias("object id"), o["position"].alias("pos"), o["quat"].alias("rotation"), *(own[n].alias(n) for n in ("bbox_visib", "bbox_obj", "px_count_visib", "px_count_valid", "px_count_all", "visib_fract")))
+
+    order = F.row_number().over(Window.partitionBy("subset").orderBy("img_index")) - 1
+    numbers = frames.select(*key, order.alias("frame_index"))  # over names only
+    return whole.join(numbers, key).select("subset", "frame_index", "img_index", "height", "width", "rgb", "depth", "mask", "cam_matrix", F.transform("o", labelled).alias("objs"))
+
+
+def convert_dataset(spark: SparkSession, root: str, name: str, classes: DataFrame, out: str) -> None:
+    """Write the frames of a scene dataset below root, a folder for each subset."""
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    frames = converted_frames(spark, f"{root}/{IMAGE_FOLDERS[name]}", classes)
+    frames.repartitionByRange(n, "subset", "frame_index").sortWithinPartitions("subset", "frame_index").write.mode("overwrite").partitionBy("subset").parquet(out)
+
+
 def pose_json(spark: SparkSession, root: str) -> DataFrame:
     """frame_index and the fields of gt/gt_<index>.json."""
     raw = spark.read.schema(POSE).option("multiLine", "true").option("recursiveFileLookup", "true").option("pathGlobFilter", "gt_*.json").json(root)

@@ -48,6 +48,38 @@ def test_scene(spark, scene):
         files.convert_scenes(spark, scene, unknown).collect()
 
 
+def test_convert_dataset(spark, tmp_path):
+    d = tmp_path / "data/test/000002"
+    for k in ("rgb", "depth", "mask", "mask_visib"):
+        (d / k).mkdir(parents=True)
+    depth, whole, seen = np.full((4, 6), 2000, np.uint16), np.zeros((4, 6), np.uint8), np.zeros((4, 6), np.uint8)
+    depth[1, 2] = 0
+    whole[1:3, 1:5], seen[1, 2:4] = 255, 255
+    for i in (3, 8):  # become frames 0 and 1
+        (d / f"rgb/{i:06}.png").write_bytes(png(np.full((4, 6, 3), i, np.uint8)))
+        (d / f"depth/{i:06}.png").write_bytes(png(depth))
+    for k, m in (("mask", whole), ("mask_visib", seen)):
+        (d / f"{k}/000008_000000.png").write_bytes(png(m))
+        (d / f"{k}/000008_000001.png").write_bytes(png(np.zeros((4, 6), np.uint8)))
+    (d / "scene_camera.json").write_text(json.dumps({str(i): {"cam_K": [500, 0, 3, 0, 500, 2, 0, 0, 1], "depth_scale": 0.1} for i in (3, 8)}))
+    gt = {"cam_R_m2c": [1, 0, 0, 0, 1, 0, 0, 0, 1], "cam_t_m2c": [10, 20, 1000], "obj_id": 5}
+    (d / "scene_gt.json").write_text(json.dumps({"3": [], "8": [gt, gt]}))
+    classes = spark.createDataFrame([(5, "can")], "class_id int, class_name string")
+    files.convert_dataset(spark, f"{tmp_path}/data", "lm", classes, f"{tmp_path}/out")
+    a, b = spark.read.parquet(f"{tmp_path}/out").orderBy("frame_index").collect()
+    assert (a.frame_index, a.img_index, a.objs, b.frame_index, b.img_index) == (0, 3, [], 1, 8)
+    assert b.rgb == bytes([8]) * 72 and (tmp_path / "out/subset=000002").is_dir()
+    assert np.allclose(np.frombuffer(b.depth, np.float32).reshape(4, 6), depth * 0.0001)
+    assert (np.frombuffer(b.mask, np.int32).reshape(4, 6) == (seen > 0)).all()
+    x, y = b.objs
+    assert (x["class"], x["object id"], x.pos, x.rotation) == ("can", 1, [0.01, 0.02, 1.0], [0, 0, 0, 1])
+    assert (x.bbox_visib, x.bbox_obj, x.px_count_visib, x.px_count_valid, x.px_count_all, x.visib_fract) == ([2, 1, 3, 1], [1, 1, 4, 2], 2, 1, 8, 0.25)
+    assert (y["object id"], y.bbox_obj, y.px_count_all, y.visib_fract) == (2, [0, 0, 0, 0], 0, 0.0)
+    (d / "mask_visib/000008_000001.png").unlink()
+    with pytest.raises(Exception, match="no partner"):
+        files.convert_dataset(spark, f"{tmp_path}/data", "lm", classes, f"{tmp_path}/out2")
+
+
 def test_images(spark, scene):
     table = images.image_table(spark, scene)
     depth = table.where("dtype = 'uint16'")
