@@ -3,7 +3,7 @@
 A line is normalised (trimmed, white space collapsed, A-Z lowered) and ended by SHINGLE - 1 blank marks, so that a
 line of n characters has n shingles of SHINGLE characters. Each distinct line gets one-permutation MinHash
 minima, empty bins filled from full ones (optimal densification; Shrivastava, 2017), cut into BANDS bands of ROWS (recall 0.995 at a Jaccard
-similarity of 0.8, 0.99998 at 0.9). Equal lines count once. Lines that buckets connect form a group, whose
+similarity of 0.8, above 0.9999999 at 0.9; short shingles make unrelated lines more alike, so a band has eight rows). Equal lines count once. Lines that buckets connect form a group, whose
 texts are shipped once; all pairs of a group are verified, by rows of bits over the shingles that the group has. A
 group of more than TILE lines or TILE_CHARS characters is dealt out as pairs of tiles, and a task gives a spanning
 forest of its links. Links need an exact Jaccard similarity of THRESHOLD over the shingle sets. Components of the
@@ -26,8 +26,8 @@ from .bits import bit_table, holds
 from .common import shared, slices, table, texts_of
 from .components import connected_components, spanning_stars
 
-SHINGLE = 8
-BANDS, ROWS = 10, 4
+SHINGLE = 4  # a power of two; longer ones make one replaced word fatal for lines of 10 to 19 words
+BANDS, ROWS = 29, 8
 THRESHOLD = 0.8
 _BINS = BANDS * ROWS
 TILE, TILE_CHARS = 256, 4_000_000
@@ -66,12 +66,14 @@ def band_keys(lines: list[bytes]) -> np.ndarray:
     np.minimum.at(least, bins, h * np.uint32(0xC2B2AE35) >> np.uint32(1))
     least = least.reshape(-1, _BINS).astype(np.uint64)
     full = least != 0xFFFFFFFF
+    i, bin_ = np.nonzero(~full)
     for hop in range(1, 4 * _BINS):  # an empty bin takes that of a full one, each looking in an order of its own
-        i, bin_ = np.nonzero(least == 0xFFFFFFFF)
         if not len(i):
             break
         donor = (bin_ * 7919 + hop * hop * 104729 + hop * bin_ * 1299709) % 1000003 % _BINS
-        least[i, bin_] = np.where(full[i, donor], least[i, donor] + np.uint64(hop << 33), np.uint64(0xFFFFFFFF))
+        met = full[i, donor]
+        least[i[met], bin_[met]] = least[i[met], donor[met]] + np.uint64(hop << 33)
+        i, bin_ = i[~met], bin_[~met]
     keys = np.zeros((len(lines), BANDS), np.uint64)
     for r in range(ROWS):
         keys = (keys ^ least[:, r * BANDS : (r + 1) * BANDS]) * np.uint64(0x9E3779B97F4A7C15)
@@ -192,11 +194,11 @@ def _texts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
 
 
 def _packed(line: str) -> np.ndarray | list[str]:
-    """The distinct shingles of a line: eight Latin-1 characters are one number, others stay strings."""
+    """The distinct shingles of a line: those of Latin-1 characters are numbers, others stay strings."""
     s = line + "\0" * (SHINGLE - 1)
-    if SHINGLE == 8 and (line.isascii() or max(line) < "\u0100"):
+    if line.isascii() or max(line) < "\u0100":
         raw = np.frombuffer(s.encode("latin-1"), np.uint8)
-        return np.unique(np.lib.stride_tricks.sliding_window_view(raw, 8).copy().view(np.uint64))
+        return np.unique(np.lib.stride_tricks.sliding_window_view(raw, SHINGLE).copy().view(f"<u{SHINGLE}"))
     return list({s[i : i + SHINGLE] for i in range(len(line))})
 
 
@@ -209,7 +211,7 @@ def similar_pairs(lines: list[str], threshold: float = THRESHOLD) -> list[tuple[
         every = np.unique(np.concatenate(sets), return_inverse=True)[1]
     else:
         number: dict = {}
-        every = np.array([number.setdefault(int.to_bytes(int(g), 8, "little").decode("latin-1") if not isinstance(g, str) else g, len(number)) for x in sets for g in x])
+        every = np.array([number.setdefault(int.to_bytes(int(g), SHINGLE, "little").decode("latin-1") if not isinstance(g, str) else g, len(number)) for x in sets for g in x])
     sizes = np.array([len(x) for x in sets])
     rows = np.repeat(np.arange(len(sets)), sizes)
     both = np.zeros((len(sets), len(sets)), np.int64)

@@ -129,6 +129,15 @@ def test_line_dedup(documents, texts):
     assert all(after[d] == "\n".join(x for n, x in enumerate(t.split("\n")) if (d, n) not in want) for d, t in texts.items())
 
 
+def test_one_word_of_a_short_line(spark):
+    a = "please read the terms of service before you continue to use our site and thank you for visiting"
+    lines = [a, a.replace("thank", "bless"), a.replace("service", "payment"), "é " + a.replace("visiting", "visits"), "something else of about the same length that none of the other lines has in common at all"]
+    for x in lines[1:4]:
+        assert linedup.similar_pairs([a, x, lines[4]]) == [(0, 1)], x
+    docs = spark.createDataFrame(list(enumerate(lines)), "doc_id long, text string")
+    assert {r.doc_id: r.n_dropped for r in linedup.line_report(docs).collect()} == {0: 0, 1: 1, 2: 1, 3: 1, 4: 0}
+
+
 def test_license(documents, texts):
     got = {(r.doc_id, r.para): r.family for r in license.scan_licenses(documents, license.fit(documents)).collect()}
     want = {(d, n) for d, t in texts.items() for n, x in enumerate(t.split("\n")) if re.search("(?i)license|CC BY", x)}
