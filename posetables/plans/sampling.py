@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions import geometry as g
-from ..llm.common import shared
+from ..storage import shared
 from ..operators.joins import uniform, uniform_sql
 from ..queries import query, r6
 
