@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-import tempfile
 from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
+from ..storage import shared, shared_folder  # noqa: F401
+
 #: Texts are handled in slices of about so many characters, whatever the size of an Arrow batch.
 SLICE_CHARS = 1_000_000
 DOCUMENT_COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
@@ -22,23 +23,6 @@ def texts_of(docs: DataFrame) -> DataFrame:
     return docs.select(docs["doc_id"].cast("long").alias("doc_id"), F.coalesce(docs["text"].cast("string"), F.lit("")).alias("text"))
 
 
-def shared_folder(spark: SparkSession) -> str:
-    """The folder that all executors share: the one that the cluster names in spark.checkpoint.dir.
-
-    Only where nothing is set (local runs) a new one is made.
-    """
-    context = spark.sparkContext
-    if not context._jsc.sc().getCheckpointDir().isDefined():
-        context.setCheckpointDir(context.getConf().get("spark.checkpoint.dir") or tempfile.mkdtemp(prefix="spark-"))
-    return context._jsc.sc().getCheckpointDir().get()
-
-
-def shared(df: DataFrame) -> DataFrame:
-    """df, written to the shared folder, so that it outlives executors and is computed once."""
-    shared_folder(df.sparkSession)
-    return df.checkpoint(eager=True)
-
-
 def slices(batch: pa.RecordBatch, column: str = "text", limit: int = SLICE_CHARS) -> Iterator[tuple[int, int, list[str]]]:
     """(start, end, texts) runs of rows of about limit characters; one long text is a run of its own."""
     texts, start, size = [], 0, 0
