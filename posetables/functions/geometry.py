@@ -87,6 +87,11 @@ def object_in_camera(position: Vector, camera: Vector, camera_rotation: Vector)
     return transposed_times(quat_to_matrix(camera_rotation), subtract(position, camera))
 
 
+def object_rotation_in_camera(rotation: Vector, camera_rotation: Vector) -> Vector:
+    """The quaternion of a world rotation in the camera's frame: the camera's inverse after it."""
+    return quat_multiply(quat_conjugate(camera_rotation), rotation)
+
+
 def project(p: Vector, fx: Column, fy: Column, cx: Column, cy: Column) -> Vector:
     """Image point of a position in the camera's frame; null behind the camera."""
     return (F.when(p[2] > 0, fx * p[0] / p[2] + cx), F.when(p[2] > 0, fy * p[1] / p[2] + cy))
@@ -97,14 +102,14 @@ def longest_side(x1: Column, y1: Column, x2: Column, y2: Column, w: Column, h: C
 
 
 def intrinsics_from_lens(f_mm: Column, sensor_mm: Column, shift_x: Column, shift_y: Column, w: Column, h: Column) -> Vector:
-    """(fx, fy, cx, cy); a positive shift moves the principal point as lens_from_intrinsics reads it, so the two undo each other."""
+    """(fx, fy, cx, cy). Signs of the shifts are those of lens_from_intrinsics, so that the two undo each other."""
     fx = f_mm / sensor_mm * w
-    return fx, fx, w / 2 - shift_x * w, h / 2 + shift_y * w
+    return fx, fx, w * (0.5 + shift_x), h * (0.5 - shift_y)
 
 
 def lens_from_intrinsics(fx: Column, cx: Column, cy: Column, sensor_mm: Column, w: Column, h: Column) -> Vector:
-    """(f_mm, shift_x, shift_y)."""
-    return fx * sensor_mm / w, (w / 2 - cx) / w, (cy - h / 2) / w
+    """(f_mm, shift_x, shift_y); the sensor's width is fixed, and y points downwards in the image."""
+    return fx * sensor_mm / w, cx / w - 0.5, 0.5 - cy / h
 
 
 def field_of_view(fx: Column, w: Column, h: Column) -> Vector:

@@ -13,8 +13,8 @@ M = "1 - 2*(qy*qy + qz*qz) AS m0, 2*(qx*qy - qz*qw) AS m1, 2*(qx*qz + qy*qw) AS
 MATRICES = f"mm AS (SELECT vec_id, {M}, vx, vy, vz FROM fx_quats)"
 #: Sign of a rotation matrix's quaternion follows its largest component; it is that of q with the largest one positive.
 UNSIGNED = "uq AS (SELECT vec_id, qx*s AS qx, qy*s AS qy, qz*s AS qz, qw*s AS qw FROM (SELECT *, CASE WHEN (CASE greatest(abs(qx), abs(qy), abs(qz), abs(qw)) WHEN abs(qw) THEN qw WHEN abs(qx) THEN qx WHEN abs(qy) THEN qy ELSE qz END) < 0 THEN -1.0e0 ELSE 1.0e0 END AS s FROM fx_quats) t)"
-IN_CAMERA = """rel AS (SELECT f.frame_id, a.instance_index, f.fx, f.fy, f.cx, f.cy, pos_x - cam_x AS dx, pos_y - cam_y AS dy, pos_z - cam_z AS dz, cam_qx AS qx, cam_qy AS qy, cam_qz AS qz, cam_qw AS qw FROM fx_frames f JOIN fx_annotations a ON a.frame_id = f.frame_id),
- cam AS (SELECT frame_id, instance_index, fx, fy, cx, cy, m0*dx + m3*dy + m6*dz AS tx, m1*dx + m4*dy + m7*dz AS ty, m2*dx + m5*dy + m8*dz AS tz FROM (SELECT *, """ + M + " FROM rel) r)"
+IN_CAMERA = """rel AS (SELECT f.frame_id, a.instance_index, f.fx, f.fy, f.cx, f.cy, pos_x - cam_x AS dx, pos_y - cam_y AS dy, pos_z - cam_z AS dz, cam_qx AS qx, cam_qy AS qy, cam_qz AS qz, cam_qw AS qw, sin(0.39269908169872414e0 * (class_id % 8)) AS sz, cos(0.39269908169872414e0 * (class_id % 8)) AS sw FROM fx_frames f JOIN fx_annotations a ON a.frame_id = f.frame_id),
+ cam AS (SELECT frame_id, instance_index, fx, fy, cx, cy, 1 - 2*sz*sz AS w0, -2*sz*sw AS w1, m0, m1, m2, m3, m4, m5, m6, m7, m8, sz, sw, qx, qy, qz, qw, m0*dx + m3*dy + m6*dz AS tx, m1*dx + m4*dy + m7*dz AS ty, m2*dx + m5*dy + m8*dz AS tz FROM (SELECT *, """ + M + " FROM rel) r)"
 
 
 def _rounded(**columns) -> list:
@@ -59,25 +59,41 @@ def geo_quat_rotate(quats):
 
 
 def in_camera(frames, annotations):
-    both = frames.join(annotations, "frame_id")
+    """Each object's position t and rotation o in its camera's frame; objects are turned about z by eighths, by their class."""
+    half = F.lit(0.39269908169872414) * (F.col("class_id") % 8)
+    both = frames.join(annotations, "frame_id").withColumns({"sz": F.sin(half), "sw": F.cos(half)})
     t = g.object_in_camera(cols("pos_x", "pos_y", "pos_z"), cols("cam_x", "cam_y", "cam_z"), cols("cam_qx", "cam_qy", "cam_qz", "cam_qw"))
-    return both.select("frame_id", "instance_index", "fx", "fy", "cx", "cy", *[c.alias(n) for n, c in zip(("tx", "ty", "tz"), t)])
+    o = g.object_rotation_in_camera((F.lit(0.0), F.lit(0.0), F.col("sz"), F.col("sw")), cols("cam_qx", "cam_qy", "cam_qz", "cam_qw"))
+    return both.select("frame_id", "instance_index", "fx", "fy", "cx", "cy", *[c.alias(n) for n, c in zip(("tx", "ty", "tz", "ox", "oy", "oz", "ow"), (*t, *o))])
 
 
-@query("geo_object_in_camera", f"WITH {IN_CAMERA} SELECT frame_id, instance_index, {_round_sql(tx='tx', ty='ty', tz='tz')} FROM cam", "fx_frames", "fx_annotations")
+@query("geo_object_in_camera", f"WITH {IN_CAMERA} SELECT frame_id, instance_index, {_round_sql(tx='tx', ty='ty', tz='tz', ox='-qx*sw - qy*sz', oy='-qy*sw + qx*sz', oz='qw*sz - qz*sw', ow='qw*sw + qz*sz')} FROM cam", "fx_frames", "fx_annotations")
 def geo_object_in_camera(frames, annotations):
-    return in_camera(frames, annotations).select("frame_id", "instance_index", *_rounded(**{n: F.col(n) for n in ("tx", "ty", "tz")}))
+    """Position and rotation of each object in its camera's frame."""
+    return in_camera(frames, annotations).select("frame_id", "instance_index", *_rounded(**{n: F.col(n) for n in ("tx", "ty", "tz", "ox", "oy", "oz", "ow")}))
 
 
-@query("geo_project", f"WITH {IN_CAMERA} SELECT frame_id, instance_index, CASE WHEN tz > 0.001e0 THEN round(fx*tx/tz + cx, 3) + 0.0 END AS u, CASE WHEN tz > 0.001e0 THEN round(fy*ty/tz + cy, 3) + 0.0 END AS v, CASE WHEN tz > 0.001e0 THEN round(fx*(tx + 0.05e0)/tz + cx, 3) + 0.0 END AS tip_u FROM cam", "fx_frames", "fx_annotations")
+#: Length of the drawn axes, in metres. Fixed value.
+AXIS = 0.05
+_TIPS = {f"{n}{k}": (f"tx + {AXIS}e0 * ({x})", f"ty + {AXIS}e0 * ({y})", f"tz + {AXIS}e0 * ({z})") for k, (x, y, z) in {
+    "x": ("m0*w0 - m3*w1", "m1*w0 - m4*w1", "m2*w0 - m5*w1"), "y": ("m0*w1 + m3*w0", "m1*w1 + m4*w0", "m2*w1 + m5*w0"), "z": ("m6", "m7", "m8"),
+}.items() for n in ("tip_",)}
+
+
+def _tips_sql() -> str:
+    return ", ".join(f"CASE WHEN {z} > 0.001e0 THEN round(fx*({x})/({z}) + cx, 3) + 0.0 END AS {n}_u, CASE WHEN {z} > 0.001e0 THEN round(fy*({y})/({z}) + cy, 3) + 0.0 END AS {n}_v" for n, (x, y, z) in _TIPS.items())
+
+
+@query("geo_project", f"WITH {IN_CAMERA} SELECT frame_id, instance_index, CASE WHEN tz > 0.001e0 THEN round(fx*tx/tz + cx, 3) + 0.0 END AS u, CASE WHEN tz > 0.001e0 THEN round(fy*ty/tz + cy, 3) + 0.0 END AS v, {_tips_sql()} FROM cam", "fx_frames", "fx_annotations")
 def geo_project(frames, annotations):
-    """Image points of an object's centre and of the tip of a 5 cm axis, to a thousandth of a pixel; null within 1 mm of the image plane."""
-    c = in_camera(frames, annotations)
-    lens = cols("fx", "fy", "cx", "cy")
-    u, v = g.project(cols("tx", "ty", "tz"), *lens)
-    tip, _ = g.project((F.col("tx") + 0.05, F.col("ty"), F.col("tz")), *lens)
-    keep = lambda x: F.when(F.col("tz") > 0.001, F.round(x, 3) + 0.0)
-    return c.select("frame_id", "instance_index", keep(u).alias("u"), keep(v).alias("v"), keep(tip).alias("tip_u"))
+    """Image points of an object's centre and of the tips of its axes, to a thousandth of a pixel; null within 1 mm of the image plane."""
+    m = g.quat_to_matrix(cols("ox", "oy", "oz", "ow"))
+    points = {"": cols("tx", "ty", "tz")} | {f"tip_{k}_": tuple(F.col(t) + AXIS * m[3 * r + c] for r, t in enumerate(("tx", "ty", "tz"))) for c, k in enumerate("xyz")}
+    out = []
+    for name, p in points.items():
+        for axis, image in zip("uv", g.project(p, *cols("fx", "fy", "cx", "cy"))):
+            out.append(F.when(p[2] > 0.001, F.round(image, 3) + 0.0).alias(f"{name}{axis}"))
+    return in_camera(frames, annotations).select("frame_id", "instance_index", *out)
 
 
 @query("geo_dist_to_camera", f"WITH {IN_CAMERA} SELECT frame_id, instance_index, round(sqrt(dx*dx + dy*dy + dz*dz), 6) AS dist FROM rel", "fx_frames", "fx_annotations")
@@ -91,16 +107,18 @@ def geo_longest_side(frames, annotations):
     return frames.join(annotations, "frame_id").select("frame_id", "instance_index", r6(g.longest_side(*cols("x1", "y1", "x2", "y2", "img_w", "img_h")), 9).alias("side"))
 
 
-@query("geo_intrinsics_from_lens", "SELECT frame_id, " + _round_sql(kfx="fx", kcx="cx", kcy="cy") + " FROM fx_frames", "fx_frames")
+_LENS = "36.0e0 AS sensor, fx * 36.0e0 / img_w AS f, cam_x / 10 AS sx, cam_y / 10 AS sy"
+
+
+@query("geo_intrinsics_from_lens", f"SELECT frame_id, {_round_sql(kfx='f * (img_w / sensor)', kfy='f * (img_h / (sensor / img_w * img_h))', kcx='img_w * 0.5e0 + img_w * sx', kcy='img_h * 0.5e0 - img_h * sy')} FROM (SELECT *, {_LENS} FROM fx_frames) f", "fx_frames")
 def geo_intrinsics_from_lens(frames):
-    """Lens values of each camera, and the intrinsics that they give back."""
-    w, h, sensor = F.col("img_w"), F.col("img_h"), F.lit(36.0)
-    lens = frames.select("frame_id", "img_w", "img_h", *[c.alias(n) for n, c in zip(("f", "sx", "sy"), g.lens_from_intrinsics(*cols("fx", "cx", "cy"), sensor, w, h))])
-    fx, _, cx, cy = g.intrinsics_from_lens(*cols("f"), sensor, *cols("sx", "sy"), w, h)
-    return lens.select("frame_id", *_rounded(kfx=fx, kcx=cx, kcy=cy))
+    """Intrinsics of a lens for each camera, whose shifts come from its place."""
+    lens = frames.withColumns({"f": F.col("fx") * 36.0 / F.col("img_w"), "sx": F.col("cam_x") / 10, "sy": F.col("cam_y") / 10})
+    fx, fy, cx, cy = g.intrinsics_from_lens(F.col("f"), F.lit(36.0), *cols("sx", "sy", "img_w", "img_h"))
+    return lens.select("frame_id", *_rounded(kfx=fx, kfy=fy, kcx=cx, kcy=cy))
 
 
-@query("geo_lens_from_intrinsics", "SELECT frame_id, " + _round_sql(f_mm="fx * 36.0e0 / img_w", shift_x="(img_w / 2.0e0 - cx) / img_w", shift_y="(cy - img_h / 2.0e0) / img_w") + " FROM fx_frames", "fx_frames")
+@query("geo_lens_from_intrinsics", "SELECT frame_id, " + _round_sql(f_mm="fx / (img_w / 36.0e0)", shift_x="cx / img_w - 0.5e0", shift_y="0.5e0 - cy / img_h") + " FROM fx_frames", "fx_frames")
 def geo_lens_from_intrinsics(frames):
     f, sx, sy = g.lens_from_intrinsics(*cols("fx", "cx", "cy"), F.lit(36.0), *cols("img_w", "img_h"))
     return frames.select("frame_id", *_rounded(f_mm=f, shift_x=sx, shift_y=sy))

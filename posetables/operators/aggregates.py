@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 import math
+import uuid
 
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.geometry import cols, longest_side, norm, subtract
 from ..queries import query, r6
+from ..storage import shared, shared_folder
 from .filters import VISIBLE, visible
 from .projections import MASK, instance_mask
 
@@ -146,13 +148,14 @@ def shard_partials(observed: DataFrame) -> DataFrame:
 
 
 def merge_partials(partials: DataFrame) -> DataFrame:
-    """Dataset statistics of shard partials; standard deviations are those of the population."""
+    """Dataset statistics of shard partials; standard deviations are those of the population, and a mean of nothing is null."""
     s = partials.agg(*[F.sum(c).alias(c) for c in PARTIAL])
     n = F.col("n_objects")
-    std = lambda k: F.sqrt(F.greatest(F.col(f"sum_{k}2") / n - (F.col(f"sum_{k}") / n) ** 2, F.lit(0.0)))
+    mean = lambda total, count: F.try_divide(F.col(total), count)
+    std = lambda k: F.when(n > 0, F.sqrt(F.greatest(mean(f"sum_{k}2", n) - mean(f"sum_{k}", n) ** 2, F.lit(0.0))))
     return s.select(
-        r6(F.col("sum_dist") / n).alias("mean_dist"), r6(std("dist")).alias("std_dist"), r6(F.col("sum_side") / n).alias("mean_side"), r6(std("side")).alias("std_side"),
-        r6(F.col("n_classes") / F.col("n_images")).alias("mean_cls"), r6(n / F.col("n_images")).alias("mean_obj"), F.col("n_images").alias("total_images"), n.alias("total_objects"),
+        r6(mean("sum_dist", n)).alias("mean_dist"), r6(std("dist")).alias("std_dist"), r6(mean("sum_side", n)).alias("mean_side"), r6(std("side")).alias("std_side"),
+        r6(mean("n_classes", F.col("n_images"))).alias("mean_cls"), r6(mean("n_objects", F.col("n_images"))).alias("mean_obj"), F.col("n_images").alias("total_images"), n.alias("total_objects"),
     )
 
 
@@ -163,10 +166,8 @@ STATS = f"""WITH {OBSERVED}, pf AS (SELECT frame_id, sum(v) AS n_obj, count(DIST
 
 @query("agg_dataset_stats", STATS, "fx_frames", "fx_annotations")
 def agg_dataset_stats(frames, annotations):
-    observed = observations(frames, annotations)
-    seen = observed.where("seen").agg(r6(F.avg("dist")).alias("mean_dist"), r6(F.stddev_pop("dist")).alias("std_dist"), r6(F.avg("side")).alias("mean_side"), r6(F.stddev_pop("side")).alias("std_side"))
-    counts = per_frame(observed).agg(r6(F.avg("n_classes")).alias("mean_cls"), r6(F.avg("n_objects")).alias("mean_obj"), F.count("*").alias("total_images"), F.sum("n_objects").alias("total_objects"))
-    return seen.join(counts)  # one row each
+    """One pass: partials of the shards, merged."""
+    return merge_partials(shard_partials(observations(frames, annotations)))
 
 
 @query("agg_shard_partial", f"WITH {OBSERVED}, pf AS (SELECT shard_id, frame_id, sum(v) AS n_obj, count(DISTINCT CASE WHEN v = 1 THEN cls END) AS n_cls, coalesce(sum(CASE WHEN v = 1 THEN dist END), 0) AS d, coalesce(sum(CASE WHEN v = 1 THEN side END), 0) AS s FROM obs GROUP BY ALL) SELECT shard_id, count(*) AS n_images, CAST(sum(n_obj) AS BIGINT) AS n_objects, CAST(sum(n_cls) AS BIGINT) AS n_classes, round(sum(d), 6) + 0.0 AS sum_dist, round(sum(s), 9) + 0.0 AS sum_side FROM pf GROUP BY shard_id", "fx_frames", "fx_annotations")
@@ -174,13 +175,27 @@ def agg_shard_partial(frames, annotations):
     return shard_partials(observations(frames, annotations)).select("shard_id", "n_images", "n_objects", "n_classes", r6(F.col("sum_dist")).alias("sum_dist"), r6(F.col("sum_side"), 9).alias("sum_side"))
 
 
+def incremental(observed: DataFrame, cache: str, fraction: float = 1.0) -> DataFrame:
+    """Dataset statistics from the partials kept below cache, after adding those of the shards that it lacks for this fraction."""
+    spark = observed.sparkSession
+    spark.createDataFrame([], partials_schema(observed)).write.mode("ignore").parquet(cache)
+    kept = spark.read.parquet(cache)
+    done = kept.where(F.col("fraction") == fraction).select("shard_id")
+    new = shard_partials(observed.join(done, "shard_id", "left_anti")).withColumn("fraction", F.lit(fraction))
+    new.select(kept.columns).write.mode("append").parquet(cache)
+    return merge_partials(spark.read.parquet(cache).where(F.col("fraction") == fraction))
+
+
+def partials_schema(observed: DataFrame):
+    return shard_partials(observed.limit(0)).withColumn("fraction", F.lit(1.0)).schema
+
+
 @query("agg_incremental", STATS, "fx_frames", "fx_annotations")
 def agg_incremental(frames, annotations):
-    """Partials of the shards at hand, of those that came later, and the merge of both."""
-    observed = observations(frames, annotations)
-    cached = shard_partials(observed.where("shard_id < 8"))
-    pending = observed.join(cached.select("shard_id"), "shard_id", "left_anti")
-    return merge_partials(cached.unionByName(shard_partials(pending)))
+    """Partials of a part of the shards are written; a later run reads them, adds those of the others, and merges all."""
+    observed, cache = observations(frames, annotations), f"{shared_folder(frames.sparkSession)}/partials-{uuid.uuid4().hex}"
+    incremental(observed.where("shard_id % 3 <> 0"), cache)
+    return incremental(observed, cache)
 
 
 def fixed_histogram(values: DataFrame, column: str, low: float, high: float, bins: int) -> DataFrame:
@@ -193,7 +208,6 @@ def fixed_histogram(values: DataFrame, column: str, low: float, high: float, bin
 
 
 def _fixed_sql(column: str, high: float, bins: int) -> str:
-    bucket = f"CAST(least(floor({column} / ({high}e0 / {bins}.0e0)) + 1, {bins}) AS INT)"
     bucket = f"CAST(least(floor({bins} * (({column} - 0.0e0) / ({high}e0 - 0.0e0))) + 1, {bins}) AS INT)"
     return f"SELECT b.bin, coalesce(n, 0) AS n FROM (SELECT CAST(unnest(range(1, {bins + 1})) AS INT) AS bin) b LEFT JOIN (SELECT {bucket} AS bin, count(*) AS n FROM obs WHERE v = 1 AND {column} BETWEEN 0 AND {high} GROUP BY 1) c ON b.bin = c.bin"
 
@@ -205,36 +219,96 @@ def agg_hist_fixed(frames, annotations):
     return one("dist", 1.5).union(one("side", 1.0))
 
 
-def auto_histogram(values: DataFrame, column: str) -> DataFrame:
-    """bin (from 1), n with NumPy's "auto" width: the smaller of Freedman-Diaconis (not below half the square-root rule) and Sturges."""
-    v = F.col(column)
-    s = values.agg(F.count(v).alias("c"), F.min(v).alias("lo"), F.max(v).alias("hi"), F.percentile(v, F.array(F.lit(0.25), F.lit(0.75))).alias("q"))
-    span = F.col("hi") - F.col("lo")
-    iqr = F.col("q")[1] - F.col("q")[0]
-    width = F.least(F.greatest(2 * iqr * F.pow(F.col("c"), F.lit(-1 / 3)), span / F.sqrt("c") / 2), span / (F.log2(F.col("c")) + 1))
-    plan = s.select("lo", "hi", F.when(width > 0, F.ceil(span / width)).otherwise(1).cast("int").alias("bins"))
-    placed = values.where(v.isNotNull()).join(F.broadcast(plan))  # one row
-    bucket = F.least(F.floor((v - F.col("lo")) / F.when(F.col("hi") > F.col("lo"), F.col("hi") - F.col("lo")).otherwise(1) * F.col("bins")) + 1, F.col("bins")).cast("int")
-    counts = placed.groupBy(bucket.alias("bin")).agg(F.count("*").alias("n"))
-    every = plan.where("lo IS NOT NULL").select(F.explode(F.sequence(F.lit(1), F.col("bins"))).alias("bin"))
+#: Buckets into which a range of values is cut to find a rank, and how many rows of one bucket are then sorted.
+REFINE, SORTED = 4096, 100_000
+
+
+def value_at(values: DataFrame, column: str, rank: int) -> float:
+    """The value of this rank (from 0) in ascending order, exactly, without sorting all values.
+
+    Values are counted in equal buckets of their range; the bucket that holds the rank is cut up anew until it holds one
+    distinct value or few enough rows to sort. The driver gets a row of each bucket that isn't empty.
+    """
+    v, part = F.col(column), values.where(F.col(column).isNotNull()).select(F.col(column).cast("double").alias(column))
+    low, high = part.agg(F.min(v), F.max(v)).first()
+    while low < high:
+        bucket = F.least(F.floor((v - low) / (high - low) * REFINE), F.lit(REFINE - 1))
+        counts = part.groupBy(bucket.alias("b")).agg(F.count("*").alias("n"), F.min(v).alias("low"), F.max(v).alias("high")).orderBy("b").collect()
+        for r in counts:
+            if rank < r["n"]:
+                break
+            rank -= r["n"]
+        part, low, high = part.where(v.between(r["low"], r["high"])), r["low"], r["high"]
+        if low < high and r["n"] <= SORTED:
+            return part.orderBy(column).limit(rank + 1).agg(F.max(v)).first()[0]
+    return low
+
+
+def quantile(values: DataFrame, column: str, n: int, q: float) -> float:
+    """The linearly interpolated quantile of n values that aren't null."""
+    place = q * (n - 1)
+    rank = math.floor(place)
+    a = value_at(values, column, rank)
+    b = value_at(values, column, min(rank + 1, n - 1)) if place > rank else a
+    return a + (b - a) * (place - rank)
+
+
+def auto_histogram(values: DataFrame, column: str, whole_numbers: bool = False) -> DataFrame:
+    """bin (from 1), n with NumPy's "auto" width: the smaller of Freedman-Diaconis (not below half the square-root rule) and Sturges.
+
+    Whole numbers get bins of one at least. Nulls don't count; without values there are no bins.
+    """
+    v, spark = F.col(column), values.sparkSession
+    c, low, high = values.agg(F.count(v), F.min(v), F.max(v)).first()
+    bins = 0
+    if c:
+        span = float(high) - float(low)
+        iqr = quantile(values, column, c, 0.75) - quantile(values, column, c, 0.25)
+        width = min(max(2 * iqr * c ** (-1 / 3), span / math.sqrt(c) / 2), span / (math.log2(c) + 1))
+        width = max(width, 1.0) if whole_numbers and width else width
+        bins = math.ceil(span / width) if width else 1
+        bucket = F.least(F.floor((v - low) / (span or 1.0) * bins) + 1, F.lit(bins)).cast("int")
+    counts = values.where(v.isNotNull()).groupBy((bucket if bins else F.lit(0)).alias("bin")).agg(F.count("*").alias("n"))
+    every = spark.range(1, bins + 1).select(F.col("id").cast("int").alias("bin"))
     return every.join(counts, "bin", "left").select("bin", F.coalesce("n", F.lit(0)).alias("n"))
 
 
-_AUTO = """s AS (SELECT count(side) AS c, min(side) AS lo, max(side) AS hi, quantile_cont(side, 0.75) - quantile_cont(side, 0.25) AS iqr FROM obs WHERE v = 1),
- w AS (SELECT lo, hi, least(greatest(2 * iqr * pow(c, -1.0e0 / 3), (hi - lo) / sqrt(c) / 2), (hi - lo) / (log2(c) + 1)) AS width FROM s),
- p AS (SELECT lo, hi, CAST(CASE WHEN width > 0 THEN ceil((hi - lo) / width) ELSE 1 END AS INT) AS bins FROM w)"""
+def _auto_sql(name: str, source: str, whole: bool) -> str:
+    floor = f"CASE WHEN w0 > 0 THEN greatest(w0, {1.0 if whole else 0.0}e0) ELSE 0 END"
+    return f"""SELECT '{name}' AS what, b.bin, coalesce(n, 0) AS n FROM (WITH x AS ({source}), s AS (SELECT count(v) AS c, min(v) AS lo, max(v) AS hi, quantile_cont(v, 0.75) - quantile_cont(v, 0.25) AS iqr FROM x),
+ w AS (SELECT lo, hi, {floor} AS width FROM (SELECT *, least(greatest(2 * iqr * pow(c, -1.0e0 / 3), (hi - lo) / sqrt(c) / 2), (hi - lo) / (log2(c) + 1)) AS w0 FROM s) t), p AS (SELECT lo, hi, CAST(CASE WHEN width > 0 THEN ceil((hi - lo) / width) ELSE 1 END AS INT) AS bins FROM w)
+ SELECT b.bin, n FROM (SELECT CAST(unnest(range(1, bins + 1)) AS INT) AS bin FROM p) b LEFT JOIN (SELECT CAST(least(floor((v - lo) / CASE WHEN hi > lo THEN hi - lo ELSE 1 END * bins) + 1, bins) AS INT) AS bin, count(*) AS n FROM x, p GROUP BY 1) c ON b.bin = c.bin) b"""
+
 
+_PER_FRAME = "SELECT CAST({} AS DOUBLE) AS v FROM pf"
 
-@query("agg_hist_auto", f"WITH {OBSERVED}, {_AUTO} SELECT b.bin, coalesce(n, 0) AS n FROM (SELECT CAST(unnest(range(1, bins + 1)) AS INT) AS bin FROM p) b LEFT JOIN (SELECT CAST(least(floor((side - lo) / CASE WHEN hi > lo THEN hi - lo ELSE 1 END * bins) + 1, bins) AS INT) AS bin, count(*) AS n FROM obs, p WHERE v = 1 GROUP BY 1) c ON b.bin = c.bin", "fx_frames", "fx_annotations")
+
+@query("agg_hist_auto", f"WITH {OBSERVED}, pf AS (SELECT frame_id, sum(v) AS n_obj, count(DISTINCT CASE WHEN v = 1 THEN cls END) AS n_cls FROM obs GROUP BY frame_id) " + " UNION ALL ".join([_auto_sql("objects", _PER_FRAME.format("n_obj"), True), _auto_sql("classes", _PER_FRAME.format("n_cls"), True), _auto_sql("dist", "SELECT dist AS v FROM obs WHERE v = 1", False), _auto_sql("side", "SELECT side AS v FROM obs WHERE v = 1", False)]), "fx_frames", "fx_annotations")
 def agg_hist_auto(frames, annotations):
-    return auto_histogram(observations(frames, annotations).where("seen"), "side")
+    """Objects and classes of a frame, and distance and longest side of the seen objects."""
+    observed = shared(observations(frames, annotations))
+    each, seen = shared(per_frame(observed)), observed.where("seen")
+    parts = (("objects", each, "n_objects", True), ("classes", each, "n_classes", True), ("dist", seen, "dist", False), ("side", seen, "side", False))
+    one, *more = [auto_histogram(df, c, whole).select(F.lit(what).alias("what"), "bin", "n") for what, df, c, whole in parts]
+    for df in more:
+        one = one.union(df)
+    return one
 
 
 @query("agg_dataset_size", "SELECT CAST(sum(n) AS BIGINT) AS n_frames FROM (SELECT subset, max(frame_id) + 1 AS n FROM fx_frames GROUP BY subset) s", "fx_frames")
 def agg_dataset_size(frames):
-    """From the names of the shards: the last index of each subset, plus one, summed."""
-    names = frames.groupBy("subset", "shard_id").agg(F.concat_ws("_", F.lpad(F.min("frame_id").cast("string"), 6, "0"), F.concat(F.lpad(F.max("frame_id").cast("string"), 6, "0"), F.lit(".tfrecord"))).alias("name"))
-    last = names.groupBy("subset").agg(F.max(F.regexp_extract("name", r"_(\d+)\.tfrecord$", 1).cast("long")).alias("last"))
+    return dataset_size(frames.groupBy("subset", "shard_id").agg(shard_name(F.min("frame_id"), F.max("frame_id")).alias("name")))
+
+
+def shard_name(first: Column, last: Column) -> Column:
+    """Six digits or more for each index."""
+    index = lambda c: F.lpad(c.cast("string"), F.greatest(F.lit(6), F.length(c.cast("string"))), F.lit("0"))
+    return F.concat(index(first), F.lit("_"), index(last), F.lit(".tfrecord"))
+
+
+def dataset_size(shards: DataFrame) -> DataFrame:
+    """n_frames of shards (subset, name) from their names alone: the last index of each subset, plus one, summed."""
+    last = shards.groupBy("subset").agg(F.max(F.regexp_extract("name", r"_(\d+)\.tfrecord$", 1).cast("long")).alias("last"))
     return last.agg(F.sum(F.col("last") + 1).alias("n_frames"))
 
 

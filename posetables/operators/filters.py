@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from ..queries import query
 
@@ -35,9 +35,18 @@ def flt_asset_exclude(assets, exclude=("almond_antique", "goldenrod_lavender")):
     return assets.where(~derived & ~F.col("name").isin(*exclude)).select("asset_id", "path")
 
 
-@query("flt_textures", "SELECT asset_id, path FROM fx_assets WHERE NOT contains(lower(name), 'norm') AND path LIKE '%.obj'", "fx_assets")
-def flt_textures(assets):
-    return assets.where(~F.lower("name").contains("norm") & F.col("path").like("%.obj")).select("asset_id", "path")
+@query("flt_textures", "SELECT path, kind FROM (SELECT path, CASE WHEN NOT contains(lower(path), 'norm') AND path LIKE '%.png' THEN 'floor' WHEN path LIKE '%.jpg' THEN 'background' END AS kind FROM (SELECT concat('textures/', replace(p_name, ' ', '_'), CASE p_partkey % 5 WHEN 0 THEN '_Normal.png' WHEN 1 THEN '_norm.png' WHEN 2 THEN '.jpg' WHEN 3 THEN '.exr' ELSE '_color.png' END) AS path FROM part) f) t WHERE kind IS NOT NULL", "part")
+def flt_textures(part):
+    """Floor textures and backgrounds of a listing of files, whose names come from the parts."""
+    tails = F.element_at(F.array(*map(F.lit, ("_Normal.png", "_norm.png", ".jpg", ".exr", "_color.png"))), (F.col("p_partkey") % 5 + 1).cast("int"))
+    return textures(part.select(F.concat(F.lit("textures/"), F.replace("p_name", F.lit(" "), F.lit("_")), tails).alias("path")))
+
+
+def textures(files: DataFrame) -> DataFrame:
+    """path, kind: floors are the .png files without norm in their name, backgrounds the .jpg files; the rest goes."""
+    path = F.col("path")
+    kind = F.when(~F.lower(path).contains("norm") & path.endswith(".png"), "floor").when(path.endswith(".jpg"), "background")
+    return files.select("path", kind.alias("kind")).where("kind is not null")
 
 
 @query("flt_diameter_ratio", "SELECT asset_id, diameter FROM fx_assets, (SELECT diameter AS d0 FROM fx_assets WHERE diameter > 0 ORDER BY asset_id LIMIT 1) f WHERE abs(diameter - d0) / d0 <= 0.7e0", "fx_assets")
@@ -51,11 +60,17 @@ def flt_shard_pattern(frames):
     return frames.where((F.col("subset") == "000003") & F.col("shard_id").between(2, 9)).select("subset", "shard_id", "frame_id")
 
 
-@query("flt_index_range", "SELECT r.i AS frame_id FROM (SELECT unnest(range(lo, hi + 1)) AS i FROM (SELECT min(frame_id) AS lo, max(frame_id) AS hi FROM fx_frames) b) r LEFT JOIN fx_frames f ON f.frame_id = r.i WHERE f.frame_id IS NULL", "fx_frames")
+def pending_indices(written: DataFrame, start: int, end: int) -> DataFrame:
+    """frame_id of the inclusive range start to end that isn't among written."""
+    wanted = written.sparkSession.range(start, end + 1).withColumnRenamed("id", "frame_id")
+    return wanted.join(written.select("frame_id"), "frame_id", "left_anti")
+
+
+@query("flt_index_range", "SELECT r.i AS frame_id FROM (SELECT unnest(range(1, (SELECT max(frame_id) FROM fx_frames) + 1)) AS i) r LEFT JOIN fx_frames f ON f.frame_id = r.i AND f.fx < 530 WHERE f.frame_id IS NULL", "fx_frames")
 def flt_index_range(frames):
-    """Pending indices: those of the inclusive range that have no frame."""
-    low, high = frames.agg(F.min("frame_id"), F.max("frame_id")).first()
-    return frames.sparkSession.range(low or 0, (high or -1) + 1).withColumnRenamed("id", "frame_id").join(frames, "frame_id", "left_anti").select("frame_id")
+    """Indices from 1 to the last frame's that are still to be written; frames of short focal length have been."""
+    last = frames.agg(F.max("frame_id")).first()[0]
+    return pending_indices(frames.where("fx < 530"), 1, last or 0)
 
 
 @query("flt_square_pixels", "SELECT frame_id, abs(fy - fx) > 0.001e0 AS not_square FROM fx_frames", "fx_frames")

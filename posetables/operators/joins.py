@@ -26,9 +26,30 @@ def require_match(left: DataFrame, right: DataFrame, on: list[str]) -> DataFrame
     return checked.where("_ok").drop("_met", "_ok")
 
 
-@query("join_frame_camera", "SELECT frame_id, subset, fx, cx, depth_scale FROM fx_frames", "fx_frames")
-def join_frame_camera(frames):
-    return require_match(frames.select("subset", "frame_id"), frames.select("subset", "frame_id", "fx", "cx", "depth_scale"), ["subset", "frame_id"])
+#: The longest list of weights that pick_by_weight takes.
+MOST_CHOICES = 100_000
+
+
+def pick_by_weight(draws: DataFrame, choices: DataFrame, key: str) -> DataFrame:
+    """draws with a key of choices (key, weight; keys from low to high) for its u in [0, 1), each with its share of the weights.
+
+    The choices (the stable poses of one object) become one row with an array of running sums, which is broadcast; more
+    than MOST_CHOICES are an error. Without choices there are no rows.
+    """
+    listed = choices.agg(F.count("*").alias("n"), F.array_sort(F.collect_list(F.struct(key, "weight"))).alias("c")).where("n > 0")
+    listed = listed.withColumn("c", F.when(F.col("n") <= MOST_CHOICES, F.col("c")).otherwise(F.raise_error(F.lit("too many choices"))))
+    sums = F.aggregate("c", F.array(F.lit(0).cast("double")), lambda a, x: F.concat(a, F.array(F.element_at(a, -1) + x["weight"])))
+    row = listed.select(F.col(f"c.{key}").alias("_keys"), sums.alias("_sums"))
+    met = draws.join(F.broadcast(row))
+    below = F.size(F.filter("_sums", lambda s: s <= F.col("u") * F.element_at("_sums", -1)))
+    return met.withColumn(key, F.element_at("_keys", below)).drop("_keys", "_sums", "u")
+
+
+@query("join_frame_camera", "SELECT o_orderkey AS frame_id, f.subset, f.fx, f.cx, f.depth_scale FROM orders o JOIN fx_frames f ON f.frame_id = o_orderkey AND f.subset = lpad(CAST(o.o_custkey % 15 + 1 AS STRING), 6, '0')", "orders", "fx_frames")
+def join_frame_camera(orders, cameras):
+    """The camera entry of each listed image, by subset and index; an image without one is an error."""
+    listed = orders.select(F.col("o_orderkey").alias("frame_id"), F.lpad((F.col("o_custkey") % 15 + 1).cast("string"), 6, "0").alias("subset"))
+    return require_match(listed, cameras.select("subset", "frame_id", "fx", "cx", "depth_scale"), ["subset", "frame_id"])
 
 
 @query("join_frame_annotations", "SELECT f.frame_id, f.subset, a.obj_id, a.cls FROM fx_frames f LEFT JOIN fx_annotations a ON a.frame_id = f.frame_id", "fx_frames", "fx_annotations")
@@ -65,9 +86,10 @@ def join_asset_meta(assets, part):
     return assets.join(meta, "asset_id", "left").select("asset_id", F.coalesce("mass", F.lit(1.0)).alias("mass"), F.coalesce("meta_name", "name").alias("name"))
 
 
-@query("join_pending_shards", "SELECT DISTINCT shard_id FROM fx_frames WHERE shard_id NOT IN (SELECT CAST(floor(l_orderkey / 100) AS BIGINT) FROM lineitem WHERE l_returnflag = 'A')", "fx_frames", "lineitem")
+@query("join_pending_shards", "SELECT DISTINCT shard_id FROM fx_frames WHERE shard_id NOT IN (SELECT CAST(floor(l_orderkey / 100) AS BIGINT) FROM lineitem WHERE l_returnflag = 'A' AND l_linenumber = 7 AND l_quantity < 25)", "fx_frames", "lineitem")
 def join_pending_shards(frames, lineitem):
-    cached = lineitem.where("l_returnflag = 'A'").select(F.floor(F.col("l_orderkey") / 100).alias("shard_id"))
+    """Shards for which no partial is kept; here those that hold a certain kind of line count as kept."""
+    cached = lineitem.where("l_returnflag = 'A' and l_linenumber = 7 and l_quantity < 25").select(F.floor(F.col("l_orderkey") / 100).alias("shard_id"))
     return frames.select("shard_id").distinct().join(cached, "shard_id", "left_anti")
 
 
@@ -82,10 +104,6 @@ def join_clearance(frames, annotations, diameter=0.1, least=0.4):
 @query("join_weighted_pick", f"""WITH w AS (SELECT n_nationkey, n_nationkey + 1 AS weight FROM nation), c AS (SELECT n_nationkey, sum(weight) OVER (ORDER BY n_nationkey) AS hi, weight, (SELECT sum(weight) FROM w) AS total FROM w)
  SELECT frame_id, n_nationkey AS picked FROM (SELECT frame_id, {uniform_sql(3, 'frame_id', 'pick')} AS u FROM fx_frames) f JOIN c ON u * total >= hi - weight AND u * total < hi""", "fx_frames", "nation")
 def join_weighted_pick(frames, nation):
-    """A stable pose for each frame, drawn with its probability. The poses are one object's, a short list."""
-    weights = nation.select("n_nationkey", (F.col("n_nationkey") + 1).alias("weight"))
-    total = F.sum("weight").over(Window.partitionBy())
-    poses = weights.select("n_nationkey", F.sum("weight").over(Window.orderBy("n_nationkey")).alias("hi"), "weight", total.alias("total"))
-    u = frames.select("frame_id", uniform(3, "frame_id", "pick").alias("u"))
-    met = (F.col("u") * F.col("total") >= F.col("hi") - F.col("weight")) & (F.col("u") * F.col("total") < F.col("hi"))
-    return u.join(F.broadcast(poses), met).select("frame_id", F.col("n_nationkey").alias("picked"))
+    """A stable pose for each frame, drawn with its probability."""
+    weights = nation.select(F.col("n_nationkey").alias("picked"), (F.col("n_nationkey") + 1).alias("weight"))
+    return pick_by_weight(frames.select("frame_id", uniform(3, "frame_id", "pick").alias("u")), weights, "picked").select("frame_id", "picked")

@@ -33,7 +33,7 @@ def clip_depth(depth: Column) -> Column:
 
 def class_from_name(name: Column) -> Column:
     """Leading word of an instance name; a name without one is an error."""
-    found = F.regexp_extract(name, r"(?U)^(\w+)(.[0-9])*", 1)
+    found = F.regexp_extract(name, r"(?U)^(\w+)", 1)
     return F.when(F.length(found) > 0, found).otherwise(F.raise_error(F.concat(F.lit("no class in "), name)))
 
 
@@ -132,7 +132,31 @@ def proj_mask_u8(pixels, masks):
     return instance_mask(pixels, masks).select("frame_id", "y", "x", F.coalesce(F.bround(F.col("id") * 255.0 / F.nullif(top, F.lit(0)), 0), F.lit(0)).cast("int").alias("v"))
 
 
-@query("proj_record_summary", "SELECT cls AS key, count(*) AS n_rows, max(length(cls)) AS width FROM fx_annotations GROUP BY cls", "fx_annotations")
-def proj_record_summary(annotations):
-    """Rows and the widest value of each class key."""
-    return annotations.groupBy(F.col("cls").alias("key")).agg(F.count("*").alias("n_rows"), F.max(F.length("cls")).alias("width"))
+def record_summary(frames: DataFrame) -> DataFrame:
+    """key, dtype and shape (sizes, comma-joined; empty for a scalar) of each column of each frame; null values have no shape.
+
+    An array of arrays has the size of its first row as the second number.
+    """
+    id_, *rest = frames.columns
+    parts = []
+    for f in frames.schema.fields[1:]:
+        kind, sizes = f.dataType, []
+        at = F.col(f.name)
+        while kind.typeName() == "array":
+            sizes.append(F.size(at).cast("string"))
+            kind, at = kind.elementType, F.get(at, F.lit(0))
+        shape = F.concat_ws(",", *sizes) if sizes else F.lit("")
+        parts.append(F.struct(F.lit(f.name).alias("key"), F.lit(kind.simpleString()).alias("dtype"), F.when(F.col(f.name).isNotNull(), shape).alias("shape")))
+    return frames.select(id_, F.explode(F.array(*parts)).alias("s")).select(id_, "s.*")
+
+
+@query("proj_record_summary", """WITH n AS (SELECT frame_id, CAST(count(*) AS VARCHAR) AS n FROM fx_annotations GROUP BY frame_id), k AS (SELECT f.frame_id, n FROM fx_frames f LEFT JOIN n ON n.frame_id = f.frame_id)
+ SELECT frame_id, 'cam_matrix' AS key, 'double' AS dtype, '3,3' AS shape FROM k UNION ALL SELECT frame_id, 'cam_location', 'double', '3' FROM k UNION ALL SELECT frame_id, 'depth_scale', 'double', '' FROM k
+ UNION ALL SELECT frame_id, 'obj_classes', 'string', n FROM k UNION ALL SELECT frame_id, 'obj_pos', 'double', n || ',3' FROM k UNION ALL SELECT frame_id, 'obj_bbox_visib', 'int', n || ',4' FROM k""", "fx_frames", "fx_annotations")
+def proj_record_summary(frames, annotations):
+    """Keys of each frame's record with their types and shapes."""
+    zero, one = F.lit(0.0), F.lit(1.0)
+    camera = frames.select("frame_id", F.array(F.array("fx", zero, "cx"), F.array(zero, "fy", "cy"), F.array(zero, zero, one)).alias("cam_matrix"), F.array("cam_x", "cam_y", "cam_z").alias("cam_location"), "depth_scale")
+    objects = annotations.groupBy("frame_id").agg(F.array_sort(F.collect_list(F.struct("instance_index", "cls", F.array("pos_x", "pos_y", "pos_z").alias("pos"), F.array("x1", "y1", "x2", "y2").alias("box")))).alias("o"))  # the objects of one frame
+    packed = objects.select("frame_id", F.col("o.cls").alias("obj_classes"), F.col("o.pos").alias("obj_pos"), F.col("o.box").alias("obj_bbox_visib"))
+    return record_summary(camera.join(packed, "frame_id", "left"))

@@ -52,21 +52,23 @@ def win_frame_at(frames, position=2):
     return frames.withColumn("_k", k).where(F.col("_k") == position + 1).select("subset", "frame_id")
 
 
-def shard_plan(indices: DataFrame, column: str, divisor: int) -> DataFrame:
-    """shard, start, end, n: contiguous shards of nearly equal size, max(1, n // divisor) of them.
+def ranks(indices: DataFrame, column: str) -> DataFrame:
+    """i (the column's integers) and rank (from 0), by counts of ranges of 4096 integers, so no task orders all of them."""
+    ranged = indices.select(F.col(column).alias("i"), F.floor(F.col(column) / 4096).alias("r"))
+    counts = ranged.groupBy("r").agg(F.count("*").alias("c"))
+    before = counts.select("r", (F.sum("c").over(Window.orderBy("r")) - F.col("c")).alias("before"))  # one row for 4096 indices
+    return ranged.join(before, "r").select("i", (F.col("before") + F.row_number().over(Window.partitionBy("r").orderBy("i")) - 1).alias("rank"))
+
 
-    Each index finds its rank by counts of ranges of indices, so no task orders all of them.
-    """
-    n, low = indices.agg(F.count("*"), F.min(column)).first()
+def shard_plan(indices: DataFrame, column: str, divisor: int) -> DataFrame:
+    """shard, start, end, n: contiguous shards of nearly equal size, max(1, n // divisor) of them."""
+    n = indices.count()
     shards = max(1, n // divisor)
     small, more = divmod(n, shards)
-    ranged = indices.select(F.col(column).alias("i"), F.floor((F.col(column) - F.lit(low or 0)) / 4096).alias("r"))
-    counts = ranged.groupBy("r").agg(F.count("*").alias("c"))
-    before = counts.select("r", (F.sum("c").over(Window.orderBy("r")) - F.col("c")).alias("before"))  # one row for 4096 indices
-    rank = F.col("before") + F.row_number().over(Window.partitionBy("r").orderBy("i")) - 1
     edge = more * (small + 1)  # the first shards have one more
-    shard = F.when(F.col("rank") < edge, F.floor(F.col("rank") / (small + 1))).otherwise(more + F.floor((F.col("rank") - edge) / max(1, small)))
-    placed = ranged.join(before, "r").withColumn("rank", rank).groupBy((shard + 1).cast("int").alias("shard"))
+    rank = F.col("rank")
+    shard = F.when(rank < edge, F.floor(rank / (small + 1))).otherwise(more + F.floor((rank - edge) / max(1, small)))
+    placed = ranks(indices, column).groupBy((shard + 1).cast("int").alias("shard"))
     return placed.agg(F.min("i").alias("start"), F.max("i").alias("end"), F.count("*").alias("n"))
 
 

@@ -6,11 +6,14 @@ it can be computed again on its own.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions import geometry as g
 from ..storage import shared
-from ..operators.joins import uniform, uniform_sql
+from ..operators.joins import pick_by_weight, uniform, uniform_sql
+from ..operators.windows import ranks
 from ..queries import query, r6
 
 TAU = 6.283185307179586
@@ -20,6 +23,12 @@ def between(u: Column, low, high) -> Column:
     return low + (high - low) * u
 
 
+def once(df: DataFrame, **columns: Column) -> DataFrame:
+    """df with the columns, computed once for each row: the explode keeps later expressions from repeating the hashes."""
+    made = F.explode(F.array(F.struct(*[c.alias(n) for n, c in columns.items()]))).alias("_once")
+    return df.select(*[df[c] for c in df.columns], made).select(*df.columns, "_once.*")
+
+
 def key_of(*names: str) -> Column:
     return F.concat_ws("-", *[F.col(n).cast("string") for n in names])
 
@@ -66,140 +75,167 @@ def plan_rotation(annotations):
     return annotations.select("frame_id", "instance_index", *_r(**dict(zip(("qx", "qy", "qz", "qw"), q))))
 
 
+def jitter(seed: int, key: Column, most: float) -> g.Vector:
+    """A rotation by up to `most` radians about each fixed axis, x first (extrinsic xyz)."""
+    zero, angles = F.lit(0.0), [most * (2 * uniform(seed, key, f"jitter{i}") - 1) / 2 for i in range(3)]
+    turn = [tuple(F.sin(a) if i == k else zero for i in range(3)) + (F.cos(a),) for k, a in enumerate(angles)]
+    return g.quat_multiply(turn[2], g.quat_multiply(turn[1], turn[0]))
+
+
+JITTER = 0.0872664626  # five degrees
+
+
+def oriented(cameras: DataFrame, seed: int) -> DataFrame:
+    """frame_id, k, px, py, pz, and the rotation that looks at the origin from there, jittered in the camera's own frame."""
+    at = g.look_at(g.cols("px", "py", "pz"), (F.lit(0.0),) * 3)
+    q = g.quat_multiply(at, jitter(seed, F.col("frame_id"), JITTER))
+    return cameras.select("frame_id", "k", *_r(**{n: F.col(n) for n in ("px", "py", "pz")}), *_r(**dict(zip(("qx", "qy", "qz", "qw"), q))))
+
+
+def _oriented_sql(source: str, seed: int) -> str:
+    """CTEs of `source` (frame_id, k, px, py, pz) with look-at and jitter, and the select of both multiplied."""
+    half = [f"{JITTER}e0 * (2 * {uniform_sql(seed, 'frame_id', f'jitter{i}')} - 1) / 2" for i in range(3)]
+    return f"""ang AS (SELECT *, (atan2(py, px) + pi() / 2) / 2 AS hy, (-pi() / 2 - atan2(pz, sqrt(px * px + py * py))) / 2 AS hp, {half[0]} AS ja, {half[1]} AS jb, {half[2]} AS jc FROM {source}),
+ two AS (SELECT *, cos(hy) * sin(hp) AS lx, sin(hy) * sin(hp) AS ly, sin(hy) * cos(hp) AS lz, cos(hy) * cos(hp) AS lw, sin(ja) * cos(jb) * cos(jc) - cos(ja) * sin(jb) * sin(jc) AS jx, cos(ja) * sin(jb) * cos(jc) + sin(ja) * cos(jb) * sin(jc) AS jy,
+   cos(ja) * cos(jb) * sin(jc) - sin(ja) * sin(jb) * cos(jc) AS jz, cos(ja) * cos(jb) * cos(jc) + sin(ja) * sin(jb) * sin(jc) AS jw FROM ang)
+ SELECT frame_id, CAST(k AS INT) AS k, {_rs(px='px', py='py', pz='pz', qx='lw * jx + lx * jw + ly * jz - lz * jy', qy='lw * jy - lx * jz + ly * jw + lz * jx', qz='lw * jz + lx * jy - ly * jx + lz * jw', qw='lw * jw - lx * jx - ly * jy - lz * jz')} FROM two"""
+
+
 _LIGHT = key_sql("frame_id", "light")
+#: Least and most of each light parameter; the number of lights stays below its upper end. Fixed values.
+LIGHTS = {"n": (2, 4), "energy": (300.0, 800.0), "red": (0.8, 1.0), "green": (0.8, 1.0), "blue": (0.8, 1.0), "dist": (3.0, 10.0), "size": (0.8, 2.0)}
 
 
-@query("plan_lights", f"""WITH n AS (SELECT frame_id, unnest(range(0, CAST(3 + floor({uniform_sql(12, 'frame_id', 'n')} * 3) AS BIGINT))) AS light FROM fx_frames),
- d AS (SELECT frame_id, light, {_direction_sql(12, _LIGHT)['dx']} AS dx, {_direction_sql(12, _LIGHT)['dy']} AS dy, abs({_direction_sql(12, _LIGHT)['dz']}) AS dz, 4 + 6 * {uniform_sql(12, _LIGHT, 'dist')} AS dist FROM n)
- SELECT frame_id, CAST(light AS INT) AS light, {_rs(energy=f"100 + 400 * {uniform_sql(12, _LIGHT, 'energy')}", red=f"0.5e0 + 0.5e0 * {uniform_sql(12, _LIGHT, 'red')}", size=f"0.5e0 + 1.5e0 * {uniform_sql(12, _LIGHT, 'size')}", x='dx * dist', y='dy * dist', z='dz * dist')} FROM d""", "fx_frames")
+def _light_sql(name: str) -> str:
+    low, high = LIGHTS[name]
+    return f"{low}e0 + {high - low}e0 * {uniform_sql(12, _LIGHT, name)}"
+
+
+@query("plan_lights", f"""WITH n AS (SELECT frame_id, unnest(range(0, CAST(2 + floor({uniform_sql(12, 'frame_id', 'n')} * 2) AS BIGINT))) AS light FROM fx_frames),
+ d AS (SELECT frame_id, light, {_direction_sql(12, _LIGHT)['dx']} AS dx, {_direction_sql(12, _LIGHT)['dy']} AS dy, abs({_direction_sql(12, _LIGHT)['dz']}) AS dz, {_light_sql('dist')} AS dist FROM n)
+ SELECT frame_id, CAST(light AS INT) AS light, {_rs(**{c: _light_sql(c) for c in ('energy', 'red', 'green', 'blue', 'size')}, x='dx * dist', y='dy * dist', z='dz * dist', yaw='atan2(dy, dx) + pi() / 2', pitch='-pi() / 2 - atan2(dz, sqrt(dx * dx + dy * dy))')} FROM d""", "fx_frames")
 def plan_lights(frames):
-    """3 to 5 lights for each frame in the upper half, aimed at the origin."""
-    n = (3 + F.floor(uniform(12, "frame_id", "n") * 3)).cast("int")
+    """2 or 3 lights for each frame in the upper half; yaw about z and pitch about x aim their z axis at the origin."""
+    n = (LIGHTS["n"][0] + F.floor(uniform(12, "frame_id", "n") * (LIGHTS["n"][1] - LIGHTS["n"][0]))).cast("int")
     lights = frames.select("frame_id", F.explode(F.sequence(F.lit(0), n - 1)).alias("light"))
     key = key_of("frame_id", "light")
-    d, dist = direction(12, key), between(uniform(12, key, "dist"), 4, 10)
-    return lights.select(
-        "frame_id", "light",
-        *_r(energy=between(uniform(12, key, "energy"), 100, 500), red=between(uniform(12, key, "red"), 0.5, 1.0), size=between(uniform(12, key, "size"), 0.5, 2.0), x=d[0] * dist, y=d[1] * dist, z=F.abs(d[2]) * dist),
+    draw = lambda c: between(uniform(12, key, c), *LIGHTS[c])
+    d = direction(12, key)
+    drawn = once(lights, dx=d[0], dy=d[1], dz=F.abs(d[2]), **{c: draw(c) for c in LIGHTS if c != "n"})
+    dx, dy, dz, dist = g.cols("dx", "dy", "dz", "dist")
+    return drawn.select(
+        "frame_id", "light", *_r(**{c: F.col(c) for c in ("energy", "red", "green", "blue", "size")}, x=dx * dist, y=dy * dist, z=dz * dist, yaw=F.atan2(dy, dx) + TAU / 4, pitch=-TAU / 4 - F.atan2(dz, F.sqrt(dx * dx + dy * dy))),
     )
 
 
 #: Default and range of each appearance channel. Fixed values.
-APPEARANCE = (("metallic", 0.0, 0.1), ("roughness", 0.5, 0.2), ("specular", 0.5, 0.2), ("hue", 0.5, 0.05), ("value", 1.0, 0.3))
+APPEARANCE = (("metallic", 0.0, 0.25), ("roughness", 0.5, 0.25), ("hue", 0.5, 0.01), ("saturation", 1.0, 0.1), ("value", 1.0, 0.1))
 
 
-@query("plan_appearance", " UNION ALL ".join(f"SELECT frame_id, instance_index, '{c}' AS channel, round({d}e0 + {r}e0 * (2 * {uniform_sql(13, key_sql('frame_id', 'instance_index'), c)} - 1), 6) + 0.0 AS v FROM fx_annotations" for c, d, r in APPEARANCE), "fx_annotations")
+@query("plan_appearance", " UNION ALL ".join(f"SELECT frame_id, instance_index, '{c}' AS channel, round({d}e0 + {r}e0 * (2 * {uniform_sql(13, key_sql('frame_id', 'instance_index'), c)} - 1), 6) + 0.0 AS v FROM fx_annotations" for c, d, r in (("metallic", 0.0, 0.25), ("roughness", 0.5, 0.25), ("hue", 0.5, 0.01), ("saturation", 1.0, 0.1), ("value", 1.0, 0.1))), "fx_annotations")
 def plan_appearance(annotations):
+    """Each channel uniform within its range of the default, not clamped."""
     key = key_of("frame_id", "instance_index")
     channels = [F.struct(F.lit(c).alias("channel"), r6(d + r * (2 * uniform(13, key, c) - 1)).alias("v")) for c, d, r in APPEARANCE]
     return annotations.select("frame_id", "instance_index", F.explode(F.array(*channels)).alias("c")).select("frame_id", "instance_index", "c.channel", "c.v")
 
 
-@query("plan_background", f"WITH b AS (SELECT r_name, row_number() OVER (ORDER BY r_regionkey) - 1 AS i, count(*) OVER () AS n FROM region) SELECT frame_id, r_name AS background FROM fx_frames JOIN b ON i = CAST(floor({uniform_sql(14, 'frame_id', 'bg')} * n) AS BIGINT)", "fx_frames", "region")
-def plan_background(frames, region):
-    """A background for each frame; the list of backgrounds is a folder's listing, here the regions."""
-    listed = region.select("r_name", (F.row_number().over(Window.orderBy("r_regionkey")) - 1).alias("i"), F.count("*").over(Window.partitionBy()).alias("n"))
-    return frames.select("frame_id", uniform(14, "frame_id", "bg").alias("u")).join(F.broadcast(listed), F.col("i") == F.floor(F.col("u") * F.col("n"))).select("frame_id", F.col("r_name").alias("background"))
-
+def pick_one(frames: DataFrame, listing: DataFrame, key: str, seed: int, channel: str) -> DataFrame:
+    """frame_id and, with equal chances, a key of the listing (integers, each once): its rank is floor(u n)."""
+    total = listing.agg(F.count("*").alias("n"))  # one row
+    drawn = frames.select("frame_id", uniform(seed, "frame_id", channel).alias("u")).join(F.broadcast(total)).select("frame_id", F.floor(F.col("u") * F.col("n")).alias("rank"))
+    return drawn.join(ranks(listing, key), "rank").select("frame_id", F.col("i").alias(key))
 
-CANDIDATES = 8
-_CAND = key_sql("frame_id", "k")
 
+@query("plan_background", f"""WITH b AS (SELECT r_name, row_number() OVER (ORDER BY r_regionkey) - 1 AS i, count(*) OVER () AS n FROM region), t AS (SELECT n_name, row_number() OVER (ORDER BY n_nationkey) - 1 AS i, count(*) OVER () AS n FROM nation)
+ SELECT frame_id, r_name AS background, n_name AS floor FROM fx_frames JOIN b ON b.i = CAST(floor({uniform_sql(14, 'frame_id', 'bg')} * b.n) AS BIGINT) JOIN t ON t.i = CAST(floor({uniform_sql(14, 'frame_id', 'floor')} * t.n) AS BIGINT)""", "fx_frames", "region", "nation")
+def plan_background(frames, region, nation):
+    """A background and a floor texture for each frame; the lists are those of two folders, here the regions and the nations."""
+    background = pick_one(frames, region, "r_regionkey", 14, "bg").join(region.select("r_regionkey", F.col("r_name").alias("background")), "r_regionkey")
+    texture = pick_one(frames, nation, "n_nationkey", 14, "floor").join(nation.select("n_nationkey", F.col("n_name").alias("floor")), "n_nationkey")
+    return background.join(texture, "frame_id").select("frame_id", "background", "floor")
 
-def orbit_candidates(frames: DataFrame, seed: int, low: float, high: float, start: int = 0, end: int = CANDIDATES) -> DataFrame:
-    """Positions start to end - 1 for each frame, uniform in direction, at a radius from low to high."""
-    each = frames.withColumn("k", F.explode(F.sequence(F.lit(start), F.lit(end - 1))))
-    key = key_of("frame_id", "k")
-    d, r = direction(seed, key), between(uniform(seed, key, "radius"), low, high)
-    return each.withColumns({"px": d[0] * r, "py": d[1] * r, "pz": d[2] * r})
 
+#: Pitch of cameras above the ground, in radians, and the clearance to objects.
+PITCH, CLEARANCE, DIAMETER = (0.2, 1.2), 0.5, 0.1
+#: Share of the view that the largest object fills, least and most.
+FILL = (0.1, 0.2)
 
-def by_pitch(low: float, high: float) -> Column:
-    pitch = F.atan2(F.col("pz"), F.sqrt(F.col("px") * F.col("px") + F.col("py") * F.col("py")))
-    return (pitch > low) & (pitch < high)
 
+def camera_draws(frames: DataFrame, seed: int, key: Column, low: Column | float, high: Column | float) -> DataFrame:
+    """frames with px, py, pz: a direction uniform over the sphere's band of allowed pitch, at a radius from low to high.
 
-def _orbit_sql(seed: int, low: str, span: str, source: str = "fx_frames", more: str = "") -> str:
-    d, r = _direction_sql(seed, _CAND), f"({low} + {span} * {uniform_sql(seed, _CAND, 'radius')})"
-    return f"""k AS (SELECT *, unnest(range(0, {CANDIDATES})) AS k FROM {source}), p AS (SELECT frame_id, k{more}, {d['dx']} * {r} AS px, {d['dy']} * {r} AS py, {d['dz']} * {r} AS pz FROM k),
- ok AS (SELECT * FROM p WHERE atan2(pz, sqrt(px * px + py * py)) > 0.2e0 AND atan2(pz, sqrt(px * px + py * py)) < 1.2e0)"""
-
-
-@query("plan_camera_orbit", f"WITH {_orbit_sql(15, '1.0e0', '2.0e0')}, f AS (SELECT frame_id, min(k) AS k FROM ok GROUP BY frame_id) SELECT fx_frames.frame_id, CAST(f.k AS INT) AS k, {_rs(px='px', py='py', pz='pz')} FROM fx_frames LEFT JOIN f ON f.frame_id = fx_frames.frame_id LEFT JOIN ok ON ok.frame_id = f.frame_id AND ok.k = f.k", "fx_frames")
-def plan_camera_orbit(frames):
-    """The first candidate in the pitch range; frames without one keep nulls."""
-    good = orbit_candidates(frames.select("frame_id"), 15, 1.0, 3.0).where(by_pitch(0.2, 1.2))
-    first = good.groupBy("frame_id").agg(F.min(F.struct("k", "px", "py", "pz")).alias("c"))
-    return frames.select("frame_id").join(first, "frame_id", "left").select("frame_id", F.col("c.k").alias("k"), *_r(**{n: F.col(f"c.{n}") for n in ("px", "py", "pz")}))
-
+    The sine of the pitch is uniform over the band, so that no direction has to be rejected (the origin is at zero).
+    """
+    s = between(uniform(seed, key, "pitch"), math.sin(PITCH[0]), math.sin(PITCH[1]))
+    drawn = once(frames, _s=s, _a=TAU * uniform(seed, key, "turn"), _r=between(uniform(seed, key, "radius"), low, high))
+    flat = F.sqrt(1 - F.col("_s") * F.col("_s")) * F.col("_r")
+    return drawn.withColumns({"px": flat * F.cos("_a"), "py": flat * F.sin("_a"), "pz": F.col("_s") * F.col("_r")}).drop("_s", "_a", "_r")
 
-_CLEAR = "sqrt((a.pos_x - ok.px) * (a.pos_x - ok.px) + (a.pos_y - ok.py) * (a.pos_y - ok.py) + (a.pos_z - ok.pz) * (a.pos_z - ok.pz)) - 0.05e0 > 0.5e0"
 
+def _draws_sql(source: str, seed: int, key: str, low: str, high: str, more: str = "") -> str:
+    return f"""SELECT frame_id, k{more}, sqrt(1 - s * s) * r * cos(a) AS px, sqrt(1 - s * s) * r * sin(a) AS py, s * r AS pz FROM (SELECT *, {math.sin(PITCH[0])}e0 + {math.sin(PITCH[1]) - math.sin(PITCH[0])}e0 * {uniform_sql(seed, key, 'pitch')} AS s, {TAU}e0 * {uniform_sql(seed, key, 'turn')} AS a,
+   {low} + ({high} - {low}) * {uniform_sql(seed, key, 'radius')} AS r FROM {source}) drawn"""
 
-@query("plan_camera_scene", f"""WITH big AS (SELECT frame_id, max(greatest(x2 - x1, y2 - y1)) / 640.0e0 AS d, any_value(fx) AS fx FROM fx_annotations JOIN fx_frames USING (frame_id) GROUP BY frame_id),
- far AS (SELECT frame_id, d / tan(0.2e0 * (2 * atan(640 / (2 * fx))) * 2) AS dist FROM big), {_orbit_sql(16, 'dist', 'dist', 'far')},
- free AS (SELECT frame_id, k, px, py, pz FROM ok WHERE NOT EXISTS (SELECT 1 FROM fx_annotations a WHERE a.frame_id = ok.frame_id AND NOT ({_CLEAR}))),
- f AS (SELECT frame_id, min(k) AS k FROM free GROUP BY frame_id) SELECT far.frame_id, CAST(f.k AS INT) AS k, {_rs(px='px', py='py', pz='pz')} FROM far LEFT JOIN f ON f.frame_id = far.frame_id LEFT JOIN free ON free.frame_id = f.frame_id AND free.k = f.k""", "fx_frames", "fx_annotations")
-def plan_camera_scene(frames, annotations):
-    """As in an orbit, at a radius at which the largest object fills its share of the view, and clear of all objects."""
-    largest = annotations.groupBy("frame_id").agg((F.max(F.greatest(F.col("x2") - F.col("x1"), F.col("y2") - F.col("y1"))) / 640.0).alias("d"))
-    hfov, _ = g.field_of_view(F.col("fx"), F.col("img_w"), F.col("img_h"))
-    far = frames.join(largest, "frame_id").select("frame_id", g.fill_distance(F.col("d"), F.lit(0.2), hfov).alias("dist"))
-    good = orbit_candidates(far, 16, F.col("dist"), 2 * F.col("dist")).where(by_pitch(0.2, 1.2))
-    gap = g.norm(g.subtract(g.cols("pos_x", "pos_y", "pos_z"), g.cols("px", "py", "pz")))
-    blocked = good.join(annotations, "frame_id").where(~(gap - 0.05 > 0.5)).select("frame_id", "k")
-    first = good.join(blocked, ["frame_id", "k"], "left_anti").groupBy("frame_id").agg(F.min(F.struct("k", "px", "py", "pz")).alias("c"))
-    return far.select("frame_id").join(first, "frame_id", "left").select("frame_id", F.col("c.k").alias("k"), *_r(**{n: F.col(f"c.{n}") for n in ("px", "py", "pz")}))
 
+@query("plan_camera_orbit", f"WITH c AS ({_draws_sql('(SELECT frame_id, 0 AS k FROM fx_frames) f', 15, 'frame_id', '1.0e0', '3.0e0')}), {_oriented_sql('c', 15)}", "fx_frames")
+def plan_camera_orbit(frames):
+    """A camera for each frame in the pitch range, 1 to 3 m from the origin, looking at it."""
+    return oriented(camera_draws(frames.select("frame_id", F.lit(0).alias("k")), 15, F.col("frame_id"), 1.0, 3.0), 15)
 
-#: Tries that a frame has in all, as in the surveyed code, and by how much a round of them outgrows the one before.
-TRIES, GROWTH = 10_000, 8
 
+#: Tries that a frame has in all, as in the surveyed code, those of the first round, and by how much a round outgrows the one before.
+TRIES, FIRST, GROWTH = 10_000, 8, 8
 
-def _until_found(frames: DataFrame, find, tries: int) -> DataFrame:
-    """frame_id, k, px, py, pz: the first good candidate of each frame, of tries at most.
 
-    find(rest, start, end) gives those of candidates start to end - 1. Only frames that are still without one enter the
-    next round; what a round found is written to the shared folder.
-    """
-    rest, start, end, found = shared(frames), 0, min(CANDIDATES, tries), None
-    while True:
-        got = shared(find(rest, start, end))
-        found = got if found is None else found.unionByName(got)
-        if end >= tries:
-            return found
-        rest = shared(rest.join(got.select("frame_id"), "frame_id", "left_anti"))
-        if rest.isEmpty():
-            return found
+def _rounds(tries: int = TRIES, first: int = FIRST) -> list[tuple[int, int]]:
+    """(start, end) of each round of tries."""
+    out, start, end = [], 0, min(first, tries)
+    while start < tries:
+        out.append((start, end))
         start, end = end, min(end * GROWTH, tries)
+    return out
 
 
-def camera_orbit(frames: DataFrame, tries: int = TRIES) -> DataFrame:
-    """plan_camera_orbit with all tries; only a frame for which each of them fails keeps nulls."""
+def _scene_sql() -> str:
+    gap = "sqrt((a.pos_x - p.px) * (a.pos_x - p.px) + (a.pos_y - p.py) * (a.pos_y - p.py) + (a.pos_z - p.pz) * (a.pos_z - p.pz))"
+    text = f"""WITH big AS (SELECT frame_id, max(greatest(x2 - x1, y2 - y1)) / 640.0e0 AS d, 2 * atan(640 / (2 * any_value(fx))) AS fov FROM fx_annotations JOIN fx_frames USING (frame_id) GROUP BY frame_id),
+ w0 AS MATERIALIZED (SELECT frame_id, d / tan({FILL[1]}e0 * fov * 2) AS near, d / tan({FILL[0]}e0 * fov * 2) AS far FROM big)"""
+    for i, (start, end) in enumerate(_rounds()):
+        source = f"(SELECT *, unnest(range({start}, {end})) AS k FROM w{i} WHERE far > 0) t"
+        text += f""", p{i} AS MATERIALIZED ({_draws_sql(source, 16, key_sql('frame_id', 'k'), 'near', 'far')}),
+ f{i} AS MATERIALIZED (SELECT frame_id, min(k) AS k FROM (SELECT p.frame_id, p.k FROM p{i} p JOIN fx_annotations a ON a.frame_id = p.frame_id GROUP BY p.frame_id, p.k HAVING bool_and({gap} - {DIAMETER / 2}e0 > {CLEARANCE}e0)) ok GROUP BY frame_id),
+ w{i + 1} AS MATERIALIZED (SELECT * FROM w{i} WHERE frame_id NOT IN (SELECT frame_id FROM f{i}))"""
+    found = " UNION ALL ".join(f"SELECT p.* FROM p{i} p JOIN f{i} f ON f.frame_id = p.frame_id AND f.k = p.k" for i in range(len(_rounds())))
+    return f"{text}, c AS (SELECT w0.frame_id, k, px, py, pz FROM w0 LEFT JOIN ({found}) x ON x.frame_id = w0.frame_id), {_oriented_sql('c', 16)}"
 
-    def find(rest, start, end):
-        good = orbit_candidates(rest, 15, 1.0, 3.0, start, end).where(by_pitch(0.2, 1.2))
-        return good.groupBy("frame_id").agg(F.min(F.struct("k", "px", "py", "pz")).alias("c")).select("frame_id", "c.*")
 
-    ids = frames.select("frame_id")
-    return ids.join(_until_found(ids, find, tries), "frame_id", "left").select("frame_id", "k", *_r(px=F.col("px"), py=F.col("py"), pz=F.col("pz")))
+@query("plan_camera_scene", _scene_sql(), "fx_frames", "fx_annotations")
+def plan_camera_scene(frames, annotations, tries: int = TRIES):
+    """A camera in the pitch range, at a radius at which the frame's largest object fills its share of the view, clear of all objects.
 
-
-def camera_scene(frames: DataFrame, annotations: DataFrame, tries: int = TRIES) -> DataFrame:
-    """plan_camera_scene with all tries; only a frame for which each of them fails keeps nulls."""
-    # A frame's objects travel with it, so that candidates are tested where they are made.
+    The first clear one of `tries` draws counts; a frame for which none is clear keeps nulls, where the surveyed code
+    raises an error, and so does one whose largest object has no extent. Only frames that are still without one enter the
+    next round, which is written to the shared folder.
+    """
+    # A frame's objects travel with it, so that draws are tested where they are made.
     objects = annotations.groupBy("frame_id").agg((F.max(F.greatest(F.col("x2") - F.col("x1"), F.col("y2") - F.col("y1"))) / 640.0).alias("d"), F.collect_list(F.struct("pos_x", "pos_y", "pos_z")).alias("objects"))
     hfov, _ = g.field_of_view(F.col("fx"), F.col("img_w"), F.col("img_h"))
-    far = frames.join(objects, "frame_id").select("frame_id", g.fill_distance(F.col("d"), F.lit(0.2), hfov).alias("dist"), "objects")
+    view = [g.fill_distance(F.col("d"), F.lit(fill), hfov).alias(n) for n, fill in zip(("far", "near"), FILL)]
+    every = shared(frames.join(objects, "frame_id").select("frame_id", *view, "objects"))
 
     def clear(o: Column) -> Column:
-        return ~F.coalesce(~(g.norm(g.subtract((o["pos_x"], o["pos_y"], o["pos_z"]), g.cols("px", "py", "pz"))) - 0.05 > 0.5), F.lit(False))
-
-    def find(rest, start, end):
-        good = orbit_candidates(rest, 16, F.col("dist"), 2 * F.col("dist"), start, end).where(by_pitch(0.2, 1.2)).where(F.forall("objects", clear))
-        return good.groupBy("frame_id").agg(F.min(F.struct("k", "px", "py", "pz")).alias("c")).select("frame_id", "c.*")
+        return g.norm(g.subtract((o["pos_x"], o["pos_y"], o["pos_z"]), g.cols("px", "py", "pz"))) - DIAMETER / 2 > CLEARANCE
 
-    return far.select("frame_id").join(_until_found(far, find, tries), "frame_id", "left").select("frame_id", "k", *_r(px=F.col("px"), py=F.col("py"), pz=F.col("pz")))
+    rest, found = every.where("far > 0"), None
+    for start, end in _rounds(tries):
+        draws = camera_draws(rest.withColumn("k", F.explode(F.sequence(F.lit(start), F.lit(end - 1)))), 16, key_of("frame_id", "k"), F.col("near"), F.col("far"))
+        got = shared(draws.where(F.forall("objects", clear)).groupBy("frame_id").agg(F.min(F.struct("k", "px", "py", "pz")).alias("c")).select("frame_id", "c.*"))
+        found = got if found is None else found.unionByName(got)
+        rest = shared(rest.join(got.select("frame_id"), "frame_id", "left_anti"))
+        if rest.isEmpty():
+            break
+    return oriented(every.select("frame_id").join(found, "frame_id", "left"), 16)
 
 
 _OBJ = key_sql("frame_id", "instance_index")
@@ -208,67 +244,65 @@ _OBJ = key_sql("frame_id", "instance_index")
 @query("plan_frustum_pose", f"""WITH v AS (SELECT f.frame_id, instance_index, cam_x, cam_y, cam_z, cam_qx AS qx, cam_qy AS qy, cam_qz AS qz, cam_qw AS qw, 2 * atan(img_w / (2 * fx)) AS hfov, img_w / CAST(img_h AS DOUBLE) AS aspect FROM fx_annotations a JOIN fx_frames f ON a.frame_id = f.frame_id),
  u AS (SELECT *, 0.5e0 + 1.5e0 * {uniform_sql(17, _OBJ, 'r')} AS r, 0.9e0 * (hfov / 2) * (2 * {uniform_sql(17, _OBJ, 'yaw')} - 1) AS yaw, 0.9e0 * (hfov / 2 / aspect) * (2 * {uniform_sql(17, _OBJ, 'pitch')} - 1) AS pitch FROM v),
  c AS (SELECT *, cos(pitch) * sin(yaw) * r AS x, sin(pitch) * r AS y, cos(pitch) * cos(yaw) * r AS z FROM u)
- SELECT frame_id, instance_index, {_rs(wx='cam_x + (1 - 2*(qy*qy + qz*qz))*x + 2*(qx*qy - qz*qw)*y + 2*(qx*qz + qy*qw)*z', wy='cam_y + 2*(qx*qy + qz*qw)*x + (1 - 2*(qx*qx + qz*qz))*y + 2*(qy*qz - qx*qw)*z', wz='cam_z + 2*(qx*qz - qy*qw)*x + 2*(qy*qz + qx*qw)*y + (1 - 2*(qx*qx + qy*qy))*z')} FROM c""", "fx_frames", "fx_annotations")
+ SELECT frame_id, instance_index, {_rs(**{'r' + k: v for k, v in _rotation_sql(17, _OBJ).items()}, wx='cam_x + (1 - 2*(qy*qy + qz*qz))*x + 2*(qx*qy - qz*qw)*y + 2*(qx*qz + qy*qw)*z', wy='cam_y + 2*(qx*qy + qz*qw)*x + (1 - 2*(qx*qx + qz*qz))*y + 2*(qy*qz - qx*qw)*z', wz='cam_z + 2*(qx*qz - qy*qw)*x + 2*(qy*qz + qx*qw)*y + (1 - 2*(qx*qx + qy*qy))*z')} FROM c""", "fx_frames", "fx_annotations")
 def plan_frustum_pose(frames, annotations):
-    """Positions in the camera's view cone, rotated from the camera into the world."""
+    """Positions in the camera's view cone, rotated from the camera into the world, and a uniform rotation."""
     both = annotations.select("frame_id", "instance_index").join(frames, "frame_id")
     key = key_of("frame_id", "instance_index")
     hfov, _ = g.field_of_view(*g.cols("fx", "img_w", "img_h"))
     r = between(uniform(17, key, "r"), 0.5, 2.0)
     yaw = 0.9 * (hfov / 2) * (2 * uniform(17, key, "yaw") - 1)
     pitch = 0.9 * (hfov / 2 / (F.col("img_w") / F.col("img_h"))) * (2 * uniform(17, key, "pitch") - 1)
-    view = both.withColumns({"r": r, "yaw": yaw, "pitch": pitch})
+    view = once(both, r=r, yaw=yaw, pitch=pitch)
     p = (F.cos("pitch") * F.sin("yaw") * F.col("r"), F.sin("pitch") * F.col("r"), F.cos("pitch") * F.cos("yaw") * F.col("r"))
     world = [a + b for a, b in zip(g.cols("cam_x", "cam_y", "cam_z"), g.quat_rotate(g.cols("cam_qx", "cam_qy", "cam_qz", "cam_qw"), p))]
-    return view.select("frame_id", "instance_index", *_r(**dict(zip(("wx", "wy", "wz"), world))))
-
-
-@query("plan_scene_objects", f"""WITH n AS (SELECT max(asset_id) AS top FROM fx_assets), d AS (SELECT frame_id, unnest(range(0, 12)) AS k FROM fx_frames),
- c AS (SELECT frame_id, k, 1 + CAST(floor({uniform_sql(18, key_sql('frame_id', 'k'), 'asset')} * top) AS BIGINT) AS asset_id FROM d, n),
- f AS (SELECT frame_id, c.k, c.asset_id, a.diameter, first_value(a.diameter) OVER (PARTITION BY frame_id ORDER BY c.k) AS d0 FROM c JOIN fx_assets a ON a.asset_id = c.asset_id WHERE a.diameter > 0),
- g AS (SELECT frame_id, asset_id, k, row_number() OVER (PARTITION BY frame_id ORDER BY k) - 1 AS slot FROM (SELECT frame_id, asset_id, min(k) AS k FROM f WHERE abs(diameter - d0) / d0 <= 0.7e0 GROUP BY ALL) u),
- m AS (SELECT frame_id, least(1 + CAST(floor({uniform_sql(18, 'frame_id', 'classes')} * 4) AS BIGINT), max(slot) + 1) AS n_classes FROM g GROUP BY frame_id),
- o AS (SELECT frame_id, n_classes, unnest(range(0, 6)) AS slot FROM m)
- SELECT o.frame_id, CAST(o.slot AS INT) AS slot, g.asset_id FROM o JOIN g ON g.frame_id = o.frame_id AND g.slot = CASE WHEN o.slot < n_classes THEN o.slot ELSE CAST(floor({uniform_sql(18, key_sql('o.frame_id', 'o.slot'), 'copy')} * n_classes) AS BIGINT) END""", "fx_frames", "fx_assets")
-def plan_scene_objects(frames, assets, slots=6, draws=12, ratio=0.7):
-    """slots objects for each frame: 1 to 4 different assets of like size, the rest copies of these."""
-    top = assets.agg(F.max("asset_id").alias("top"))  # one row
-    drawn = frames.select("frame_id", F.explode(F.sequence(F.lit(0), F.lit(draws - 1))).alias("k")).join(F.broadcast(top))
-    drawn = drawn.select("frame_id", "k", (1 + F.floor(uniform(18, key_of("frame_id", "k"), "asset") * F.col("top"))).alias("asset_id"))
-    sized = drawn.join(assets.where("diameter > 0").select("asset_id", "diameter"), "asset_id")
-    w = Window.partitionBy("frame_id").orderBy("k")
-    alike = sized.withColumn("d0", F.first("diameter").over(w)).where(F.abs(F.col("diameter") - F.col("d0")) / F.col("d0") <= ratio)
-    chosen = alike.groupBy("frame_id", "asset_id").agg(F.min("k").alias("k")).withColumn("pick", F.row_number().over(w) - 1)
-    classes = chosen.groupBy("frame_id").agg((F.max("pick") + 1).alias("most")).select("frame_id", F.least((1 + F.floor(uniform(18, "frame_id", "classes") * 4)).cast("int"), "most").alias("n_classes"))
-    each = classes.select("frame_id", "n_classes", F.explode(F.sequence(F.lit(0), F.lit(slots - 1))).alias("slot"))
-    pick = F.when(F.col("slot") < F.col("n_classes"), F.col("slot")).otherwise(F.floor(uniform(18, key_of("frame_id", "slot"), "copy") * F.col("n_classes")))
-    return each.withColumn("pick", pick.cast("int")).join(chosen.select("frame_id", "pick", "asset_id"), ["frame_id", "pick"]).select("frame_id", "slot", "asset_id")
+    turned = dict(zip(("rqx", "rqy", "rqz", "rqw"), random_rotation(17, key)))
+    return view.select("frame_id", "instance_index", *_r(**dict(zip(("wx", "wy", "wz"), world)), **turned))
+
+
+SLOTS, RATIO, DRAWS = 6, 0.7, 96
+
 
+def _objects_sql() -> str:
+    """Draws in two rounds: those of the first for all frames, the others for frames that they don't fill."""
 
-def scene_objects(frames: DataFrame, assets: DataFrame, slots: int = 6, ratio: float = 0.7, tries: int = TRIES) -> DataFrame:
+    def accepted(i: int, source: str, start: int, end: int) -> str:
+        return f"""d{i} AS MATERIALIZED (SELECT frame_id, most, k, a.asset_id, a.diameter FROM (SELECT *, CAST(floor({uniform_sql(18, key_sql('frame_id', 'k'), 'asset')} * (SELECT count(*) FROM sized)) AS BIGINT) AS rank FROM (SELECT *, unnest(range({start}, {end})) AS k FROM {source}) t) u JOIN sized a USING (rank)),
+ b{i} AS (SELECT frame_id, arg_min(diameter, k) AS d0 FROM d{i} GROUP BY frame_id),
+ a{i} AS MATERIALIZED (SELECT * FROM (SELECT d{i}.*, row_number() OVER (PARTITION BY frame_id ORDER BY k) - 1 AS pick FROM d{i} JOIN b{i} USING (frame_id) WHERE abs(diameter - d0) / d0 <= {RATIO}e0) x WHERE pick < most)"""
+
+    return f"""WITH sized AS (SELECT asset_id, diameter, row_number() OVER (ORDER BY asset_id) - 1 AS rank FROM fx_assets WHERE diameter > 0),
+ n AS MATERIALIZED (SELECT frame_id, 1 + CAST(floor({uniform_sql(18, 'frame_id', 'classes')} * {SLOTS}) AS BIGINT) AS most FROM fx_frames), {accepted(0, 'n', 0, DRAWS)},
+ lack AS MATERIALIZED (SELECT * FROM n WHERE frame_id NOT IN (SELECT frame_id FROM a0 GROUP BY frame_id, most HAVING count(*) = most)), {accepted(1, 'lack', 0, TRIES)},
+ picks AS (SELECT frame_id, pick, asset_id FROM a0 WHERE frame_id NOT IN (SELECT frame_id FROM lack) UNION ALL SELECT frame_id, pick, asset_id FROM a1),
+ m AS (SELECT frame_id, max(pick) + 1 AS n_classes FROM picks GROUP BY frame_id), o AS (SELECT frame_id, n_classes, unnest(range(0, {SLOTS})) AS slot FROM m)
+ SELECT o.frame_id, CAST(o.slot AS INT) AS slot, p.asset_id FROM o JOIN picks p ON p.frame_id = o.frame_id AND p.pick = CASE WHEN o.slot < n_classes THEN o.slot ELSE CAST(floor({uniform_sql(18, key_sql('o.frame_id', 'o.slot'), 'copy')} * n_classes) AS BIGINT) END"""
+
+
+@query("plan_scene_objects", _objects_sql(), "fx_frames", "fx_assets")
+def plan_scene_objects(frames, assets, slots: int = SLOTS, ratio: float = RATIO, tries: int = TRIES):
     """slots objects for each frame: 1 to slots picks of like size, the rest copies of these.
 
-    As in the surveyed code a pick is drawn again until its size fits and two picks may be the same asset. Draws come in
-    rounds for the frames that still lack picks. Only a frame that tries draws don't fill has fewer picks, and one for
-    which none of them meets an asset with a diameter has no rows.
+    A pick is drawn again, from all assets that have a diameter, until its size fits that of the first; two picks may be
+    the same asset. Draws come in rounds for the frames that still lack picks. Only a frame that `tries` draws don't fill
+    has fewer picks. Without assets there are no rows.
     """
-    top = shared(assets.agg(F.max("asset_id").alias("top")))  # one row
-    sizes = assets.where("diameter > 0").select("asset_id", "diameter")
+    sizes = shared(ranks(assets.where("diameter > 0"), "asset_id").select("rank", F.col("i").alias("asset_id")).join(assets.select("asset_id", "diameter"), "asset_id"))
+    total = sizes.agg(F.count("*").alias("n"))  # one row
     w = Window.partitionBy("frame_id").orderBy("k")
     rest = shared(frames.select("frame_id", (1 + F.floor(uniform(18, "frame_id", "classes") * slots)).cast("int").alias("most"), F.lit(0).alias("have"), F.lit(None).cast("double").alias("d0")))
-    found, start, end = None, 0, min(2 * slots, tries)
-    while True:
-        drawn = rest.withColumn("k", F.explode(F.sequence(F.lit(start), F.lit(end - 1)))).join(F.broadcast(top))
-        drawn = drawn.withColumn("asset_id", 1 + F.floor(uniform(18, key_of("frame_id", "k"), "asset") * F.col("top")))
-        sized = drawn.join(sizes, "asset_id").withColumn("d0", F.coalesce("d0", F.first("diameter").over(w)))
+    found = None
+    for start, end in _rounds(tries, 2 * slots):
+        drawn = rest.withColumn("k", F.explode(F.sequence(F.lit(start), F.lit(end - 1)))).join(F.broadcast(total))
+        drawn = once(drawn, rank=F.floor(uniform(18, key_of("frame_id", "k"), "asset") * F.col("n")))
+        sized = drawn.join(sizes, "rank").withColumn("d0", F.coalesce("d0", F.first("diameter").over(w)))
         alike = sized.where(F.abs(F.col("diameter") - F.col("d0")) / F.col("d0") <= ratio).withColumn("pick", F.col("have") + F.row_number().over(w) - 1)
         got = shared(alike.where("pick < most").select("frame_id", "pick", "asset_id", F.col("d0").cast("double").alias("d0")))
         found = got if found is None else found.unionByName(got)
         more = got.groupBy("frame_id").agg((F.max("pick") + 1).alias("n"), F.min("d0").alias("d"))
         rest = shared(rest.join(more, "frame_id", "left").select("frame_id", "most", F.coalesce("n", "have").alias("have"), F.coalesce("d0", "d").alias("d0")).where("have < most"))
-        if end >= tries or rest.isEmpty():
+        if rest.isEmpty():
             break
-        start, end = end, min(end * GROWTH, tries)
     classes = found.groupBy("frame_id").agg((F.max("pick") + 1).alias("n_classes"))
     each = classes.select("frame_id", "n_classes", F.explode(F.sequence(F.lit(0), F.lit(slots - 1))).alias("slot"))
     pick = F.when(F.col("slot") < F.col("n_classes"), F.col("slot")).otherwise(F.floor(uniform(18, key_of("frame_id", "slot"), "copy") * F.col("n_classes")))
@@ -279,13 +313,12 @@ def scene_objects(frames: DataFrame, assets: DataFrame, slots: int = 6, ratio: f
  u AS (SELECT *, {uniform_sql(19, 'frame_id', 'pose')} AS u, {TAU}e0 * {uniform_sql(19, 'frame_id', 'yaw')} AS yaw, 1 - 2*(cam_qx*cam_qx + cam_qy*cam_qy) AS dz, 2*(cam_qx*cam_qz + cam_qy*cam_qw) AS dx, 2*(cam_qy*cam_qz - cam_qx*cam_qw) AS dy FROM fx_frames)
  SELECT frame_id, n_nationkey AS pose, {_rs(yaw='yaw', gx='CASE WHEN dz <> 0 THEN cam_x - cam_z / dz * dx END', gy='CASE WHEN dz <> 0 THEN cam_y - cam_z / dz * dy END')} FROM u JOIN w ON u * total >= hi - weight AND u * total < hi""", "fx_frames", "nation")
 def plan_table_pose(frames, nation):
-    """A stable pose by probability, a yaw, and the ground point that the camera looks at. The poses are one object's, a short list."""
-    listed = nation.select("n_nationkey", F.sum(F.col("n_nationkey") + 1).over(Window.orderBy("n_nationkey")).alias("hi"), (F.col("n_nationkey") + 1).alias("weight"), F.sum(F.col("n_nationkey") + 1).over(Window.partitionBy()).alias("total"))
+    """A stable pose by probability, a yaw, and the ground point that the camera looks at."""
     m = g.quat_to_matrix(g.cols("cam_qx", "cam_qy", "cam_qz", "cam_qw"))
     gx, gy = g.ray_ground(g.cols("cam_x", "cam_y", "cam_z"), (m[2], m[5], m[8]))
     drawn = frames.select("frame_id", uniform(19, "frame_id", "pose").alias("u"), *_r(yaw=TAU * uniform(19, "frame_id", "yaw"), gx=gx, gy=gy))
-    met = (F.col("u") * F.col("total") >= F.col("hi") - F.col("weight")) & (F.col("u") * F.col("total") < F.col("hi"))
-    return drawn.join(F.broadcast(listed), met).select("frame_id", F.col("n_nationkey").alias("pose"), "yaw", "gx", "gy")
+    poses = nation.select(F.col("n_nationkey").alias("pose"), (F.col("n_nationkey") + 1).alias("weight"))
+    return pick_by_weight(drawn, poses, "pose").select("frame_id", "pose", "yaw", "gx", "gy")
 
 
 @query("plan_asset_scale", f"SELECT asset_id, round(CASE source WHEN 'SYNTHDET' THEN 0.0254e0 WHEN 'OMNI3D' THEN 0.001e0 ELSE 1.0e0 END * (0.8e0 + 0.4e0 * {uniform_sql(20, 'asset_id', 'scale')}), 6) + 0.0 AS scale FROM fx_assets", "fx_assets")
