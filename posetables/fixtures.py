@@ -89,7 +89,7 @@ def with_tables(sql: str) -> str:
                 need.append(name)
 
     visit(sql)
-    ctes = ", ".join(f"{n} AS ({TABLES[n][0].format(*range(1, 8)).strip()})" for n in need)
+    ctes = ", ".join(f"{n} AS MATERIALIZED ({TABLES[n][0].format(*range(1, 8)).strip()})" for n in need)
     body = sql.strip()
     if not need:
         return body

@@ -81,18 +81,18 @@ _TIPS = {f"{n}{k}": (f"tx + {AXIS}e0 * ({x})", f"ty + {AXIS}e0 * ({y})", f"tz +
 
 
 def _tips_sql() -> str:
-    return ", ".join(f"CASE WHEN {z} > 0.001e0 THEN round(fx*({x})/({z}) + cx, 3) + 0.0 END AS {n}_u, CASE WHEN {z} > 0.001e0 THEN round(fy*({y})/({z}) + cy, 3) + 0.0 END AS {n}_v" for n, (x, y, z) in _TIPS.items())
+    return ", ".join(f"CASE WHEN {z} > 0.001e0 THEN round(fx*({x})/({z}) + cx, 5) + 0.0 END AS {n}_u, CASE WHEN {z} > 0.001e0 THEN round(fy*({y})/({z}) + cy, 5) + 0.0 END AS {n}_v" for n, (x, y, z) in _TIPS.items())
 
 
-@query("geo_project", f"WITH {IN_CAMERA} SELECT frame_id, instance_index, CASE WHEN tz > 0.001e0 THEN round(fx*tx/tz + cx, 3) + 0.0 END AS u, CASE WHEN tz > 0.001e0 THEN round(fy*ty/tz + cy, 3) + 0.0 END AS v, {_tips_sql()} FROM cam", "fx_frames", "fx_annotations")
+@query("geo_project", f"WITH {IN_CAMERA} SELECT frame_id, instance_index, CASE WHEN tz > 0.001e0 THEN round(fx*tx/tz + cx, 5) + 0.0 END AS u, CASE WHEN tz > 0.001e0 THEN round(fy*ty/tz + cy, 5) + 0.0 END AS v, {_tips_sql()} FROM cam", "fx_frames", "fx_annotations")
 def geo_project(frames, annotations):
-    """Image points of an object's centre and of the tips of its axes, to a thousandth of a pixel; null within 1 mm of the image plane."""
+    """Image points of an object's centre and of the tips of its axes, to five digits; null within 1 mm of the image plane."""
     m = g.quat_to_matrix(cols("ox", "oy", "oz", "ow"))
     points = {"": cols("tx", "ty", "tz")} | {f"tip_{k}_": tuple(F.col(t) + AXIS * m[3 * r + c] for r, t in enumerate(("tx", "ty", "tz"))) for c, k in enumerate("xyz")}
     out = []
     for name, p in points.items():
         for axis, image in zip("uv", g.project(p, *cols("fx", "fy", "cx", "cy"))):
-            out.append(F.when(p[2] > 0.001, F.round(image, 3) + 0.0).alias(f"{name}{axis}"))
+            out.append(F.when(p[2] > 0.001, F.round(image, 5) + 0.0).alias(f"{name}{axis}"))
     return in_camera(frames, annotations).select("frame_id", "instance_index", *out)
 
 

@@ -8,15 +8,32 @@ from ..queries import query, r6
 from .projections import MASK, instance_mask
 
 
+def digest(seed: int, key: Column | str, channel: str) -> Column:
+    """32 hexadecimal digits that depend on seed, key and channel only."""
+    key = F.col(key) if isinstance(key, str) else key
+    return F.md5(F.concat_ws("|", F.lit(str(seed)), key.cast("string"), F.lit(channel)).cast("binary"))
+
+
+def digest_sql(seed: int, key: str, channel: str) -> str:
+    return f"md5(concat_ws('|', '{seed}', CAST({key} AS VARCHAR), '{channel}'))"
+
+
+def part_of(digest: Column, part: int) -> Column:
+    """One of a digest's four numbers in [0, 1)."""
+    return F.conv(F.substring(digest, 8 * part + 1, 8), 16, 10).cast("double") / F.lit(4294967296.0)
+
+
+def part_sql(digest: str, part: int) -> str:
+    return f"(CAST(('0x' || substring({digest}, {8 * part + 1}, 8)) AS BIGINT) / 4294967296.0e0)"
+
+
 def uniform(seed: int, key: Column | str, channel: str) -> Column:
     """A number in [0, 1) that depends on seed, key and channel only."""
-    key = F.col(key) if isinstance(key, str) else key
-    digest = F.md5(F.concat_ws("|", F.lit(str(seed)), key.cast("string"), F.lit(channel)).cast("binary"))
-    return F.conv(F.substring(digest, 1, 8), 16, 10).cast("double") / F.lit(4294967296.0)
+    return part_of(digest(seed, key, channel), 0)
 
 
 def uniform_sql(seed: int, key: str, channel: str) -> str:
-    return f"(CAST(('0x' || substring(md5(concat_ws('|', '{seed}', CAST({key} AS VARCHAR), '{channel}')), 1, 8)) AS BIGINT) / 4294967296.0e0)"
+    return part_sql(digest_sql(seed, key, channel), 0)
 
 
 def require_match(left: DataFrame, right: DataFrame, on: list[str]) -> DataFrame:

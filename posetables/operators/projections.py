@@ -48,7 +48,7 @@ def instance_mask(pixels: DataFrame, masks: DataFrame) -> DataFrame:
     return pixels.join(painted, ["frame_id", "y", "x"], "left").select("frame_id", "y", "x", "depth_raw", "depth_scale", F.coalesce("id", F.lit(0)).alias("id"))
 
 
-MASK = """fx_mask AS (SELECT p.frame_id, p.y, p.x, p.depth_raw, p.depth_scale, coalesce(m.id, 0) AS id FROM fx_pixels p LEFT JOIN
+MASK = """fx_mask AS MATERIALIZED (SELECT p.frame_id, p.y, p.x, p.depth_raw, p.depth_scale, coalesce(m.id, 0) AS id FROM fx_pixels p LEFT JOIN
  (SELECT frame_id, y, x, CAST(max(instance_index) + 1 AS INT) AS id FROM fx_masks GROUP BY ALL) m ON p.frame_id = m.frame_id AND p.y = m.y AND p.x = m.x)"""
 
 

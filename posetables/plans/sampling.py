@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions import geometry as g
 from ..storage import shared
-from ..operators.joins import pick_by_weight, uniform, uniform_sql
+from ..operators.joins import digest, digest_sql, part_of, part_sql, pick_by_weight, uniform, uniform_sql
 from ..operators.windows import ranks
 from ..queries import query, r6
 
@@ -167,15 +167,15 @@ def camera_draws(frames: DataFrame, seed: int, key: Column, low: Column | float,
 
     The sine of the pitch is uniform over the band, so that no direction has to be rejected (the origin is at zero).
     """
-    s = between(uniform(seed, key, "pitch"), math.sin(PITCH[0]), math.sin(PITCH[1]))
-    drawn = once(frames, _s=s, _a=TAU * uniform(seed, key, "turn"), _r=between(uniform(seed, key, "radius"), low, high))
+    h, part = once(frames, _h=digest(seed, key, "place")), lambda i: part_of(F.col("_h"), i)
+    drawn = once(h, _s=between(part(0), math.sin(PITCH[0]), math.sin(PITCH[1])), _a=TAU * part(1), _r=between(part(2), low, high)).drop("_h")
     flat = F.sqrt(1 - F.col("_s") * F.col("_s")) * F.col("_r")
     return drawn.withColumns({"px": flat * F.cos("_a"), "py": flat * F.sin("_a"), "pz": F.col("_s") * F.col("_r")}).drop("_s", "_a", "_r")
 
 
 def _draws_sql(source: str, seed: int, key: str, low: str, high: str, more: str = "") -> str:
-    return f"""SELECT frame_id, k{more}, sqrt(1 - s * s) * r * cos(a) AS px, sqrt(1 - s * s) * r * sin(a) AS py, s * r AS pz FROM (SELECT *, {math.sin(PITCH[0])}e0 + {math.sin(PITCH[1]) - math.sin(PITCH[0])}e0 * {uniform_sql(seed, key, 'pitch')} AS s, {TAU}e0 * {uniform_sql(seed, key, 'turn')} AS a,
-   {low} + ({high} - {low}) * {uniform_sql(seed, key, 'radius')} AS r FROM {source}) drawn"""
+    return f"""SELECT frame_id, k{more}, sqrt(1 - s * s) * r * cos(a) AS px, sqrt(1 - s * s) * r * sin(a) AS py, s * r AS pz FROM (SELECT *, {math.sin(PITCH[0])}e0 + {math.sin(PITCH[1]) - math.sin(PITCH[0])}e0 * {part_sql('h', 0)} AS s, {TAU}e0 * {part_sql('h', 1)} AS a,
+   {low} + ({high} - {low}) * {part_sql('h', 2)} AS r FROM (SELECT *, {digest_sql(seed, key, 'place')} AS h FROM {source}) hashed) drawn"""
 
 
 @query("plan_camera_orbit", f"WITH c AS ({_draws_sql('(SELECT frame_id, 0 AS k FROM fx_frames) f', 15, 'frame_id', '1.0e0', '3.0e0')}), {_oriented_sql('c', 15)}", "fx_frames")
@@ -197,6 +197,11 @@ def _rounds(tries: int = TRIES, first: int = FIRST) -> list[tuple[int, int]]:
     return out
 
 
+def spread(rest: DataFrame) -> DataFrame:
+    """The frames of a round over all partitions, however few they are: each makes many draws."""
+    return rest.repartition(int(rest.sparkSession.conf.get("spark.sql.shuffle.partitions")), "frame_id")
+
+
 def _scene_sql() -> str:
     gap = "sqrt((a.pos_x - p.px) * (a.pos_x - p.px) + (a.pos_y - p.py) * (a.pos_y - p.py) + (a.pos_z - p.pz) * (a.pos_z - p.pz))"
     text = f"""WITH big AS (SELECT frame_id, max(greatest(x2 - x1, y2 - y1)) / 640.0e0 AS d, 2 * atan(640 / (2 * any_value(fx))) AS fov FROM fx_annotations JOIN fx_frames USING (frame_id) GROUP BY frame_id),
@@ -227,9 +232,11 @@ def plan_camera_scene(frames, annotations, tries: int = TRIES):
     def clear(o: Column) -> Column:
         return g.norm(g.subtract((o["pos_x"], o["pos_y"], o["pos_z"]), g.cols("px", "py", "pz"))) - DIAMETER / 2 > CLEARANCE
 
-    rest, found = every.where("far > 0"), None
+    # Every place of a frame lies within `far` of the origin: where one object blocks all of that, no draw can be clear.
+    blocks = lambda o: g.norm((o["pos_x"], o["pos_y"], o["pos_z"])) + F.col("far") < CLEARANCE + DIAMETER / 2 - 1e-9
+    rest, found = every.where("far > 0").where(~F.exists("objects", blocks)), None
     for start, end in _rounds(tries):
-        draws = camera_draws(rest.withColumn("k", F.explode(F.sequence(F.lit(start), F.lit(end - 1)))), 16, key_of("frame_id", "k"), F.col("near"), F.col("far"))
+        draws = camera_draws(spread(rest).withColumn("k", F.explode(F.sequence(F.lit(start), F.lit(end - 1)))), 16, key_of("frame_id", "k"), F.col("near"), F.col("far"))
         got = shared(draws.where(F.forall("objects", clear)).groupBy("frame_id").agg(F.min(F.struct("k", "px", "py", "pz")).alias("c")).select("frame_id", "c.*"))
         found = got if found is None else found.unionByName(got)
         rest = shared(rest.join(got.select("frame_id"), "frame_id", "left_anti"))
@@ -293,7 +300,7 @@ def plan_scene_objects(frames, assets, slots: int = SLOTS, ratio: float = RATIO,
     rest = shared(frames.select("frame_id", (1 + F.floor(uniform(18, "frame_id", "classes") * slots)).cast("int").alias("most"), F.lit(0).alias("have"), F.lit(None).cast("double").alias("d0")))
     found = None
     for start, end in _rounds(tries, 2 * slots):
-        drawn = rest.withColumn("k", F.explode(F.sequence(F.lit(start), F.lit(end - 1)))).join(F.broadcast(total))
+        drawn = spread(rest).withColumn("k", F.explode(F.sequence(F.lit(start), F.lit(end - 1)))).join(F.broadcast(total))
         drawn = once(drawn, rank=F.floor(uniform(18, key_of("frame_id", "k"), "asset") * F.col("n")))
         sized = drawn.join(sizes, "rank").withColumn("d0", F.coalesce("d0", F.first("diameter").over(w)))
         alike = sized.where(F.abs(F.col("diameter") - F.col("d0")) / F.col("d0") <= ratio).withColumn("pick", F.col("have") + F.row_number().over(w) - 1)
