@@ -1,8 +1,10 @@
 """Connected components by distributed union-find.
 
-Each task first runs union-find over the edges it holds and gives a star for every local component; large-star
-and small-star rounds (Kiveris et al., 2014) then merge stars until nothing changes. Every round is written to
-the shared folder, so that a lost executor costs one round's tasks. Nothing but two sums reaches the driver.
+Each task first runs union-find over the edges it holds and gives a star for every local component. In a round every
+node then ties its neighbours and itself to the smallest of them, and tasks contract what they hold; when no node that
+has a smaller neighbour has a second one, only stars are left. The rows of a node with many neighbours are those of a
+plain join, which Spark splits where a key is skewed: both of its sides are written first. Every round is written to
+the shared folder, so that a lost executor costs one round's tasks. Nothing but a flag reaches the driver.
 """
 
 from __future__ import annotations
@@ -48,24 +50,17 @@ def connected_components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
 
     Loops and repeated edges don't matter; without edges the result is empty.
     """
-    # distinct() also parts _local from what made the edges, so that no task holds two Python workers.
+    # distinct() deals edges out evenly, and parts _local from what made them, so that no task holds two Python workers.
     e = shared(_local(edges.select("a", "b").where("a <> b").distinct()))
-    before = None
     for _ in range(most_rounds):
         both = e.select("a", "b").union(e.select(e["b"].alias("a"), e["a"].alias("b")))
-        least = both.groupBy("a").agg(F.least(F.col("a"), F.min("b")).alias("m"))
-        large = both.where("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b")
-        least = large.groupBy("a").agg(F.min("b").alias("m"))
-        small = large.join(least, "a").where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
-        e = shared(_local(small.union(least.select("a", F.col("m").alias("b"))).distinct()))
-        now = e.distinct().agg(F.count("*"), F.sum(F.xxhash64("a", "b") % F.lit(1 << 40))).first()
-        if now == before:
-            break
-        before = now
-    else:
-        raise RuntimeError(f"components are not stable after {most_rounds} rounds")
-    stars = e.groupBy("a").agg(F.min("b").alias("b"))
-    return stars.select(F.col("a").alias("node"), F.col("b").alias("component")).union(stars.select("b", "b").distinct())
+        near = both.groupBy("a").agg(F.min("b").alias("low"), F.max("b").alias("high"))
+        near = shared(near.select("a", F.least("a", "low").alias("m"), ((F.col("low") < F.col("a")) & (F.col("high") > F.col("low"))).alias("open")))
+        if near.where("open").isEmpty():
+            return near.select(F.col("a").alias("node"), F.col("m").alias("component"))
+        tied = both.join(near.select("a", "m"), "a").select(F.col("b").alias("a"), F.col("m").alias("b")).union(near.select("a", "m"))
+        e = shared(_local(tied.where("a <> b").distinct()))
+    raise RuntimeError(f"components are not stable after {most_rounds} rounds")
 
 
 def popcount(x: np.ndarray) -> np.ndarray:
