@@ -167,23 +167,54 @@ def test_counterfactual_penalty():
     assert abs(fair[1]) < 0.1 * abs(free[1]) and fair[0] > 1
 
 
-def test_lm(spark, documents, texts):
+def test_lm(spark, documents, texts, monkeypatch):
+    """Scores are those of a plain trie model that backs off word by word."""
+    monkeypatch.setattr(lm, "PIECE", 64)  # long texts are walked in pieces
+    monkeypatch.setattr(lm, "BLOCK_CHARS", 60_000)
     docs = {d: [*(w.decode() for w in t.encode().lower().split()), "</s>"] for d, t in texts.items()}
     held = {d: zlib.crc32(str(d).encode()) % 10 == 0 for d in docs}
-    uni, bi = Counter(), Counter()
+    count = Counter()
     for d, t in docs.items():
         if not held[d]:
-            uni.update(t)
-            bi.update(zip(["<s>", *t], t))
-    n, v, k = sum(uni.values()), len(uni), lm.CONCENTRATION
+            count[("<s>",)] += 1
+            for i in range(len(t)):
+                for k in (1, 2, 3):
+                    if k < 3 or i:
+                        count[tuple((["<s>"] + t)[i + 2 - k : i + 2])] += 1
+    uni = {g[0]: c for g, c in count.items() if len(g) == 1 and g != ("<s>",)}
+    n, v, (k2, k3) = sum(uni.values()), len(uni), lm.CONCENTRATION
+
+    def p(history, w):
+        if not history:
+            return (uni.get(w, 0) + 0.1) / (n + 0.1 * (v + 1))
+        k = k2 if len(history) == 1 else k3
+        return (count[(*history, w)] + k * p(history[1:], w)) / (count[history] + k)
+
+    seen_pieces = 0
     for r in lm.op5_lm_score(spark, SF).collect():
-        t, base, score = docs[r.doc_id], 0.0, 0.0
-        for a, b in zip(["<s>", *t], t):
-            p = (uni[b] + 0.1) / (n + 0.1 * (v + 1))
-            base += np.log10(p)
-            score += np.log10((bi[a, b] + k * p) / (uni["</s>" if a == "<s>" else a] + k))
-        assert (r.held_out, r.n_tokens, r.n_known, r.train_tokens) == (held[r.doc_id], len(t), sum(uni[w] > 0 for w in t), n)
-        assert abs(r.base_score - base) < 1e-6 and abs(r.score - score) < 1e-6
+        t = docs[r.doc_id]
+        line = ["<s>"] + t
+        score = sum(np.log10(p(tuple(line[max(0, i - 1) : i + 1]), w)) for i, w in enumerate(t))
+        base = sum(np.log10(p((), w)) for w in t)
+        seen_pieces += len(t) > 64
+        assert (r.held_out, r.n_tokens, r.n_known, r.train_tokens) == (held[r.doc_id], len(t), sum(w in uni for w in t), n)
+        assert abs(r.base_score - base) < 1e-6 and abs(r.score - score) < 1e-6 and abs(r.token_score * len(t) - r.score) < 1e-9
+    assert seen_pieces > 50
+
+
+def test_automaton_fails_over_and_over():
+    """A walk takes failure arcs down to the root, and weights that leave a state sum to one."""
+    block = lm.Block([b"a b c", b"a b d", b"x b c", b"q"])
+    totals = [np.bincount(block.ids[k][block.inner] if k == 2 else block.ids[k], minlength=len(block.keys[k])).astype(float) for k in range(3)]
+    n, v = int(totals[0].sum()), len(totals[0])
+    model = lm.Automaton(block, totals, n, v, (2.0, 1.0))
+    state = {tuple(t): s for t, s in zip(["ab"], [model.target[model.ids[2][1]]])}["a", "b"]
+    assert model.level[state] == 2 and model.level[model.fail[state]] == 1 and model.fail[model.fail[state]] == 0
+    words = dict(zip(["a", "b", "c", "</s>"], block.ids[0][:4]))
+    seen = sum(10 ** model.weight[model.ids[2][i]] for i in (2, 6))  # c and d after a b
+    assert abs(10 ** model.fail_weight[state] - 1 / 3) < 1e-12 and 0.66 < seen < 1
+    one = model.walk(np.array([0]), np.array([1]))[0]
+    assert abs(one - np.log10((2 + 2 * 10 ** model.weight[words["a"]]) / (4 + 2))) < 1e-12
 
 
 def test_pivot_links():
