@@ -38,7 +38,7 @@ from .common import slices, table, texts_of
 ALPHA = 0.1
 ORDER = 3
 #: Weight of the next lower state's distribution, in tokens, for states of one word and of two.
-CONCENTRATION = (300.0, 30.0)
+CONCENTRATION = (1000.0, 3.0)
 BLOCK_CHARS = 8_000_000
 #: Tokens that are walked in one piece.
 PIECE = 1024
