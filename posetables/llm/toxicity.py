@@ -1,19 +1,21 @@
 """Toxicity by a counterfactual-regularised classifier.
 
-A document is the set of its words (lower case, no ASCII punctuation) and of their beginnings of 4 to 6 bytes, which
-carry over to inflected forms. Features are chosen by chi-square on a bounded sample of labelled rows, and a logistic
-regression is fitted on them. For each sentence of the sample that names a group, the group's term is swapped for
-each other term of its list, and for a bounded number of neutral sentences a mention is put in; the squared change of
-the score under all these swaps is part of the loss, so that naming a group moves no score by itself.
+A text is the set of its words (lower case, no ASCII punctuation) and of their beginnings of 4 to 6 bytes, which carry
+over to inflected forms. Features are chosen by chi-square on a bounded sample of labelled rows; those of identity terms
+always take part. A logistic regression is fitted on the rows. In each sentence of the sample that names a group, the
+group's term is swapped for each other term of its list, and into neutral sentences (of rows without label 1, naming no
+group) each term is put in; the mean squared change of the score, not of the logit, under all swaps and under all
+mentions is part of the loss, so that naming a group moves no score by itself.
 
 Defined results: null and empty texts get the score of the intercept; a document with several labels is toxic if one
 says so; rows without a label are scored and not learned from; with no labels at all, or labels of one kind only, the
-score is the share of label 1 (0.5 if there are none); repeated rows are scored alike; an empty table gives an empty
-result; further columns are ignored.
+score is the share of label 1 (0.5 if there are none); ties of the sample's hash go by doc_id; repeated rows are scored
+alike; an empty table gives an empty result; further columns are ignored. Texts of any length are read whole.
 """
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass
 
 import numpy as np
@@ -22,12 +24,15 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from .common import map_texts, shared, slices, table, texts_of
 
-#: Bound of the sample: so many labelled rows, the first by a hash of doc_id.
+#: Bound of the sample: so many labelled rows, the first by a hash of doc_id, and so many neutral sentences of them.
 SAMPLE_ROWS = 15_000
+SAMPLE_SENTENCES = 400
 FEATURES = 4096
 LEAST_ROWS = 5
 PREFIXES = (4, 5, 6)
 THRESHOLD = 0.7
+#: Weight of the penalty beside the loss.
+FAIRNESS = 20.0
 #: Terms that name groups of people, in lists whose members stand for one another.
 IDENTITY = (
     ("woman", "man"), ("women", "men"), ("girl", "boy"), ("she", "he"), ("her", "his"), ("mother", "father"),
@@ -36,16 +41,21 @@ IDENTITY = (
 )
 _SWAPS = {t.encode(): [u.encode() for u in group if u != t] for group in IDENTITY for t in group}
 _CLEAN = bytes(c + 32 if 65 <= c <= 90 else 32 if c < 128 and not chr(c).isalnum() else c for c in range(256))
+_SENTENCE = re.compile(rb"[.!?\n]+")
 
 
-def words_of(text: str) -> set[bytes]:
-    return set(text.encode().translate(_CLEAN).split())
+def words_of(text: str | bytes) -> set[bytes]:
+    return set((text if isinstance(text, bytes) else text.encode()).translate(_CLEAN).split())
 
 
 def features_of_words(words: set[bytes]) -> set[bytes]:
     return words.union(*({w[:n] + b"*" for w in words if len(w) >= n} for n in PREFIXES))
 
 
+#: Features of the identity terms.
+TERM_FEATURES = sorted(features_of_words(set(_SWAPS)))
+
+
 @dataclass
 class ToxicityModel:
     weights: dict[bytes, float]
@@ -65,36 +75,80 @@ class ToxicityModel:
         return float(1 / (1 + np.exp(-np.clip(self.logit(words_of(text)), -500, 500))))
 
 
+def sentences(text: str) -> list[set[bytes]]:
+    """The words of each sentence that has any."""
+    return [w for part in _SENTENCE.split(text.encode()) if (w := words_of(part))]
+
+
 def counterfactuals(words: set[bytes]) -> list[set[bytes]]:
-    """words with each identity term swapped for each other one of its list."""
-    return [(words - {t}) | {u} for t in words & _SWAPS.keys() for u in _SWAPS[t]]
+    """A sentence's words with each identity term swapped for each other one of its list."""
+    return [(words - {t}) | {u} for t in sorted(words & _SWAPS.keys()) for u in _SWAPS[t]]
+
+
+class Pairs:
+    """Sentences (lists of feature numbers) and their changes: (sentence, features that come, features that go, weight)."""
+
+    def __init__(self, rows: list[list[int]], changes: list[tuple[int, list[int], list[int], float]]):
+        self.n = len(rows)
+        self.at, self.cols = _flat(rows)
+        self.of = np.array([c[0] for c in changes], np.int64)
+        self.swap_at, self.swap_cols = _flat([[*c[1], *c[2]] for c in changes])
+        self.signs = np.array([s for c in changes for s in [1.0] * len(c[1]) + [-1.0] * len(c[2])])
+        self.weight = np.array([c[3] for c in changes], float)
+
+    def penalty(self, w: np.ndarray, b: float) -> tuple[float, np.ndarray, float]:
+        """Weighted sum of squared changes of the score, and its gradient by w and b."""
+        if not len(self.of):
+            return 0.0, np.zeros_like(w), 0.0
+        z = np.bincount(self.at, w[self.cols], self.n) + b
+        y = z[self.of] + np.bincount(self.swap_at, self.signs * w[self.swap_cols], len(self.of))
+        p, q = _sigmoid(z[self.of]), _sigmoid(y)
+        change = q - p
+        dq, dp = 2 * self.weight * change * q * (1 - q), -2 * self.weight * change * p * (1 - p)
+        both = np.bincount(self.of, dq + dp, self.n)
+        g = np.bincount(self.cols, both[self.at], len(w)) + np.bincount(self.swap_cols, self.signs * dq[self.swap_at], len(w))
+        return float((self.weight * change**2).sum()), g, float(both.sum())
+
+
+def _flat(lists) -> tuple[np.ndarray, np.ndarray]:
+    return np.repeat(np.arange(len(lists)), [len(x) for x in lists]), np.concatenate([np.asarray(x, np.int64).reshape(-1) for x in lists] or [np.zeros(0, np.int64)])
 
 
-def fit_logistic(rows: list[list[int]], labels: np.ndarray, changes: list[list[tuple[int, int]]], n: int, l2: float = 2e-4, fairness: float = 1.0, steps: int = 250) -> tuple[np.ndarray, float]:
-    """Weights and intercept for rows of feature numbers; both labels weigh the same in all. changes: for each swap, (feature, +1 or -1) of what it adds and takes."""
-    def flat(lists):
-        return np.repeat(np.arange(len(lists)), [len(x) for x in lists]), np.concatenate([np.asarray(x, np.int64).reshape(-1) for x in lists] or [np.zeros(0, np.int64)])
+def _sigmoid(z: np.ndarray) -> np.ndarray:
+    return 1 / (1 + np.exp(-np.clip(z, -500, 500)))
 
-    at, cols = flat(rows)
-    swap_at, swap_cols = flat([[f for f, _ in c] for c in changes])
-    signs = np.array([s for c in changes for _, s in c], float)
+
+def fit_logistic(rows: list[list[int]], labels: np.ndarray, pairs: Pairs, n: int, l2: float = 2e-4, fairness: float = FAIRNESS, steps: int = 250) -> tuple[np.ndarray, float]:
+    """Weights and intercept for rows of feature numbers; both labels weigh the same in all."""
+    at, cols = _flat(rows)
     share = np.where(labels > 0, 0.5 / max(1, labels.sum()), 0.5 / max(1, (1 - labels).sum()))
     w, b, m, v = np.zeros(n), 0.0, np.zeros(n + 1), np.zeros(n + 1)
     for t in range(1, steps + 1):
-        z = np.bincount(at, w[cols], len(rows)) + b
-        err = (1 / (1 + np.exp(-z)) - labels) * share
-        g = np.bincount(cols, err[at], n) + l2 * w
-        if len(changes):
-            d = np.bincount(swap_at, signs * w[swap_cols], len(changes)) / len(changes)
-            g += 2 * fairness * np.bincount(swap_cols, signs * d[swap_at], n)
-        g = np.append(g, err.sum())
+        err = (_sigmoid(np.bincount(at, w[cols], len(rows)) + b) - labels) * share
+        g, gb = np.bincount(cols, err[at], n) + l2 * w, err.sum()
+        if fairness:
+            _, pg, pb = pairs.penalty(w, b)
+            g, gb = g + fairness * pg, gb + fairness * pb
+        g = np.append(g, gb)
         m, v = 0.9 * m + 0.1 * g, 0.999 * v + 0.001 * g * g
         step = 0.1 * (m / (1 - 0.9**t)) / (np.sqrt(v / (1 - 0.999**t)) + 1e-9)
         w, b = w - step[:-1], b - step[-1]
     return w, b
 
 
-def fit(labelled: DataFrame, features: int = FEATURES) -> ToxicityModel:
+def _bytes(lists: list[list[int]]) -> bytes:
+    """Lists of numbers as one string: their number, their lengths, and all of them."""
+    return np.array([len(lists), *map(len, lists), *(f for x in lists for f in x)], "<i4").tobytes()
+
+
+def _lists(data: bytes) -> list[list[int]]:
+    x = np.frombuffer(data, "<i4")
+    sizes, values = x[1 : 1 + x[0]], x[1 + x[0] :].tolist() if len(x) else []
+    ends = np.cumsum(sizes).tolist()
+    return [values[a:b] for a, b in zip([0, *ends[:-1]], ends)]
+
+
+def fit(labelled: DataFrame, features: int = FEATURES, fairness: float = FAIRNESS, neutral_sentences: int = SAMPLE_SENTENCES) -> ToxicityModel:
     """A model from the sample's text, toxic. The driver gets the chosen features' names and the sample's rows of them."""
     sample = shared(labelled.select("text", "toxic").repartition(int(labelled.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
 
@@ -114,38 +168,56 @@ def fit(labelled: DataFrame, features: int = FEATURES) -> ToxicityModel:
         return ToxicityModel({}, {0.0: -30.0, 0.5: 0.0, 1.0: 30.0}[share])
     sums = sample.mapInArrow(count, "f binary, neg long, pos long").groupBy("f").agg(F.sum("neg").alias("neg"), F.sum("pos").alias("pos")).where(F.col("neg") + F.col("pos") >= LEAST_ROWS)
     chi = (F.col("pos") * n_neg - F.col("neg") * n_pos) ** 2 / ((F.col("pos") + F.col("neg")) * (n_neg + n_pos - F.col("pos") - F.col("neg") + 1))
-    chosen = [bytes(r["f"]) for r in sums.orderBy(chi.desc(), "f").limit(features).collect()]
+    chosen = sorted({bytes(r["f"]) for r in sums.orderBy(chi.desc(), "f").limit(features).collect()} | set(TERM_FEATURES))
     number = {f: i for i, f in enumerate(chosen)}
+    pick = lambda words: sorted(number[f] for f in features_of_words(words) if f in number)
 
     def choose(batches):
-        pick = lambda words: {number[f] for f in features_of_words(words) if f in number}
+        """Rows of the documents, and of the sentences that name a group with what each swap makes of them; all swaps of the sample are kept."""
         for batch in batches:
             for start, _, texts in slices(batch):
-                rows, plus, minus = [], [], []
-                for text in texts:
-                    words = words_of(text)
-                    have = pick(words)
-                    rows.append(sorted(have))
-                    swapped = [pick(x) for x in counterfactuals(words)][:16]  # of one sentence set
-                    plus.append([sorted(x - have) for x in swapped])
-                    minus.append([sorted(have - x) for x in swapped])
-                y = batch.column("toxic").slice(start, len(texts))
-                yield pa.RecordBatch.from_arrays([y, pa.array(rows, pa.list_(pa.int32())), pa.array(plus, pa.list_(pa.list_(pa.int32()))), pa.array(minus, pa.list_(pa.list_(pa.int32())))], names=["toxic", "rows", "plus", "minus"])
-
-    got = sample.mapInArrow(choose, "toxic int, rows array<int>, plus array<array<int>>, minus array<array<int>>").collect()
-    changes = [[(f, 1) for f in p] + [(f, -1) for f in m] for r in got for p, m in zip(r["plus"], r["minus"])]
-    # A mention put into a neutral sentence adds just the features of its term.
-    mention = lambda t: {number[f] for f in features_of_words({t}) if f in number}
-    changes += [[(f, 1) for f in sorted(mention(t))] for t in _SWAPS]
-    w, b = fit_logistic([r["rows"] for r in got], np.array([r["toxic"] for r in got], float), [c for c in changes if c], len(chosen))
+                toxic, rows, named, swaps, neutral = batch.column("toxic").slice(start, len(texts)), [], [], [], []
+                for text, y in zip(texts, toxic.to_pylist()):
+                    rows.append(pick(words_of(text)))
+                    for words in sentences(text):
+                        if changed := counterfactuals(words):
+                            have = pick(words)
+                            for other in map(pick, changed):
+                                named.append(have)
+                                swaps += [sorted(set(other) - set(have)), sorted(set(have) - set(other))]
+                        elif not y:
+                            neutral.append(pick(words))
+                yield pa.RecordBatch.from_arrays([pa.array([toxic.to_numpy().astype("i1").tobytes()]), *(pa.array([_bytes(x)]) for x in (rows, named, swaps, neutral))], names=["toxic", "rows", "named", "swaps", "neutral"])
+
+    got = sample.mapInArrow(choose, "toxic binary, rows binary, named binary, swaps binary, neutral binary").collect()
+    rows, labels = [x for r in got for x in _lists(r["rows"])], np.concatenate([np.frombuffer(r["toxic"], "i1") for r in got]).astype(float)
+    counted: dict[tuple, float] = {}  # equal sentences with equal swaps are one
+    for r in got:
+        swaps = _lists(r["swaps"])
+        for have, plus, minus in zip(_lists(r["named"]), swaps[::2], swaps[1::2]):
+            key = tuple(have), tuple(plus), tuple(minus)
+            counted[key] = counted.get(key, 0.0) + 1
+    distinct = sorted({tuple(x) for r in got for x in _lists(r["neutral"])})
+    some = [distinct[i] for i in np.random.default_rng(4).permutation(len(distinct))[:neutral_sentences]]
+    bases = {x: i for i, x in enumerate(dict.fromkeys([k[0] for k in counted] + some))}
+    total = sum(counted.values())
+    changes = [(bases[have], list(plus), list(minus), 0.5 * c / total) for (have, plus, minus), c in counted.items()]
+    mentions = [pick({t}) for t in _SWAPS]
+    changes += [(bases[x], sorted(set(m) - set(x)), [], 0.5 / (len(some) * len(mentions))) for x in some for m in mentions]
+    w, b = fit_logistic(rows, labels, Pairs([list(x) for x in bases], changes), len(chosen), fairness=fairness)
     return ToxicityModel({f: float(w[i]) for f, i in number.items()}, float(b))
 
 
-def score_toxicity(docs: DataFrame, labels: DataFrame, held_out, sample_rows: int = SAMPLE_ROWS) -> DataFrame:
-    """doc_id, score of every document, learned from labels (doc_id, toxic) where held_out (a Column over doc_id) is false."""
+def labelled_sample(docs: DataFrame, labels: DataFrame, held_out, sample_rows: int = SAMPLE_ROWS) -> DataFrame:
+    """text, toxic of the labelled rows that are not held out, sample_rows labels at most."""
     y = labels.where("toxic in (0, 1) and doc_id is not null").groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.max("toxic").cast("int").alias("toxic"))
     chosen = y.where(~F.coalesce(held_out, F.lit(True))).orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample_rows)
-    model = fit(texts_of(docs).join(F.broadcast(chosen), "doc_id"))  # sample_rows rows at most
+    return texts_of(docs).join(F.broadcast(chosen), "doc_id")  # sample_rows rows at most
+
+
+def score_toxicity(docs: DataFrame, labels: DataFrame, held_out, sample_rows: int = SAMPLE_ROWS, fairness: float = FAIRNESS) -> DataFrame:
+    """doc_id, score of every document, learned from labels (doc_id, toxic) where held_out (a Column over doc_id) is false."""
+    model = fit(labelled_sample(docs, labels, held_out, sample_rows), fairness=fairness)
     return map_texts(docs, lambda texts: [[model.score(t) for t in texts]], "score double")
 
 

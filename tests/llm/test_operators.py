@@ -162,9 +162,46 @@ def test_toxicity(spark):
 def test_counterfactual_penalty():
     r = np.random.default_rng(0)
     rows = [[0, 1] if r.random() < 0.8 else [0] for _ in range(100)] + [[2, 1] if r.random() < 0.1 else [2] for _ in range(100)]
-    labels, swaps = np.array([1.0] * 100 + [0.0] * 100), [[(1, 1)]]
-    free, fair = (toxicity.fit_logistic(rows, labels, swaps, 3, fairness=f)[0] for f in (0.0, 50.0))
-    assert abs(fair[1]) < 0.1 * abs(free[1]) and fair[0] > 1
+    labels, pairs = np.array([1.0] * 100 + [0.0] * 100), toxicity.Pairs([[2]], [(0, [1], [], 1.0)])
+    free, fair = (toxicity.fit_logistic(rows, labels, pairs, 3, fairness=f)[0] for f in (0.0, 1000.0))
+    assert abs(fair[1]) < 0.2 * abs(free[1]) and fair[0] > 1
+    w, b = r.normal(size=3), 0.3
+    pairs = toxicity.Pairs([[0, 2], [1]], [(0, [1], [2], 0.7), (1, [0], [], 0.3), (0, [], [0], 1.0)])
+    _, g, gb = pairs.penalty(w, b)
+    for i in range(3):
+        e = np.eye(3)[i] * 1e-5
+        assert abs((pairs.penalty(w + e, b)[0] - pairs.penalty(w - e, b)[0]) / 2e-5 - g[i]) < 1e-8
+    assert abs((pairs.penalty(w, b + 1e-5)[0] - pairs.penalty(w, b - 1e-5)[0]) / 2e-5 - gb) < 1e-8
+
+
+def test_all_swaps_are_kept():
+    assert len(toxicity.counterfactuals(toxicity.words_of("a black gay christian woman, an old deaf muslim and a young jewish man"))) == 3 + 3 + 5 * 3 + 1 + 1 + 1 + 2 + 1
+
+
+def test_neutral_mentions(spark):
+    """Labels that go with a group's name: the penalty takes false positives on neutral mentions away, and leaves the insults."""
+    r = random.Random(2)
+    plain = ["the bakery opens at nine", "they walked along the river", "a report on trade was read", "the choir sang in the hall", "rain fell over the hills", "music was played till late"]
+    words = ["".join(r.choices("bdfgklmnprst", k=3)) + "ak" for _ in range(40)]  # many insults, each of them rare
+    rude = [f"the {a} {b}" for a, b in zip(words, words[1:])]
+    rows = []
+    for i in range(900):
+        toxic = i % 3 == 0
+        text = [r.choice(plain), r.choice(plain), r.choice(rude) if toxic else r.choice(plain)]
+        if r.random() < (0.9 if toxic else 0.03):
+            text.append(f"muslim immigrants {r.choice(plain)}")
+        r.shuffle(text)
+        rows.append((". ".join(text) + ".", int(toxic)))
+    sample = spark.createDataFrame(rows, "text string, toxic int")
+    mentions = [f"{p}. {t} {u} {p}." for p in plain for t, u in (("muslim", "immigrants"), ("immigrants", "muslim"))]
+    rates = {}
+    for fairness in (0.0, toxicity.FAIRNESS):
+        model = toxicity.fit(sample, fairness=fairness)
+        rates[fairness] = sum(model.score(m) >= 0.5 for m in mentions) / len(mentions)
+        found = sum(model.score(f"{p}. {q}.") >= 0.5 for p in plain for q in rude) / (len(plain) * len(rude))
+        assert found > 0.9 or not fairness
+    print("false positives on neutral mentions without and with the penalty", rates)
+    assert rates[0.0] > 0.3 and rates[toxicity.FAIRNESS] == 0
 
 
 def test_lm(spark, documents, texts, monkeypatch):
