@@ -1,18 +1,23 @@
 """Benchmark decontamination by template canonicalisation.
 
-Words become template tokens: numbers, units and names (capitalised words within a sentence) turn into typed
-placeholders, other words are lower-cased without the punctuation around them. Windows of five template tokens of
-the documents are hash-joined to those of the benchmark. A bit table of all benchmark windows, whose size does not
-depend on the benchmark, first drops windows that no item has; the join decides. A document and an item match if
-80 % of the item's windows are found, or a run of windows that spans min_run words; and the slots must fit: within
-one copy, a value of the item stands for one value of the document (so a re-parameterised question is caught and a
-chance meeting of placeholders is not). Where a value stands for several, only the windows that conflict are dropped:
-windows stay if their words are literally the item's or if their values are those that stand most often for the
-item's, and the longest run that is consistent in itself counts too.
-
-Defined results: null and empty texts match nothing; items of fewer than five template tokens are not searched;
-repeated rows of documents with one doc_id are one document; null doc_id or item_id is a group of its own; an
-empty table on either side gives an empty result; further columns are ignored (contamination) or kept (drop_contaminated).
+Words become template tokens: numbers, units and names (capitalised words; one that begins a sentence is a name unless
+the benchmark has it in lower case) turn into typed placeholders, other words are lower-cased without the punctuation
+around them. Windows of five template tokens of the documents are hash-joined to those of the benchmark. A window
+with fewer than two words that are no placeholders is taken literally, so that tables of numbers don't meet by chance; such
+windows count only for items that have fewer than three others, and those of one value over and over are left out. An
+item of fewer than five tokens is one window, a template if it has three words and literal if not. A bit table of all
+benchmark windows, whose size does not depend on the benchmark, first drops windows that no item has; the join decides.
+
+A document and an item match if 80 % of the item's windows are found, or a run of windows that spans min_run words; and
+the slots must fit: in all of a document and an item, a value of the item stands for one value of the document (so a
+re-parameterised question is caught and a chance meeting of placeholders is not). Where a value stands for several, only
+the windows that conflict are dropped: windows stay if their words are literally the item's or if their values are
+those that stand most often for the item's, and the longest run of a copy that is consistent in itself counts too.
+
+Defined results: null and empty texts match nothing, nor do items without words; repeated rows of documents with one
+doc_id are one document; null doc_id or item_id is a group of its own; an empty table on either side gives an empty
+result; texts of any length are searched whole; of values that stand equally often the literal one counts, then the
+greatest; further columns are ignored (contamination) or kept (drop_contaminated).
 """
 
 from __future__ import annotations
@@ -62,14 +67,16 @@ def is_slot(token: str) -> bool:
 
 
 class Templates:
-    """Template tokens of texts, with a bounded memory of words."""
+    """Template tokens of texts, with a bounded memory of words. known: bit table of the benchmark's lower-case words."""
 
-    def __init__(self):
+    def __init__(self, known: np.ndarray | None = None):
+        self.known = known
         self.clear()
 
     def clear(self) -> None:
         self.ids: dict[bytes, int] = {}
         self.hashes: list[int] = []
+        self.literal: list[int] = []
         self.capital: list[bool] = []
         self.ends: list[bool] = []
         self.slots: list[bool] = []
@@ -78,14 +85,15 @@ class Templates:
         word = raw.decode()
         token, bare = template_token(word), word.strip(_EDGE)
         self.hashes.append(xxhash.xxh64_intdigest(token.encode()))
+        self.literal.append(xxhash.xxh64_intdigest((bare.lower() or word).encode(), 1))
         self.slots.append(is_slot(token))
         self.capital.append(bare[:1].isupper() and bare[1:].islower() and not is_slot(token))
         self.ends.append(word.endswith(_ENDS))
         self.ids[raw] = n = len(self.hashes) - 1
         return n
 
-    def read(self, texts: list[str]) -> tuple[list[list[bytes]], list[np.ndarray], list[np.ndarray]]:
-        """Words of each text, hashes of their template tokens, and which of them are slots."""
+    def read(self, texts: list[str]) -> list[tuple[list[bytes], np.ndarray, np.ndarray, np.ndarray]]:
+        """Of each text the words, hashes of their template tokens, hashes of the words themselves, and which of them are slots."""
         if len(self.hashes) > _CACHE:
             self.clear()
         words, ids, starts = [], [], []
@@ -98,54 +106,115 @@ class Templates:
             starts.append(first[: len(own)])
             get, add = self.ids.get, self._add
             ids.append(np.array([i if (i := get(w)) is not None else add(w) for w in own], np.int64))
-        hashes, capital, ends, slots = np.array(self.hashes, np.uint64), np.array(self.capital, bool), np.array(self.ends, bool), np.array(self.slots, bool)
+        hashes, literal, capital = np.array(self.hashes, np.uint64), np.array(self.literal, np.uint64), np.array(self.capital, bool)
+        ends, slots, out = np.array(self.ends, bool), np.array(self.slots, bool), []
+        # A capitalised word that is nowhere in lower case is a name wherever it stands.
+        always = capital & ~holds(self.known, literal.view(np.int64)) if self.known is not None and len(literal) else np.zeros(len(capital), bool)
         name = np.uint64(xxhash.xxh64_intdigest(b"<name>"))
-        out_h, out_s = [], []
-        for i, first in zip(ids, starts):
+        for own, i, first in zip(words, ids, starts):
+            if not len(i):
+                out.append((own, *(np.zeros(0, np.uint64),) * 2, np.zeros(0, bool)))
+                continue
             fresh = first.copy()
             fresh[1:] |= ends[i[:-1]]
-            is_name = capital[i] & ~fresh if len(i) else np.zeros(0, bool)
-            out_h.append(np.where(is_name, name, hashes[i]) if len(i) else np.zeros(0, np.uint64))
-            out_s.append(slots[i] | is_name if len(i) else is_name)
-        return words, out_h, out_s
+            is_name = capital[i] & ~fresh | always[i]
+            out.append((own, np.where(is_name, name, hashes[i]), literal[i], slots[i] | is_name))
+        return out
 
 
-def window_hashes(tokens: np.ndarray) -> np.ndarray:
-    n = max(0, len(tokens) - WINDOW + 1)
-    h = np.zeros(n, np.uint64)
-    for k in range(WINDOW):
-        h = (h ^ (h >> np.uint64(29))) * _M[k] + tokens[k : k + n]
+def window_hashes(tokens: np.ndarray, size: int = WINDOW, at: np.ndarray | None = None) -> np.ndarray:
+    """Hashes of the windows of so many tokens that begin at each place (or at those given)."""
+    at = np.arange(max(0, len(tokens) - size + 1)) if at is None else at
+    h = np.full(len(at), size, np.uint64)
+    for k in range(size):
+        h = (h ^ (h >> np.uint64(29))) * _M[k] + tokens[at + k]
     return (h ^ (h >> np.uint64(32))).view(np.int64)
 
 
-def _windows(df: DataFrame, key: str, found: np.ndarray | None) -> DataFrame:
-    """key, pos, window, slots (values of the window's slots, space-joined); with found, only windows that the bit table holds."""
+def windows_of(template: np.ndarray, literal: np.ndarray, slots: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(place, hash, whether it is a template) of a text's windows of so many tokens."""
+    n = len(template) - size + 1
+    if n < 1:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, bool)
+    plain = np.cumsum(np.concatenate([[0], ~slots]))
+    is_template = plain[size:] - plain[:-size] >= (2 if size == WINDOW else 3)
+    h, rest = window_hashes(template, size), np.flatnonzero(~is_template)
+    keep = np.ones(n, bool)
+    if len(rest):
+        h[rest] = window_hashes(literal, size, rest) ^ np.int64(0x5DEECE66D)
+        if size == WINDOW:  # a value over and over
+            keep[rest] = np.any([literal[rest] != literal[rest + k] for k in range(1, size)], axis=0)
+    at = np.flatnonzero(keep)
+    return at, h[at], is_template[at]
+
+
+_WINDOWS = "pos long, window long, slots string, size int, template boolean"
+
+
+def _rows(key: str, batch: pa.RecordBatch, start: int, rows: list[tuple]) -> pa.RecordBatch:
+    """rows: (place in the slice, pos, window, slots, size, template)."""
+    columns = list(zip(*rows)) or [()] * 6
+    ids = pa.array([batch.column(0)[start + i].as_py() for i in columns[0]], pa.int64())
+    kinds = (pa.int64(), pa.int64(), pa.string(), pa.int32(), pa.bool_())
+    return pa.RecordBatch.from_arrays([ids, *(pa.array(c, t) for c, t in zip(columns[1:], kinds))], names=[key, "pos", "window", "slots", "size", "template"])
+
+
+def _slot_values(words: list[bytes], slots: np.ndarray, p: int, size: int) -> str:
+    return b" ".join(w if (w := words[p + k].lower().strip(b".,;:!?")) else words[p + k] for k in np.flatnonzero(slots[p : p + size])).decode()
+
+
+def benchmark_words(benchmark: DataFrame) -> DataFrame:
+    """h of each word that the benchmark has in lower case."""
 
     def work(batches):
-        templates = Templates()
+        for batch in batches:
+            found = set()
+            for _, _, texts in slices(batch):
+                found |= {xxhash.xxh64_intdigest(w.encode(), 1) - (1 << 64 if xxhash.xxh64_intdigest(w.encode(), 1) >> 63 else 0) for text in texts for x in text.split() if (w := x.strip(_EDGE)) and w == w.lower()}
+            yield pa.RecordBatch.from_pydict({"h": pa.array(sorted(found), pa.int64())})
+
+    return _items(benchmark).mapInArrow(work, "h long").distinct()
+
+
+def _items(benchmark: DataFrame) -> DataFrame:
+    return benchmark.select(benchmark["item_id"].cast("long").alias("item_id"), F.coalesce(benchmark["text"].cast("string"), F.lit("")).alias("text"))
+
+
+def benchmark_windows(benchmark: DataFrame, known: np.ndarray) -> DataFrame:
+    """item_id, pos, window, slots, size, template of the windows by which each item is searched."""
+
+    def work(batches):
+        templates = Templates(known)
         for batch in batches:
             for start, _, texts in slices(batch):
-                out: dict[str, list] = {key: [], "pos": [], "window": [], "slots": []}
-                words, hashes, slots = templates.read(texts)
-                for i, (w, t, s) in enumerate(zip(words, hashes, slots)):
-                    h = window_hashes(t)
-                    at = np.arange(len(h)) if found is None else np.flatnonzero(holds(found, h))
-                    if not len(at):
-                        continue
-                    for p in at.tolist():
-                        out[key].append(batch.column(0)[start + i].as_py())
-                        out["pos"].append(p)
-                        out["window"].append(h[p])
-                        out["slots"].append(b" ".join(w[p + k].lower().strip(b".,;:!?") or w[p + k] for k in np.flatnonzero(s[p : p + WINDOW])).decode())
-                yield pa.RecordBatch.from_pydict({key: pa.array(out[key], pa.int64()), "pos": pa.array(out["pos"], pa.int64()), "window": pa.array(out["window"], pa.int64()), "slots": pa.array(out["slots"], pa.string())})
+                rows = []
+                for i, (words, template, literal, slots) in enumerate(templates.read(texts)):
+                    size = min(WINDOW, len(words))
+                    at, h, is_template = windows_of(template, literal, slots, size) if size else ([],) * 3
+                    few = sum(is_template) < 3
+                    rows += [(i, p, x, _slot_values(words, slots, p, size) if t else "", size, t) for p, x, t in zip(map(int, at), h, map(bool, is_template)) if t or few]
+                yield _rows("item_id", batch, start, rows)
 
-    return df.mapInArrow(work, f"{key} long, pos long, window long, slots string")
+    return _items(benchmark).mapInArrow(work, f"item_id long, {_WINDOWS}")
 
 
-def benchmark_windows(benchmark: DataFrame) -> DataFrame:
-    """item_id, pos, window, slots of every window of every item."""
-    items = benchmark.select(benchmark["item_id"].cast("long").alias("item_id"), F.coalesce(benchmark["text"].cast("string"), F.lit("")).alias("text"))
-    return _windows(items, "item_id", None)
+def document_windows(docs: DataFrame, known: np.ndarray, found: np.ndarray, sizes: list[int]) -> DataFrame:
+    """doc_id, pos, window, slots, size, template of the documents' windows of these sizes that the bit table holds."""
+
+    def work(batches):
+        templates = Templates(known)
+        for batch in batches:
+            for start, _, texts in slices(batch):
+                rows = []
+                for i, (words, template, literal, slots) in enumerate(templates.read(texts)):
+                    for size in sizes:
+                        at, h, is_template = windows_of(template, literal, slots, size)
+                        for k in np.flatnonzero(holds(found, h)).tolist() if len(h) else []:
+                            p, t = int(at[k]), bool(is_template[k])
+                            rows.append((i, p, h[k], _slot_values(words, slots, p, size) if t else "", size, t))
+                yield _rows("doc_id", batch, start, rows)
+
+    return texts_of(docs).mapInArrow(work, f"doc_id long, {_WINDOWS}")
 
 
 def fitting_windows(places: list[int], pairs: list[list[tuple[str, str]]]) -> tuple[np.ndarray, int]:
@@ -175,34 +244,45 @@ def fitting_windows(places: list[int], pairs: list[list[tuple[str, str]]]) -> tu
     return keep, longest
 
 
+def fitting_pair(shifts: list[int], places: list[int], pairs: list[list[tuple[str, str]]]) -> tuple[np.ndarray, int]:
+    """Which windows of a document and an item stay, and the words of the longest run of a copy (windows at one shift) that is consistent in itself."""
+    copies: dict[int, list[int]] = {}
+    for i in sorted(range(len(shifts)), key=lambda i: places[i]):
+        copies.setdefault(shifts[i], []).append(i)
+    keep, _ = fitting_windows(places, pairs)
+    return keep, max(fitting_windows([places[i] for i in own], [pairs[i] for i in own])[1] for own in copies.values())
+
+
 def _fitting(group: pa.Table) -> pa.Table:
-    """The windows of a copy that stay, and a row without place that has its longest run."""
-    group = group.sort_by("pos")
+    """The windows of a document and an item that stay, and a row without place that has the longest run."""
     pairs = [list(zip(a.split(" "), b.split(" "))) if a else [] for a, b in zip(group["slots"].to_pylist(), group["doc_slots"].to_pylist())]
-    keep, longest = fitting_windows(group["pos"].to_pylist(), pairs)
+    keep, longest = fitting_pair(group["shift"].to_pylist(), group["pos"].to_pylist(), pairs)
     kept, one = group.filter(pa.array(keep)), group.slice(0, 1)
-    kept = kept.select(["doc_id", "item_id", "pos", "window"]).append_column("run", pa.nulls(len(kept), pa.int64()))
+    kept = kept.select(["doc_id", "item_id", "pos", "window", "size"]).append_column("run", pa.nulls(len(kept), pa.int64()))
     none = pa.nulls(1, pa.int64())
-    return pa.concat_tables([kept, pa.Table.from_arrays([one["doc_id"], one["item_id"], none, none, pa.array([longest], pa.int64())], schema=kept.schema)])
+    return pa.concat_tables([kept, pa.Table.from_arrays([one["doc_id"], one["item_id"], none, none, one["size"], pa.array([longest], pa.int64())], schema=kept.schema)])
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame, share: float = SHARE, min_run: int = MIN_RUN) -> DataFrame:
     """doc_id, item_id, matched and n_windows (distinct windows of the item), longest_run (words) of each matching pair."""
-    items = benchmark_windows(benchmark)
+    known = bit_table(benchmark_words(benchmark), "h")
+    items = shared(benchmark_windows(benchmark, known))
+    lengths = [r["size"] for r in items.select("size").distinct().collect()]  # 1 to WINDOW
     sizes = items.groupBy("item_id").agg(F.countDistinct("window").alias("n_windows"))
-    hits = shared(_windows(texts_of(docs), "doc_id", bit_table(items, "window")).select("doc_id", "window", F.col("pos").alias("doc_pos"), F.col("slots").alias("doc_slots")))
-    met = hits.join(items, "window").withColumn("shift", F.col("doc_pos") - F.col("pos"))
-    # Windows at one shift are one copy of the item; there each value of the item must stand for one value of the document.
-    slots = met.where("slots <> ''").select("doc_id", "item_id", "shift", F.explode(F.arrays_zip(F.split("slots", " ").alias("a"), F.split("doc_slots", " ").alias("b"))).alias("s"))
-    misfit = slots.groupBy("doc_id", "item_id", "shift", "s.a").agg(F.min("s.b").alias("low"), F.max("s.b").alias("high")).where("low <> high").select("doc_id", "item_id", "shift").distinct()
-    same = F.expr("p.doc_id <=> m.doc_id and p.item_id <=> m.item_id and p.shift = m.shift")
-    whole = met.alias("p").join(misfit.alias("m"), same, "left_anti").select("doc_id", "item_id", "pos", "window", F.lit(None).cast("long").alias("run"))
-    mixed = met.alias("p").join(misfit.alias("m"), same, "left_semi").select("doc_id", "item_id", "shift", "pos", "window", "slots", "doc_slots")
-    fits = whole.unionByName(mixed.groupBy("doc_id", "item_id", "shift").applyInArrow(_fitting, "doc_id long, item_id long, pos long, window long, run long"))
-    places = fits.groupBy("doc_id", "item_id", "pos").agg(F.first("window").alias("window"), F.max("run").alias("run"))
+    doc = document_windows(docs, known, bit_table(items, "window"), sorted(lengths))
+    hits = shared(doc.select("doc_id", "window", F.col("pos").alias("doc_pos"), F.col("slots").alias("doc_slots")))
+    met = hits.join(items.drop("template"), "window").withColumn("shift", F.col("doc_pos") - F.col("pos"))
+    # Within a document and an item, each value of the item must stand for one value of the document.
+    slots = met.where("slots <> ''").select("doc_id", "item_id", F.explode(F.arrays_zip(F.split("slots", " ").alias("a"), F.split("doc_slots", " ").alias("b"))).alias("s"))
+    misfit = slots.groupBy("doc_id", "item_id", "s.a").agg(F.min("s.b").alias("low"), F.max("s.b").alias("high")).where("low <> high").select("doc_id", "item_id").distinct()
+    same = F.expr("p.doc_id <=> m.doc_id and p.item_id <=> m.item_id")
+    whole = met.alias("p").join(misfit.alias("m"), same, "left_anti").select("doc_id", "item_id", "pos", "window", "size", F.lit(None).cast("long").alias("run"))
+    mixed = met.alias("p").join(misfit.alias("m"), same, "left_semi").select("doc_id", "item_id", "shift", "pos", "window", "size", "slots", "doc_slots")
+    fits = whole.unionByName(mixed.groupBy("doc_id", "item_id").applyInArrow(_fitting, "doc_id long, item_id long, pos long, window long, size int, run long"))
+    places = fits.groupBy("doc_id", "item_id", "pos").agg(F.first("window").alias("window"), F.max("run").alias("run"), F.max("size").alias("size"))
     by_pair = Window.partitionBy("doc_id", "item_id").orderBy("pos")  # at most the item's windows
-    runs = places.withColumn("island", F.col("pos") - F.row_number().over(by_pair)).groupBy("doc_id", "item_id", "island").agg(F.count("pos").alias("n"), F.collect_set("window").alias("w"), F.max("run").alias("run"))
-    pairs = runs.groupBy("doc_id", "item_id").agg(F.greatest(F.max("n") + WINDOW - 1, F.max("run")).alias("longest_run"), F.size(F.array_distinct(F.flatten(F.collect_list("w")))).cast("long").alias("matched"))
+    runs = places.withColumn("island", F.col("pos") - F.row_number().over(by_pair)).groupBy("doc_id", "item_id", "island").agg(F.count("pos").alias("n"), F.collect_set("window").alias("w"), F.max("run").alias("run"), F.max("size").alias("size"))
+    pairs = runs.groupBy("doc_id", "item_id").agg(F.greatest(F.max("n") + F.max("size") - 1, F.max("run")).alias("longest_run"), F.size(F.array_distinct(F.flatten(F.collect_list("w")))).cast("long").alias("matched"))
     found = pairs.alias("p").join(sizes.alias("s"), F.expr("p.item_id <=> s.item_id")).where((F.col("matched") >= share * F.col("n_windows")) | (F.col("longest_run") >= min_run))
     return found.select("doc_id", F.col("p.item_id").alias("item_id"), "matched", "n_windows", "longest_run")
 

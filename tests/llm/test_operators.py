@@ -353,7 +353,8 @@ def test_decontamination(spark):
     unfit = twice.replace("5", "8", 1)
     bench = spark.createDataFrame([(1, twice)], "item_id long, text string")
     docs = spark.createDataFrame([(1, twice.replace("5", "9")), (2, unfit)], "doc_id long, text string")
-    assert [r.doc_id for r in decontaminate.contamination(docs, bench).collect()] == [1]
+    # 15 words of the second document are the item's own, so only its first value's windows go
+    assert sorted(r.doc_id for r in decontaminate.contamination(docs, bench).collect()) == [1, 2]
 
 
 def test_decontamination_keeps_what_fits(spark):
@@ -368,6 +369,44 @@ def test_decontamination_keeps_what_fits(spark):
     assert got[2, 2].longest_run == 15
 
 
+def found_pairs(spark, items, docs):
+    bench, docs = (spark.createDataFrame(list(enumerate(x, 1)), f"{k} long, text string") for x, k in ((items, "item_id"), (docs, "doc_id")))
+    return sorted((r.doc_id, r.item_id) for r in decontaminate.contamination(docs, bench).collect())
+
+
+def test_short_items(spark):
+    docs = ["As for the stage, I ask you: Who wrote Hamlet? Nobody knows.", "who wrote letters", "We gave 12 boxes of 3 today", "gave 9 boxes of 7", "it is a yes from me"]
+    assert found_pairs(spark, ["Who wrote Hamlet?", "gave 4 boxes of", "", None, "5 5 5"], docs) == [(1, 1), (3, 2), (4, 2)]
+
+
+def test_names_that_begin_sentences(spark):
+    item = "Alice has 5 apples. Bob gives her 3 apples more. How many apples does Alice hold at the end of this day?"
+    other = item.replace("Alice", "Tom").replace("Bob", "Sue").replace("5", "9").replace("3", "4")
+    assert found_pairs(spark, [item], [f"First. {other} Last.", other.replace("Tom hold", "Jim hold"), other.replace("apples", "pears")]) == [(1, 1), (2, 1)]
+
+
+def test_values_fit_across_copies(spark):
+    """Windows at different places don't add up to a match unless a value stands for one value in all of them."""
+    item = "mix 10 grams of salt with 20 grams of lime and then 30 grams of zinc"
+    apart = ["mix 1 grams of salt with", "word", "of salt with 2 grams of", "word word", "grams of lime and then 5 grams of zinc"]
+    assert found_pairs(spark, [item], [" ".join(apart), item.replace("10", "7").replace("20", "8").replace("30", "9")])[-1] == (2, 1)
+    assert decontaminate.fitting_pair([0, 3, 3, 6], [0, 1, 2, 3], [[("5", "5")], [("5", "6")], [("5", "6")], []])[0].tolist() == [True, True, True, True]
+    assert decontaminate.fitting_pair([0, 3, 3, 6], [0, 1, 2, 3], [[("5", "7")], [("5", "6")], [("5", "6")], []])[0].tolist() == [False, True, True, True]
+
+
+def test_tables_of_numbers(spark):
+    """Numbers meet literally, not by their placeholders, so hits grow in proportion."""
+    r = random.Random(1)
+    numbers = [" ".join(str(r.randrange(10**6)) for _ in range(n)) for n in (200, 8000)]
+    assert found_pairs(spark, [numbers[0], "0 " * 300], [numbers[1], f"see {numbers[0]} there", "0 " * 9000]) == [(2, 1)]
+    bench, docs = (spark.createDataFrame([(1, x)], f"{k} long, text string") for x, k in ((numbers[0], "item_id"), (numbers[1], "doc_id")))
+    known = np.zeros(1 << 18, np.uint64)
+    items = decontaminate.benchmark_windows(bench, known)
+    from posetables.llm.bits import bit_table
+
+    assert decontaminate.document_windows(docs, known, bit_table(items, "window"), [5]).count() < 10
+
+
 def test_fitting_windows():
     fit = lambda places, pairs: (lambda keep, longest: (keep.tolist(), longest))(*decontaminate.fitting_windows(places, pairs))
     pairs = [[("a", "x")]] * 9 + [[("a", "x"), ("a", "y")]] + [[("a", "y")]] * 12
