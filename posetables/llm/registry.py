@@ -17,4 +17,4 @@ QUERIES = {
     "op10_decontaminate": decontaminate.op10_decontaminate,
 }
 
-ORACLE_SQL: dict[str, str] = {"op9_quality_rules": quality.OP9_SQL}
+ORACLE_SQL: dict[str, str] = {"op1_secret_scan": secrets.OP1_SQL, "op9_quality_rules": quality.OP9_SQL}
