@@ -2,17 +2,20 @@
 
 A line is normalised (trimmed, white space collapsed, A-Z lowered) and ended by SHINGLE - 1 blank marks, so that a
 line of n characters has n shingles of SHINGLE characters. Each distinct line gets one-permutation MinHash
-minima, empty bins filled from full ones (optimal densification; Shrivastava, 2017), cut into BANDS bands of ROWS (recall 0.995 at a Jaccard
-similarity of 0.8, above 0.9999999 at 0.9; short shingles make unrelated lines more alike, so a band has eight rows). Equal lines count once. Lines that buckets connect form a group, whose
-texts are shipped once; all pairs of a group are verified, by rows of bits over the shingles that the group has. A
-group of more than TILE lines or TILE_CHARS characters is dealt out as pairs of tiles, and a task gives a spanning
-forest of its links. Links need an exact Jaccard similarity of THRESHOLD over the shingle sets. Components of the
-verified links come from distributed union-find. The first line of each component by doc_id and line number stays.
+minima, empty bins filled from full ones (optimal densification; Shrivastava, 2017), cut into BANDS bands of ROWS (recall
+0.995 at a Jaccard similarity of 0.8, above 0.9999999 at 0.9; short shingles make unrelated lines more alike, so a band
+has eight rows). Equal lines count once. Lines with a band in common are a bucket. First each line is verified against
+the smallest hash of each of its buckets, and union-find joins what is linked. Then, in buckets whose lines are not yet
+one component, all pairs of different components are verified, by rows of bits over the shingles met there; a bucket of
+more than TILE lines or TILE_CHARS characters is dealt out as pairs of tiles, and a task gives a spanning forest of its
+links. So no link between lines of a bucket is lost, and pairs are never tried beyond a bucket. Links need an exact
+Jaccard similarity of THRESHOLD over the shingle sets. The first line of each component by doc_id and line number stays.
 
 Defined results: null and empty texts have one blank line; blank lines are never duplicates and stay; rows with
 the same doc_id share their places, so equal lines at the same place of such rows all stay or all go; lines of rows
-with a null doc_id come after all others; an empty table gives an empty result; further columns are ignored
-(line_report) or kept (dedup_lines).
+with a null doc_id come after all others; an empty table gives an empty result; texts and
+lines of any length are read whole; further columns are ignored (line_report) or kept (dedup_lines). Lines are equal if
+their 64-bit hashes are: with 1e9 distinct lines the chance that any two collide is 0.03.
 """
 
 from __future__ import annotations
@@ -228,28 +231,43 @@ def similar_pairs(lines: list[str], threshold: float = THRESHOLD) -> list[tuple[
     return list(zip(i.tolist(), j.tolist()))
 
 
-def _verify(threshold: float):
-    """Spanning links a, b of each run of rows with the same (k, pa, pb): the pairs with the similarity."""
-    keys = ["k", "pa", "pb"]
+def _verify_star(threshold: float):
+    """Of rows a, b, left, right those whose lines are similar."""
+
+    def work(batches):
+        for batch in batches:
+            keep = []
+            for x, y in zip(batch.column("left").to_pylist(), batch.column("right").to_pylist()):
+                keep.append(len(similar_pairs([x, y], threshold)) > 0)
+            yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], names=["a", "b"]).filter(pa.array(keep, pa.bool_()))
+
+    return work
 
-    def links(hashes: list[int], lines: list[str]) -> tuple[list[int], list[int]]:
-        found = similar_pairs(lines, threshold) if len(lines) > 1 else []
-        return spanning_stars([hashes[i] for i, _ in found], [hashes[j] for _, j in found])
+
+def _verify_buckets(threshold: float):
+    """Spanning links a, b of the components of each run of rows with the same (key, pa, pb)."""
+    keys = ["key", "pa", "pb"]
+
+    def links(comps: list[int], lines: list[str]) -> tuple[list[int], list[int]]:
+        if len(set(comps)) < 2:
+            return [], []
+        found = [(comps[i], comps[j]) for i, j in similar_pairs(lines, threshold) if comps[i] != comps[j]]
+        return spanning_stars([x for x, _ in found], [y for _, y in found])
 
     def work(batches):
-        key, hashes, lines = None, [], []
+        key, comps, lines = None, [], []
         for batch in batches:
             a, b = [], []
-            for *own, h, line in zip(*(batch.column(c).to_pylist() for c in [*keys, "h", "line"])):
+            for *own, c, line in zip(*(batch.column(n).to_pylist() for n in [*keys, "c", "line"])):
                 if own != key:
-                    x, y = links(hashes, lines)
+                    x, y = links(comps, lines)
                     a += x
                     b += y
-                    key, hashes, lines = own, [], []
-                hashes.append(h)
+                    key, comps, lines = own, [], []
+                comps.append(c)
                 lines.append(line)
             yield pa.RecordBatch.from_pydict({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
-        a, b = links(hashes, lines)
+        a, b = links(comps, lines)
         yield pa.RecordBatch.from_pydict({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
     return work
@@ -257,17 +275,28 @@ def _verify(threshold: float):
 
 def line_components(docs: DataFrame, lines: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """h, component of distinct lines that have a near duplicate. lines: _lines(docs), written."""
+    n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     banded = lines.where("size(bands) > 0").select("h", F.explode("bands").alias("key"))
     members = shared(_bucket_members(banded))
-    star = members.join(members.groupBy("key").agg(F.min("h").alias("low")), "key").where("h <> low").select(F.col("h").alias("a"), F.col("low").alias("b"))
-    met = connected_components(star).select(F.col("node").alias("h"), F.col("component").alias("k"))  # groups of lines that buckets connect
-    texts = shared(_texts(docs, met.select("h")).join(met, "h"))
-    tiles = texts.groupBy("k").agg(F.greatest(F.ceil(F.count("*") / TILE), F.ceil(F.sum(F.length("line")) / TILE_CHARS)).cast("int").alias("tiles"))
-    placed = texts.join(tiles, "k").withColumn("tile", F.pmod(F.xxhash64("h"), F.col("tiles")).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)))
-    dealt = placed.select("k", F.least("tile", "other").alias("pa"), F.greatest("tile", "other").alias("pb"), "h", "line")
-    n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    links = dealt.repartition(n, "k", "pa", "pb").sortWithinPartitions("k", "pa", "pb").mapInArrow(_verify(threshold), "a long, b long")
-    return connected_components(links).select(F.col("node").alias("h"), "component")
+    texts = shared(_texts(docs, members.select("h")).join(members.select("h").distinct(), "h", "left_semi"))
+    low = members.groupBy("key").agg(F.min("h").alias("low"))
+    star = members.join(low, "key").where("h <> low").select(F.col("h").alias("a"), F.col("low").alias("b")).distinct()
+    named = lambda k, name: texts.select(F.col("h").alias(k), F.col("line").alias(name))
+    first = star.join(named("a", "left"), "a").join(named("b", "right"), "b").repartition(n).mapInArrow(_verify_star(threshold), "a long, b long")
+    found = shared(connected_components(first))
+    placed = shared(members.join(found, F.col("h") == F.col("node"), "left").select("key", "h", F.coalesce("component", "h").alias("c")))
+    # Buckets that hold several components: only there can a link be missing.
+    open_ = placed.groupBy("key").agg(F.min("c").alias("low"), F.max("c").alias("high"), F.count("*").alias("n")).where("low <> high and n > 2").select("key")
+    inside = shared(placed.join(open_, "key").join(texts, "h"))
+    tiles = inside.groupBy("key").agg(F.greatest(F.ceil(F.count("*") / TILE), F.ceil(F.sum(F.length("line")) / TILE_CHARS)).cast("int").alias("tiles"))
+    split = inside.join(tiles, "key").withColumn("tile", F.pmod(F.xxhash64("h"), F.col("tiles")).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)))
+    dealt = split.select("key", F.least("tile", "other").alias("pa"), F.greatest("tile", "other").alias("pb"), "c", "line")
+    links = dealt.repartition(n, "key", "pa", "pb").sortWithinPartitions("key", "pa", "pb").mapInArrow(_verify_buckets(threshold), "a long, b long")
+    merged = connected_components(links)  # of components
+    whole = found.join(merged.select(F.col("node").alias("component"), F.col("component").alias("top")), "component", "left").select(F.col("node").alias("h"), F.coalesce("top", "component").alias("component"))
+    # Lines that were alone until they met in a bucket.
+    alone = merged.join(found.select("node"), "node", "left_anti").select(F.col("node").alias("h"), "component")
+    return whole.unionByName(alone)
 
 
 def dropped_lines(docs: DataFrame, lines: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
