@@ -5,7 +5,8 @@ rejections per second, and a document's first rejection ends its cascade. A docu
 rejects it, so the order changes the time and never the verdict.
 
 Defined results: a null or empty text has no words and fails too_few_words; repeated rows are judged one by
-one; an empty table gives an empty result; further columns are ignored (quality_report) or carried (keep_good).
+one; ties between rules go by their place; an empty table gives an empty result; texts of any length are read whole; further
+columns are ignored (quality_report) or carried (keep_good).
 """
 
 from __future__ import annotations
@@ -105,8 +106,12 @@ RULES = (
 )
 
 
-def rule_costs(docs: DataFrame, rules: tuple[Rule, ...] = RULES, fraction: float = 0.01, seed: int = 7) -> dict[str, tuple[float, float]]:
-    """rule -> (seconds a text, share of texts that it rejects), each rule run on all of a sample.
+#: Bound of the sample from which costs and selectivities come, in documents.
+SAMPLE_DOCUMENTS = 4000
+
+
+def rule_costs(docs: DataFrame, rules: tuple[Rule, ...] = RULES, most: int = SAMPLE_DOCUMENTS, seed: int = 7) -> dict[str, tuple[float, float]]:
+    """rule -> (seconds a text, share of texts that it rejects), each rule run on all of a sample of about `most` documents.
 
     A task gives a row for each rule, so the driver gets a few sums.
     """
@@ -127,6 +132,7 @@ def rule_costs(docs: DataFrame, rules: tuple[Rule, ...] = RULES, fraction: float
         if n:
             yield pa.RecordBatch.from_pydict({"rule": list(spent), "seconds": list(spent.values()), "rejected": list(hits.values()), "n": [n] * len(spent)})
 
+    fraction = min(1.0, most / max(1, docs.count()))
     sampled = texts_of(docs).sample(fraction=fraction, seed=seed).mapInArrow(work, "rule string, seconds double, rejected long, n long")
     found = {r["rule"]: (r["s"] / r["n"], r["r"] / r["n"]) for r in sampled.groupBy("rule").agg(F.sum("seconds").alias("s"), F.sum("rejected").alias("r"), F.sum("n").alias("n")).collect()}
     return {r.name: found.get(r.name, (1.0, 0.0)) for r in rules}
@@ -141,9 +147,9 @@ def passes(features: Features, ordered: tuple[Rule, ...]) -> bool:
     return not any(rule.rejects(features) for rule in ordered)
 
 
-def quality_report(docs: DataFrame, rules: tuple[Rule, ...] = RULES, fraction: float = 0.01) -> DataFrame:
+def quality_report(docs: DataFrame, rules: tuple[Rule, ...] = RULES, most: int = SAMPLE_DOCUMENTS) -> DataFrame:
     """doc_id, the counts of the text, base_failed, and kept: what the cascade says."""
-    ordered = cascade_order(rule_costs(docs, rules, fraction), rules)
+    ordered = cascade_order(rule_costs(docs, rules, most), rules)
     base = tuple(r for r in rules if r.base)
 
     def columns(texts: list[str]) -> list:
@@ -157,9 +163,9 @@ def quality_report(docs: DataFrame, rules: tuple[Rule, ...] = RULES, fraction: f
     return map_texts(docs, columns, "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, base_failed boolean, kept boolean")
 
 
-def keep_good(docs: DataFrame, rules: tuple[Rule, ...] = RULES, fraction: float = 0.01) -> DataFrame:
+def keep_good(docs: DataFrame, rules: tuple[Rule, ...] = RULES, most: int = SAMPLE_DOCUMENTS) -> DataFrame:
     """docs without the documents that a rule rejects, with all their columns."""
-    ordered = cascade_order(rule_costs(docs, rules, fraction), rules)
+    ordered = cascade_order(rule_costs(docs, rules, most), rules)
     at = docs.columns.index("text")
 
     def work(batches):
