@@ -11,7 +11,8 @@ that it found, never its pairs. Components come from distributed union-find.
 
 Defined results: a null, empty or blank text has fingerprint zero and is linked like any other; rows with the
 same doc_id are rows of their own; a null doc_id keeps its row and never names a component unless all of its
-component's ids are null; an empty table gives an empty result; other columns are ignored.
+component's ids are null; an empty table gives an empty result; texts of any length are read whole; other
+columns are ignored.
 """
 
 from __future__ import annotations
@@ -94,14 +95,22 @@ def pivot_links(fps: np.ndarray, side: np.ndarray | None, max_bits: int = MAX_BI
     return (np.concatenate(out_i), np.concatenate(out_j)) if out_i else (np.zeros(0, np.int64),) * 2
 
 
+def pivots_allow(x: np.ndarray, y: np.ndarray, max_bits: int = MAX_BITS, pivots: np.ndarray = PIVOTS) -> np.ndarray:
+    """Which pairs x[i], y[i] are within max_bits: those that no pivot discards are verified."""
+    keep = np.arange(len(x))
+    for p in pivots:
+        far = np.abs(popcount(x[keep] ^ p).astype(np.int16) - popcount(y[keep] ^ p).astype(np.int16)) > max_bits
+        keep = keep[~far]
+    out = np.zeros(len(x), bool)
+    out[keep] = popcount(x[keep] ^ y[keep]) <= max_bits
+    return out
+
+
 def _bucket_links(max_bits: int):
     def links(rows: dict[str, np.ndarray]) -> tuple[list[int], list[int]]:
         fps = rows["fp"]
         if len(fps) < 2:
             return [], []
-        if len(fps) == 2:
-            near = popcount((fps[:1] ^ fps[1:]).view(np.uint64))[0] <= max_bits
-            return ([int(fps[0])], [int(fps[1])]) if near else ([], [])
         side = rows["tile"] if rows["pa"][0] != rows["pb"][0] else None
         i, j = pivot_links(fps.view(np.uint64), side, max_bits)
         return spanning_stars(fps[i].tolist(), fps[j].tolist())
@@ -120,7 +129,14 @@ def _bucket_links(max_bits: int):
             cut = np.flatnonzero(np.logical_or.reduce([cols[c][1:] != cols[c][:-1] for c in keys])) + 1
             starts = np.concatenate([[0], cut, [n]])
             a, b = [], []
+            twos = starts[:-2][np.diff(starts[:-1]) == 2]  # buckets of two, all at once
+            x, y = cols["fp"][twos], cols["fp"][twos + 1]
+            near = pivots_allow(x.view(np.uint64), y.view(np.uint64), max_bits) if len(twos) else np.zeros(0, bool)
+            a += x[near].tolist()
+            b += y[near].tolist()
             for s, e in zip(starts[:-2], starts[1:-1]):
+                if e - s == 2:
+                    continue
                 x, y = links({c: v[s:e] for c, v in cols.items()})
                 a += x
                 b += y
@@ -152,7 +168,7 @@ def simhash_components(docs: DataFrame, max_bits: int = MAX_BITS, blocks: int =
     distinct = fps.groupBy("fp").agg(F.min("doc_id").alias("least"))
     found = connected_components(fingerprint_links(distinct.select("fp"), max_bits, blocks))
     placed = shared(distinct.join(found, distinct["fp"] == found["node"], "left").select("fp", "least", F.coalesce("component", "fp").alias("root")))
-    names = placed.groupBy("root").agg(F.min("least").alias("component_id"))
+    names = shared(placed.groupBy("root").agg(F.min("least").alias("component_id")))  # so that Spark can split a large component
     by_fp = placed.join(names, "root").select("fp", "component_id")
     return fps.join(by_fp, "fp").select("doc_id", "fp", "component_id")
 
