@@ -1,17 +1,16 @@
 """BPE encoding and decoding with content-defined chunk reuse.
 
 A rolling hash over the last WINDOW characters cuts a text where its low bits are zero, so that documents that
-share a passage share its chunks, wherever the passage stands. A task encodes each chunk once and reuses the ids
-for every document in which it comes again. A chunk's ends are not trusted: a space before a character that is
-no white space always starts a pre-token of byte-level BPE, whatever stands around it, so ids agree with those of the
-whole text between a chunk's first and last such place. From the last one of the left chunk to the first one of the
-right chunk the join is re-encoded; if a chunk has none, the stretch grows over it until both ends agree. Where the
-stretch meets the text's end it is encoded as it is. The ids are those of the whole text, which tests hold against
-the tokenizers library.
+share a passage share its chunks, wherever the passage stands. A worker encodes each chunk once and reuses the ids for
+every document in which it comes again. A chunk's ends are not trusted: at a join, the text from the last but one place of
+the left chunk where a pre-token starts (a space before a character that is no white space) to the second such place of the
+right one is encoded anew, and must agree with the left chunk's ids up to its last place and with the right chunk's from
+its first place on. As long as it doesn't, or a chunk has too few such places, the stretch grows over the next chunk.
+The ids are those of the whole text, which tests hold against the tokenizers library.
 
 Defined results: null and empty texts have no ids and decode to the empty text; the special token's string in a
 text is the special token, as in the library; repeated rows are encoded alike; an empty table gives an empty
-result; other columns are ignored.
+result; texts of any length are encoded whole; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -60,17 +59,35 @@ def cut_points(text: str, window: int = WINDOW, mean: int = MEAN_CHUNK) -> list[
     return (np.flatnonzero((h >> np.uint32(12)) & np.uint32(mean - 1) == 0) + window).tolist()
 
 
-def sync_points(chunk: str) -> tuple[int, int] | None:
-    """First and last place in a chunk where a pre-token starts in any surroundings: a space before what is no white space."""
-    i = chunk.find(" ")
-    while i >= 0 and (i + 1 >= len(chunk) or chunk[i + 1].isspace()):
-        i = chunk.find(" ", i + 1)
-    if i < 0:
-        return None
-    j = chunk.rfind(" ", 0, len(chunk) - 1)
-    while chunk[j + 1].isspace():
-        j = chunk.rfind(" ", 0, j)
-    return i, j
+def sync_points(chunk: str) -> tuple[int, int, int, int] | None:
+    """The first two and the last two places in a chunk at a space before what is no white space; None if there aren't four."""
+
+    def step(i: int, back: bool) -> int:
+        while i >= 0 and (i + 1 >= len(chunk) or chunk[i + 1].isspace()):
+            i = chunk.rfind(" ", 0, i) if back else chunk.find(" ", i + 1)
+        return i
+
+    a = step(chunk.find(" "), False)
+    b = step(chunk.find(" ", a + 1), False) if a >= 0 else -1
+    d = step(chunk.rfind(" "), True)
+    c = step(chunk.rfind(" ", 0, d), True) if d > 0 else -1
+    return (a, b, c, d) if 0 <= a < b <= c < d else None
+
+
+class Chunk:
+    """A chunk of a text with ids of its own: head, ids from the first to the last trusted place, tail; and what a join must agree with."""
+
+    __slots__ = ("head", "first", "middle", "last", "tail", "text")
+
+    def __init__(self, text: str, ids: Callable[[str], bytes]):
+        self.text = text
+        at = sync_points(text)
+        if at is None:
+            self.middle = None
+            return
+        a, b, c, d = at
+        self.head, self.tail = text[:b], text[c:]
+        self.first, self.middle, self.last = ids(text[a:b]), ids(text[b:c]), ids(text[c:d])
 
 
 class ChunkEncoder:
@@ -78,16 +95,15 @@ class ChunkEncoder:
 
     def __init__(self, encode: Callable[[str], list[int]], chunks: int = CACHE_CHUNKS, joins: int = CACHE_JOINS):
         self.plain, self.most_chunks, self.most_joins = encode, chunks, joins
-        self.young: dict[str, tuple | None] = {}
-        self.old: dict[str, tuple | None] = {}
+        self.young: dict[str, Chunk] = {}
+        self.old: dict[str, Chunk] = {}
         self.joins: dict[str, bytes] = {}
-        self.encoded = self.reused = 0
+        self.encoded = self.reused = self.grown = 0
 
     def ids(self, text: str) -> bytes:
         return np.array(self.plain(text), "<u4").tobytes()
 
-    def chunk(self, text: str) -> tuple | None:
-        """(text before the first sync point, ids up to the last one, text from there), or None without one."""
+    def chunk(self, text: str) -> Chunk:
         if text in self.young:
             self.reused += 1
             return self.young[text]
@@ -96,16 +112,15 @@ class ChunkEncoder:
             found = self.old[text]
         else:
             self.encoded += 1
-            at = sync_points(text)
-            found = at and (text[: at[0]], self.ids(text[at[0] : at[1]]), text[at[1] :])
+            found = Chunk(text, self.ids)
         if len(self.young) >= self.most_chunks:
             self.old, self.young = self.young, {}
         self.young[text] = found
         return found
 
     def join(self, text: str) -> bytes:
-        """Ids of the text between two chunks' trusted parts."""
-        if len(text) > 48:
+        """Ids of the stretch between two chunks' trusted parts."""
+        if len(text) > 64:
             return self.ids(text)
         if (ids := self.joins.get(text)) is None:
             if len(self.joins) >= self.most_joins:
@@ -113,17 +128,24 @@ class ChunkEncoder:
             ids = self.joins[text] = self.ids(text)
         return ids
 
-    def ordinary(self, text: str, out: list[bytes]) -> None:
-        begin, open_end = 0, ""
+    def ordinary(self, text: str, whole: list[bytes]) -> None:
+        out: list[bytes] = []
+        begin, open_end, agreed = 0, "", b""  # what is not yet encoded, and the ids with which that must begin
         for end in [*cut_points(text), len(text)]:
-            chunk = text[begin:end]
+            if begin == end:
+                continue
+            chunk = self.chunk(text[begin:end])
             begin = end
-            if chunk and (found := self.chunk(chunk)):
-                out += (self.join(open_end + found[0]), found[1])
-                open_end = found[2]
-            else:
-                open_end += chunk
-        out.append(self.join(open_end))
+            if chunk.middle is not None:
+                ids = self.join(open_end + chunk.head)
+                if ids.startswith(agreed) and ids.endswith(chunk.first) and len(ids) >= len(agreed) + len(chunk.first):
+                    out += (ids, chunk.middle)
+                    open_end, agreed = chunk.tail, chunk.last
+                    continue
+                self.grown += 1
+            open_end += chunk.text
+        rest = self.ids(open_end)
+        whole += [*out, rest] if rest.startswith(agreed) else [self.ids(text)]
 
     def encode(self, text: str) -> bytes:
         out: list[bytes] = []
