@@ -1,18 +1,24 @@
 """License scans by a trained paragraph classifier, in DataFrame operations only.
 
-Training: the notices below, whole and with each run of a few words taken out, are the positive paragraphs of their families; a bounded
-sample of the corpus's own paragraphs that hold no word of LICENSE_WORDS is the unknown class. A sparse (L1)
-multinomial logistic regression over word 1- to 3-grams is fitted on three quarters of them; on the rest, temperature
-and the least probability are chosen: the probability at which at most one in a hundred unknown paragraphs gets a family.
+A document's paragraphs are its lines and, where several lines stand together, such a block as a whole, so that notices
+are found on one line or wrapped over many; a block counts only if no single line of the document gives its family.
 
-Scanning: from the weights follows a list of words of which a paragraph needs at least one to be given any family
-(LicenseModel.triggers; the bound is exact, so nothing is lost). Paragraphs (lines) with such a word are cut into n-grams, which are joined to the model's weights, a table of at
-most VOCABULARY rows that is broadcast, and summed for each paragraph. Softmax with an unknown class gives family and probability. A prediction stands if a
-notice of the family is similar: its distinct word pairs cover at least COVER of the paragraph's or the paragraph's cover as much of the notice's.
+Training: the notices below, whole and with runs of a few words taken out, are the positive paragraphs of their
+families. The unknown class is a bounded sample of the corpus's own paragraphs: plain ones, and hard ones that hold a
+word of LICENSE_WORDS but share few word pairs with every notice, beside the sentences of HARD. A sparse (L1)
+multinomial logistic regression over word 1- to 3-grams is fitted on three quarters of the unknown paragraphs and on
+cuts of 0, 1, 2 and 4 words; the rest of the unknown and cuts of 3 and 6 words, which the fit never saw, calibrate it:
+temperature by log loss, and the least probability as the lowest at which at most one in a hundred unknown paragraphs gets a family.
 
-Defined results: null and empty texts have no paragraphs; repeated rows of one doc_id are one paragraph each time they occur at
-different places, and one for equal places; a null doc_id is a document of its own kind; an empty table gives an empty result; further columns
-are ignored. Paragraphs of any length are read whole.
+Scanning: from the weights follows a list of words of which a paragraph needs at least one to be given any family
+(LicenseModel.triggers; the bound is exact, so nothing is lost). Paragraphs with such a word are cut into n-grams, which
+are joined to the model's weights, a table of at most VOCABULARY rows that is broadcast, and summed for each paragraph.
+Softmax with an unknown class gives family and probability. A prediction stands if a notice of the family is similar: its
+distinct word pairs cover at least COVER of the paragraph's or the paragraph's cover as much of the notice's.
+
+Defined results: null and empty texts have no paragraphs; each row is a document of its own, so repeated rows give
+repeated results and rows that share a doc_id, or have none, don't mix; of notices that cover alike the first counts;
+an empty table gives an empty result; further columns are ignored. Paragraphs of any length are read whole.
 """
 
 from __future__ import annotations
@@ -30,6 +36,8 @@ SAMPLE_PARAGRAPHS = 2000
 VOCABULARY = 4096
 NGRAMS = (1, 2, 3)
 COVER = 0.6
+#: Share of word pairs that a hard unknown paragraph may have in common with a notice.
+FOREIGN = 0.2
 LICENSE_WORDS = ("license", "licensed", "licence", "licenced", "copyright", "warranty", "spdx")
 
 #: Notices of licence families. Fixed values.
@@ -61,6 +69,12 @@ TEMPLATES = (
     ("isc", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies."),
     ("unlicense", "This is free and unencumbered software released into the public domain."),
 )
+#: Sentences that speak of licences and are no notices.
+HARD = (
+    "The driver renewed the license at the county office on Monday.", "A copyright dispute between the two publishers was settled out of court.", "The warranty covers repairs for two years after purchase.",
+    "She obtained a license to sell food at the market.", "Fishing without a license is fined by the county.", "The committee discussed copyright law and free speech.", "Terms and conditions of the warranty apply to all devices sold.",
+    "Students distribute copies of the work without charge.", "The software was modified and published by the university.", "You may not use this door except in an emergency.", "The permission to build was granted by the city free of charge.",
+)
 UNKNOWN = "unknown"
 
 
@@ -82,25 +96,43 @@ def ngrams(w: str, sizes=NGRAMS) -> Column:
 
 
 def paragraphs(docs: DataFrame) -> DataFrame:
-    """doc_id, para (from 0), text of every line that isn't blank."""
-    lines = texts_of(docs).select("doc_id", F.posexplode(F.split("text", "\n")).alias("para", "text"))
-    return lines.where(F.col("text").rlike(r"\S"))
+    """doc (a number for each row), doc_id, kind, para (from 0 in each kind), text: every line that isn't blank, and every block of several."""
+    rows = texts_of(docs).withColumn("doc", F.monotonically_increasing_id())
+    several = lambda b: F.rtrim(F.ltrim(b)).contains("\n")
+    parts = F.array(F.struct(F.lit("line").alias("kind"), F.split("text", "\n").alias("t")), F.struct(F.lit("block").alias("kind"), F.transform(F.split("text", r"\n[\s]*\n"), lambda b: F.when(several(b), b)).alias("t")))
+    each = rows.select("doc", "doc_id", F.explode(parts).alias("p")).select("doc", "doc_id", "p.kind", F.posexplode("p.t").alias("para", "text"))
+    return each.where(F.col("text").rlike(r"\S"))
 
 
 def template_table(spark: SparkSession, templates=TEMPLATES) -> DataFrame:
     return spark.createDataFrame([(i, f, t) for i, (f, t) in enumerate(templates)], "template_id int, family string, text string")
 
 
+def _sampled(texts: DataFrame, n: int, most: int) -> DataFrame:
+    """About `most` of n texts (w), chosen by a hash, each once: how many there are doesn't depend on partitions."""
+    low = min(2**63 - 1, -(2**63) + int(min(1.0, most / max(1, n)) * 2**64))
+    return texts.where(F.xxhash64(F.array_join("w", " ")) <= F.lit(low)).distinct()
+
+
 def training_paragraphs(docs: DataFrame, sample: int = SAMPLE_PARAGRAPHS, templates=TEMPLATES) -> DataFrame:
-    """family, w (words), fold: notices with runs of words taken out, and paragraphs of the corpus as the unknown class."""
-    known = template_table(docs.sparkSession, templates).select("family", words(F.col("text")).alias("w"))
-    cuts = known.select("family", "w", F.explode(F.sequence(F.lit(0), F.size("w") - 1)).alias("at"), F.explode(F.array(F.lit(0), F.lit(1), F.lit(2), F.lit(4))).alias("n"))
-    cut = cuts.select("family", F.concat(F.expr("slice(w, 1, at)"), F.expr("slice(w, at + n + 1, greatest(size(w) - at - n, 0))")).alias("w")).where(F.size("w") >= 3).distinct()
-    named = F.arrays_overlap(words(F.col("text")), F.array(*map(F.lit, LICENSE_WORDS)))
-    other = paragraphs(docs).sample(fraction=0.05, seed=3).where(~named).orderBy(F.xxhash64("text"), "text").limit(sample).select(F.lit(UNKNOWN).alias("family"), words(F.col("text")).alias("w"))
-    # License words outside of notices belong to no family, either.
-    loose = docs.sparkSession.createDataFrame([(UNKNOWN, [w]) for w in LICENSE_WORDS], "family string, w array<string>")
-    return known.union(cut).union(other).union(loose).withColumn("fold", F.pmod(F.xxhash64(F.array_join("w", " ")), F.lit(4)))
+    """family, w (words), held: cuts of the notices, and paragraphs of the corpus as the unknown class."""
+    spark = docs.sparkSession
+    known = template_table(spark, templates).select("family", words(F.col("text")).alias("w")).where(F.size("w") > 0)
+    cuts = known.select("family", "w", F.explode(F.sequence(F.lit(0), F.size("w") - 1)).alias("at"), F.explode(F.array(*map(F.lit, (0, 1, 2, 4, 3, 6)))).alias("n"))
+    cut = cuts.select("family", F.concat(F.expr("slice(w, 1, at)"), F.expr("slice(w, at + n + 1, greatest(size(w) - at - n, 0))")).alias("w"), F.col("n").isin(3, 6).alias("held"))
+    cut = cut.where(F.size("w") >= 3).groupBy("family", "w").agg(F.min("held").alias("held"))  # what the fit saw is not held out
+    found = paragraphs(docs).where("kind = 'line'").select(words(F.col("text")).alias("w"))
+    named = found.withColumn("named", F.arrays_overlap("w", F.array(*map(F.lit, LICENSE_WORDS))))
+    n = {r["named"]: r["n"] for r in named.groupBy("named").agg(F.count("*").alias("n")).collect()}  # two rows
+    plain = _sampled(named.where("not named").select("w"), n.get(False, 0), sample)
+    hard = _sampled(named.where("named").select("w"), n.get(True, 0), sample)
+    pairs = template_table(spark, templates).select(words(F.col("text")).alias("w")).select(F.array_distinct(ngrams("w", (2,))).alias("t"))
+    lists = F.broadcast(pairs.agg(F.collect_list("t").alias("ts")))  # the notices, a fixed list, in one row
+    shares = F.transform("ts", lambda t: F.size(F.array_intersect(t, F.col("g"))) / F.greatest(F.least(F.size(t), F.size("g")), F.lit(1)))
+    hard = hard.withColumn("g", F.array_distinct(ngrams("w", (2,)))).join(lists).where(F.coalesce(F.array_max(shares), F.lit(0.0)) <= FOREIGN).select("w")
+    fixed = spark.createDataFrame([(t,) for t in (*HARD, *LICENSE_WORDS)], "text string").select(words(F.col("text")).alias("w"))
+    other = plain.union(hard).union(fixed).select(F.lit(UNKNOWN).alias("family"), "w", (F.pmod(F.xxhash64(F.array_join("w", " "), F.lit(1)), F.lit(4)) == 0).alias("held"))
+    return cut.union(other)
 
 
 class LicenseModel:
@@ -140,10 +172,10 @@ def fit(docs: DataFrame, sample: int = SAMPLE_PARAGRAPHS, templates=TEMPLATES) -
     spark = docs.sparkSession
     families = [UNKNOWN, *sorted({f for f, _ in templates})]
     label = F.array_position(F.array(*map(F.lit, families)), F.col("family")) - 1
-    train = shared(training_paragraphs(docs, sample, templates).select(label.cast("double").alias("label"), ngrams("w").alias("grams"), "fold"))
+    train = shared(training_paragraphs(docs, sample, templates).select(label.cast("double").alias("label"), ngrams("w").alias("grams"), "held"))
     terms = CountVectorizer(inputCol="grams", outputCol="features", vocabSize=VOCABULARY, minDF=2.0, binary=True).fit(train)
     vectors = terms.transform(train)
-    fitted = LogisticRegression(family="multinomial", regParam=0.002, elasticNetParam=0.5, maxIter=60, standardization=False).fit(vectors.where("fold <> 0"))
+    fitted = LogisticRegression(family="multinomial", regParam=0.002, elasticNetParam=0.5, maxIter=60, standardization=False).fit(vectors.where("not held"))
     # A family that the sample's folds never reach has no row of its own in the coefficients.
     matrix, cut = fitted.coefficientMatrix.toArray(), fitted.interceptVector.toArray()
     rows = [(g, [float(matrix[k, i]) if k < len(cut) else 0.0 for k in range(len(families))]) for i, g in enumerate(terms.vocabulary) if matrix[:, i].any()]
@@ -151,12 +183,12 @@ def fit(docs: DataFrame, sample: int = SAMPLE_PARAGRAPHS, templates=TEMPLATES) -
     single = sorted({w for g, _ in rows for w in g.split(" ")})  # at most three for each n-gram
     common = {r["g"]: r["n"] for r in unknown.join(F.broadcast(spark.createDataFrame([(w,) for w in single], "g string")), "g").groupBy("g").agg(F.count("*").alias("n")).collect()}
     model = LicenseModel(families, rows, [float(cut[k]) if k < len(cut) else -30.0 for k in range(len(families))], common)
-    held = shared(fitted.transform(vectors.where("fold = 0")).select("label", F.expr("cast(rawPrediction as string)").alias("r")).select("label", F.from_json("r", "array<double>").alias("r")))
-    losses = [(held.select(F.avg(-F.log(F.greatest(F.element_at(model_at(model, t).probabilities(F.col("r")), F.col("label").cast("int") + 1), F.lit(1e-12))))).first()[0] or 0.0, t) for t in (0.5, 1.0, 2.0)]
+    held = shared(fitted.transform(vectors.where("held")).select("label", F.expr("cast(rawPrediction as string)").alias("r")).select("label", F.from_json("r", "array<double>").alias("r")))
+    losses = [(held.select(F.avg(-F.log(F.greatest(F.element_at(model_at(model, t).probabilities(F.col("r")), F.col("label").cast("int") + 1), F.lit(1e-12))))).first()[0] or 0.0, t) for t in (0.125, 0.25, 0.5, 1.0, 2.0, 4.0)]
     model.temperature = min(losses)[1]
     top = model.probabilities(F.col("r"))
     alarm = held.where("label = 0").select(F.array_max(F.slice(top, 2, len(families) - 1)).alias("p")).agg(F.percentile_approx("p", 0.99, 10_000)).first()[0]
-    model.least = max(0.5, float(alarm or 0.0))
+    model.least = min(0.99, max(0.05, float(alarm or 0.0) + 1e-6))  # bounds only for corpora without a hard paragraph, or of nothing else
     return model
 
 
@@ -165,32 +197,34 @@ def model_at(model: LicenseModel, temperature: float) -> LicenseModel:
 
 
 def scan_licenses(docs: DataFrame, model: LicenseModel, templates=TEMPLATES) -> DataFrame:
-    """doc_id, para, family, probability, template_id, cover of every paragraph that is a notice."""
+    """doc_id, kind, para, family, probability, template_id, cover of every paragraph that is a notice."""
     triggers = model.triggers()
-    likely = paragraphs(docs).select("doc_id", "para", words(F.col("text")).alias("w"))
+    likely = paragraphs(docs).withColumn("w", words(F.col("text"))).drop("text")
     if triggers is not None:  # whole words: as a part of longer words, short triggers are everywhere
         likely = likely.where(F.arrays_overlap("w", F.array(*map(F.lit, triggers))) if triggers else F.lit(False))
-    likely = shared(likely)
+    likely = shared(likely.withColumn("p", F.monotonically_increasing_id()))  # written, so that the numbers stay
     weights = docs.sparkSession.createDataFrame(model.rows or [("", [0.0] * len(model.families))], "gram string, weight array<double>").coalesce(1)
-    grams = likely.select("doc_id", "para", F.explode(F.array_distinct(ngrams("w"))).alias("gram"))
+    grams = likely.select("p", F.explode(F.array_distinct(ngrams("w"))).alias("gram"))
     met = grams.join(F.broadcast(weights), "gram")  # VOCABULARY rows at most
-    sums = met.groupBy("doc_id", "para").agg(*[F.sum(F.element_at("weight", k + 1)).alias(f"s{k}") for k in range(len(model.families))])
+    sums = met.groupBy("p").agg(*[F.sum(F.element_at("weight", k + 1)).alias(f"s{k}") for k in range(len(model.families))])
     scores = F.array(*[F.col(f"s{k}") + F.lit(b) for k, b in enumerate(model.intercepts)])
-    p = sums.select("doc_id", "para", scores.alias("scores")).withColumn("p", model.probabilities(F.col("scores"))).withColumn("best", F.array_position("p", F.array_max("p")).cast("int"))
-    named = p.where((F.col("best") > 1) & (F.array_max("p") >= model.least)).select("doc_id", "para", F.element_at(F.array(*map(F.lit, model.families)), F.col("best")).alias("family"), F.array_max("p").alias("probability"))
-    return confirm(likely, named, templates)
+    q = sums.select("p", scores.alias("scores")).withColumn("q", model.probabilities(F.col("scores"))).withColumn("best", F.array_position("q", F.array_max("q")).cast("int"))
+    named = q.where((F.col("best") > 1) & (F.array_max("q") >= model.least)).select("p", F.element_at(F.array(*map(F.lit, model.families)), F.col("best")).alias("family"), F.array_max("q").alias("probability"))
+    found = shared(confirm(likely.join(named, "p"), templates))
+    lines, blocks = found.where("kind = 'line'"), found.where("kind = 'block'")
+    blocks = blocks.join(lines.select("doc", "family").distinct(), ["doc", "family"], "left_anti")
+    return lines.unionByName(blocks).select("doc_id", "kind", "para", "family", "probability", "template_id", "cover")
 
 
-def confirm(texts: DataFrame, named: DataFrame, templates=TEMPLATES) -> DataFrame:
-    """named (doc_id, para, family, probability) where a notice of the family covers the paragraph's words w or is covered by them, with the best one."""
+def confirm(named: DataFrame, templates=TEMPLATES) -> DataFrame:
+    """named (p, family, w and others) where a notice of the family covers the paragraph's words w or is covered by them, with the best one."""
     pairs = F.array_distinct(ngrams("w", (1, 2)))
-    known = template_table(texts.sparkSession, templates).select("template_id", F.col("family").alias("f"), words(F.col("text")).alias("w")).select("template_id", "f", pairs.alias("t"))
-    texts = texts.alias("d").join(named.alias("l"), F.expr("d.doc_id <=> l.doc_id and d.para = l.para")).select("l.*", "w").distinct()
+    known = template_table(named.sparkSession, templates).select("template_id", F.col("family").alias("f"), words(F.col("text")).alias("w")).select("template_id", "f", pairs.alias("t"))
     both = F.size(F.array_intersect("g", "t"))
-    near = texts.select("doc_id", "para", "family", "probability", pairs.alias("g")).join(F.broadcast(known), F.col("family") == F.col("f"))  # the notices, a fixed list
+    near = named.withColumn("g", pairs).join(F.broadcast(known), F.col("family") == F.col("f"))  # the notices, a fixed list
     near = near.withColumn("cover", F.round(both / F.greatest(F.least(F.size("g"), F.size("t")), F.lit(1)), 6)).where(F.col("cover") >= COVER)
-    best = near.groupBy("doc_id", "para", "family", "probability").agg(F.max(F.struct("cover", (-F.col("template_id")).alias("k"))).alias("b"))
-    return best.select("doc_id", "para", "family", "probability", (-F.col("b.k")).alias("template_id"), F.col("b.cover").alias("cover"))
+    best = near.groupBy("p").agg(F.max(F.struct("cover", (-F.col("template_id")).alias("k"))).alias("b"))
+    return named.join(best, "p").select("doc", "doc_id", "kind", "para", "family", "probability", (-F.col("b.k")).alias("template_id"), F.col("b.cover").alias("cover"))
 
 
 def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:

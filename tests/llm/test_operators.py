@@ -221,12 +221,25 @@ def test_one_word_of_a_short_line(spark):
 
 
 def test_license(documents, texts):
-    got = {(r.doc_id, r.para): r.family for r in license.scan_licenses(documents, license.fit(documents)).collect()}
+    rows = license.scan_licenses(documents, license.fit(documents)).collect()
+    got = {(r.doc_id, r.para): r.family for r in rows}
     want = {(d, n) for d, t in texts.items() for n, x in enumerate(t.split("\n")) if re.search("(?i)license|CC BY", x)}
-    assert set(got) == want
+    assert set(got) == want and all(r.kind == "line" for r in rows)
     assert all(("Apache" in texts[d].split("\n")[n]) == (f == "apache-2.0") for (d, n), f in got.items())
 
 
+def test_license_rows_and_blocks(spark, documents):
+    model = license.fit(documents)
+    print("temperature", model.temperature, "least", model.least, "triggers", len(model.triggers() or []))
+    mit = license.TEMPLATES[6][1].split(" ")
+    wrapped = "Some words before.\n\n" + "\n".join(" ".join(mit[i : i + 14]) for i in range(0, len(mit), 14)) + "\n\nSome words after."
+    docs = [(1, "Released under the MIT License."), (1, "Licensed under CC BY 4.0."), (1, "Released under the MIT License."), (2, wrapped), (3, "\n".join(license.HARD)), (4, "She had a license to sell fish.\n\nThe warranty of the car\nis over."), (None, "Released under the MIT License.")]
+    rows = license.scan_licenses(spark.createDataFrame(docs, "doc_id long, text string"), model).collect()
+    assert sorted((r.doc_id or 0, r.kind, r.para, r.family) for r in rows) == [(0, "line", 0, "mit"), (1, "line", 0, "cc-by"), (1, "line", 0, "mit"), (1, "line", 0, "mit"), (2, "block", 1, "mit")]
+    mits = {r.probability for r in rows if r.kind == "line" and r.family == "mit"}
+    assert len(mits) == 1  # repeated rows don't add up
+
+
 def test_license_plan_has_no_python(documents):
     plan = license.scan_licenses(documents, license.fit(documents))._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan
