@@ -1,15 +1,18 @@
 """Personal data by patterns and a character-level bidirectional LSTM with CRF transitions.
 
-The patterns give the base spans. The network, written in numpy, is trained on a bounded sample of windows whose
-labels are base spans. It reads windows of WIDTH characters, each half over the next, of every text: those that hold a digit or
-an @, because each of the four kinds needs one, so other windows can't hold a span. Each window is decoded by
-Viterbi, with the spans' CRF marginals as their confidence; spans cut off by a window's edge are left to the window
-in which they are whole, and over the whole text the set of non-overlapping spans with the largest total confidence is
-chosen (weighted interval scheduling). Spans that touch no base span are added.
-
-Defined results: null and empty texts have no spans; without a labelled window nothing is trained and base spans stand alone; repeated rows give repeated results; an empty table gives
-an empty result; other columns are ignored. Texts of any length are scanned whole; a span longer than a window can
-come from the patterns only.
+The patterns give the base spans. The network, written in numpy, is trained on a bounded sample of the corpus's
+windows, labelled with base spans, and on such windows into which labelled spans that no pattern finds are written: phone
+numbers without a plus sign, mail addresses with (at) and dot or without a domain's dot, cards with other separators, IPv6
+and defanged addresses, and, as windows to leave alone, dates, times, versions, amounts and order numbers. It reads windows
+of WIDTH characters, STRIDE apart, of every text: those that hold a digit, an @ or a spelled-out one, because each kind
+needs one. Each window is decoded by Viterbi, with the spans' CRF marginals as their confidence; spans cut off by a
+window's edge are left to the window in which they are whole, and over the whole text the set of non-overlapping spans
+with the largest total confidence is chosen (weighted interval scheduling). Spans that touch no base span are added.
+
+Defined results: null and empty texts have no spans; without a window to learn from nothing is trained and base spans
+stand alone; repeated rows give repeated results; equal confidences go by place and kind; an empty table gives an empty
+result; other columns are ignored. Texts of any length are scanned whole; the network finds spans of up to WIDTH - STRIDE
+characters wherever they stand, longer ones can come from the patterns only.
 """
 
 from __future__ import annotations
@@ -27,8 +30,9 @@ _EMAIL = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
 _IP = re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
 _CARD = re.compile(r"[0-9]([\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
-_HINT = re.compile(r"[0-9@]")
-WIDTH, STRIDE = 64, 32
+_HINT = re.compile(r"[0-9@]|[\[({](?:at|AT)[\])}]|\x20at\x20")
+_DIGIT = re.compile("[0-9]")
+WIDTH, STRIDE = 64, 16
 TAGS = 1 + 2 * len(KINDS)  # O, then begin and inside of each kind
 #: Bound of the training sample: so many windows with a span and so many without, the first by a hash.
 SAMPLE_WINDOWS = 2000
@@ -47,7 +51,7 @@ def base_spans(text: str) -> list[tuple[str, int, int]]:
     spans: list[tuple[str, int, int]] = []
     if "@" in text:
         spans += [("email", m.start(), m.end()) for m in _EMAIL.finditer(text)]
-    if _HINT.search(text):
+    if _DIGIT.search(text):
         spans += [("ip", m.start(), m.end()) for m in _IP.finditer(text) if all(len(p.lstrip("0")) <= 3 and int(p.lstrip("0") or 0) <= 255 for p in m[0].split("."))]
         for m in _CARD.finditer(text):
             if m.end() - m.start() <= 40 and 12 <= len(d := re.sub("[^0-9]", "", m[0])) <= 19 and luhn(d):
@@ -64,11 +68,11 @@ def char_ids(text: str) -> np.ndarray:
 
 
 def windows_of(text: str) -> list[int]:
-    """Starts of the windows that hold a digit or an @."""
+    """Starts of the windows that hold a hint."""
     starts: set[int] = set()
     for m in _HINT.finditer(text):
         k = m.start() // STRIDE
-        starts.update((k, max(0, k - 1)))
+        starts.update(range(max(0, k + 1 - WIDTH // STRIDE), k + 1))
     return [STRIDE * k for k in sorted(starts)]
 
 
@@ -195,7 +199,7 @@ class BiLstmCrf:
         np.add.at(g["E"], ids, dx)
         return float((z - gold).mean()), g
 
-    def train(self, ids: np.ndarray, tags: np.ndarray, epochs: int = 8, batch: int = 64, rate: float = 0.01, seed: int = 3) -> list[float]:
+    def train(self, ids: np.ndarray, tags: np.ndarray, epochs: int = 10, batch: int = 128, rate: float = 0.02, seed: int = 3) -> list[float]:
         """Adam; the mean loss of each epoch."""
         r, losses, step = np.random.default_rng(seed), [], 0
         m, v = ({k: np.zeros_like(x) for k, x in self.p.items()} for _ in range(2))
@@ -232,9 +236,12 @@ def training_windows(docs: DataFrame, most: int = SAMPLE_WINDOWS) -> tuple[np.nd
                                 out_t.append(t.astype(np.uint8).tobytes())
                 yield pa.RecordBatch.from_arrays([pa.array(out_i, pa.binary()), pa.array(out_t, pa.binary()), pa.array([any(t) for t in out_t], pa.bool_())], names=["ids", "tags", "has"])
 
-    found = shared(texts_of(docs).mapInArrow(work, "ids binary, tags binary, has boolean"))
-    counts = {r["has"]: r["n"] for r in found.groupBy("has").agg(F.count("*").alias("n")).collect()}
-    h, rows = F.xxhash64("ids"), []
+    n = docs.count()
+    part = min(1.0, 40 * most / max(1, n))  # documents, chosen by their texts' hash, so that windows come from many and are few
+    low = min(2**63 - 1, -(2**63) + int(part * 2**64))
+    some = texts_of(docs).where(F.xxhash64("text") <= F.lit(low))
+    found, h, rows = shared(some.mapInArrow(work, "ids binary, tags binary, has boolean").distinct()), F.xxhash64("ids"), []
+    counts = {r["has"]: r["n"] for r in found.groupBy("has").agg(F.count("*").alias("n")).collect()}  # two rows
     for has, n in sorted(counts.items(), reverse=True):
         some = found.where(F.col("has") == has)
         if n > 4 * most:  # the lowest hashes, about 4 * most rows, so that tasks send few rows each however many tasks there are
@@ -244,12 +251,79 @@ def training_windows(docs: DataFrame, most: int = SAMPLE_WINDOWS) -> tuple[np.nd
     return both[0], both[1]
 
 
-def fit(docs: DataFrame, most: int = SAMPLE_WINDOWS, epochs: int = 8) -> BiLstmCrf | None:
+_NAMES = "anna ben carla david emma felix grace hugo iris jonas kate leo mia noah olga paul rosa sam tara uwe vera will yara zoe smith jones miller garcia chen novak rossi meyer silva kim".split()
+_HOSTS = "example mail post company university web office home server local host net shop news".split()
+_TOPS = "com org net de io edu fr uk".split()
+
+
+def _with_luhn(r: np.random.Generator, n: int) -> str:
+    body = "".join(map(str, r.integers(0, 10, n - 1)))
+    return body + next(c for c in "0123456789" if luhn(body + c))
+
+
+def variant(kind: str, r: np.random.Generator) -> str:
+    """A made-up span of a kind in a spelling that no pattern finds."""
+    pick = lambda xs: xs[int(r.integers(len(xs)))]
+    d = lambda n: "".join(map(str, r.integers(0, 10, n)))
+    if kind == "email":
+        sign = pick(["(at)", " (at) ", "[at]", " [at] ", " at ", "{at}", "@"])
+        name = pick([pick(_NAMES), f"{pick(_NAMES)}.{pick(_NAMES)}", f"{pick(_NAMES)}{d(2)}", f"{pick(_NAMES)}_{pick(_NAMES)}"])
+        if sign == "@":
+            return f"{name}@{pick(_HOSTS)}"
+        dot = pick([".", " dot ", "(dot)", " [dot] "]) if sign != " at " else " dot "
+        return f"{name.replace('.', dot) if r.random() < 0.5 else name}{sign}{pick(_HOSTS)}{dot}{pick(_TOPS)}"
+    if kind == "ip":
+        if r.random() < 0.5:
+            return ":".join(f"{int(r.integers(0, 65536)):x}" for _ in range(int(r.integers(4, 9))))
+        dot = pick(["[.]", "(.)", "[dot]"])
+        return dot.join(str(int(r.integers(0, 256))) for _ in range(4))
+    if kind == "card":
+        x, sign = _with_luhn(r, 16), pick([".", "/", "_", " - ", "  "])
+        return sign.join(x[i : i + 4] for i in range(0, 16, 4))
+    return pick([f"{d(3)}-{d(3)}-{d(4)}", f"({d(3)}) {d(3)}-{d(4)}", f"{d(3)}.{d(3)}.{d(4)}", f"({d(3)}) {d(3)} {d(4)}", f"00{d(2)} {d(3)} {d(7)}", f"0{d(3)}/{d(7)}", f"0{d(2)} {d(4)} {d(4)}"])
+
+
+def decoy(r: np.random.Generator) -> str:
+    """Digits or signs that are no personal data."""
+    pick = lambda xs: xs[int(r.integers(len(xs)))]
+    d = lambda n: "".join(map(str, r.integers(0, 10, n)))
+    return pick([
+        f"20{d(2)}-{d(2)}-{d(2)}", f"{d(2)}.{d(2)}.20{d(2)}", f"{d(2)}/{d(2)}/19{d(2)}", f"{d(2)}:{d(2)}:{d(2)}", f"{d(2)}:{d(2)}", f"{d(1)}.{d(1)}.{d(2)}", f"v{d(1)}.{d(2)}", f"{d(1)},{d(3)},{d(3)}", f"${d(3)}.{d(2)}", f"order {d(9)}",
+        f"#{d(8)}", f"ISBN 978-{d(1)}-{d(4)}-{d(4)}-{d(1)}", d(4), d(6), d(11), f"{d(3)}-{d(3)}", f"pages {d(3)}-{d(3)}", f"@{pick(_NAMES)}", "met at noon", "look at the dot com", f"{d(2)} x {d(2)} x {d(2)}", f"id {d(3)}-{d(2)}",
+    ])
+
+
+def augmented(ids: np.ndarray, tags: np.ndarray, seed: int = 5, rounds: int = 2) -> tuple[np.ndarray, np.ndarray]:
+    """The windows with variants (labelled) and decoys (not) written over a stretch of theirs that has no label."""
+    r = np.random.default_rng(seed)
+    out_i, out_t = [ids], [tags]
+    for _ in range(rounds):
+        new_i, new_t = ids.copy(), tags.copy()
+        for i, t in zip(new_i, new_t):
+            is_decoy = r.random() < 0.35
+            kind = KINDS[int(r.integers(len(KINDS)))]
+            span = decoy(r) if is_decoy else variant(kind, r)
+            left, right = ("" if r.random() < 0.1 else " "), (" " if r.random() < 0.7 else ". ")
+            whole = left + span + right
+            length = int((i > 0).sum())
+            if len(whole) >= min(WIDTH, max(length, 1)) or t.any():
+                continue
+            at = int(r.integers(0, min(WIDTH, length) - len(whole) + 1))
+            i[at : at + len(whole)] = char_ids(whole)
+            if not is_decoy:
+                a, k = at + len(left), KINDS.index(kind)
+                t[a], t[a + 1 : a + len(span)] = 1 + 2 * k, 2 + 2 * k
+        out_i.append(new_i)
+        out_t.append(new_t)
+    return np.concatenate(out_i), np.concatenate(out_t)
+
+
+def fit(docs: DataFrame, most: int = SAMPLE_WINDOWS, epochs: int = 10) -> BiLstmCrf | None:
     ids, tags = training_windows(docs, most)
-    if not tags.any():
+    if not len(ids):
         return None
     model = BiLstmCrf()
-    model.train(ids, tags, epochs)
+    model.train(*augmented(ids, tags), epochs)
     return model
 
 
@@ -306,15 +380,20 @@ def model_spans(model: BiLstmCrf, texts: list[str], confidence: float = CONFIDEN
 
 def plausible(kind: str, s: str) -> bool:
     """Whether a string has what its kind can't be without."""
-    digits = sum(c.isdigit() for c in s)
-    return {"email": "@" in s and len(s) >= 6, "ip": digits >= 4, "card": digits >= 12, "phone": digits >= 7}[kind]
+    digits = "".join(c for c in s if c.isdigit())
+    if kind == "email":
+        return len(s) >= 6 and ("@" in s or re.search(r"\bat\b", s, re.IGNORECASE) is not None) and s[0].isalnum() and s[-1].isalnum()
+    if kind == "ip":
+        octets = re.findall("[0-9]+", s)
+        return s.count(":") >= 3 or len(octets) == 4 and all(int(x) <= 255 for x in octets)
+    return 12 <= len(digits) <= 19 and luhn(digits) if kind == "card" else 9 <= len(digits) <= 15
 
 
 def scan_pii(docs: DataFrame, model: BiLstmCrf | None) -> DataFrame:
-    """doc_id, counts of the base kinds, base_sha256, spans and n_model (spans that the network adds) of every document."""
+    """doc_id, counts of the base kinds, base_sha256, spans, n_model (spans that the network adds) and n_spans of every document."""
 
     def columns(texts: list[str]) -> list:
-        out: list[list] = [[] for _ in range(7)]
+        out: list[list] = [[] for _ in range(8)]
         more = model_spans(model, texts) if model else [[]] * len(texts)
         for text, guessed in zip(texts, more):
             base = base_spans(text)
@@ -324,9 +403,10 @@ def scan_pii(docs: DataFrame, model: BiLstmCrf | None) -> DataFrame:
             out[4].append(sha256_hex(spans_text(base, KINDS).encode()))
             out[5].append(spans_text(base + added, KINDS))
             out[6].append(len(added))
+            out[7].append(len(base) + len(added))
         return out
 
-    return map_texts(docs, columns, "n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, spans string, n_model long")
+    return map_texts(docs, columns, "n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, spans string, n_model long, n_spans long")
 
 
 def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
