@@ -3,8 +3,8 @@
 A line is normalised (trimmed, white space collapsed, A-Z lowered) and ended by SHINGLE - 1 blank marks, so that a
 line of n characters has n shingles of SHINGLE characters. Each distinct line gets one-permutation MinHash
 minima, empty bins filled from full ones (optimal densification; Shrivastava, 2017), cut into BANDS bands of ROWS (recall
-0.995 at a Jaccard similarity of 0.8, above 0.9999999 at 0.9; short shingles make unrelated lines more alike, so a band
-has eight rows). Equal lines count once. Lines with a band in common are a bucket. First each line is verified against
+0.991 at a Jaccard similarity of 0.8, 0.9998 at 0.85; short shingles make unrelated lines more alike, so a band has
+seven rows). Equal lines count once. Lines with a band in common are a bucket. First each line is verified against
 the smallest hash of each of its buckets, and union-find joins what is linked. Then, in buckets whose lines are not yet
 one component, all pairs of different components are verified, by rows of bits over the shingles met there; a bucket of
 more than TILE lines or TILE_CHARS characters is dealt out as pairs of tiles, and a task gives a spanning forest of its
@@ -30,7 +30,7 @@ from .common import shared, slices, table, texts_of
 from .components import connected_components, spanning_stars
 
 SHINGLE = 4  # a power of two; longer ones make one replaced word fatal for lines of 10 to 19 words
-BANDS, ROWS = 29, 8
+BANDS, ROWS = 20, 7
 THRESHOLD = 0.8
 _BINS = BANDS * ROWS
 TILE, TILE_CHARS = 256, 4_000_000
@@ -107,32 +107,43 @@ def jaccard(a: bytes, b: bytes) -> float:
 
 
 def _lines(docs: DataFrame) -> DataFrame:
-    """doc_id, line_no, h and, where a task meets a line for the first time, bands, for each line that isn't blank."""
+    """doc_id, line_no, h for each line that isn't blank."""
 
     def work(batches):
-        seen: set[int] = set()
         for batch in batches:
             for start, _, texts in slices(batch):
-                ids, numbers, hashes, fresh, new = [], [], [], [], []
+                ids, numbers, hashes = [], [], []
                 for i, text in enumerate(texts):
                     doc_id = batch.column("doc_id")[start + i].as_py()
                     for n, line in enumerate(text.split("\n")):
                         if line := normal(line):
-                            h = line_hash(line)
                             ids.append(doc_id)
                             numbers.append(n)
+                            hashes.append(line_hash(line))
+                yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(numbers, pa.int32()), pa.array(hashes, pa.int64())], names=["doc_id", "line_no", "h"])
+
+    return texts_of(docs).mapInArrow(work, "doc_id long, line_no int, h long")
+
+
+def _bands(docs: DataFrame) -> DataFrame:
+    """key, h of each band of each line that a task meets for the first time. Too many to be written: they go straight to their buckets."""
+
+    def work(batches):
+        seen: set[int] = set()
+        for batch in batches:
+            for _, _, texts in slices(batch):
+                hashes, new = [], []
+                for text in texts:
+                    for line in text.split("\n"):
+                        if (line := normal(line)) and (h := line_hash(line)) not in seen:
+                            seen.add(h)
                             hashes.append(h)
-                            fresh.append(h not in seen)
-                            if fresh[-1]:
-                                seen.add(h)
-                                new.append(line)
+                            new.append(line)
                 if len(seen) > 500_000:
                     seen.clear()
-                keys, fresh = _keys_in_parts(new), np.array(fresh, bool)
-                offsets = np.concatenate([[0], np.cumsum(np.where(fresh, BANDS, 0))]).astype(np.int32)
-                yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(numbers, pa.int32()), pa.array(hashes, pa.int64()), pa.ListArray.from_arrays(offsets, pa.array(keys.reshape(-1)))], names=["doc_id", "line_no", "h", "bands"])
+                yield pa.RecordBatch.from_arrays([pa.array(_keys_in_parts(new).reshape(-1)), pa.array(np.repeat(np.array(hashes, np.int64), BANDS))], names=["key", "h"])
 
-    return texts_of(docs).mapInArrow(work, "doc_id long, line_no int, h long, bands array<long>")
+    return texts_of(docs).mapInArrow(work, "key long, h long")
 
 
 def _bucket_members(banded: DataFrame) -> DataFrame:
@@ -273,11 +284,10 @@ def _verify_buckets(threshold: float):
     return work
 
 
-def line_components(docs: DataFrame, lines: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """h, component of distinct lines that have a near duplicate. lines: _lines(docs), written."""
+def line_components(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+    """h, component of distinct lines that have a near duplicate."""
     n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    banded = lines.where("size(bands) > 0").select("h", F.explode("bands").alias("key"))
-    members = shared(_bucket_members(banded))
+    members = shared(_bucket_members(_bands(docs)))
     texts = shared(_texts(docs, members.select("h")).join(members.select("h").distinct(), "h", "left_semi"))
     low = members.groupBy("key").agg(F.min("h").alias("low"))
     star = members.join(low, "key").where("h <> low").select(F.col("h").alias("a"), F.col("low").alias("b")).distinct()
@@ -303,7 +313,7 @@ def dropped_lines(docs: DataFrame, lines: DataFrame, threshold: float = THRESHOL
     """doc_id, line_no of each line but the first of its component."""
     place = F.coalesce(F.col("doc_id"), F.lit(2**63 - 1)).cast("decimal(20,0)") * F.lit(10**9).cast("decimal(10,0)") + F.col("line_no")
     own = lines.groupBy("h").agg(F.min(place).alias("first"), F.count("*").alias("n"))
-    near = line_components(docs, lines, threshold)
+    near = line_components(docs, threshold)
     whole = own.join(near, "h", "left").select("h", "first", "n", F.coalesce("component", "h").alias("c"))
     groups = whole.groupBy("c").agg(F.min("first").alias("first"), F.sum("n").alias("n")).where("n > 1")
     firsts = whole.select("h", "c").join(groups, "c").select("h", "first")
