@@ -80,6 +80,17 @@ class Templates:
         self.capital: list[bool] = []
         self.ends: list[bool] = []
         self.slots: list[bool] = []
+        self.done = [np.zeros(0, np.uint64), np.zeros(0, np.uint64), *(np.zeros(0, bool) for _ in range(4))]
+
+    def _arrays(self) -> list[np.ndarray]:
+        """The memory as arrays; only what came since the last call is converted."""
+        n = len(self.done[0])
+        if n < len(self.hashes):
+            new = [np.array(x[n:], kind) for x, kind in ((self.hashes, np.uint64), (self.literal, np.uint64), (self.capital, bool), (self.ends, bool), (self.slots, bool))]
+            # A capitalised word that is nowhere in lower case is a name wherever it stands.
+            new.append(new[2] & ~holds(self.known, new[1].view(np.int64)) if self.known is not None else np.zeros(len(new[0]), bool))
+            self.done = [np.concatenate(x) for x in zip(self.done, new)]
+        return self.done
 
     def _add(self, raw: bytes) -> int:
         word = raw.decode()
@@ -106,10 +117,8 @@ class Templates:
             starts.append(first[: len(own)])
             get, add = self.ids.get, self._add
             ids.append(np.array([i if (i := get(w)) is not None else add(w) for w in own], np.int64))
-        hashes, literal, capital = np.array(self.hashes, np.uint64), np.array(self.literal, np.uint64), np.array(self.capital, bool)
-        ends, slots, out = np.array(self.ends, bool), np.array(self.slots, bool), []
-        # A capitalised word that is nowhere in lower case is a name wherever it stands.
-        always = capital & ~holds(self.known, literal.view(np.int64)) if self.known is not None and len(literal) else np.zeros(len(capital), bool)
+        hashes, literal, capital, ends, slots, always = self._arrays()
+        out = []
         name = np.uint64(xxhash.xxh64_intdigest(b"<name>"))
         for own, i, first in zip(words, ids, starts):
             if not len(i):
@@ -124,10 +133,10 @@ class Templates:
 
 def window_hashes(tokens: np.ndarray, size: int = WINDOW, at: np.ndarray | None = None) -> np.ndarray:
     """Hashes of the windows of so many tokens that begin at each place (or at those given)."""
-    at = np.arange(max(0, len(tokens) - size + 1)) if at is None else at
-    h = np.full(len(at), size, np.uint64)
+    n = max(0, len(tokens) - size + 1)
+    h = np.full(n if at is None else len(at), size, np.uint64)
     for k in range(size):
-        h = (h ^ (h >> np.uint64(29))) * _M[k] + tokens[at + k]
+        h = (h ^ (h >> np.uint64(29))) * _M[k] + (tokens[k : k + n] if at is None else tokens[at + k])
     return (h ^ (h >> np.uint64(32))).view(np.int64)
 
 
@@ -136,15 +145,20 @@ def windows_of(template: np.ndarray, literal: np.ndarray, slots: np.ndarray, siz
     n = len(template) - size + 1
     if n < 1:
         return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, bool)
+    h, least = window_hashes(template, size), 2 if size == WINDOW else 3
+    at = np.arange(n)
+    if slots.sum() <= size - least:  # every window has words enough
+        return at, h, np.ones(n, bool)
     plain = np.cumsum(np.concatenate([[0], ~slots]))
-    is_template = plain[size:] - plain[:-size] >= (2 if size == WINDOW else 3)
-    h, rest = window_hashes(template, size), np.flatnonzero(~is_template)
-    keep = np.ones(n, bool)
-    if len(rest):
-        h[rest] = window_hashes(literal, size, rest) ^ np.int64(0x5DEECE66D)
-        if size == WINDOW:  # a value over and over
-            keep[rest] = np.any([literal[rest] != literal[rest + k] for k in range(1, size)], axis=0)
-    at = np.flatnonzero(keep)
+    is_template = plain[size:] - plain[:-size] >= least
+    rest = np.flatnonzero(~is_template)
+    if not len(rest):
+        return at, h, is_template
+    h[rest] = window_hashes(literal, size, rest) ^ np.int64(0x5DEECE66D)
+    if size == WINDOW:  # not a value over and over
+        keep = np.ones(n, bool)
+        keep[rest] = np.any([literal[rest] != literal[rest + k] for k in range(1, size)], axis=0)
+        at = np.flatnonzero(keep)
     return at, h[at], is_template[at]
 
 
