@@ -292,7 +292,7 @@ def line_components(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     low = members.groupBy("key").agg(F.min("h").alias("low"))
     star = members.join(low, "key").where("h <> low").select(F.col("h").alias("a"), F.col("low").alias("b")).distinct()
     named = lambda k, name: texts.select(F.col("h").alias(k), F.col("line").alias(name))
-    first = star.join(named("a", "left"), "a").join(named("b", "right"), "b").repartition(n).mapInArrow(_verify_star(threshold), "a long, b long")
+    first = star.join(named("a", "left"), "a").join(named("b", "right"), "b").mapInArrow(_verify_star(threshold), "a long, b long")
     found = shared(connected_components(first))
     placed = shared(members.join(found, F.col("h") == F.col("node"), "left").select("key", "h", F.coalesce("component", "h").alias("c")))
     # Buckets that hold several components: only there can a link be missing.
