@@ -26,3 +26,11 @@ def shared(df: DataFrame) -> DataFrame:
     """df, written to the shared folder, so that it outlives executors and is computed once."""
     shared_folder(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def release(spark: SparkSession) -> None:
+    """Let Spark's cleaner take the shuffle files of what has been written by shared() and is used no more.
+
+    The cleaner acts when the driver collects its garbage, which a driver with little to do puts off.
+    """
+    spark.sparkContext._jvm.System.gc()
