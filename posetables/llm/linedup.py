@@ -25,6 +25,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from ..storage import release
 from .bits import bit_table, holds
 from .common import shared, slices, table, texts_of
 from .components import connected_components, spanning_stars
@@ -287,12 +288,17 @@ def _verify_buckets(threshold: float):
 def line_components(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """h, component of distinct lines that have a near duplicate."""
     n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    spark = docs.sparkSession
     members = shared(_bucket_members(_bands(docs)))
+    release(spark)  # the bands' shuffle, the largest one
     texts = shared(_texts(docs, members.select("h")).join(members.select("h").distinct(), "h", "left_semi"))
+    release(spark)
     low = members.groupBy("key").agg(F.min("h").alias("low"))
     star = members.join(low, "key").where("h <> low").select(F.col("h").alias("a"), F.col("low").alias("b")).distinct()
     named = lambda k, name: texts.select(F.col("h").alias(k), F.col("line").alias(name))
     first = star.join(named("a", "left"), "a").join(named("b", "right"), "b").mapInArrow(_verify_star(threshold), "a long, b long")
+    first = shared(first)
+    release(spark)
     found = shared(connected_components(first))
     placed = shared(members.join(found, F.col("h") == F.col("node"), "left").select("key", "h", F.coalesce("component", "h").alias("c")))
     # Buckets that hold several components: only there can a link be missing.
@@ -301,7 +307,8 @@ def line_components(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     tiles = inside.groupBy("key").agg(F.greatest(F.ceil(F.count("*") / TILE), F.ceil(F.sum(F.length("line")) / TILE_CHARS)).cast("int").alias("tiles"))
     split = inside.join(tiles, "key").withColumn("tile", F.pmod(F.xxhash64("h"), F.col("tiles")).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)))
     dealt = split.select("key", F.least("tile", "other").alias("pa"), F.greatest("tile", "other").alias("pb"), "c", "line")
-    links = dealt.repartition(n, "key", "pa", "pb").sortWithinPartitions("key", "pa", "pb").mapInArrow(_verify_buckets(threshold), "a long, b long")
+    links = shared(dealt.repartition(n, "key", "pa", "pb").sortWithinPartitions("key", "pa", "pb").mapInArrow(_verify_buckets(threshold), "a long, b long"))
+    release(spark)
     merged = connected_components(links)  # of components
     whole = found.join(merged.select(F.col("node").alias("component"), F.col("component").alias("top")), "component", "left").select(F.col("node").alias("h"), F.coalesce("top", "component").alias("component"))
     # Lines that were alone until they met in a bucket.
