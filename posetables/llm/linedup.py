@@ -3,8 +3,8 @@
 A line is normalised (trimmed, white space collapsed, A-Z lowered) and ended by SHINGLE - 1 blank marks, so that a
 line of n characters has n shingles of SHINGLE characters. Each distinct line gets one-permutation MinHash
 minima, empty bins filled from full ones (optimal densification; Shrivastava, 2017), cut into BANDS bands of ROWS (recall
-0.991 at a Jaccard similarity of 0.8, 0.9998 at 0.85; short shingles make unrelated lines more alike, so a band has
-seven rows). Equal lines count once. Lines with a band in common are a bucket. First each line is verified against
+0.995 at a Jaccard similarity of 0.8, 0.99998 at 0.85; short shingles make unrelated lines more alike, so a band has
+eight rows). Equal lines count once. Lines with a band in common are a bucket. First each line is verified against
 the smallest hash of each of its buckets, and union-find joins what is linked. Then, in buckets whose lines are not yet
 one component, all pairs of different components are verified, by rows of bits over the shingles met there; a bucket of
 more than TILE lines or TILE_CHARS characters is dealt out as pairs of tiles, and a task gives a spanning forest of its
@@ -31,7 +31,7 @@ from .common import shared, slices, table, texts_of
 from .components import connected_components, spanning_stars
 
 SHINGLE = 4  # a power of two; longer ones make one replaced word fatal for lines of 10 to 19 words
-BANDS, ROWS = 20, 7
+BANDS, ROWS = 29, 8
 THRESHOLD = 0.8
 _BINS = BANDS * ROWS
 TILE, TILE_CHARS = 256, 4_000_000
