@@ -123,14 +123,24 @@ def frame_record(data: bytes) -> bytes:
 
 
 def records(path: str) -> Iterator[bytes]:
-    """Records of a shard, read piece by piece."""
+    """Records of a shard, read piece by piece; a shard that is cut off or damaged is an error."""
     unzip, held = zlib.decompressobj(), b""
     with open(path, "rb") as f:
         while piece := f.read(1 << 20):
             held += unzip.decompress(piece)
-            while len(held) >= 12 and len(held) >= 16 + (size := struct.unpack("<Q", held[:8])[0]):
-                yield held[12 : 12 + size]
+            while len(held) >= 12:
+                size, check = struct.unpack("<QI", held[:12])
+                if check != masked_crc(held[:8]):
+                    raise ValueError(f"{path}: a record's length is damaged")
+                if len(held) < 16 + size:
+                    break
+                data = held[12 : 12 + size]
+                if struct.unpack("<I", held[12 + size : 16 + size])[0] != masked_crc(data):
+                    raise ValueError(f"{path}: a record is damaged")
+                yield data
                 held = held[16 + size :]
+    if held or not unzip.eof:
+        raise ValueError(f"{path}: the shard is cut off")
 
 
 def layout_version(root: str) -> float:

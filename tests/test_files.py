@@ -8,7 +8,7 @@ import pytest
 from posetables.operators.aggregates import merge_partials, observations, shard_partials
 from posetables.fixtures import read
 from posetables.sources import files, images, sinks
-from posetables.sources.records import PoseRecords
+from posetables.sources.records import PoseRecords, frame_record, records
 from posetables.streaming.shard_stats import follow_shards, summary
 
 SF = "/root/testdata/sf0.001"
@@ -118,6 +118,17 @@ def test_records_round_trip(spark, tmp_path):
         spark.read.format("pose_records").option("path", str(tmp_path)).load().collect()
 
 
+def test_damaged_shards_are_errors(tmp_path):
+    whole = b"".join(frame_record(x) for x in (b"one", b"two" * 50, b""))
+    path = tmp_path / "s.tfrecord"
+    path.write_bytes(zlib.compress(whole))
+    assert list(records(str(path))) == [b"one", b"two" * 50, b""]
+    for bad in (zlib.compress(whole[:-5]), zlib.compress(whole)[:-6], zlib.compress(whole.replace(b"one", b"ane")), zlib.compress(b"\1" + whole[1:])):
+        path.write_bytes(bad)
+        with pytest.raises((ValueError, zlib.error)):
+            list(records(str(path)))
+
+
 def test_shards_and_stream(spark, tmp_path):
     frames = read(spark, SF, "fx_frames")
     sinks.write_shards(frames, f"{tmp_path}/frames")
