@@ -11,10 +11,13 @@ def write_shards(frames: DataFrame, path: str) -> None:
     frames.repartition(n, "subset", "shard_id").sortWithinPartitions("subset", "shard_id", "frame_id").write.mode("overwrite").partitionBy("subset").parquet(path)
 
 
-def write_shard_stats(partials: DataFrame, path: str, fraction: float = 1.0) -> None:
-    """Partials by shard and by the fraction that they stand for; only the shards at hand are replaced."""
-    keyed = partials.withColumn("fraction", F.lit(fraction))
-    keyed.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("fraction", "shard_id").parquet(path)
+def write_shard_stats(partials: DataFrame, path: str, fraction: float = 1.0, batch: int = 0) -> None:
+    """Partials of a batch of shards, for the fraction that they stand for; a batch that is written again replaces itself.
+
+    A shard may have rows in several batches: partials add up.
+    """
+    keyed = partials.withColumns({"fraction": F.lit(fraction), "batch": F.lit(batch)})
+    keyed.coalesce(1).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("fraction", "batch").parquet(path)  # a row for each shard of the batch
 
 
 def pending(observed: DataFrame, cached: DataFrame, fraction: float = 1.0) -> DataFrame:

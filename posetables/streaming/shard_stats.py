@@ -10,10 +10,13 @@ from ..sources.sinks import write_shard_stats
 
 
 def follow_shards(spark: SparkSession, source: str, schema: str, stats: str, checkpoint: str) -> StreamingQuery:
-    """Read what is new below source (observations, in files that hold whole shards), and replace the partials of the shards met."""
+    """Read what is new below source (observations, each frame in one file), and add the partials of the shards met.
 
-    def update(batch: DataFrame, _: int) -> None:
-        write_shard_stats(shard_partials(batch), stats)
+    A batch that is run again after a failure replaces what it wrote; a shard that arrives in several batches adds up.
+    """
+
+    def update(batch: DataFrame, number: int) -> None:
+        write_shard_stats(shard_partials(batch), stats, batch=number)
 
     stream = spark.readStream.schema(schema).parquet(source)
     return stream.writeStream.foreachBatch(update).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()

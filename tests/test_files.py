@@ -135,7 +135,7 @@ def test_shards_and_stream(spark, tmp_path):
     assert spark.read.parquet(f"{tmp_path}/frames").count() == frames.count()
     observed = observations(frames, read(spark, SF, "fx_annotations"))
     whole = merge_partials(shard_partials(observed)).first()
-    for part in ("shard_id < 5", "shard_id >= 5"):  # shards land in two goes
+    for part in ("shard_id < 5", "shard_id >= 5 and frame_id % 2 = 0", "shard_id >= 5 and frame_id % 2 = 1"):  # shards land in three goes, some of them in two
         observed.where(part).coalesce(1).write.mode("append").parquet(f"{tmp_path}/in")
         follow_shards(spark, f"{tmp_path}/in", observed.schema, f"{tmp_path}/stats", f"{tmp_path}/check").awaitTermination()
     assert summary(spark, f"{tmp_path}/stats").first() == whole
