@@ -22,10 +22,23 @@ def shared_folder(spark: SparkSession) -> str:
     return context._jsc.sc().getCheckpointDir().get()
 
 
+#: Spark's setting for removing the shuffle files of a query once it has ended.
+_CLEAN = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def shared(df: DataFrame) -> DataFrame:
-    """df, written to the shared folder, so that it outlives executors and is computed once."""
-    shared_folder(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """df, written to the shared folder, so that it outlives executors and is computed once.
+
+    The shuffle files that were needed to make it go as soon as it is written.
+    """
+    spark = df.sparkSession
+    shared_folder(spark)
+    before = spark.conf.get(_CLEAN, "false")
+    spark.conf.set(_CLEAN, "true")
+    try:
+        return df.select("*").checkpoint(eager=True)  # a query of its own, which takes the setting
+    finally:
+        spark.conf.set(_CLEAN, before)
 
 
 def release(spark: SparkSession) -> None:
