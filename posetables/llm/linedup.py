@@ -5,10 +5,11 @@ line of n characters has n shingles of SHINGLE characters. Each distinct line ge
 minima, empty bins filled from full ones (optimal densification; Shrivastava, 2017), cut into BANDS bands of ROWS (recall
 0.995 at a Jaccard similarity of 0.8, 0.99998 at 0.85; short shingles make unrelated lines more alike, so a band has
 eight rows). Equal lines count once. Lines with a band in common are a bucket. First each line is verified against
-the smallest hash of each of its buckets, and union-find joins what is linked. Then, in buckets whose lines are not yet
-one component, all pairs of different components are verified, by rows of bits over the shingles met there; a bucket of
-more than TILE lines or TILE_CHARS characters is dealt out as pairs of tiles, and a task gives a spanning forest of its
-links. So no link between lines of a bucket is lost, and pairs are never tried beyond a bucket. Links need an exact
+the smallest hash of each of its buckets, and union-find joins what is linked. Then, where the other lines of a bucket are
+not yet one component, all pairs of different components among them are verified; of buckets with the same lines (by 128
+bits of their hashes) one stands for all. Pairs are verified many at a time, buckets of more than SMALL lines by rows of
+bits over the shingles met there; a bucket of more than TILE lines or TILE_CHARS characters is dealt out as pairs of tiles,
+and a task gives a spanning forest of its links. So no link between lines of a bucket is lost, and pairs are never tried beyond a bucket. Links need an exact
 Jaccard similarity of THRESHOLD over the shingle sets. The first line of each component by doc_id and line number stays.
 
 Defined results: null and empty texts have one blank line; blank lines are never duplicates and stay; rows with
@@ -25,7 +26,6 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ..storage import release
 from .bits import bit_table, holds
 from .common import shared, slices, table, texts_of
 from .components import connected_components, spanning_stars
@@ -35,6 +35,8 @@ BANDS, ROWS = 29, 8
 THRESHOLD = 0.8
 _BINS = BANDS * ROWS
 TILE, TILE_CHARS = 256, 4_000_000
+SMALL = 12  # lines of a bucket whose pairs are verified one by one, with those of other buckets
+_PAIR_CHARS = 1_000_000
 
 
 def normal(line: str) -> bytes:
@@ -243,44 +245,115 @@ def similar_pairs(lines: list[str], threshold: float = THRESHOLD) -> list[tuple[
     return list(zip(i.tolist(), j.tolist()))
 
 
+def _shingle_keys(lines: list[str], code: np.ndarray, base: int) -> np.ndarray:
+    """Distinct (number of the line, its shingle) of lines, sorted, as numbers to the base of the alphabet's size."""
+    marks = "\0" * (SHINGLE - 1)
+    c = code[np.frombuffer((marks.join(lines) + marks).encode("utf-32-le"), np.uint32)]
+    sizes = np.fromiter(map(len, lines), np.int64, len(lines))
+    line = np.repeat(np.arange(len(lines)), sizes)
+    at = np.arange(len(line)) + (SHINGLE - 1) * line  # the places that are no marks
+    key = line
+    for k in range(SHINGLE):
+        key = key * base + c[at + k]
+    key.sort()
+    return key[np.concatenate([[True], key[1:] != key[:-1]])[: len(key)]]
+
+
+def similar(left: list[str], right: list[str], threshold: float = THRESHOLD) -> np.ndarray:
+    """For each pair of lines whether its exact Jaccard similarity reaches threshold."""
+    used = np.zeros(0x110000, bool)
+    for side in (left, right):
+        used[np.frombuffer("".join(side).encode("utf-32-le"), np.uint32)] = True
+    used[0] = True
+    base = int(used.sum())
+    if len(left) * base**SHINGLE >= 1 << 63:  # too many different characters for one number
+        if len(left) == 1:
+            return np.array([jaccard(left[0].encode(), right[0].encode()) >= threshold])
+        half = len(left) // 2
+        return np.concatenate([similar(left[:half], right[:half], threshold), similar(left[half:], right[half:], threshold)])
+    code = np.cumsum(used) - 1
+    x, y = _shingle_keys(left, code, base), _shingle_keys(right, code, base)
+    ends = np.arange(len(left) + 1) * base**SHINGLE
+    count = lambda keys: np.diff(np.searchsorted(keys, ends))
+    every = np.concatenate([x, y])
+    every.sort()
+    both = count(every[1:][every[1:] == every[:-1]])
+    return both >= np.maximum(1, threshold * (count(x) + count(y) - both))
+
+
+class _Pairs:
+    """Pairs of lines with their names, verified when there are enough of them."""
+
+    def __init__(self, threshold: float):
+        self.threshold, self.rows, self.size = threshold, [], 0
+
+    def add(self, a: int, b: int, left: str, right: str) -> tuple[list[int], list[int]]:
+        self.rows.append((a, b, left, right))
+        self.size += len(left) + len(right)
+        return self.verified() if self.size >= _PAIR_CHARS else ([], [])
+
+    def verified(self) -> tuple[list[int], list[int]]:
+        if not self.rows:
+            return [], []
+        a, b, left, right = zip(*self.rows)
+        self.rows, self.size = [], 0
+        keep = np.flatnonzero(similar(left, right, self.threshold)).tolist()
+        return [a[i] for i in keep], [b[i] for i in keep]
+
+
+def _links(a: list[int], b: list[int]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_pydict({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+
+
 def _verify_star(threshold: float):
     """Of rows a, b, left, right those whose lines are similar."""
 
     def work(batches):
+        pairs = _Pairs(threshold)
         for batch in batches:
-            keep = []
-            for x, y in zip(batch.column("left").to_pylist(), batch.column("right").to_pylist()):
-                keep.append(len(similar_pairs([x, y], threshold)) > 0)
-            yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], names=["a", "b"]).filter(pa.array(keep, pa.bool_()))
+            for row in zip(*(batch.column(n).to_pylist() for n in ("a", "b", "left", "right"))):
+                a, b = pairs.add(*row)
+                if a:
+                    yield _links(a, b)
+        yield _links(*pairs.verified())
 
     return work
 
 
 def _verify_buckets(threshold: float):
-    """Spanning links a, b of the components of each run of rows with the same (key, pa, pb)."""
+    """Links a, b between the components of each run of rows with the same (key, pa, pb); of large runs a spanning forest."""
     keys = ["key", "pa", "pb"]
 
-    def links(comps: list[int], lines: list[str]) -> tuple[list[int], list[int]]:
+    def links(pairs: _Pairs, comps: list[int], lines: list[str]) -> tuple[list[int], list[int]]:
+        a, b = [], []
         if len(set(comps)) < 2:
-            return [], []
+            return a, b
+        if len(lines) <= SMALL:
+            for i in range(len(lines)):
+                for j in range(i):
+                    if comps[i] != comps[j]:
+                        x, y = pairs.add(comps[i], comps[j], lines[i], lines[j])
+                        a += x
+                        b += y
+            return a, b
         found = [(comps[i], comps[j]) for i, j in similar_pairs(lines, threshold) if comps[i] != comps[j]]
         return spanning_stars([x for x, _ in found], [y for _, y in found])
 
     def work(batches):
-        key, comps, lines = None, [], []
+        pairs, key, comps, lines = _Pairs(threshold), None, [], []
         for batch in batches:
             a, b = [], []
             for *own, c, line in zip(*(batch.column(n).to_pylist() for n in [*keys, "c", "line"])):
                 if own != key:
-                    x, y = links(comps, lines)
+                    x, y = links(pairs, comps, lines)
                     a += x
                     b += y
                     key, comps, lines = own, [], []
                 comps.append(c)
                 lines.append(line)
-            yield pa.RecordBatch.from_pydict({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
-        a, b = links(comps, lines)
-        yield pa.RecordBatch.from_pydict({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+            yield _links(a, b)
+        yield _links(*links(pairs, comps, lines))
+        yield _links(*pairs.verified())
 
     return work
 
@@ -288,27 +361,25 @@ def _verify_buckets(threshold: float):
 def line_components(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """h, component of distinct lines that have a near duplicate."""
     n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    spark = docs.sparkSession
     members = shared(_bucket_members(_bands(docs)))
-    release(spark)  # the bands' shuffle, the largest one
     texts = shared(_texts(docs, members.select("h")).join(members.select("h").distinct(), "h", "left_semi"))
-    release(spark)
     low = members.groupBy("key").agg(F.min("h").alias("low"))
-    star = members.join(low, "key").where("h <> low").select(F.col("h").alias("a"), F.col("low").alias("b")).distinct()
+    others = shared(members.join(low, "key").where("h <> low"))
+    star = others.select(F.col("h").alias("a"), F.col("low").alias("b")).distinct()
     named = lambda k, name: texts.select(F.col("h").alias(k), F.col("line").alias(name))
     first = star.join(named("a", "left"), "a").join(named("b", "right"), "b").mapInArrow(_verify_star(threshold), "a long, b long")
-    first = shared(first)
-    release(spark)
-    found = shared(connected_components(first))
-    placed = shared(members.join(found, F.col("h") == F.col("node"), "left").select("key", "h", F.coalesce("component", "h").alias("c")))
-    # Buckets that hold several components: only there can a link be missing.
-    open_ = placed.groupBy("key").agg(F.min("c").alias("low"), F.max("c").alias("high"), F.count("*").alias("n")).where("low <> high and n > 2").select("key")
-    inside = shared(placed.join(open_, "key").join(texts, "h"))
-    tiles = inside.groupBy("key").agg(F.greatest(F.ceil(F.count("*") / TILE), F.ceil(F.sum(F.length("line")) / TILE_CHARS)).cast("int").alias("tiles"))
-    split = inside.join(tiles, "key").withColumn("tile", F.pmod(F.xxhash64("h"), F.col("tiles")).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)))
-    dealt = split.select("key", F.least("tile", "other").alias("pa"), F.greatest("tile", "other").alias("pb"), "c", "line")
+    found = shared(connected_components(shared(first)))
+    sizes = texts.select("h", F.length("line").alias("chars"))
+    placed = others.join(found, F.col("h") == F.col("node"), "left").join(sizes, "h").select("key", "h", F.coalesce("component", "h").alias("c"), "chars")
+    placed = shared(placed)
+    # Buckets whose lines but the smallest are several components: only there can a link be missing.
+    marks = [F.bit_xor(F.xxhash64("h", F.lit(i))).alias(f"mark{i}") for i in range(2)]
+    tiles = F.greatest(F.ceil(F.count("*") / TILE), F.ceil(F.sum("chars") / TILE_CHARS)).cast("int")
+    open_ = placed.groupBy("key").agg(F.min("c").alias("least"), F.max("c").alias("most"), tiles.alias("tiles"), *marks).where("least <> most")
+    open_ = open_.groupBy("mark0", "mark1").agg(F.min("key").alias("key"), F.max("tiles").alias("tiles")).select("key", "tiles")
+    split = placed.join(open_, "key").withColumn("tile", F.pmod(F.xxhash64("h"), F.col("tiles")).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)))
+    dealt = split.select("key", F.least("tile", "other").alias("pa"), F.greatest("tile", "other").alias("pb"), "c", "h").join(texts, "h").select("key", "pa", "pb", "c", "line")
     links = shared(dealt.repartition(n, "key", "pa", "pb").sortWithinPartitions("key", "pa", "pb").mapInArrow(_verify_buckets(threshold), "a long, b long"))
-    release(spark)
     merged = connected_components(links)  # of components
     whole = found.join(merged.select(F.col("node").alias("component"), F.col("component").alias("top")), "component", "left").select(F.col("node").alias("h"), F.coalesce("top", "component").alias("component"))
     # Lines that were alone until they met in a bucket.

@@ -220,6 +220,40 @@ def test_one_word_of_a_short_line(spark):
     assert {r.doc_id: r.n_dropped for r in linedup.line_report(docs).collect()} == {0: 0, 1: 1, 2: 1, 3: 1, 4: 0}
 
 
+def test_pairs_of_lines_many_at_a_time():
+    """As jaccard says, whatever the characters; an alphabet too large for one number is halved."""
+    r = random.Random(1)
+    left = ["".join(r.choices("abcde fgé漢\0😀", k=r.randrange(1, 40))) for _ in range(1500)]
+    right = []
+    for x in left:
+        y = list(x)
+        for _ in range(r.randrange(3)):
+            y[r.randrange(len(y))] = r.choice("abz漢")
+        right.append("".join(y) + r.choice(["", "a", ""]))
+    want = [linedup.jaccard(a.encode(), b.encode()) >= 0.8 for a, b in zip(left, right)]
+    assert linedup.similar(left, right).tolist() == want and 100 < sum(want) < 1400
+    wide = ["".join(chr(0x4E00 + r.randrange(20000)) for _ in range(500)) for _ in range(20)]
+    assert linedup.similar(wide, [x[:-1] + "a" for x in wide]).all() and not linedup.similar(wide, wide[::-1]).any()
+
+
+def test_line_buckets_without_their_smallest(spark, monkeypatch):
+    """Near copies of two templates, dealt as small buckets and as pairs of tiles: the components are those of all pairs."""
+    r = random.Random(3)
+    bases = ["the harbour office opens early on weekdays and closes before the evening ferry leaves", "a list of members who have paid their fees is kept by the treasurer of the club"]
+    lines = sorted({b[:k] + r.choice("xyz") * n + b[k:] for b in bases for k in range(0, len(b), 3) for n in (1, 4, 7)})
+    docs = spark.createDataFrame(list(enumerate(lines)), "doc_id long, text string")
+    parent = list(range(len(lines)))
+    root = lambda x: x if parent[x] == x else root(parent[x])
+    for i, j in linedup.similar_pairs(lines):
+        a, b = root(i), root(j)
+        parent[max(a, b)] = min(a, b)
+    want = {i for i in range(len(lines)) if root(i) != i}
+    for tile, small in ((256, 12), (7, 12), (7, 2)):
+        monkeypatch.setattr(linedup, "TILE", tile)
+        monkeypatch.setattr(linedup, "SMALL", small)
+        assert {x.doc_id for x in linedup.line_report(docs).where("n_dropped > 0").collect()} == want
+
+
 def test_license(documents, texts):
     rows = license.scan_licenses(documents, license.fit(documents)).collect()
     got = {(r.doc_id, r.para): r.family for r in rows}
