@@ -39,11 +39,3 @@ def shared(df: DataFrame) -> DataFrame:
         return df.select("*").checkpoint(eager=True)  # a query of its own, which takes the setting
     finally:
         spark.conf.set(_CLEAN, before)
-
-
-def release(spark: SparkSession) -> None:
-    """Let Spark's cleaner take the shuffle files of what has been written by shared() and is used no more.
-
-    The cleaner acts when the driver collects its garbage, which a driver with little to do puts off.
-    """
-    spark.sparkContext._jvm.System.gc()
