@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import bpe, decontaminate, license, linedup, lm, pii, quality, secrets, simhash, toxicity
+from . import bpe, decontaminate, license, linedup, lm, pii, quality, repair, secrets, simhash, toxicity
 
 QUERIES = {
     "op1_secret_scan": secrets.op1_secret_scan,
@@ -15,6 +15,7 @@ QUERIES = {
     "op8_bpe": bpe.op8_bpe,
     "op9_quality_rules": quality.op9_quality_rules,
     "op10_decontaminate": decontaminate.op10_decontaminate,
+    "op13_conversation_repair": repair.op13_conversation_repair,
 }
 
 ORACLE_SQL: dict[str, str] = {"op1_secret_scan": secrets.OP1_SQL, "op9_quality_rules": quality.OP9_SQL}
