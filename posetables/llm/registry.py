@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import alignment, bpe, decontaminate, license, linedup, lm, pii, quality, repair, secrets, simhash, toxicity
+from . import alignment, bpe, decontaminate, license, linedup, lm, pii, quality, repair, secrets, simhash, suffixes, toxicity
 
 QUERIES = {
     "op1_secret_scan": secrets.op1_secret_scan,
@@ -15,6 +15,7 @@ QUERIES = {
     "op8_bpe": bpe.op8_bpe,
     "op9_quality_rules": quality.op9_quality_rules,
     "op10_decontaminate": decontaminate.op10_decontaminate,
+    "op11_suffix_dedup": suffixes.op11_suffix_dedup,
     "op12_token_alignment": alignment.op12_token_alignment,
     "op13_conversation_repair": repair.op13_conversation_repair,
 }
