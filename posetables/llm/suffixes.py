@@ -33,7 +33,7 @@ ANCHOR = 32
 #: Occurrences of a piece that are compared in one tile.
 TILE_ROWS = 4096
 #: Bytes that are sorted at once, but for a tile that is longer.
-SORTED_BYTES = 3_000_000
+SORTED_BYTES = 2_000_000
 #: Positions whose pieces are hashed at once.
 STEP = 1 << 20
 _PLACE_BITS = 21  # a position within a step and a string's length after it
@@ -231,7 +231,7 @@ def find_anchors(documents: DataFrame) -> DataFrame:
 def repeated_anchors(documents: DataFrame, tile_rows: int = TILE_ROWS) -> DataFrame:
     """For each document its runs around pieces that occur again: h, tile (0 where all occurrences are one tile), start, n."""
     found = find_anchors(documents)
-    again = found.groupBy("h").agg(F.count("*").alias("times")).where("times > 1")
+    again = shared(found.groupBy("h").agg(F.count("*").alias("times")).where("times > 1"))  # written, so that the join below can be split by skew
     tiles = F.ceil(F.col("times") / tile_rows)
     tile = F.when(tiles > 1, 1 + F.pmod(F.xxhash64("doc_id", "tag", "start"), tiles)).otherwise(0).cast("int")
     kept = found.join(again, "h").select("doc_id", "tag", F.struct("h", tile.alias("tile"), "start", "n").alias("run"))
