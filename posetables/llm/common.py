@@ -7,7 +7,7 @@ from collections.abc import Callable, Iterable, Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from ..storage import shared, shared_folder  # noqa: F401
+from ..storage import shared, shared_folder, written  # noqa: F401
 
 #: Texts are handled in slices of about so many characters, whatever the size of an Arrow batch.
 SLICE_CHARS = 1_000_000

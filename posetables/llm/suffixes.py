@@ -25,7 +25,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from .common import shared, table, texts_of
+from .common import table, texts_of, written
 
 LENGTH = 100
 #: Bytes of a piece, a power of two; a string holds LENGTH - ANCHOR + 1 of them.
@@ -231,7 +231,7 @@ def find_anchors(documents: DataFrame) -> DataFrame:
 def repeated_anchors(documents: DataFrame, tile_rows: int = TILE_ROWS) -> DataFrame:
     """For each document its runs around pieces that occur again: h, tile (0 where all occurrences are one tile), start, n."""
     found = find_anchors(documents)
-    again = shared(found.groupBy("h").agg(F.count("*").alias("times")).where("times > 1"))  # written, so that the join below can be split by skew
+    again = written(found.groupBy("h").agg(F.count("*").alias("times")).where("times > 1"))  # written, so that the join below can be split by skew
     tiles = F.ceil(F.col("times") / tile_rows)
     tile = F.when(tiles > 1, 1 + F.pmod(F.xxhash64("doc_id", "tag", "start"), tiles)).otherwise(0).cast("int")
     kept = found.join(again, "h").select("doc_id", "tag", F.struct("h", tile.alias("tile"), "start", "n").alias("run"))
@@ -305,10 +305,10 @@ def _mark_sorted(length: int = LENGTH, sorted_bytes: int = SORTED_BYTES):
 
 def repeated_spans(documents: DataFrame, tile_rows: int = TILE_ROWS, sorted_bytes: int = SORTED_BYTES) -> DataFrame:
     """doc_id, tag, low, high: strings from low to high start earlier too."""
-    runs = shared(repeated_anchors(documents, tile_rows))
+    runs = written(repeated_anchors(documents, tile_rows))
     parts = _with_bytes(documents.join(runs, ["doc_id", "tag"]))
     n = int(documents.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    found = shared(parts.repartition(n, "h", "tile").sortWithinPartitions("h", "tile").mapInArrow(_mark_sorted(LENGTH, sorted_bytes), _MARK))
+    found = written(parts.repartition(n, "h", "tile").sortWithinPartitions("h", "tile").mapInArrow(_mark_sorted(LENGTH, sorted_bytes), _MARK))
     first = found.where("string IS NOT NULL")
     place: Column = F.struct("doc_id", "tag", "low")
     least = first.groupBy("string").agg(F.min(place).alias("least"), F.count("*").alias("times")).where("times > 1")
