@@ -60,16 +60,27 @@ def ranks(indices: DataFrame, column: str) -> DataFrame:
     return ranged.join(before, "r").select("i", (F.col("before") + F.row_number().over(Window.partitionBy("r").orderBy("i")) - 1).alias("rank"))
 
 
-def shard_plan(indices: DataFrame, column: str, divisor: int) -> DataFrame:
-    """shard, start, end, n: contiguous shards of nearly equal size, max(1, n // divisor) of them."""
+def _shard_of_rank(indices: DataFrame, column: str, divisor: int) -> DataFrame:
+    """i, rank and shard (from 1) of each index: max(1, n // divisor) contiguous shards of nearly equal size."""
     n = indices.count()
     shards = max(1, n // divisor)
     small, more = divmod(n, shards)
     edge = more * (small + 1)  # the first shards have one more
     rank = F.col("rank")
     shard = F.when(rank < edge, F.floor(rank / (small + 1))).otherwise(more + F.floor((rank - edge) / max(1, small)))
-    placed = ranks(indices, column).groupBy((shard + 1).cast("int").alias("shard"))
-    return placed.agg(F.min("i").alias("start"), F.max("i").alias("end"), F.count("*").alias("n"))
+    return ranks(indices, column).withColumn("shard", (shard + 1).cast("int"))
+
+
+def shard_plan(indices: DataFrame, column: str, divisor: int) -> DataFrame:
+    """shard, start, end, n: contiguous shards of nearly equal size, max(1, n // divisor) of them."""
+    return _shard_of_rank(indices, column, divisor).groupBy("shard").agg(F.min("i").alias("start"), F.max("i").alias("end"), F.count("*").alias("n"))
+
+
+def placed_in_shards(indices: DataFrame, column: str, divisor: int) -> DataFrame:
+    """i, shard, start, end: the range of the plan in which each index lies."""
+    placed = _shard_of_rank(indices, column, divisor)
+    plan = placed.groupBy("shard").agg(F.min("i").alias("start"), F.max("i").alias("end"))
+    return placed.select("i", "shard").join(plan, "shard")
 
 
 @query("win_shard_plan", "SELECT CAST(shard AS INT) AS shard, min(frame_id) AS start, max(frame_id) AS \"end\", count(*) AS n FROM (SELECT frame_id, CASE WHEN rk < more * (small + 1) THEN floor(rk / (small + 1)) ELSE more + floor((rk - more * (small + 1)) / small) END + 1 AS shard FROM (SELECT frame_id, row_number() OVER (ORDER BY frame_id) - 1 AS rk FROM fx_frames) a, (SELECT count(*) // greatest(1, count(*) // 70) AS small, count(*) % greatest(1, count(*) // 70) AS more FROM fx_frames) b) s GROUP BY shard", "fx_frames")

@@ -1,228 +1,340 @@
 """Sharded record files: a Python data source, one task for each shard.
 
-A shard is a ZLIB stream of length-framed Example records, whose features are serialised tensors. The stream can't be
-split. format("pose_records") reads the label keys of version 2 folders; option keys picks features, so others are
-skipped without being decoded. Writing gives a shard for each task, and what a failed task wrote is not listed.
+A shard is a ZLIB stream of length-framed Example records; it can't be split. Below a root, all datasets are read: of
+version 2 the shards `data/*.tfrecord`, of version 1 four file families (rgb, depth, mask, gt), whose records belong together by
+position. Option keys picks features, so that others are passed over undecoded and families without a wanted key aren't
+opened. Options subsets and shards leave shards out before any is opened. They are options rather than pushed filters because Spark 4.1
+keeps what a Python source was once filtered by, and applies it to later queries of the same DataFrame.
+
+Written shards are named by the ranges of a plan. A task writes under a name of its own, and the commit renames: a shard that
+is written again replaces itself, and what failed tasks leave behind is swept away.
 """
 
 from __future__ import annotations
 
 import json
 import os
-import struct
 import uuid
 import zlib
+from collections import defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass
+from fnmatch import fnmatchcase
 from pathlib import Path
 
-import numpy as np
-from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceWriter, InputPartition, WriterCommitMessage
-
-#: Keys with their Spark type, NumPy type and the wire number of that type. Fixed values.
-KEYS = {
-    "cam_location": ("array<float>", "<f4", 1), "cam_rotation": ("array<float>", "<f4", 1), "cam_matrix": ("array<float>", "<f4", 1), "stereo_baseline": ("array<float>", "<f4", 1),
-    "obj_classes": ("array<string>", "str", 7), "obj_ids": ("array<int>", "<i4", 3), "obj_pos": ("array<float>", "<f4", 1), "obj_rot": ("array<float>", "<f4", 1),
-    "obj_bbox_visib": ("array<int>", "<i4", 3), "obj_bbox_obj": ("array<int>", "<i4", 3), "obj_visib_fract": ("array<float>", "<f4", 1),
-    "obj_px_count_visib": ("array<int>", "<i4", 3), "obj_px_count_valid": ("array<int>", "<i4", 3), "obj_px_count_all": ("array<int>", "<i4", 3),
-}
-
-
-def _varint(n: int) -> bytes:
-    out = bytearray()
-    while n > 127:
-        out.append(n & 127 | 128)
-        n >>= 7
-    return bytes([*out, n])
-
-
-def _field(number: int, data: bytes) -> bytes:
-    return _varint(number << 3 | 2) + _varint(len(data)) + data
-
-
-def _fields(data: bytes) -> Iterator[tuple[int, bytes | int]]:
-    """(number, value) of a wire message; fixed-width fields are skipped."""
-    at = 0
-
-    def varint() -> int:
-        nonlocal at
-        n = shift = 0
-        while True:
-            b = data[at]
-            at += 1
-            n |= (b & 127) << shift
-            shift += 7
-            if b < 128:
-                return n
-
-    while at < len(data):
-        tag = varint()
-        if tag & 7 == 0:
-            yield tag >> 3, varint()
-        elif tag & 7 == 2:
-            size = varint()
-            yield tag >> 3, data[at : at + size]
-            at += size
-        else:
-            at += {1: 8, 5: 4}[tag & 7]
-
-
-def encode_tensor(values: list, kind: str, number: int) -> bytes:
-    shape = _field(2, _field(2, b"\x08" + _varint(len(values))))
-    if kind == "str":
-        return b"\x08" + _varint(number) + shape + b"".join(_field(8, v.encode()) for v in values)
-    return b"\x08" + _varint(number) + shape + _field(4, np.asarray(values, kind).tobytes())
-
-
-def decode_tensor(data: bytes, kind: str) -> list:
-    if kind == "str":
-        return [v.decode() for n, v in _fields(data) if n == 8]
-    content = [v for n, v in _fields(data) if n == 4]
-    return np.frombuffer(b"".join(content), kind).tolist()
-
-
-def encode_example(row: dict) -> bytes:
-    features = b""
-    for key, (_, kind, number) in KEYS.items():
-        if row.get(key) is not None:
-            value = _field(1, _field(1, encode_tensor(row[key], kind, number)))
-            features += _field(1, _field(1, key.encode()) + _field(2, value))
-    return _field(1, features)
-
-
-def decode_example(data: bytes, keys: list[str]) -> dict:
-    out = {}
-    for _, features in _fields(data):
-        for _, entry in _fields(features):
-            parts = dict(_fields(entry))
-            key = parts[1].decode()
-            if key in keys:
-                out[key] = decode_tensor(dict(_fields(dict(_fields(parts[2]))[1]))[1], KEYS[key][1])
-    return out
-
-
-_CRC = [0] * 256
-for _i in range(256):
-    _c = _i
-    for _ in range(8):
-        _c = _c >> 1 ^ (0x82F63B78 if _c & 1 else 0)
-    _CRC[_i] = _c
-
-
-def masked_crc(data: bytes) -> int:
-    c = 0xFFFFFFFF
-    for b in data:
-        c = _CRC[(c ^ b) & 255] ^ c >> 8
-    c ^= 0xFFFFFFFF
-    return ((c >> 15 | c << 17) + 0xA282EAD8) & 0xFFFFFFFF
-
-
-def frame_record(data: bytes) -> bytes:
-    size = struct.pack("<Q", len(data))
-    return size + struct.pack("<I", masked_crc(size)) + data + struct.pack("<I", masked_crc(data))
-
-
-def records(path: str) -> Iterator[bytes]:
-    """Records of a shard, read piece by piece; a shard that is cut off or damaged is an error."""
-    unzip, held = zlib.decompressobj(), b""
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, DataSourceReader, DataSourceStreamReader, InputPartition, WriterCommitMessage
+
+from ..operators.windows import placed_in_shards
+from .tensors import KEYS, decode_example, encode_example, frame_record, keys_of, records, spark_type
+
+#: Families of version 1 with their keys. Fixed values.
+FAMILIES = {
+    "rgb": ["rgb", "rgb_R"],
+    "depth": ["depth", "depth_R"],
+    "mask": ["mask"],
+    "gt": [k for k in KEYS if k.startswith(("cam_", "obj_", "stereo_"))],
+}
+#: A batch of rows ends at so many rows, or bytes of images.
+BATCH_ROWS, BATCH_BYTES = 1000, 32 << 20
+PATTERN = "**/*.tfrecord"
+
+
+def pieces_of(path: str, size: int = 1 << 20) -> Iterator[bytes]:
     with open(path, "rb") as f:
-        while piece := f.read(1 << 20):
-            held += unzip.decompress(piece)
-            while len(held) >= 12:
-                size, check = struct.unpack("<QI", held[:12])
-                if check != masked_crc(held[:8]):
-                    raise ValueError(f"{path}: a record's length is damaged")
-                if len(held) < 16 + size:
-                    break
-                data = held[12 : 12 + size]
-                if struct.unpack("<I", held[12 + size : 16 + size])[0] != masked_crc(data):
-                    raise ValueError(f"{path}: a record is damaged")
-                yield data
-                held = held[16 + size :]
-    if held or not unzip.eof:
-        raise ValueError(f"{path}: the shard is cut off")
-
-
-def layout_version(root: str) -> float:
+        while piece := f.read(size):
+            yield piece
+
+
+def layout_version(root: str | Path) -> float:
     """Version of a dataset folder; 2 without metadata, an error from 3 on."""
     meta = Path(root) / "metadata.json"
     version = float(json.loads(meta.read_text()).get("version", 2.0)) if meta.exists() else 2.0
     if version >= 3:
-        raise ValueError(f"version {version} is not read")
+        raise ValueError(f"{root}: version {version} is not read")
     return version
 
 
-@dataclass
+@dataclass(frozen=True)
 class Shard(InputPartition):
-    path: str
-
-
-@dataclass
-class Written(WriterCommitMessage):
-    temporary: str
-    final: str
+    """subset: the dataset's folder below the root; paths: a file for each family ("data" in version 2)."""
+
+    subset: str
+    shard: str
+    paths: tuple[tuple[str, str], ...]
+
+    def rows(self, keys: list[str], safe: bool) -> Iterator[dict]:
+        """Records by position; of several families, as many as the shortest has."""
+        wanted = [[k for k in keys if family == "data" or k in FAMILIES[family]] for family, _ in self.paths]
+        streams = [records(pieces_of(path), path) for _, path in self.paths]
+        for position, together in enumerate(zip(*streams)):
+            row = {k: v for data, names in zip(together, wanted) for k, v in decode_example(data, names).items()}
+            if not safe and (missing := [k for k in keys if k not in row]):
+                raise ValueError(f"{self.paths[0][1]}: record {position} has no {', '.join(missing)}")
+            yield row
+
+
+def find_shards(root: str, pattern: str, keys: list[str]) -> list[Shard]:
+    """All shards below a root, of both versions. The families of a dataset must have the same shards."""
+    base = Path(root)
+    layout_version(base)
+    families: dict[Path, dict[str, dict[str, str]]] = defaultdict(lambda: defaultdict(dict))
+    found = []
+    versions: dict[Path, float] = {}
+    for path in sorted(base.glob(pattern)):
+        folder = path.parent.parent if path.parent.name in ("data", *FAMILIES) else path.parent
+        version = versions.setdefault(folder, layout_version(folder if (folder / "metadata.json").exists() else base))
+        subset = "" if folder == base else folder.relative_to(base).as_posix()
+        if version >= 2:
+            found.append(Shard(subset, path.stem, (("data", str(path)),)))
+        elif path.parent.name in FAMILIES and set(FAMILIES[path.parent.name]) & set(keys):
+            families[folder][path.parent.name][path.stem] = str(path)
+    for folder, of_family in families.items():
+        stems = {frozenset(files) for files in of_family.values()}
+        if len(stems) > 1:
+            raise ValueError(f"{folder}: the families {', '.join(sorted(of_family))} have different shards")
+        subset = "" if folder == base else folder.relative_to(base).as_posix()
+        found += [Shard(subset, stem, tuple((f, of_family[f][stem]) for f in FAMILIES if f in of_family)) for stem in sorted(next(iter(stems)))]
+    return found
+
+
+def arrow_schema(keys: list[str]) -> pa.Schema:
+    one = {"float": pa.float32(), "int": pa.int32(), "string": pa.string()}
+    image = pa.struct([("height", pa.int32()), ("width", pa.int32()), ("channels", pa.int32()), ("dtype", pa.string()), ("data", pa.binary())])
+
+    def kind(name: str) -> pa.DataType:
+        return image if name.startswith("struct") else pa.list_(kind(name[6:-1])) if name.startswith("array") else one[name]
+
+    return pa.schema([("subset", pa.string()), ("shard", pa.string()), ("position", pa.int32()), *((k, kind(spark_type(k))) for k in keys)])
+
+
+def _batches(shard: Shard, keys: list[str], safe: bool) -> Iterator[pa.RecordBatch]:
+    schema, rows, size = arrow_schema(keys), [], 0
+    for position, row in enumerate(shard.rows(keys, safe)):
+        rows.append({"subset": shard.subset, "shard": shard.shard, "position": position, **row})
+        size += sum(len(v["data"]) for v in row.values() if isinstance(v, dict))
+        if len(rows) >= BATCH_ROWS or size >= BATCH_BYTES:
+            yield pa.RecordBatch.from_pylist(rows, schema=schema)
+            rows, size = [], 0
+    if rows:
+        yield pa.RecordBatch.from_pylist(rows, schema=schema)
 
 
 class PoseRecords(DataSource):
-    """format("pose_records"): options path, keys (comma-joined), pattern, family (a file family of version 1)."""
+    """format("pose_records") of a local or mounted path.
+
+    Options: path, keys (comma-joined, all by default), pattern (below path), subsets and shards (comma-joined patterns of names), safe. With safe, keys that the first record of no dataset
+    has are left out of the schema, as are unknown ones; without it, all keys must be known and each record must hold each.
+    """
 
     @classmethod
     def name(cls) -> str:
         return "pose_records"
 
+    @property
+    def safe(self) -> bool:
+        return self.options.get("safe", "true").lower() != "false"
+
     def keys(self) -> list[str]:
-        wanted = self.options.get("keys", "")
-        return [k for k in wanted.split(",") if k in KEYS] if wanted else list(KEYS)
+        wanted = [k.strip() for k in self.options.get("keys", "").split(",") if k.strip()] or list(KEYS)
+        if unknown := [k for k in wanted if k not in KEYS]:
+            if not self.safe:
+                raise ValueError(f"unknown keys: {', '.join(unknown)}")
+            wanted = [k for k in wanted if k in KEYS]
+        return wanted
+
+    def shards(self) -> list[Shard]:
+        found = find_shards(self.options["path"], self.options.get("pattern", PATTERN), self.keys())
+        subsets, shards = (self.options.get(k, "*").split(",") for k in ("subsets", "shards"))
+        return [s for s in found if any(fnmatchcase(s.subset, x) for x in subsets) and any(fnmatchcase(s.shard, x) for x in shards)]
 
     def schema(self) -> str:
-        return "shard string, position int, " + ", ".join(f"{k} {KEYS[k][0]}" for k in self.keys())
+        keys = self.keys()
+        if self.safe and (shards := self.shards()):
+            present: set[str] = set()
+            seen: set[str] = set()
+            for shard in shards:
+                if shard.subset not in seen:
+                    heads = [next(records(pieces_of(path), path), None) for _, path in shard.paths]
+                    if None not in heads:  # a shard without records tells nothing
+                        seen.add(shard.subset)
+                        present.update(k for head in heads for k in keys_of(head))
+            keys = [k for k in keys if k in present]
+        return ", ".join(["subset string", "shard string", "position int", *(f"{k} {spark_type(k)}" for k in keys)])
+
+    def reader(self, schema: T.StructType) -> DataSourceReader:
+        return RecordReader(self.shards(), [f.name for f in schema if f.name in KEYS], self.safe)
 
-    def reader(self, schema) -> DataSourceReader:
-        return RecordReader(self.options, self.keys())
+    def streamReader(self, schema: T.StructType) -> DataSourceStreamReader:
+        return RecordStreamReader(self.options["path"], self.options.get("pattern", PATTERN), [f.name for f in schema if f.name in KEYS], self.safe)
 
-    def writer(self, schema, overwrite: bool) -> DataSourceWriter:
-        return RecordWriter(self.options, [f.name for f in schema.fields])
+    def writer(self, schema: T.StructType, overwrite: bool) -> DataSourceArrowWriter:
+        return RecordWriter(self.options["path"], overwrite)
 
 
 class RecordReader(DataSourceReader):
-    def __init__(self, options, keys):
-        root = options["path"]
-        folder = options.get("family", "gt") if layout_version(root) < 2 else "data"
-        self.keys, self.paths = keys, sorted(map(str, (Path(root) / folder).glob(options.get("pattern", "*.tfrecord"))))
+    def __init__(self, shards: list[Shard], keys: list[str], safe: bool):
+        self.shards, self.keys, self.safe = shards, keys, safe
 
     def partitions(self):
-        return [Shard(p) for p in self.paths]
+        return list(self.shards)
 
     def read(self, partition):
-        for position, data in enumerate(records(partition.path)):
-            row = decode_example(data, self.keys)
-            yield (Path(partition.path).stem, position, *(row.get(k) for k in self.keys))
+        if partition is not None:  # what is read if there are no shards
+            yield from _batches(partition, self.keys, self.safe)
+
+
+class RecordStreamReader(DataSourceStreamReader):
+    """Shards by the time at which they were committed. An offset is the last one's time and path."""
+
+    def __init__(self, root: str, pattern: str, keys: list[str], safe: bool):
+        self.root, self.pattern, self.keys, self.safe = root, pattern, keys, safe
+
+    def _landed(self) -> list[tuple[int, str, Shard]]:
+        shards = find_shards(self.root, self.pattern, self.keys)
+        return sorted(((max(os.stat(p).st_mtime_ns for _, p in s.paths), s.paths[0][1], s) for s in shards), key=lambda x: x[:2])
+
+    def initialOffset(self) -> dict:
+        return {"time": 0, "path": ""}
+
+    def latestOffset(self) -> dict:
+        landed = self._landed()
+        return {"time": landed[-1][0], "path": landed[-1][1]} if landed else self.initialOffset()
+
+    def partitions(self, start: dict, end: dict):
+        low, high = (start["time"], start["path"]), (end["time"], end["path"])
+        return [s for time, path, s in self._landed() if low < (time, path) <= high]
+
+    def read(self, partition):
+        yield from _batches(partition, self.keys, self.safe)
+
+    def commit(self, end: dict) -> None:
+        pass
+
+
+@dataclass
+class Written(WriterCommitMessage):
+    shards: tuple[tuple[str, str], ...]  # temporary and final paths
 
 
-class RecordWriter(DataSourceWriter):
-    """A shard for each task, named by the first and last frame_index of its rows."""
+class RecordWriter(DataSourceArrowWriter):
+    """A shard for each range shard_start, shard_end of the rows, which come sorted by it; without these columns, one for each task."""
 
-    def __init__(self, options, columns):
-        self.root, self.columns = options["path"], columns
+    def __init__(self, root: str, overwrite: bool):
+        self.root, self.overwrite, self.job = root, overwrite, uuid.uuid4().hex
 
     def write(self, iterator):
         os.makedirs(f"{self.root}/data", exist_ok=True)
-        temporary, packer, low, high = f"{self.root}/data/_{uuid.uuid4().hex}", zlib.compressobj(), None, None
-        with open(temporary, "wb") as f:
-            for row in iterator:
-                r = row.asDict()
-                low, high = min(r["frame_index"], low if low is not None else r["frame_index"]), max(r["frame_index"], high if high is not None else r["frame_index"])
-                f.write(packer.compress(frame_record(encode_example(r))))
-            f.write(packer.flush())
-        return Written(temporary, "" if low is None else f"{self.root}/data/{low:06}_{high:06}.tfrecord")
+        done: list[tuple[str, str]] = []
+        out = packer = planned = low = high = None
+
+        def close():
+            out.write(packer.flush())
+            out.close()
+            start, end = planned if planned else (low, high)
+            done[-1] = (done[-1][0], f"{self.root}/data/{start:06}_{end:06}.tfrecord")
+
+        try:
+            for batch in iterator:
+                for row in batch.to_pylist():
+                    of = (row["shard_start"], row["shard_end"]) if "shard_start" in row else None
+                    if out is None or of != planned:
+                        if out is not None:
+                            close()
+                        done.append((f"{self.root}/data/_{self.job}_{uuid.uuid4().hex}", ""))
+                        out, packer, planned = open(done[-1][0], "wb"), zlib.compressobj(), of
+                        low = high = row["frame_index"]
+                    low, high = min(low, row["frame_index"]), max(high, row["frame_index"])
+                    out.write(packer.compress(frame_record(encode_example(row))))
+            if out is not None:
+                close()
+        except BaseException:
+            if out is not None:
+                out.close()
+            for temporary, _ in done:
+                os.remove(temporary)
+            raise
+        return Written(tuple(done))
+
+    def _sweep(self) -> None:
+        """Files of this job that no shard became."""
+        for path in Path(self.root, "data").glob(f"_{self.job}_*"):
+            path.unlink(missing_ok=True)
 
     def commit(self, messages):
-        for m in messages:
-            if m is not None:
-                os.replace(m.temporary, m.final) if m.final else os.remove(m.temporary)
-        Path(f"{self.root}/metadata.json").write_text(json.dumps({"version": 2.0}))
+        shards = [s for m in messages if m is not None for s in m.shards]
+        finals = [final for _, final in shards]
+        if len(set(finals)) < len(finals):
+            self._sweep()
+            raise ValueError("two tasks hold rows of one shard; write_records() deals rows out by shard")
+        for temporary, final in shards:
+            os.utime(temporary)  # a stream takes the commit for the time at which it landed
+            os.replace(temporary, final)
+        self._sweep()
+        if self.overwrite:
+            for path in Path(self.root, "data").glob("*.tfrecord"):
+                if str(path) not in set(finals):
+                    path.unlink()
+        meta = Path(self.root, f"_{self.job}.json")
+        meta.write_text(json.dumps({"version": 2.0}))
+        os.replace(meta, f"{self.root}/metadata.json")
 
     def abort(self, messages):
-        for m in messages:
-            if m is not None and os.path.exists(m.temporary):
-                os.remove(m.temporary)
+        self._sweep()
+
+
+def register(spark: SparkSession) -> None:
+    """Make format("pose_records") known."""
+    spark.dataSource.register(PoseRecords)
+
+
+def read_records(spark: SparkSession, root: str, keys: list[str] | None = None, pattern: str = PATTERN, subsets: str = "*", shards: str = "*", safe: bool = True) -> DataFrame:
+    register(spark)
+    reader = spark.read.format("pose_records").options(pattern=pattern, subsets=subsets, shards=shards, safe=str(safe).lower())
+    return (reader.option("keys", ",".join(keys)) if keys else reader).load(root)
+
+
+def read_records_from_store(spark: SparkSession, root: str, keys: list[str], pattern: str = "*.tfrecord") -> DataFrame:
+    """Records of version 2 below a root in any store that Spark reads; a shard of up to 2 GB is a row until it is decoded.
+
+    Subset is the folder above `data`, below the root. Keys that a record lacks are null.
+    """
+    unknown = [k for k in keys if k not in KEYS]
+    if unknown:
+        raise ValueError(f"unknown keys: {', '.join(unknown)}")
+    schema = arrow_schema(keys)
+
+    def work(batches):
+        for batch in batches:
+            for i in range(batch.num_rows):
+                path, content = batch.column("path")[i].as_py(), batch.column("content")[i].as_buffer()
+                subset, shard = batch.column("subset")[i].as_py(), Path(path).stem
+                rows, size = [], 0
+                pieces = (bytes(content[a : a + (1 << 20)]) for a in range(0, len(content), 1 << 20))
+                for position, data in enumerate(records(pieces, path)):
+                    rows.append({"subset": subset, "shard": shard, "position": position, **decode_example(data, keys)})
+                    size += len(data)
+                    if len(rows) >= BATCH_ROWS or size >= BATCH_BYTES:
+                        yield pa.RecordBatch.from_pylist(rows, schema=schema)
+                        rows, size = [], 0
+                if rows:
+                    yield pa.RecordBatch.from_pylist(rows, schema=schema)
+
+    files = spark.read.format("binaryFile").option("pathGlobFilter", pattern).option("recursiveFileLookup", "true").load(root)
+    base = root.rstrip("/").rsplit("/", 1)[-1]
+    below = F.regexp_extract("path", rf"/{base}/(?:(.*)/)?data/[^/]*$", 1)
+    ddl = ", ".join(["subset string", "shard string", "position int", *(f"{k} {spark_type(k)}" for k in keys)])
+    return files.select("path", F.coalesce(below, F.lit("")).alias("subset"), "content").mapInArrow(work, ddl)
+
+
+def write_records(frames: DataFrame, root: str, divisor: int, mode: str = "append") -> None:
+    """A shard for each range of the plan of frame_index. Mode overwrite also removes shards that are not in the plan.
+
+    Rows are dealt out by ranges of shards, so names don't depend on the number of tasks. A frame_index must not be null or repeated.
+    """
+    register(frames.sparkSession)
+    indices = placed_in_shards(frames, "frame_index", divisor).select(F.col("i").alias("frame_index"), F.col("start").alias("shard_start"), F.col("end").alias("shard_end"))
+    dealt = frames.join(indices, "frame_index").repartitionByRange("shard_start").sortWithinPartitions("shard_start", "frame_index")
+    columns = ["frame_index", "shard_start", "shard_end", *(k for k in KEYS if k in frames.columns)]
+    dealt.select(*columns).write.format("pose_records").mode(mode).save(root)

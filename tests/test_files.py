@@ -8,7 +8,6 @@ import pytest
 from posetables.operators.aggregates import merge_partials, observations, shard_partials
 from posetables.fixtures import read
 from posetables.sources import files, images, sinks
-from posetables.sources.records import PoseRecords, frame_record, records
 from posetables.streaming.shard_stats import follow_shards, summary
 
 SF = "/root/testdata/sf0.001"
@@ -105,30 +104,6 @@ def test_pose_json_and_assets(spark, tmp_path):
     assert files.asset_manifest(spark, f"{tmp_path}/objects.json").first().path == f"{tmp_path}/m/cup.obj"
 
 
-def test_records_round_trip(spark, tmp_path):
-    spark.dataSource.register(PoseRecords)
-    rows = [(i, [0.5, float(i), 2.0], [f"c{i}", "ü"] if i else [], [1, 2] if i else []) for i in range(5)]
-    frames = spark.createDataFrame(rows, "frame_index int, cam_location array<float>, obj_classes array<string>, obj_ids array<int>")
-    frames.repartitionByRange(2, "frame_index").write.format("pose_records").mode("append").option("path", str(tmp_path)).save()
-    back = spark.read.format("pose_records").option("path", str(tmp_path)).option("keys", "cam_location,obj_classes,obj_ids").load()
-    got = sorted((int(r.shard[:6]) + r.position, r.cam_location, r.obj_classes or [], r.obj_ids or []) for r in back.collect())
-    assert got == rows
-    (tmp_path / "metadata.json").write_text('{"version": 3.0}')
-    with pytest.raises(Exception):
-        spark.read.format("pose_records").option("path", str(tmp_path)).load().collect()
-
-
-def test_damaged_shards_are_errors(tmp_path):
-    whole = b"".join(frame_record(x) for x in (b"one", b"two" * 50, b""))
-    path = tmp_path / "s.tfrecord"
-    path.write_bytes(zlib.compress(whole))
-    assert list(records(str(path))) == [b"one", b"two" * 50, b""]
-    for bad in (zlib.compress(whole[:-5]), zlib.compress(whole)[:-6], zlib.compress(whole.replace(b"one", b"ane")), zlib.compress(b"\1" + whole[1:])):
-        path.write_bytes(bad)
-        with pytest.raises((ValueError, zlib.error)):
-            list(records(str(path)))
-
-
 def test_shards_and_stream(spark, tmp_path):
     frames = read(spark, SF, "fx_frames")
     sinks.write_shards(frames, f"{tmp_path}/frames")
