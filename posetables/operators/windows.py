@@ -83,7 +83,12 @@ def placed_in_shards(indices: DataFrame, column: str, divisor: int) -> DataFrame
     return placed.select("i", "shard").join(plan, "shard")
 
 
-@query("win_shard_plan", "SELECT CAST(shard AS INT) AS shard, min(frame_id) AS start, max(frame_id) AS \"end\", count(*) AS n FROM (SELECT frame_id, CASE WHEN rk < more * (small + 1) THEN floor(rk / (small + 1)) ELSE more + floor((rk - more * (small + 1)) / small) END + 1 AS shard FROM (SELECT frame_id, row_number() OVER (ORDER BY frame_id) - 1 AS rk FROM fx_frames) a, (SELECT count(*) // greatest(1, count(*) // 70) AS small, count(*) % greatest(1, count(*) // 70) AS more FROM fx_frames) b) s GROUP BY shard", "fx_frames")
+#: Frames with the shard of the plan in which they lie, for oracles.
+PLACED = """placed AS (SELECT frame_id, CASE WHEN rk < more * (small + 1) THEN floor(rk / (small + 1)) ELSE more + floor((rk - more * (small + 1)) / small) END + 1 AS shard FROM (SELECT frame_id, row_number() OVER (ORDER BY frame_id) - 1 AS rk FROM fx_frames) a,
+ (SELECT count(*) // greatest(1, count(*) // 70) AS small, count(*) % greatest(1, count(*) // 70) AS more FROM fx_frames) b)"""
+
+
+@query("win_shard_plan", f"WITH {PLACED} SELECT CAST(shard AS INT) AS shard, min(frame_id) AS start, max(frame_id) AS \"end\", count(*) AS n FROM placed GROUP BY shard", "fx_frames")
 def win_shard_plan(frames):
     return shard_plan(frames, "frame_id", 70)
 

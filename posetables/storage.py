@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 from contextlib import contextmanager
+from urllib.parse import urlparse
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -24,6 +25,14 @@ def shared_folder(spark: SparkSession) -> str:
     return context._jsc.sc().getCheckpointDir().get()
 
 
+def mounted(path: str) -> str:
+    """A path of the shared folder as Python's open() takes it; an error where it isn't mounted."""
+    parts = urlparse(path)
+    if parts.scheme not in ("", "file"):
+        raise RuntimeError(f"{path}: record files are written to a mounted folder")
+    return parts.path
+
+
 #: Spark's setting for removing the shuffle files of a query once it has ended.
 _CLEAN = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
