@@ -1,26 +1,12 @@
-"""Sharded Parquet, and statistics kept for each shard."""
+"""Sharded Parquet."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame
 
 
 def write_shards(frames: DataFrame, path: str) -> None:
-    """A folder for each subset; the frames of a shard lie together and in order."""
+    """A folder for each shard of a subset, its frames in order. A shard that is written again replaces itself; the others stay."""
     n = int(frames.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    frames.repartition(n, "subset", "shard_id").sortWithinPartitions("subset", "shard_id", "frame_id").write.mode("overwrite").partitionBy("subset").parquet(path)
-
-
-def write_shard_stats(partials: DataFrame, path: str, fraction: float = 1.0, batch: int = 0) -> None:
-    """Partials of a batch of shards, for the fraction that they stand for; a batch that is written again replaces itself.
-
-    A shard may have rows in several batches: partials add up.
-    """
-    keyed = partials.withColumns({"fraction": F.lit(fraction), "batch": F.lit(batch)})
-    keyed.coalesce(1).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("fraction", "batch").parquet(path)  # a row for each shard of the batch
-
-
-def pending(observed: DataFrame, cached: DataFrame, fraction: float = 1.0) -> DataFrame:
-    """Observations of shards that have no partials for this fraction."""
-    done = cached.where(F.col("fraction") == fraction).select(F.col("shard_id").cast("long").alias("shard_id"))
-    return observed.join(done, "shard_id", "left_anti")
+    dealt = frames.repartition(n, "subset", "shard_id").sortWithinPartitions("subset", "shard_id", "frame_id")
+    dealt.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("subset", "shard_id").parquet(path)
