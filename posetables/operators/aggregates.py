@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.geometry import cols, longest_side, norm, subtract
 from ..queries import query, r6
-from ..storage import shared
+from ..storage import written
 from .filters import VISIBLE, visible
 from .projections import MASK, instance_mask
 
@@ -77,11 +77,19 @@ def agg_instance_mask(pixels, masks):
     return instance_mask(pixels, masks).select("frame_id", "y", "x", "id")
 
 
-@query("agg_annotate", f"""WITH {_VIS}, {_FULL} SELECT a.frame_id, a.instance_index, a.cls, coalesce(vx1, 0) AS vx1, coalesce(vy1, 0) AS vy1, coalesce(vx2, 0) AS vx2, coalesce(vy2, 0) AS vy2,
+ANNOTATE = f"""WITH {_VIS}, {_FULL} SELECT a.frame_id, a.instance_index, a.cls, coalesce(vx1, 0) AS vx1, coalesce(vy1, 0) AS vy1, coalesce(vx2, 0) AS vx2, coalesce(vy2, 0) AS vy2,
  CASE WHEN has_semantics THEN coalesce(f.x1, 0) ELSE 0 END AS x1, CASE WHEN has_semantics THEN coalesce(f.y1, 0) ELSE 0 END AS y1, CASE WHEN has_semantics THEN coalesce(f.x2, 0) ELSE 0 END AS x2, CASE WHEN has_semantics THEN coalesce(f.y2, 0) ELSE 0 END AS y2,
  coalesce(px_visib, 0) AS px_visib, CASE WHEN has_semantics THEN coalesce(px_valid, 0) ELSE 0 END AS px_valid, CASE WHEN has_semantics THEN coalesce(px_all, 0) ELSE 0 END AS px_all,
  round(CASE WHEN has_semantics AND px_all > 0 THEN coalesce(px_visib, 0) / px_all ELSE 0.0e0 END, 6) + 0.0 AS visib_fract
- FROM fx_annotations a LEFT JOIN full_mask f USING (frame_id, instance_index) LEFT JOIN vis USING (frame_id, instance_index)""", "fx_pixels", "fx_masks", "fx_annotations")
+ FROM fx_annotations a LEFT JOIN full_mask f USING (frame_id, instance_index) LEFT JOIN vis USING (frame_id, instance_index)"""
+
+
+def annotate_columns(px_visib: str, px_all: str) -> Column:
+    """Visible share of an object's pixels."""
+    return r6(F.when(F.col(px_all) > 0, F.col(px_visib) / F.col(px_all)).otherwise(0.0)).alias("visib_fract")
+
+
+@query("agg_annotate", ANNOTATE, "fx_pixels", "fx_masks", "fx_annotations")
 def agg_annotate(pixels, masks, annotations):
     return annotate(pixels, masks, annotations)
 
@@ -195,58 +203,83 @@ def agg_hist_fixed(frames, annotations):
     return one("dist", 1.5).union(one("side", 1.0))
 
 
-#: Buckets into which a range of values is cut to find a rank, and how many rows of one bucket are then sorted.
-REFINE, SORTED = 4096, 100_000
+#: Quantiles that a pass asks of the sketch of each window, the sketch's accuracy, and about how many values a window may hold to be counted one by one.
+GRID, ACCURACY, COUNTED = 1000, 10_000, 100_000
+#: Grid steps that are added on both sides of a rank, more than the sketch may be wrong by.
+MARGIN = 3
 
 
-def value_at(values: DataFrame, column: str, rank: int) -> float:
-    """The value of this rank (from 0) in ascending order, exactly, without sorting all values.
+def exact_quantiles(values: DataFrame, quantiles: tuple[float, ...]) -> dict[str, tuple[int, float, float, list[float]]]:
+    """what -> (count, least, greatest, linearly interpolated quantiles) of the values (what, v), all of them at once.
 
-    Values are counted in equal buckets of their range; the bucket that holds the rank is cut up anew until it holds one
-    distinct value or few enough rows to sort. The driver gets a row of each bucket that isn't empty.
+    A pass sketches all windows in which a rank may lie (the first one: everything), and cuts each to less than a hundredth of its
+    values, but for values that come often. As many passes are made as the count asks for; then a last one counts each distinct value in the
+    windows. Windows are checked by exact counts; one that misses its rank is opened wider. Nulls don't count; a value that isn't
+    finite is an error.
     """
-    v, part = F.col(column), values.where(F.col(column).isNotNull()).select(F.col(column).cast("double").alias(column))
-    low, high = part.agg(F.min(v), F.max(v)).first()
-    while low < high:
-        bucket = F.least(F.floor((v - low) / (high - low) * REFINE), F.lit(REFINE - 1))
-        counts = part.groupBy(bucket.alias("b")).agg(F.count("*").alias("n"), F.min(v).alias("low"), F.max(v).alias("high")).orderBy("b").collect()
-        for r in counts:
-            if rank < r["n"]:
-                break
-            rank -= r["n"]
-        part, low, high = part.where(v.between(r["low"], r["high"])), r["low"], r["high"]
-        if low < high and r["n"] <= SORTED:
-            return part.orderBy(column).limit(rank + 1).agg(F.max(v)).first()[0]
-    return low
-
-
-def quantile(values: DataFrame, column: str, n: int, q: float) -> float:
-    """The linearly interpolated quantile of n values that aren't null."""
-    place = q * (n - 1)
-    rank = math.floor(place)
-    a = value_at(values, column, rank)
-    b = value_at(values, column, min(rank + 1, n - 1)) if place > rank else a
-    return a + (b - a) * (place - rank)
-
-
-def auto_histogram(values: DataFrame, column: str, whole_numbers: bool = False) -> DataFrame:
-    """bin (from 1), n with NumPy's "auto" width: the smaller of Freedman-Diaconis (not below half the square-root rule) and Sturges.
-
-    Whole numbers get bins of one at least. Nulls don't count; without values there are no bins.
+    v, spark = F.col("v"), values.sparkSession
+    finite = F.when(F.isnan("v") | (F.abs(v) == float("inf")), F.raise_error(F.lit("a value is not finite")).cast("double")).otherwise(v)
+    values = values.where(v.isNotNull()).select("what", finite.alias("v"))
+    grid = [k / GRID for k in range(GRID + 1)]
+    first = {r["what"]: r for r in values.groupBy("what").agg(F.count("*").alias("n"), F.min("v").alias("low"), F.max("v").alias("high"), F.percentile_approx("v", grid, ACCURACY).alias("grid")).collect()}
+    rank = {(w, q): math.floor(q * (r["n"] - 1)) for w, r in first.items() for q in quantiles}
+    margin = dict.fromkeys(rank, MARGIN)
+
+    def cut(key: tuple[str, float], points: list[float], share: float) -> tuple[float, float]:
+        return points[max(0, math.floor(share * GRID) - margin[key])], points[min(GRID, math.ceil(share * GRID) + margin[key])]
+
+    def opened(key: tuple[str, float]) -> tuple[float, float]:
+        return cut(key, first[key[0]]["grid"], rank[key] / first[key[0]]["n"])
+
+    def in_windows(keys) -> DataFrame:
+        rows = [(*k, *window[k]) for k in keys]  # a few
+        return values.join(F.broadcast(spark.createDataFrame(rows, "what string, q double, lo double, hi double")), "what")
+
+    window = {k: opened(k) for k in rank}
+    left = max((r["n"] for r in first.values()), default=0) * 2 * (MARGIN + 1) / GRID
+    while left > COUNTED:
+        inside = v.between(F.col("lo"), F.col("hi"))
+        sketch = F.percentile_approx(F.when(inside, v), grid, ACCURACY)
+        for r in in_windows(rank).groupBy("what", "q").agg(F.count_if(v < F.col("lo")).alias("below"), F.count_if(inside).alias("inside"), sketch.alias("grid")).collect():
+            key = (r["what"], r["q"])
+            if r["below"] <= rank[key] and rank[key] + 1 < r["below"] + r["inside"]:
+                window[key] = cut(key, r["grid"], (rank[key] - r["below"]) / r["inside"])
+        left *= 2 * (MARGIN + 1) / GRID
+    found: dict[tuple[str, float], float] = {}
+    while missing := [k for k in rank if k not in found]:
+        counts = in_windows(missing).where(v <= F.col("hi")).groupBy("what", "q", F.when(v >= F.col("lo"), v).alias("v")).agg(F.count("*").alias("n")).collect()
+        for key in missing:
+            own = {r["v"]: r["n"] for r in counts if (r["what"], r["q"]) == key}
+            total, n = own.pop(None, 0), first[key[0]]["n"]
+            wanted, picked = (rank[key], min(rank[key] + 1, n - 1)), []
+            if total <= wanted[0]:
+                for value in sorted(own):
+                    total += own[value]
+                    picked += [value] * sum(k < total for k in wanted[len(picked) :])
+            if len(picked) == 2:
+                found[key] = picked[0] + (picked[1] - picked[0]) * (key[1] * (n - 1) - rank[key])
+            else:
+                margin[key] *= 4
+                window[key] = opened(key)
+    return {w: (r["n"], r["low"], r["high"], [found[w, q] for q in quantiles]) for w, r in first.items()}
+
+
+def auto_histograms(values: DataFrame, whole_numbers: tuple[str, ...] = ()) -> DataFrame:
+    """what, bin (from 1), n with NumPy's "auto" width: the smaller of Freedman-Diaconis (not below half the square-root rule) and Sturges.
+
+    values: what, v. Those named whole_numbers get bins of one at least. Without values there are no bins.
     """
-    v, spark = F.col(column), values.sparkSession
-    c, low, high = values.agg(F.count(v), F.min(v), F.max(v)).first()
-    bins = 0
-    if c:
-        span = float(high) - float(low)
-        iqr = quantile(values, column, c, 0.75) - quantile(values, column, c, 0.25)
-        width = min(max(2 * iqr * c ** (-1 / 3), span / math.sqrt(c) / 2), span / (math.log2(c) + 1))
-        width = max(width, 1.0) if whole_numbers and width else width
-        bins = math.ceil(span / width) if width else 1
-        bucket = F.least(F.floor((v - low) / (span or 1.0) * bins) + 1, F.lit(bins)).cast("int")
-    counts = values.where(v.isNotNull()).groupBy((bucket if bins else F.lit(0)).alias("bin")).agg(F.count("*").alias("n"))
-    every = spark.range(1, bins + 1).select(F.col("id").cast("int").alias("bin"))
-    return every.join(counts, "bin", "left").select("bin", F.coalesce("n", F.lit(0)).alias("n"))
+    spark, shapes = values.sparkSession, []
+    for what, (c, low, high, (lower, upper)) in exact_quantiles(values, (0.25, 0.75)).items():
+        span = high - low
+        width = min(max(2 * (upper - lower) * c ** (-1 / 3), span / math.sqrt(c) / 2), span / (math.log2(c) + 1))
+        width = max(width, 1.0) if what in whole_numbers and width else width
+        shapes.append((what, low, span or 1.0, math.ceil(span / width) if width else 1))
+    shape = spark.createDataFrame(shapes, "what string, low double, span double, bins int")  # a row for each histogram
+    bucket = F.least(F.floor((F.col("v") - F.col("low")) / F.col("span") * F.col("bins")) + 1, F.col("bins")).cast("int")
+    counts = values.where("v IS NOT NULL").join(F.broadcast(shape), "what").groupBy("what", bucket.alias("bin")).agg(F.count("*").alias("n"))
+    every = shape.select("what", F.explode(F.sequence(F.lit(1), F.col("bins"))).alias("bin"))
+    return every.join(counts, ["what", "bin"], "left").select("what", "bin", F.coalesce("n", F.lit(0)).alias("n"))
 
 
 def _auto_sql(name: str, source: str, whole: bool) -> str:
@@ -262,13 +295,12 @@ _PER_FRAME = "SELECT CAST({} AS DOUBLE) AS v FROM pf"
 @query("agg_hist_auto", f"WITH {OBSERVED}, pf AS (SELECT frame_id, sum(v) AS n_obj, count(DISTINCT CASE WHEN v = 1 THEN cls END) AS n_cls FROM obs GROUP BY frame_id) " + " UNION ALL ".join([_auto_sql("objects", _PER_FRAME.format("n_obj"), True), _auto_sql("classes", _PER_FRAME.format("n_cls"), True), _auto_sql("dist", "SELECT dist AS v FROM obs WHERE v = 1", False), _auto_sql("side", "SELECT side AS v FROM obs WHERE v = 1", False)]), "fx_frames", "fx_annotations")
 def agg_hist_auto(frames, annotations):
     """Objects and classes of a frame, and distance and longest side of the seen objects."""
-    observed = shared(observations(frames, annotations))
-    each, seen = shared(per_frame(observed)), observed.where("seen")
-    parts = (("objects", each, "n_objects", True), ("classes", each, "n_classes", True), ("dist", seen, "dist", False), ("side", seen, "side", False))
-    one, *more = [auto_histogram(df, c, whole).select(F.lit(what).alias("what"), "bin", "n") for what, df, c, whole in parts]
-    for df in more:
-        one = one.union(df)
-    return one
+    observed = observations(frames, annotations)
+    stacked = lambda *names: F.explode(F.array(*[F.struct(F.lit(what).alias("what"), F.col(c).cast("double").alias("v")) for what, c in names])).alias("x")
+    each = per_frame(observed).select(stacked(("objects", "n_objects"), ("classes", "n_classes")))
+    seen = observed.where("seen").select(stacked(("dist", "dist"), ("side", "side")))
+    values = written(each.union(seen).select("x.what", "x.v"))
+    return auto_histograms(values, ("objects", "classes"))
 
 
 @query("agg_dataset_size", "SELECT CAST(sum(n) AS BIGINT) AS n_frames FROM (SELECT subset, max(frame_id) + 1 AS n FROM fx_frames GROUP BY subset) s", "fx_frames")

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..queries import query
+from ..storage import written
 
 
 @query("ord_frames", "SELECT frame_id, subset FROM fx_frames ORDER BY frame_id", "fx_frames")
@@ -48,8 +49,70 @@ def smp_shuffle_rows(frames):
 @query("win_frame_at", "SELECT subset, frame_id FROM (SELECT subset, frame_id, row_number() OVER (PARTITION BY subset ORDER BY frame_id) AS k FROM fx_frames) s WHERE k = 3", "fx_frames")
 def win_frame_at(frames, position=2):
     """The frame at a position (from 0) of each subset."""
-    k = F.row_number().over(Window.partitionBy("subset").orderBy("frame_id"))
-    return frames.withColumn("_k", k).where(F.col("_k") == position + 1).select("subset", "frame_id")
+    return at_position(frames, "subset", "frame_id", position)
+
+
+#: Ranges into which a range of indices is cut to find a position.
+FAN_OUT = 4096
+
+
+def at_position(df: DataFrame, group: str, index: str, position: int) -> DataFrame:
+    """group, index: the index (whole, not null) at a position (from 0) of each group that has one.
+
+    Indices are counted in equal ranges; the range that holds the position is cut up anew until it holds FAN_OUT indices at most, and only
+    these are sorted. Each step goes over the indices that are still in question.
+    """
+    rows = df.select(group, F.col(index).cast("long").alias(index))
+    low, high = rows.agg(F.min(index), F.max(index)).first()
+    if low is None:
+        return rows
+    width = 1
+    while width * FAN_OUT <= high - low:
+        width *= FAN_OUT
+    left = F.lit(position).cast("long")
+    part = rows.withColumns({"_from": F.lit(low), "_left": left})
+    while width > 1:
+        cut = part.withColumn("_from", F.col("_from") + F.floor((F.col(index) - F.col("_from")) / width) * width)
+        counts = cut.groupBy(group, "_from", "_left").agg(F.count("*").alias("_n"))
+        before = F.sum("_n").over(Window.partitionBy(group).orderBy("_from")) - F.col("_n")  # FAN_OUT rows of a group
+        chosen = counts.withColumn("_before", before).where("_before <= _left AND _left < _before + _n").select(F.col(group).alias("_g"), F.col("_from").alias("_f"), (F.col("_left") - F.col("_before")).alias("_l"))
+        part = cut.drop("_left").join(written(chosen), (F.col(group).eqNullSafe(F.col("_g"))) & (F.col("_from") == F.col("_f"))).select(group, index, "_from", F.col("_l").alias("_left"))
+        width //= FAN_OUT
+    k = F.row_number().over(Window.partitionBy(group).orderBy(index))
+    return part.withColumn("_k", k).where(F.col("_k") == F.col("_left") + 1).select(group, index)
+
+
+def permuted(position: Column, n: int, seed: int, rounds: int = 4) -> Column:
+    """A permutation of 0 to n - 1 that depends on seed and n only: a Feistel network on the next even number of bits.
+
+    Where it leads out of the range it is applied again, which ends after a few times: less than a quarter of the numbers are inside at worst.
+    """
+    half = max(1, (max(n - 1, 1).bit_length() + 1) // 2)
+    mask = (1 << half) - 1
+
+    def once(x: Column) -> Column:
+        left, right = F.shiftright(x, half), x.bitwiseAND(F.lit(mask))
+        for k in range(rounds):
+            left, right = right, left.bitwiseXOR(F.xxhash64(F.lit(seed), F.lit(k), right).bitwiseAND(F.lit(mask)))
+        return F.shiftleft(left, half).bitwiseOR(right)
+
+    # an array's last number is inside, or a number that has yet to be led on
+    walk = F.aggregate(F.sequence(F.lit(1), F.lit(_MOST_WALKS)), once(position.cast("long")), lambda x, _: F.when(x < n, x).otherwise(once(x)))
+    return F.when(walk < n, walk).otherwise(F.raise_error(F.lit("no place after so many steps")).cast("long"))
+
+
+#: Each step leads into the range with a chance of a quarter or more.
+_MOST_WALKS = 150
+
+
+def shuffled_page(df: DataFrame, index: str, seed: int, page: int, size: int) -> DataFrame:
+    """Rows of a page (from 0) of df in an order that depends on seed alone, with their place in it; no sort of all rows.
+
+    The places of the page are led to ranks of the index (whole, not null or repeated), which are looked up by counts of ranges.
+    """
+    n = df.count()
+    places = df.sparkSession.range(page * size, min(n, (page + 1) * size)).select(F.col("id").alias("place"), permuted(F.col("id"), max(n, 1), seed).alias("rank"))
+    return df.join(ranks(df, index).join(places, "rank").select(F.col("i").alias(index), "place"), index)
 
 
 def ranks(indices: DataFrame, column: str) -> DataFrame:

@@ -30,7 +30,7 @@ def r6(c: Column, digits: int = 6) -> Column:
 
 
 def load() -> None:
-    from .operators import aggregates, filters, joins, projections, windows  # noqa: F401
+    from .operators import aggregates, filters, joins, payload, projections, windows  # noqa: F401
     from .functions import queries as functions_queries  # noqa: F401
     from .plans import sampling  # noqa: F401
     from .sources import queries as sources_queries  # noqa: F401

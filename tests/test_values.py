@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from posetables import queries as q
 from posetables.fixtures import read
 from posetables.functions import geometry as g
-from posetables.operators import aggregates, filters, joins, projections, windows
+from posetables.operators import aggregates, filters, joins, payload, projections, windows
 
 q.load()
 SF = "/root/testdata/sf0.001"
@@ -33,7 +33,7 @@ def test_auto_histogram_is_numpys(spark, kind):
     r = np.random.default_rng(1)
     values = {"floats": np.concatenate([r.normal(size=3000), np.full(2000, 0.25)]), "whole": r.poisson(3, 4000).astype(float), "one value": np.full(50, 2.0), "empty": np.zeros(0)}[kind]
     df = spark.createDataFrame([(float(x),) for x in values] + [(None,)], "v double")
-    got = [x.n for x in aggregates.auto_histogram(df, "v", kind == "whole").orderBy("bin").collect()]
+    got = [x.n for x in aggregates.auto_histograms(df.select(F.lit("x").alias("what"), F.col("v").cast("double").alias("v")), ("x",) if kind == "whole" else ()).orderBy("bin").collect()]
     if kind == "empty":
         assert not got
         return
@@ -50,13 +50,91 @@ def test_auto_histogram_is_numpys(spark, kind):
         assert np.abs(np.array(got) - want).max() <= 2  # edges are rounded otherwise
 
 
-def test_value_at(spark, monkeypatch):
-    monkeypatch.setattr(aggregates, "SORTED", 5)
-    monkeypatch.setattr(aggregates, "REFINE", 8)
-    values = np.sort(np.concatenate([np.random.default_rng(3).normal(size=300), np.full(200, 0.5)]))
-    df = spark.createDataFrame([(float(x),) for x in values], "v double")
-    for rank in (0, 1, 77, 250, 400, 499):
-        assert aggregates.value_at(df, "v", rank) == values[rank]
+@pytest.mark.parametrize("counted", [100_000, 50])
+def test_exact_quantiles(spark, monkeypatch, counted):
+    monkeypatch.setattr(aggregates, "COUNTED", counted)  # 50: several passes
+    rng = np.random.default_rng(2)
+    columns = {"normal": rng.normal(size=30_001), "ties": rng.integers(0, 4, 20_000).astype(float), "skewed": np.exp(rng.normal(size=9_999) * 8), "one": np.array([3.5]), "two": np.array([-1.0, 4.0]), "same": np.full(5000, 2.0)}
+    df = spark.createDataFrame([(k, float(v)) for k, values in columns.items() for v in values] + [("normal", None), ("nothing", None)], "what string, v double")
+    got = aggregates.exact_quantiles(df, (0.0, 0.25, 0.5, 0.75, 1.0))
+    assert set(got) == set(columns)
+    for k, values in columns.items():
+        n, low, high, found = got[k]
+        assert (n, low, high) == (len(values), values.min(), values.max())
+        assert np.allclose(found, np.quantile(values, (0.0, 0.25, 0.5, 0.75, 1.0)), rtol=1e-12, atol=0)
+    with pytest.raises(Exception, match="not finite"):
+        aggregates.exact_quantiles(spark.createDataFrame([("a", float("inf")), ("a", 1.0)], "what string, v double"), (0.5,))
+
+
+def test_pick_among_a_million(spark):
+    n = 1_000_000
+    choices = spark.range(n).select(F.col("id").alias("k"), (1 + F.col("id") % 3).alias("weight"))
+    draws = spark.range(20_000).select("id", ((F.col("id") + 0.5) / 20_000).alias("u"))
+    hi = np.cumsum(1 + np.arange(n) % 3)
+    want = np.searchsorted(hi, (np.arange(20_000) + 0.5) / 20_000 * hi[-1], side="right")
+    assert [r.k for r in joins.pick_by_weight(draws, choices, "k").orderBy("id").collect()] == want.tolist()
+    uneven = spark.createDataFrame([(1, 1e9)] + [(k, 1.0) for k in range(2, 500)], "k int, weight double")
+    assert joins.pick_by_weight(draws, uneven, "k").groupBy("k").count().collect()[0].asDict() == {"k": 1, "count": 20_000}
+
+
+def test_frame_at_a_position(spark):
+    rng = np.random.default_rng(3)
+    rows = {("a", int(x)) for x in rng.integers(-5, 60_000_000, 3000)} | {("b", int(x)) for x in rng.integers(100, 900, 300)} | {("c", 7)} | {(None, 4), (None, 9)}
+    df = spark.createDataFrame(sorted(rows, key=str), "g string, i long")
+    for position in (0, 1, 250, 2999, 5000):
+        want = {}
+        for g in ("a", "b", "c", None):
+            own = sorted(i for x, i in rows if x == g)
+            if position < len(own):
+                want[g] = own[position]
+        assert {r.g: r.i for r in windows.at_position(df, "g", "i", position).collect()} == want
+
+
+@pytest.mark.parametrize("n", [1, 2, 5, 64, 1000])
+def test_permutation(spark, n):
+    got = [r.p for r in spark.range(n).select(windows.permuted(F.col("id"), n, 11).alias("p")).collect()]
+    assert sorted(got) == list(range(n))
+    if n == 1000:
+        assert got != sorted(got) and got != [r.p for r in spark.range(n).select(windows.permuted(F.col("id"), n, 12).alias("p")).collect()]
+        assert abs(np.corrcoef(got, range(n))[0, 1]) < 0.1
+
+
+def test_pages_of_a_shuffled_table(spark):
+    df = spark.range(230).select((F.col("id") * 7 + 3).alias("frame_id"), F.col("id").cast("string").alias("name"))
+    whole = [r.frame_id for r in windows.shuffled_page(df, "frame_id", 5, 0, 230).orderBy("place").collect()]
+    assert sorted(whole) == [r.frame_id for r in df.collect()]
+    for page in (0, 3, 4, 5):
+        rows = windows.shuffled_page(df, "frame_id", 5, page, 50).orderBy("place").collect()
+        assert [r.frame_id for r in rows] == whole[page * 50 : (page + 1) * 50]
+
+
+def test_payload_annotations_of_large_images(spark):
+    rng = np.random.default_rng(6)
+    h, w, depths, masks, annotations, want = 48, 64, [], [], [], {}
+    for f in range(4):
+        depth = rng.integers(0, 3, (h, w)).astype(np.uint16)
+        painted = np.zeros((h, w), int)
+        for k in range(5):
+            y, x = rng.integers(0, h - 9), rng.integers(0, w - 9)
+            m = np.zeros((h, w), np.uint8)
+            if k != 3:
+                m[y : y + 9, x : x + 9] = rng.integers(0, 2, (9, 9)) * 255
+            painted[m > 0] = k + 1
+            masks.append((f, k, h, w, m.tobytes()))
+            annotations.append((f, k, f"c{k}", k != 1))
+            want[f, k] = m > 0
+        if f:
+            depths.append((f, h, w, depth.tobytes()))
+        for k in range(5):
+            seen, full = painted == k + 1, want[f, k] if k != 1 else np.zeros((h, w), bool)
+            box = lambda a: (*np.argwhere(a).min(0)[::-1].tolist(), *np.argwhere(a).max(0)[::-1].tolist()) if a.any() else (0, 0, 0, 0)
+            valid = int((seen & (depth > 0)).sum()) if f and k != 1 else 0
+            want[f, k] = (f"c{k}", *box(seen), *box(full), int(seen.sum()), valid, int(full.sum()), round(seen.sum() / full.sum(), 6) if full.any() else 0.0)
+    image = "height int, width int, data binary"
+    got = payload.annotate_payload(
+        spark.createDataFrame(depths, f"frame_id long, {image}"), spark.createDataFrame(masks, f"frame_id long, instance_index int, {image}"), spark.createDataFrame(annotations + [(9, 0, "x", True)], "frame_id long, instance_index int, cls string, has_semantics boolean")
+    )
+    assert {(r[0], r[1]): tuple(r)[2:] for r in got.collect()} == want | {(9, 0): ("x", *[0] * 11, 0.0)}
 
 
 def test_weighted_pick_follows_the_weights(spark):
