@@ -40,6 +40,8 @@ class _Frame:
         if kind == _OBJECT:
             self.objects.append((instance, cls, semantic))
             return
+        if data is None:
+            return
         if kind == _DEPTH:
             self.depth = np.frombuffer(data, "<u2").reshape(height, width)
             return
@@ -73,7 +75,7 @@ def annotate_payload(depths: DataFrame, masks: DataFrame, annotations: DataFrame
     """The annotation record of each object, as annotate() has it from pixels.
 
     depths: frame_id, height, width, data (16-bit little-endian); masks: frame_id, instance_index, height, width, data (bytes, not zero
-    inside); annotations: frame_id, instance_index, cls, has_semantics. Missing images count as empty.
+    inside); annotations: frame_id, instance_index, cls, has_semantics. Missing and null images count as empty.
     """
     none = lambda kind: F.lit(None).cast(kind)
     rows = (
@@ -111,7 +113,7 @@ def _image(values: str, digits: int) -> F.Column:
     """Bytes of an array of whole numbers in the order of its pixels, little-endian, of 2 or 4 hexadecimal digits."""
     two = lambda v: F.lpad(F.hex(v), 2, "0")
     one = (lambda v: two(v)) if digits == 2 else (lambda v: F.concat(two(v % 256), two(F.floor(v / 256))))
-    return F.unhex(F.array_join(F.transform(values, one), ""))
+    return F.unhex(F.array_join(F.transform(values, lambda v: one(F.coalesce(v, F.lit(0)))), ""))
 
 
 @query("agg_annotate_payload", ANNOTATE, "fx_pixels", "fx_masks", "fx_annotations")
