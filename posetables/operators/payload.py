@@ -119,9 +119,10 @@ def _image(values: str, digits: int) -> F.Column:
 @query("agg_annotate_payload", ANNOTATE, "fx_pixels", "fx_masks", "fx_annotations")
 def agg_annotate_payload(pixels, masks, annotations):
     """The images of 5 x 5 pixels are made of the pixel tables first; agg_annotate has the same rows from these."""
-    listed = lambda value: F.sort_array(F.collect_list(F.struct("y", "x", F.col(value).cast("long").alias("v"))))
     size = [F.lit(5).alias("height"), F.lit(5).alias("width")]
-    depths = pixels.groupBy("frame_id").agg(listed("depth_raw").alias("p")).select("frame_id", *size, _image("p.v", 4).alias("data"))
+    at = F.map_from_entries(F.collect_list(F.struct((F.col("y") * 5 + F.col("x")).alias("k"), F.col("depth_raw").alias("v"))))
+    values = F.transform(F.sequence(F.lit(0), F.lit(24)), lambda k: F.try_element_at("p", k))  # a pixel that isn't there has no depth
+    depths = pixels.groupBy("frame_id").agg(at.alias("p")).select("frame_id", values.alias("p")).select("frame_id", *size, _image("p", 4).alias("data"))
     places = F.array_sort(F.collect_set(F.col("y") * 5 + F.col("x")))
     inside = F.transform(F.sequence(F.lit(0), F.lit(24)), lambda k: F.when(F.array_contains("p", k), 255).otherwise(0))
     full = masks.groupBy("frame_id", "instance_index").agg(places.alias("p")).select("frame_id", "instance_index", inside.alias("p")).select("frame_id", "instance_index", *size, _image("p", 2).alias("data"))
