@@ -208,15 +208,20 @@ def _listed(kind: int, parts: list, n: int, name: str) -> bytes:
 
 
 def to_tensor(key: str, value) -> np.ndarray | list[str]:
-    """A Spark value of a key as a tensor; tables may also come as one list."""
+    """A Spark value of a key as a tensor; tables may also come as one list. Nulls inside become empty texts, NaN, or 0."""
     kind, name, width = KEYS[key]
     if kind == "image":
         image = np.frombuffer(value["data"], value["dtype"])
         shape = (value["height"], value["width"], value["channels"])
         return image.reshape(shape if width > 1 else shape[:2]).astype(name, copy=False)
     if name == "str":
-        return list(value)
-    made = np.asarray(value, name)
+        return ["" if v is None else v for v in value]
+    if kind == "table":
+        value = [[None] * width if v is None and value and isinstance(next((x for x in value if x is not None), None), list) else v for v in value]
+    made = np.asarray(value, "float64" if name == "float32" else object)
+    if made.dtype == object:
+        made = np.where(made == None, 0, made)  # noqa: E711
+    made = made.astype(name)
     return made.reshape(-1, width) if kind == "table" else made
 
 

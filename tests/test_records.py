@@ -48,6 +48,14 @@ def test_tensor_wire_format():
         t.from_tensor("obj_ids", np.float32([1]))
 
 
+def test_nulls_inside_values():
+    assert t.to_tensor("obj_classes", ["a", None]) == ["a", ""]
+    assert t.to_tensor("obj_ids", [1, None]).tolist() == [1, 0] and t.to_tensor("obj_ids", []).shape == (0,)
+    assert t.to_tensor("obj_bbox_obj", [[1, 2, 3, None], None]).tolist() == [[1, 2, 3, 0], [0, 0, 0, 0]]
+    assert np.isnan(t.to_tensor("obj_pos", [None, [1.0, None, 2.0]])).tolist() == [[True] * 3, [False, True, False]]
+    assert t.to_tensor("cam_matrix", list(range(9))).shape == (3, 3) and t.to_tensor("obj_pos", []).shape == (0, 3)
+
+
 def test_damaged_shards_are_errors():
     whole = b"".join(t.frame_record(x) for x in (b"one", b"two" * 50, b"", b"z" * 3_000_000))
     pieces = lambda data, n=7001: (data[a : a + n] for a in range(0, len(data), n))
