@@ -150,38 +150,30 @@ def _bands(docs: DataFrame) -> DataFrame:
 
 
 def _bucket_members(banded: DataFrame) -> DataFrame:
-    """key, h of buckets with more than one line; rows come sorted by key."""
+    """key, h of buckets with more than one line; rows come sorted by key and h, so one row is held of a bucket of any size."""
 
     def work(batches):
-        rest = None
+        held, follows = None, False  # the last row, and whether the row before it has its key
         for batch in batches:
             k, h = batch.column("key").to_numpy(), batch.column("h").to_numpy()
-            if rest is not None:
-                k, h = np.concatenate([rest[0], k]), np.concatenate([rest[1], h])
-            if len(k):
-                last = int(np.searchsorted(k, k[-1]))  # the last bucket may go on
-                yield _several(k[:last], h[:last])
-                rest = k[last:], h[last:]
-                if len(rest[0]) > 200_000:  # a bucket of one line over and over
-                    u = np.unique(rest[1])
-                    rest = np.full(len(u), rest[0][0]), u
-        if rest is not None:
-            yield _several(*rest)
+            if not len(k):
+                continue
+            if held is not None:
+                k, h = np.append(held[0], k), np.append(held[1], h)
+            new = np.concatenate([[True], (k[1:] != k[:-1]) | (h[1:] != h[:-1])])
+            k, h = k[new], h[new]
+            same = k[1:] == k[:-1]
+            before = np.concatenate([[follows], same])
+            keep = before[:-1] | same
+            yield pa.RecordBatch.from_arrays([pa.array(k[:-1][keep], pa.int64()), pa.array(h[:-1][keep], pa.int64())], names=["key", "h"])
+            held, follows = (k[-1], h[-1]), bool(before[-1])
+        if follows:
+            yield pa.RecordBatch.from_arrays([pa.array([held[0]], pa.int64()), pa.array([held[1]], pa.int64())], names=["key", "h"])
 
     n = int(banded.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return banded.repartition(n, "key").sortWithinPartitions("key", "h").mapInArrow(work, "key long, h long")
 
 
-def _several(k: np.ndarray, h: np.ndarray) -> pa.RecordBatch:
-    if len(k):
-        new = np.concatenate([[True], (k[1:] != k[:-1]) | (h[1:] != h[:-1])])
-        k, h = k[new], h[new]
-        same = np.concatenate([[False], k[1:] == k[:-1], [False]])
-        keep = same[1:] | same[:-1]
-        k, h = k[keep], h[keep]
-    return pa.RecordBatch.from_arrays([pa.array(k, pa.int64()), pa.array(h, pa.int64())], names=["key", "h"])
-
-
 def _texts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     """h, line of the lines wanted (h); the bit table drops most others before the shuffle."""
     found = bit_table(wanted, "h")
