@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
+from .images import image_table
+
 CAMERA = "map<string,struct<cam_K:array<double>,depth_scale:double>>"
 GROUND_TRUTH = "map<string,array<struct<cam_R_m2c:array<double>,cam_t_m2c:array<double>,obj_id:int>>>"
 POSE = """cam_matrix array<array<double>>, cam_location array<double>, cam_rotation array<double>, stereo_baseline double,
@@ -142,6 +144,16 @@ def pose_images(spark: SparkSession, root: str) -> DataFrame:
     return left.join(named.where("right").select("frame_index", F.col("path").alias("path_R")), "frame_index", "left")
 
 
+def pose_pixels(spark: SparkSession, root: str) -> DataFrame:
+    """frame_index, rgb and rgb_R (null without a right image, or where a file can't be decoded) of rgb/rgb_<index>[_R].png, decoded."""
+    paths = pose_images(spark, root)
+    payload = image_table(spark, root, "rgb_*.png", permissive=True).where("corrupt IS NULL").select("path", F.struct("height", "width", "channels", "dtype", "data").alias("image"))
+    sides = paths.select("frame_index", F.explode(F.array(F.struct(F.lit("rgb").alias("side"), F.col("path")), F.struct(F.lit("rgb_R").alias("side"), F.col("path_R").alias("path")))).alias("s")).select("frame_index", "s.side", "s.path")
+    met = sides.join(payload, "path", "left")
+    of = lambda side: F.first(F.when(F.col("side") == side, F.col("image")), ignorenulls=True).alias(side)
+    return met.groupBy("frame_index").agg(of("rgb"), of("rgb_R"))
+
+
 def asset_catalog(spark: SparkSession, root: str, source: str = "ANY") -> DataFrame:
     """path, name of the meshes below root, without derived ones."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", ASSET_PATTERNS[source]).load(root).select("path")

@@ -89,6 +89,46 @@ def test_images(spark, scene):
     assert table.where("channels = 3").count() == 2
 
 
+def filtered_png(a: np.ndarray, kinds: list[int]) -> bytes:
+    """A PNG of an 8- or 16-bit picture whose rows are filtered as told, by plain loops."""
+    h, w = a.shape[:2]
+    rows = (a.astype(">u2").view(np.uint8) if a.dtype == np.uint16 else a).reshape(h, -1).astype(int)
+    n = rows.shape[1] // w
+    raw = b""
+    for y, kind in enumerate(kinds):
+        line = []
+        for i in range(rows.shape[1]):
+            left, up, corner = (rows[y, i - n] if i >= n else 0), (rows[y - 1, i] if y else 0), (rows[y - 1, i - n] if y and i >= n else 0)
+            paeth = min((abs(up - corner), 0, left), (abs(left - corner), 1, up), (abs(left + up - 2 * corner), 2, corner))[2]
+            line.append((rows[y, i] - [0, left, up, (left + up) // 2, paeth][kind]) & 255)
+        raw += bytes([kind, *line])
+    chunk = lambda k, d: struct.pack(">I", len(d)) + k + d + struct.pack(">I", zlib.crc32(k + d))
+    return b"\x89PNG\r\n\x1a\n" + chunk(b"IHDR", struct.pack(">IIBBBBB", w, h, 16 if a.dtype == np.uint16 else 8, 2 if a.ndim == 3 else 0, 0, 0, 0)) + chunk(b"IDAT", zlib.compress(raw)) + chunk(b"IEND", b"")
+
+
+@pytest.mark.parametrize("shape,kind", [((9, 7, 3), np.uint8), ((7, 12), np.uint16), ((1, 5), np.uint8), ((6, 1, 3), np.uint8), ((1, 1), np.uint16), ((20, 31), np.uint8)])
+def test_png_filters(shape, kind):
+    rng = np.random.default_rng(sum(shape))
+    a = rng.integers(0, np.iinfo(kind).max + 1, shape).astype(kind)
+    for kinds in (*([k] * shape[0] for k in range(5)), rng.integers(0, 5, shape[0]).tolist(), rng.integers(0, 3, shape[0]).tolist()):
+        got = images.decode_png(filtered_png(a, kinds))
+        assert got.dtype == kind and (got.reshape(shape) == a).all(), kinds
+
+
+def test_broken_images_are_rows(spark, tmp_path):
+    (tmp_path / "rgb").mkdir()
+    good = png(np.full((4, 6, 3), 9, np.uint8))
+    bad = {"rgb_0001.png": b"no image", "rgb_0002.png": good[:-30], "rgb_0003.png": good[:8], "rgb_0004.png": b"\x89", "rgb_0005.png": good.replace(b"IDAT", b"IDAX")}
+    for name, data in {"rgb_0000.png": good, "rgb_0000_R.png": png(np.full((4, 6, 3), 7, np.uint8)), **bad}.items():
+        (tmp_path / "rgb" / name).write_bytes(data)
+    rows = {r.path.rsplit("/", 1)[1]: r for r in images.image_table(spark, str(tmp_path), permissive=True).collect()}
+    assert {k for k, r in rows.items() if r.corrupt} == set(bad) == {k for k, r in rows.items() if r.data is None} and rows["rgb_0000.png"].height == 4
+    with pytest.raises(Exception, match="rgb_000"):
+        images.image_table(spark, str(tmp_path)).collect()
+    frames = {r.frame_index: r for r in files.pose_pixels(spark, str(tmp_path / "rgb")).collect()}
+    assert sorted(frames) == list(range(6)) and frames[0].rgb.data == bytes([9]) * 72 and frames[0].rgb_R.data == bytes([7]) * 72 and frames[3].rgb is None and frames[3].rgb_R is None
+
+
 def test_pose_json_and_assets(spark, tmp_path):
     (tmp_path / "gt").mkdir()
     (tmp_path / "rgb").mkdir()
