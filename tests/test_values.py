@@ -108,6 +108,16 @@ def test_pages_of_a_shuffled_table(spark):
         assert [r.frame_id for r in rows] == whole[page * 50 : (page + 1) * 50]
 
 
+def test_payload_annotations_of_inputs_dealt_by_frame(spark):
+    """Rows of a frame meet even where each input comes from a shuffle by frame_id."""
+    image = F.lit(bytes([1, 0] * 4)).alias("data"), F.lit(2).alias("height"), F.lit(2).alias("width")
+    by_frame = lambda n, k: spark.range(n).select((F.col("id") % 500).alias("frame_id"), F.lit(k).alias("instance_index")).groupBy("frame_id").agg(F.max("instance_index").alias("instance_index"))
+    depths, masks = by_frame(100_000, 0).select("frame_id", *image), by_frame(1000, 0).select("frame_id", "instance_index", F.lit(b"\1\0\0\1").alias("data"), *image[1:])
+    objects = by_frame(500, 0).select("frame_id", "instance_index", F.lit("c").alias("cls"), F.lit(True).alias("has_semantics"))
+    got = payload.annotate_payload(depths, masks, objects).groupBy("px_all", "px_visib", "px_valid", "vx2").count().collect()
+    assert [tuple(r) for r in got] == [(2, 2, 2, 1, 500)]
+
+
 def test_payload_annotations_of_large_images(spark):
     rng = np.random.default_rng(6)
     h, w, depths, masks, annotations, want = 48, 64, [], [], [], {}
