@@ -112,10 +112,10 @@ def join_asset_meta(assets, part):
     return assets.join(meta, "asset_id", "left").select("asset_id", F.coalesce("mass", F.lit(1.0)).alias("mass"), F.coalesce("meta_name", "name").alias("name"))
 
 
-@query("join_pending_shards", "SELECT DISTINCT shard_id FROM fx_frames WHERE shard_id NOT IN (SELECT CAST(floor(l_orderkey / 100) AS BIGINT) FROM lineitem WHERE l_returnflag = 'A' AND l_linenumber = 7 AND l_quantity < 10)", "fx_frames", "lineitem")
+@query("join_pending_shards", "SELECT DISTINCT shard_id FROM fx_frames WHERE shard_id NOT IN (SELECT CAST(floor(l_orderkey / 100) AS BIGINT) FROM lineitem WHERE l_returnflag = 'A' AND l_linenumber = 7 AND l_quantity < 3)", "fx_frames", "lineitem")
 def join_pending_shards(frames, lineitem):
     """Shards for which no partial is kept; here those that hold a certain kind of line count as kept."""
-    cached = lineitem.where("l_returnflag = 'A' and l_linenumber = 7 and l_quantity < 10").select(F.floor(F.col("l_orderkey") / 100).alias("shard_id"))
+    cached = lineitem.where("l_returnflag = 'A' and l_linenumber = 7 and l_quantity < 3").select(F.floor(F.col("l_orderkey") / 100).alias("shard_id"))
     return frames.select("shard_id").distinct().join(cached, "shard_id", "left_anti")
 
 
