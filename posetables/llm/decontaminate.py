@@ -2,13 +2,15 @@
 
 Words become template tokens: numbers, units and names (capitalised words; one that begins a sentence is a name unless
 the benchmark has it in lower case) turn into typed placeholders, other words are lower-cased without the punctuation
-around them. Windows of five template tokens of the documents are hash-joined to those of the benchmark. A window
+around them. Numbers may be digits or English number words; number words that follow each other ("twenty five"), a number
+and the power of ten behind it ("5 million") and names that follow each other ("New York"), with no mark between them, are one token, so that
+a value may have more words than another. Windows of five template tokens of the documents are hash-joined to those of the benchmark. A window
 with fewer than two words that are no placeholders is taken literally, so that tables of numbers don't meet by chance; such
 windows count only for items that have fewer than three others, and those of one value over and over are left out. An
 item of fewer than five tokens is one window, a template if it has three words and literal if not. A bit table of all
 benchmark windows, whose size does not depend on the benchmark, first drops windows that no item has; the join decides.
 
-A document and an item match if 80 % of the item's windows are found, or a run of windows that spans min_run words; and
+A document and an item match if 80 % of the item's windows are found, or a run of windows that spans min_run tokens; and
 the slots must fit: in all of a document and an item, a value of the item stands for one value of the document (so a
 re-parameterised question is caught and a chance meeting of placeholders is not). Where a value stands for several, only
 the windows that conflict are dropped: windows stay if their words are literally the item's or if their values are
@@ -43,6 +45,13 @@ UNITS = (
     "year years percent % dollar dollars cent cents euro euros usd eur mph kph hz khz mhz ghz kb mb gb tb degree degrees"
 )
 _UNITS = frozenset(UNITS.split())
+#: English number words. Fixed values.
+NUMBER_WORDS = (
+    "zero one two three four five six seven eight nine ten eleven twelve thirteen fourteen fifteen sixteen seventeen eighteen nineteen "
+    "twenty thirty forty fifty sixty seventy eighty ninety hundred thousand million billion trillion dozen"
+)
+POWERS = "hundred thousand million billion trillion dozen"
+_NUMBER_WORDS, _POWERS = frozenset(NUMBER_WORDS.split()), frozenset(POWERS.split())
 _NUMBER = re.compile(r"[+-]?[$€£]?\d[\d.,:/]*")
 _GLUED = re.compile(r"([+-]?[$€£]?\d[\d.,]*)([A-Za-z%]+)")
 _EDGE = "\"'`.,;:!?()[]{}<>«»„“”‘’…-–—"
@@ -55,13 +64,18 @@ def template_token(word: str) -> str:
     """The template token of a word outside its sentence: a placeholder, or the word in lower case."""
     bare = word.strip(_EDGE)
     low = bare.lower()
-    if _NUMBER.fullmatch(bare):
+    if _NUMBER.fullmatch(bare) or is_spelled(low):
         return "<num>"
     if (m := _GLUED.fullmatch(bare)) and m[2].lower() in _UNITS:
         return "<num+unit>"
     return "<unit>" if low in _UNITS and len(low) > 1 or low == "%" else low or word
 
 
+def is_spelled(low: str) -> bool:
+    """Whether a lower-case word is a number word, or several joined by hyphens."""
+    return low in _NUMBER_WORDS or "-" in low and all(x in _NUMBER_WORDS for x in low.split("-"))
+
+
 def is_slot(token: str) -> bool:
     return token.startswith("<") and token.endswith(">")
 
@@ -80,13 +94,17 @@ class Templates:
         self.capital: list[bool] = []
         self.ends: list[bool] = []
         self.slots: list[bool] = []
-        self.done = [np.zeros(0, np.uint64), np.zeros(0, np.uint64), *(np.zeros(0, bool) for _ in range(4))]
+        self.spelled: list[bool] = []
+        self.powers: list[bool] = []
+        self.marked: list[bool] = []
+        self.done = [np.zeros(0, np.uint64), np.zeros(0, np.uint64), *(np.zeros(0, bool) for _ in range(7))]
 
     def _arrays(self) -> list[np.ndarray]:
         """The memory as arrays; only what came since the last call is converted."""
         n = len(self.done[0])
         if n < len(self.hashes):
-            new = [np.array(x[n:], kind) for x, kind in ((self.hashes, np.uint64), (self.literal, np.uint64), (self.capital, bool), (self.ends, bool), (self.slots, bool))]
+            flags = (self.capital, self.ends, self.slots, self.spelled, self.powers, self.marked)
+            new = [np.array(x[n:], kind) for x, kind in ((self.hashes, np.uint64), (self.literal, np.uint64), *((x, bool) for x in flags))]
             # A capitalised word that is nowhere in lower case is a name wherever it stands.
             new.append(new[2] & ~holds(self.known, new[1].view(np.int64)) if self.known is not None else np.zeros(len(new[0]), bool))
             self.done = [np.concatenate(x) for x in zip(self.done, new)]
@@ -100,11 +118,15 @@ class Templates:
         self.slots.append(is_slot(token))
         self.capital.append(bare[:1].isupper() and bare[1:].islower() and not is_slot(token))
         self.ends.append(word.endswith(_ENDS))
+        low = bare.lower()
+        self.spelled.append(is_spelled(low))
+        self.powers.append(low in _POWERS)
+        self.marked.append(word[-1:] in _EDGE)
         self.ids[raw] = n = len(self.hashes) - 1
         return n
 
     def read(self, texts: list[str]) -> list[tuple[list[bytes], np.ndarray, np.ndarray, np.ndarray]]:
-        """Of each text the words, hashes of their template tokens, hashes of the words themselves, and which of them are slots."""
+        """Of each text the words (those of one token joined), hashes of their template tokens, hashes of the words themselves, and which of them are slots."""
         if len(self.hashes) > _CACHE:
             self.clear()
         words, ids, starts = [], [], []
@@ -117,9 +139,9 @@ class Templates:
             starts.append(first[: len(own)])
             get, add = self.ids.get, self._add
             ids.append(np.array([i if (i := get(w)) is not None else add(w) for w in own], np.int64))
-        hashes, literal, capital, ends, slots, always = self._arrays()
+        hashes, literal, capital, ends, slots, spelled, powers, marked, always = self._arrays()
         out = []
-        name = np.uint64(xxhash.xxh64_intdigest(b"<name>"))
+        name, number = (np.uint64(xxhash.xxh64_intdigest(x)) for x in (b"<name>", b"<num>"))
         for own, i, first in zip(words, ids, starts):
             if not len(i):
                 out.append((own, *(np.zeros(0, np.uint64),) * 2, np.zeros(0, bool)))
@@ -127,10 +149,26 @@ class Templates:
             fresh = first.copy()
             fresh[1:] |= ends[i[:-1]]
             is_name = capital[i] & ~fresh | always[i]
-            out.append((own, np.where(is_name, name, hashes[i]), literal[i], slots[i] | is_name))
+            template, words_at, slot = np.where(is_name, name, hashes[i]), literal[i], slots[i] | is_name
+            behind = is_name[1:] & is_name[:-1] | spelled[i[1:]] & spelled[i[:-1]] | powers[i[1:]] & (template[:-1] == number)
+            behind &= ~marked[i[:-1]] & ~first[1:]
+            if behind.any():
+                own, template, words_at, slot = joined_tokens(own, template, words_at, slot, np.concatenate([[False], behind]))
+            out.append((own, template, words_at, slot))
         return out
 
 
+def joined_tokens(words: list[bytes], template: np.ndarray, literal: np.ndarray, slots: np.ndarray, behind: np.ndarray) -> tuple[list[bytes], np.ndarray, np.ndarray, np.ndarray]:
+    """The arrays of a text where each token of which behind is true belongs to the one before it; its words are joined by "_"."""
+    starts = np.flatnonzero(~behind)
+    ends = np.append(starts[1:], len(words))
+    place = np.arange(len(words)) - np.repeat(starts, ends - starts)
+    one = [words[a] for a in starts.tolist()]
+    for k in np.flatnonzero(ends - starts > 1).tolist():
+        one[k] = b"_".join(words[starts[k] : ends[k]])
+    return one, template[starts], np.add.reduceat(literal * (2 * place + 1).astype(np.uint64), starts), slots[starts]
+
+
 def window_hashes(tokens: np.ndarray, size: int = WINDOW, at: np.ndarray | None = None) -> np.ndarray:
     """Hashes of the windows of so many tokens that begin at each place (or at those given)."""
     n = max(0, len(tokens) - size + 1)
@@ -232,7 +270,7 @@ def document_windows(docs: DataFrame, known: np.ndarray, found: np.ndarray, size
 
 
 def fitting_windows(places: list[int], pairs: list[list[tuple[str, str]]]) -> tuple[np.ndarray, int]:
-    """Which windows of one copy stay, and the words of its longest consistent run.
+    """Which windows of one copy stay, and the tokens of its longest consistent run.
 
     places: the windows' positions in the item, ascending; pairs: (item's, document's) value of each slot.
     """
@@ -259,7 +297,7 @@ def fitting_windows(places: list[int], pairs: list[list[tuple[str, str]]]) -> tu
 
 
 def fitting_pair(shifts: list[int], places: list[int], pairs: list[list[tuple[str, str]]]) -> tuple[np.ndarray, int]:
-    """Which windows of a document and an item stay, and the words of the longest run of a copy (windows at one shift) that is consistent in itself."""
+    """Which windows of a document and an item stay, and the tokens of the longest run of a copy (windows at one shift) that is consistent in itself."""
     copies: dict[int, list[int]] = {}
     for i in sorted(range(len(shifts)), key=lambda i: places[i]):
         copies.setdefault(shifts[i], []).append(i)
@@ -278,7 +316,7 @@ def _fitting(group: pa.Table) -> pa.Table:
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame, share: float = SHARE, min_run: int = MIN_RUN) -> DataFrame:
-    """doc_id, item_id, matched and n_windows (distinct windows of the item), longest_run (words) of each matching pair."""
+    """doc_id, item_id, matched and n_windows (distinct windows of the item), longest_run (tokens) of each matching pair."""
     known = bit_table(benchmark_words(benchmark), "h")
     items = shared(benchmark_windows(benchmark, known))
     lengths = [r["size"] for r in items.select("size").distinct().collect()]  # 1 to WINDOW

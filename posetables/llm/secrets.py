@@ -33,6 +33,7 @@ class CharClass:
     """Windows of so many characters of the class, and the bits a character from which they count as random.
 
     A run shorter than window, but not than least, is one window; its threshold is as far below the most it can reach.
+    With fold, letters count alike in either case.
     """
 
     name: str
@@ -40,10 +41,11 @@ class CharClass:
     window: int
     bits: float
     least: int = 0
+    fold: bool = False
 
 
 CLASSES = (
-    CharClass("hex", r"[0-9a-f]+", 20, 3.0, 20),
+    CharClass("hex", r"[0-9A-Fa-f]+", 20, 3.0, 20, fold=True),
     CharClass("upper", r"[A-Z0-9]+", 16, 3.2, 16),
     CharClass("base64", r"[A-Za-z0-9+/_=-]+", 24, 3.9, 20),
 )
@@ -90,7 +92,7 @@ def entropy_spans(text: str, classes=CLASSES, allow=ALLOW) -> list[tuple[str, in
         for cls in classes:
             for run in re.finditer(cls.pattern, m[0]):
                 window = min(cls.window, max(cls.least or cls.window, len(run[0])))
-                for i, h in enumerate(window_entropies(run[0], window)):
+                for i, h in enumerate(window_entropies(run[0].lower() if cls.fold else run[0], window)):
                     if h >= cls.bits - math.log2(cls.window / window):
                         found.append((m.start() + run.start() + i, m.start() + run.start() + i + window))
         if not found or named(m[0]):
@@ -161,9 +163,9 @@ WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t FRO
  found AS (SELECT r, kind, rank, ms[i] AS m, CAST(coalesce(list_sum(list_transform(gaps[1:i], lambda x: length(x))), 0) + coalesce(list_sum(list_transform(ms[1:i - 1], lambda x: length(x))), 0) AS BIGINT) AS a FROM each),
  base AS (SELECT r, kind, rank, a, a + length(m) AS b FROM found WHERE (kind = 'assign' AND length(regexp_extract(m, '^(?i:password|passwd|secret|token|api_?key)["'']?\x20*[:=]\x20*["'']?([A-Za-z0-9+/_.=-]+)$', 1)) >= 6) OR (kind = 'access' AND length(m) >= 20) OR (kind = 'hex' AND length(m) >= 24)),
  cand AS (SELECT r, a, m FROM found WHERE kind = 'entropy'),
- cls(cp, w, bits, least) AS (VALUES ('[0-9a-f]+', 20, 3.0e0, 20), ('[A-Z0-9]+', 16, 3.2e0, 16), ('[A-Za-z0-9+/_=-]+', 24, 3.9e0, 20)),
- runs AS (SELECT r, a, m, w, bits, least, regexp_extract_all(m, cp) AS ms, regexp_split_to_array(m, cp) AS gaps FROM cand, cls),
- run AS (SELECT r, a, m, w, bits, ms[i] AS s, least(w, greatest(least, length(ms[i]))) AS v, a + CAST(coalesce(list_sum(list_transform(gaps[1:i], lambda x: length(x))), 0) + coalesce(list_sum(list_transform(ms[1:i - 1], lambda x: length(x))), 0) AS BIGINT) AS org FROM (SELECT *, unnest(range(1, len(ms) + 1)) AS i FROM runs) x),
+ cls(cp, w, bits, least, fold) AS (VALUES ('[0-9A-Fa-f]+', 20, 3.0e0, 20, true), ('[A-Z0-9]+', 16, 3.2e0, 16, false), ('[A-Za-z0-9+/_=-]+', 24, 3.9e0, 20, false)),
+ runs AS (SELECT r, a, m, w, bits, least, fold, regexp_extract_all(m, cp) AS ms, regexp_split_to_array(m, cp) AS gaps FROM cand, cls),
+ run AS (SELECT r, a, m, w, bits, CASE WHEN fold THEN lower(ms[i]) ELSE ms[i] END AS s, least(w, greatest(least, length(ms[i]))) AS v, a + CAST(coalesce(list_sum(list_transform(gaps[1:i], lambda x: length(x))), 0) + coalesce(list_sum(list_transform(ms[1:i - 1], lambda x: length(x))), 0) AS BIGINT) AS org FROM (SELECT *, unnest(range(1, len(ms) + 1)) AS i FROM runs) x),
  win AS (SELECT r, a, m, bits, w, v, org + k AS s, string_split(substring(s, CAST(k + 1 AS BIGINT), v), '') AS cs FROM (SELECT *, unnest(range(0, length(s) - v + 1)) AS k FROM run WHERE length(s) >= v) x),
  hot AS (SELECT r, a, m, s, s + v AS e FROM win WHERE log2(v) - list_sum(list_transform(map_values(list_histogram(cs)), lambda c: c * log2(c))) / v >= bits - log2(w / CAST(v AS DOUBLE))),
  open AS (SELECT DISTINCT * FROM hot WHERE NOT ALLOWED),

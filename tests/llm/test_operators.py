@@ -105,8 +105,8 @@ def naive_entropy_spans(t):
     spans = []
     for m in re.finditer("[A-Za-z0-9+/_=-]{20,}", t):
         hot = set()
-        for pattern, width, bits, least in (("[0-9a-f]+", 20, 3.0, 20), ("[A-Z0-9]+", 16, 3.2, 16), ("[A-Za-z0-9+/_=-]+", 24, 3.9, 20)):
-            for run in re.finditer(pattern, m[0]):
+        for pattern, width, bits, least in (("[0-9A-Fa-f]+", 20, 3.0, 20), ("[A-Z0-9]+", 16, 3.2, 16), ("[A-Za-z0-9+/_=-]+", 24, 3.9, 20)):
+            for run in re.finditer(pattern, m[0].lower() if "a-f" in pattern else m[0]):
                 w = min(width, max(least, len(run[0])))
                 for i in range(len(run[0]) - w + 1):
                     c = np.array(list(Counter(run[0][i : i + w]).values())) / w
@@ -127,7 +127,7 @@ def naive_entropy_spans(t):
 
 def random_secret(r):
     letters = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz"
-    return "".join(r.choices(r.choice([letters + "0123456789", letters + "0123456789+/", letters, letters[26:] + "0123456789", letters[:26] + "0123456789"]), k=r.randrange(20, 45)))
+    return "".join(r.choices(r.choice([letters + "0123456789", letters + "0123456789+/", letters, letters[26:] + "0123456789", letters[:26] + "0123456789", "0123456789abcdefABCDEF"]), k=r.randrange(20, 45)))
 
 
 def planted_secrets():
@@ -170,6 +170,15 @@ def test_short_secrets():
     assert not secrets.secret_spans("see internationalisation2 aaaa1111bbbb2222cccc end")[1]
 
 
+def test_hexadecimal_in_either_case():
+    r = random.Random(3)
+    for n in (32, 40):
+        keys = ["".join(r.choices("0123456789abcdefABCDEF", k=n)) for _ in range(400)]
+        assert sum(bool(secrets.secret_spans(f"id {k} end")[1]) for k in keys) > 0.97 * len(keys)
+    assert secrets.entropy_spans("ghp_16C7e42F292c6912E7710c838347Ae178B4a")
+    assert not secrets.entropy_spans("DEADBEEF" * 4 + " " + "0123456789abcdef" * 2)
+
+
 def test_secrets_oracle_on_planted_rows(spark):
     import duckdb
 
@@ -551,6 +560,18 @@ def test_names_that_begin_sentences(spark):
     assert found_pairs(spark, [item], [f"First. {other} Last.", other.replace("Tom hold", "Jim hold"), other.replace("apples", "pears")]) == [(1, 1), (2, 1)]
 
 
+def test_number_words_and_runs_of_names(spark):
+    item = "In the morning five people leave Boston by bus and wait ten minutes until three people from Salem come along"
+    other = item.replace("five", "seven").replace("ten", "twelve").replace("three", "nine")
+    longer = item.replace("five", "twenty five").replace("ten", "15").replace("Boston", "New York").replace("Salem", "San Jose")
+    short = "How far is Boston from here in miles"
+    docs = [f"so. {other} then", longer, short.replace("Boston", "New York City"), item.replace("five people", "five friendly cats").replace("minutes until", "hours or until").replace("by bus", "and drive"), "two thousand hours is what 5 million cats sleep"]
+    assert found_pairs(spark, [item, short, "7 hours is what nine cats sleep"], docs) == [(1, 1), (2, 1), (3, 2), (5, 3)]
+    words, template, literal, slots = decontaminate.Templates(np.zeros(1 << 18, np.uint64)).read(["we saw New York, Rome and Old Town. Twenty one of 5 million came"])[0]
+    assert [w.decode() for w, s in zip(words, slots) if s] == ["New_York,", "Rome", "Old_Town.", "Twenty_one", "5_million"]
+    assert len(words) == len(template) == len(literal) == len(slots) == 10
+
+
 def test_values_fit_across_copies(spark):
     """Windows at different places don't add up to a match unless a value stands for one value in all of them."""
     item = "mix 10 grams of salt with 20 grams of lime and then 30 grams of zinc"
