@@ -1,20 +1,23 @@
 """License scans by a trained paragraph classifier, in DataFrame operations only.
 
 A document's paragraphs are its lines and, where several lines stand together, such a block as a whole, so that notices
-are found on one line or wrapped over many; a block counts only if no single line of the document gives its family.
+are found on one line or wrapped over many; a block counts only if none of its own lines gives its family.
 
 Training: the notices below, whole and with runs of a few words taken out, are the positive paragraphs of their
 families. The unknown class is a bounded sample of the corpus's own paragraphs: plain ones, and hard ones that hold a
-word of LICENSE_WORDS but share few word pairs with every notice, beside the sentences of HARD. A sparse (L1)
-multinomial logistic regression over word 1- to 3-grams is fitted on three quarters of the unknown paragraphs and on
-cuts of 0, 1, 2 and 4 words; the rest of the unknown and cuts of 3 and 6 words, which the fit never saw, calibrate it:
-temperature by log loss, and the least probability as the lowest at which at most one in a hundred unknown paragraphs gets a family.
+word of LICENSE_WORDS but share few word pairs with every notice, beside the sentences of HARD and the notices of FOREIGN_NOTICES,
+whose families the model lacks, with cuts of them. A sparse (L1)
+multinomial logistic regression over word 1- to 3-grams is fitted on three quarters of the unknown paragraphs, on every second foreign notice and on
+cuts of 0, 1, 2 and 4 words; the rest of the unknown, the other foreign notices and cuts of 3 and 6 words, which the fit never saw, calibrate it:
+temperature by log loss, and the least probability as the lowest at which at most one in a hundred unknown paragraphs, and at most one in
+twenty cuts of the foreign notices held out, gets a family.
 
 Scanning: from the weights follows a list of words of which a paragraph needs at least one to be given any family
 (LicenseModel.triggers; the bound is exact, so nothing is lost). Paragraphs with such a word are cut into n-grams, which
 are joined to the model's weights, a table of at most VOCABULARY rows that is broadcast, and summed for each paragraph.
 Softmax with an unknown class gives family and probability. A prediction stands if a notice of the family is similar: its
-distinct word pairs cover at least COVER of the paragraph's or the paragraph's cover as much of the notice's.
+distinct words and word pairs cover at least COVER of the paragraph's or the paragraph's cover as much of the notice's; a notice of
+two words must be there whole.
 
 Defined results: null and empty texts have no paragraphs; each row is a document of its own, so repeated rows give
 repeated results and rows that share a doc_id, or have none, don't mix; of notices that cover alike the first counts;
@@ -34,10 +37,17 @@ from .common import shared, table, texts_of
 #: Bounds of the fit: paragraphs sampled from the corpus, and n-grams of the model.
 SAMPLE_PARAGRAPHS = 2000
 VOCABULARY = 4096
+#: Tasks over the training paragraphs, which are bounded too.
+FIT_TASKS = 8
+#: So many times a notice of two words is taken; it has no cuts, of which a longer one has as many.
+SHORT_COPIES = 20
+TEMPERATURES = (0.125, 0.25, 0.5, 1.0, 2.0, 4.0)
 NGRAMS = (1, 2, 3)
 COVER = 0.6
 #: Share of word pairs that a hard unknown paragraph may have in common with a notice.
 FOREIGN = 0.2
+#: Shares of held-out unknown paragraphs, and of cuts of held-out foreign notices, that may get a family.
+ALARMS, FOREIGN_ALARMS = 0.01, 0.05
 LICENSE_WORDS = ("license", "licensed", "licence", "licenced", "copyright", "warranty", "spdx")
 
 #: Notices of licence families. Fixed values.
@@ -68,6 +78,31 @@ TEMPLATES = (
     ("cc-by-nc", "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License."),
     ("isc", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies."),
     ("unlicense", "This is free and unencumbered software released into the public domain."),
+    ("apache-2.0", "Released under the Apache 2 license."),
+    ("mit", "MIT licensed"),
+    ("bsd", "BSD licensed"),
+)
+#: Short names of families, and what stands before them in a notice of two words. Fixed values.
+SHORT_NAMES = (
+    ("apache-2.0", "Apache-2.0"), ("mit", "MIT"), ("bsd", "BSD-2-Clause"), ("bsd", "BSD-3-Clause"), ("gpl", "GPL-2.0"), ("gpl", "GPL-3.0"), ("lgpl", "LGPL-2.1"), ("lgpl", "LGPL-3.0"),
+    ("mpl-2.0", "MPL-2.0"), ("isc", "ISC"), ("unlicense", "Unlicense"), ("cc-by", "CC-BY-4.0"), ("cc-by-sa", "CC-BY-SA-4.0"), ("cc-by-nc", "CC-BY-NC-4.0"),
+)
+LABELS = ("License", "Licence", "Lizenz", "Licencia")
+TEMPLATES += tuple((family, f"{label}: {name}") for family, name in SHORT_NAMES for label in LABELS)
+#: Notices of families that the model lacks; every second one is held out of the fit.
+FOREIGN_NOTICES = (
+    "This program and the accompanying materials are made available under the terms of the Eclipse Public License 2.0 which is available at https://www.eclipse.org/legal/epl-2.0/",
+    "Licensed under the EUPL, Version 1.2 or as soon they will be approved by the European Commission, subsequent versions of the EUPL",
+    "Licensed under the Elastic License 2.0; you may not use this file except in compliance with the Elastic License 2.0.",
+    "This program is made available under the terms of the Server Side Public License, version 1, as published by the vendor.",
+    "All rights reserved. This software is proprietary and confidential. Unauthorized copying of this file is strictly prohibited.",
+    "This document is the confidential property of its owner and may not be reproduced or disclosed without written consent.",
+    "Licensed under the Business Source License 1.1; the Change Date is four years after the release of this version.",
+    "This software is licensed under the Confluent Community License; you may not provide it as a competing service.",
+    "SPDX-License-Identifier: EPL-2.0", "SPDX-License-Identifier: EUPL-1.2",
+    "License: proprietary", "License: commercial",
+    "Licensed under the Artistic License 2.0.", "Released under the Zope Public License.",
+    "Use of this software is governed by the end user license agreement that you accepted.", "Use is subject to the license terms of the customer agreement.",
 )
 #: Sentences that speak of licences and are no notices.
 HARD = (
@@ -115,12 +150,12 @@ def _sampled(texts: DataFrame, n: int, most: int) -> DataFrame:
 
 
 def training_paragraphs(docs: DataFrame, sample: int = SAMPLE_PARAGRAPHS, templates=TEMPLATES) -> DataFrame:
-    """family, w (words), held: cuts of the notices, and paragraphs of the corpus as the unknown class."""
+    """family, w (words), held, foreign (cuts of a foreign notice that is held): cuts of the notices, and the unknown class."""
     spark = docs.sparkSession
     known = template_table(spark, templates).select("family", words(F.col("text")).alias("w")).where(F.size("w") > 0)
-    cuts = known.select("family", "w", F.explode(F.sequence(F.lit(0), F.size("w") - 1)).alias("at"), F.explode(F.array(*map(F.lit, (0, 1, 2, 4, 3, 6)))).alias("n"))
-    cut = cuts.select("family", F.concat(F.expr("slice(w, 1, at)"), F.expr("slice(w, at + n + 1, greatest(size(w) - at - n, 0))")).alias("w"), F.col("n").isin(3, 6).alias("held"))
-    cut = cut.where(F.size("w") >= 3).groupBy("family", "w").agg(F.min("held").alias("held"))  # what the fit saw is not held out
+    cut = _cuts(known, ["family"]).groupBy("family", "w").agg(F.min("held").alias("held"))  # what the fit saw is not held out
+    notices = spark.createDataFrame([(i % 2 == 1, t) for i, t in enumerate(FOREIGN_NOTICES)], "foreign boolean, text string").select("foreign", words(F.col("text")).alias("w"))
+    foreign = _cuts(notices, ["foreign"]).groupBy("w").agg(F.min("foreign").alias("foreign"))
     found = paragraphs(docs).where("kind = 'line'").select(words(F.col("text")).alias("w"))
     named = found.withColumn("named", F.arrays_overlap("w", F.array(*map(F.lit, LICENSE_WORDS))))
     n = {r["named"]: r["n"] for r in named.groupBy("named").agg(F.count("*").alias("n")).collect()}  # two rows
@@ -132,7 +167,18 @@ def training_paragraphs(docs: DataFrame, sample: int = SAMPLE_PARAGRAPHS, templa
     hard = hard.withColumn("g", F.array_distinct(ngrams("w", (2,)))).join(lists).where(F.coalesce(F.array_max(shares), F.lit(0.0)) <= FOREIGN).select("w")
     fixed = spark.createDataFrame([(t,) for t in (*HARD, *LICENSE_WORDS)], "text string").select(words(F.col("text")).alias("w"))
     other = plain.union(hard).union(fixed).select(F.lit(UNKNOWN).alias("family"), "w", (F.pmod(F.xxhash64(F.array_join("w", " "), F.lit(1)), F.lit(4)) == 0).alias("held"))
-    return cut.union(other)
+    other = other.union(foreign.select(F.lit(UNKNOWN), "w", "foreign")).join(F.broadcast(foreign.where("foreign").select("w", "foreign")), "w", "left")  # cuts of a fixed list
+    other = other.select("family", "w", "held", F.coalesce("foreign", F.lit(False)).alias("foreign"))
+    both = cut.withColumn("foreign", F.lit(False)).unionByName(other)
+    copies = F.array_repeat(F.lit(0), F.when(F.size("w") == 2, SHORT_COPIES).otherwise(1).cast("int"))
+    return both.withColumn("copy", F.explode(copies)).drop("copy")
+
+
+def _cuts(notices: DataFrame, keep: list[str]) -> DataFrame:
+    """keep, w, held: notices (keep, w) whole and with runs of a few words taken out; held where the run has 3 or 6."""
+    cuts = notices.select(*keep, "w", F.explode(F.sequence(F.lit(0), F.size("w") - 1)).alias("at"), F.explode(F.array(*map(F.lit, (0, 1, 2, 4, 3, 6)))).alias("n"))
+    cut = cuts.select(*keep, F.concat(F.expr("slice(w, 1, at)"), F.expr("slice(w, at + n + 1, greatest(size(w) - at - n, 0))")).alias("w"), F.col("n").isin(3, 6).alias("held"), "n")
+    return cut.where((F.size("w") >= 3) | (F.col("n") == 0)).drop("n")
 
 
 class LicenseModel:
@@ -172,7 +218,7 @@ def fit(docs: DataFrame, sample: int = SAMPLE_PARAGRAPHS, templates=TEMPLATES) -
     spark = docs.sparkSession
     families = [UNKNOWN, *sorted({f for f, _ in templates})]
     label = F.array_position(F.array(*map(F.lit, families)), F.col("family")) - 1
-    train = shared(training_paragraphs(docs, sample, templates).select(label.cast("double").alias("label"), ngrams("w").alias("grams"), "held"))
+    train = shared(training_paragraphs(docs, sample, templates).select(label.cast("double").alias("label"), ngrams("w").alias("grams"), "held", "foreign").coalesce(FIT_TASKS))
     terms = CountVectorizer(inputCol="grams", outputCol="features", vocabSize=VOCABULARY, minDF=2.0, binary=True).fit(train)
     vectors = terms.transform(train)
     fitted = LogisticRegression(family="multinomial", regParam=0.002, elasticNetParam=0.5, maxIter=60, standardization=False).fit(vectors.where("not held"))
@@ -183,12 +229,14 @@ def fit(docs: DataFrame, sample: int = SAMPLE_PARAGRAPHS, templates=TEMPLATES) -
     single = sorted({w for g, _ in rows for w in g.split(" ")})  # at most three for each n-gram
     common = {r["g"]: r["n"] for r in unknown.join(F.broadcast(spark.createDataFrame([(w,) for w in single], "g string")), "g").groupBy("g").agg(F.count("*").alias("n")).collect()}
     model = LicenseModel(families, rows, [float(cut[k]) if k < len(cut) else -30.0 for k in range(len(families))], common)
-    held = shared(fitted.transform(vectors.where("held")).select("label", F.expr("cast(rawPrediction as string)").alias("r")).select("label", F.from_json("r", "array<double>").alias("r")))
-    losses = [(held.select(F.avg(-F.log(F.greatest(F.element_at(model_at(model, t).probabilities(F.col("r")), F.col("label").cast("int") + 1), F.lit(1e-12))))).first()[0] or 0.0, t) for t in (0.125, 0.25, 0.5, 1.0, 2.0, 4.0)]
-    model.temperature = min(losses)[1]
-    top = model.probabilities(F.col("r"))
-    alarm = held.where("label = 0").select(F.array_max(F.slice(top, 2, len(families) - 1)).alias("p")).agg(F.percentile_approx("p", 0.99, 10_000)).first()[0]
-    model.least = min(0.99, max(0.05, float(alarm or 0.0) + 1e-6))  # bounds only for corpora without a hard paragraph, or of nothing else
+    held = fitted.transform(vectors.where("held")).select("label", "foreign", F.expr("cast(rawPrediction as string)").alias("r")).select("label", "foreign", F.from_json("r", "array<double>").alias("r"))
+    held = shared(held)
+    loss = lambda t: F.avg(-F.log(F.greatest(F.element_at(model_at(model, t).probabilities(F.col("r")), F.col("label").cast("int") + 1), F.lit(1e-12))))
+    losses = held.agg(*map(loss, TEMPERATURES)).first()
+    model.temperature = min((x or 0.0, t) for x, t in zip(losses, TEMPERATURES))[1]
+    highest = held.where("label = 0").select("foreign", F.array_max(F.slice(model.probabilities(F.col("r")), 2, len(families) - 1)).alias("p"))
+    alarms = highest.agg(F.percentile_approx("p", 1 - ALARMS, 10_000), F.percentile_approx(F.when(F.col("foreign"), F.col("p")), 1 - FOREIGN_ALARMS, 10_000)).first()
+    model.least = min(0.99, max(0.05, *(float(x or 0.0) + 1e-6 for x in alarms)))  # the outer bounds are for corpora without a hard paragraph, or of nothing else
     return model
 
 
@@ -199,7 +247,7 @@ def model_at(model: LicenseModel, temperature: float) -> LicenseModel:
 def scan_licenses(docs: DataFrame, model: LicenseModel, templates=TEMPLATES) -> DataFrame:
     """doc_id, kind, para, family, probability, template_id, cover of every paragraph that is a notice."""
     triggers = model.triggers()
-    likely = paragraphs(docs).withColumn("w", words(F.col("text"))).drop("text")
+    likely = paragraphs(docs).withColumn("w", words(F.col("text")))
     if triggers is not None:  # whole words: as a part of longer words, short triggers are everywhere
         likely = likely.where(F.arrays_overlap("w", F.array(*map(F.lit, triggers))) if triggers else F.lit(False))
     likely = shared(likely.withColumn("p", F.monotonically_increasing_id()))  # written, so that the numbers stay
@@ -212,7 +260,8 @@ def scan_licenses(docs: DataFrame, model: LicenseModel, templates=TEMPLATES) ->
     named = q.where((F.col("best") > 1) & (F.array_max("q") >= model.least)).select("p", F.element_at(F.array(*map(F.lit, model.families)), F.col("best")).alias("family"), F.array_max("q").alias("probability"))
     found = shared(confirm(likely.join(named, "p"), templates))
     lines, blocks = found.where("kind = 'line'"), found.where("kind = 'block'")
-    blocks = blocks.join(lines.select("doc", "family").distinct(), ["doc", "family"], "left_anti")
+    inner = blocks.select("p", "doc", "family", F.explode(F.split("text", "\n")).alias("text")).join(lines.select("doc", "family", "text").distinct(), ["doc", "family", "text"], "left_semi")
+    blocks = blocks.join(inner.select("p").distinct(), "p", "left_anti")  # equal lines are judged alike, so the line that was found stands in the block
     return lines.unionByName(blocks).select("doc_id", "kind", "para", "family", "probability", "template_id", "cover")
 
 
@@ -222,9 +271,9 @@ def confirm(named: DataFrame, templates=TEMPLATES) -> DataFrame:
     known = template_table(named.sparkSession, templates).select("template_id", F.col("family").alias("f"), words(F.col("text")).alias("w")).select("template_id", "f", pairs.alias("t"))
     both = F.size(F.array_intersect("g", "t"))
     near = named.withColumn("g", pairs).join(F.broadcast(known), F.col("family") == F.col("f"))  # the notices, a fixed list
-    near = near.withColumn("cover", F.round(both / F.greatest(F.least(F.size("g"), F.size("t")), F.lit(1)), 6)).where(F.col("cover") >= COVER)
+    near = near.withColumn("cover", F.round(both / F.greatest(F.least(F.size("g"), F.size("t")), F.lit(1)), 6)).where(F.col("cover") >= F.when(F.size("t") <= 3, 1.0).otherwise(COVER))
     best = near.groupBy("p").agg(F.max(F.struct("cover", (-F.col("template_id")).alias("k"))).alias("b"))
-    return named.join(best, "p").select("doc", "doc_id", "kind", "para", "family", "probability", (-F.col("b.k")).alias("template_id"), F.col("b.cover").alias("cover"))
+    return named.join(best, "p").select("p", "doc", "doc_id", "kind", "text", "para", "family", "probability", (-F.col("b.k")).alias("template_id"), F.col("b.cover").alias("cover"))
 
 
 def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -279,6 +279,12 @@ def test_license_rows_and_blocks(spark, documents):
     docs = [(1, "Released under the MIT License."), (1, "Licensed under CC BY 4.0."), (1, "Released under the MIT License."), (2, wrapped), (3, "\n".join(license.HARD)), (4, "She had a license to sell fish.\n\nThe warranty of the car\nis over."), (None, "Released under the MIT License.")]
     rows = license.scan_licenses(spark.createDataFrame(docs, "doc_id long, text string"), model).collect()
     assert sorted((r.doc_id or 0, r.kind, r.para, r.family) for r in rows) == [(0, "line", 0, "mit"), (1, "line", 0, "cc-by"), (1, "line", 0, "mit"), (1, "line", 0, "mit"), (2, "block", 1, "mit")]
+    # A wrapped notice stays beside a line that gives the same family elsewhere; short and labelled notices; families that the model lacks.
+    more = ["Released under the MIT License.\n\n" + wrapped, "\n".join(["Some words", *("Released under the MIT License.",)] * 2), "This file is released to the public under the Apache 2 license", "License: BSD-2-Clause", "MIT licensed", "Lizenz: MIT"]
+    more += ["This program and the accompanying materials are made available under the Eclipse Public License 2.0", "Licensed under the Elastic License 2.0; you may not use it as a service", "All rights reserved. This software is proprietary and confidential.", "License: proprietary", "er geht mit der Lizenz in die Stadt"]
+    more = license.scan_licenses(spark.createDataFrame(list(enumerate(more)), "doc_id long, text string"), model).collect()
+    assert sorted((r.doc_id, r.kind, r.para, r.family) for r in more) == [(0, "block", 2, "mit"), (0, "line", 0, "mit"), (1, "line", 1, "mit"), (1, "line", 3, "mit"), (2, "line", 0, "apache-2.0"), (3, "line", 0, "bsd"), (4, "line", 0, "mit"), (5, "line", 0, "mit")]
+    assert model.least > 0.05
     mits = {r.probability for r in rows if r.kind == "line" and r.family == "mit"}
     assert len(mits) == 1  # repeated rows don't add up
 
