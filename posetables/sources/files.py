@@ -12,6 +12,18 @@ POSE = """cam_matrix array<array<double>>, cam_location array<double>, cam_rotat
  objs array<struct<class: string, `object id`: int, pos: array<double>, rotation: array<double>, bbox_visib: array<int>, bbox_obj: array<int>, visib_fract: double, px_count_visib: int, px_count_valid: int, px_count_all: int>>"""
 #: Image folder of each scene dataset. Fixed values.
 IMAGE_FOLDERS = {"lm": "test", "lmo": "test", "tless": "test_primesense", "hb": "val_primesense", "ycbv": "test", "hope": "val"}
+#: Classes of each scene dataset, numbered from 1 in this order. Fixed values; tless and hb name theirs by number.
+_LM = "ape benchvise bowl cam can cat cup driller duck eggbox glue holepuncher iron lamp phone"
+_YCBV = (
+    "002_master_chef_can 003_cracker_box 004_sugar_box 005_tomato_soup_can 006_mustard_bottle 007_tuna_fish_can 008_pudding_box 009_gelatin_box "
+    "010_potted_meat_can 011_banana 019_pitcher_base 021_bleach_cleanser 024_bowl 025_mug 035_power_drill 036_wood_block 037_scissors "
+    "040_large_marker 051_large_clamp 052_extra_large_clamp 061_foam_brick"
+)
+_HOPE = (
+    "AlphabetSoup BBQSauce Butter Cherries ChocolatePudding Cookies Corn CreamCheese GranolaBars GreenBeans Ketchup Macaroni&Cheese Mayo Milk "
+    "Mushrooms Mustard OrangeJuice Parmesan Peaches Peas&Carrots Pineapple Popcorn Raisins SaladDressing Spaghetti TomatoSauce Tuna Yogurt"
+)
+CLASSES = {"lm": _LM.split(), "lmo": _LM.split(), "tless": [f"obj_{i:02d}" for i in range(1, 31)], "hb": [f"obj_{i:02d}" for i in range(1, 34)], "ycbv": _YCBV.split(), "hope": _HOPE.split()}
 ASSET_PATTERNS = {"YCB": "textured.obj", "SYNTHDET": "*.fbx", "OMNI3D": "simplified.obj", "ANY": "*.{obj,ply,gltf,fbx}"}
 _SUBSET = r"([^/]+)/[^/]+$"
 
@@ -123,8 +135,14 @@ def converted_frames(spark: SparkSession, root: str, classes: DataFrame) -> Data
     return whole.join(numbers, key).select("subset", "frame_index", "img_index", "height", "width", "rgb", "depth", "mask", "cam_matrix", F.transform("o", labelled).alias("objs"))
 
 
-def convert_dataset(spark: SparkSession, root: str, name: str, classes: DataFrame, out: str) -> None:
-    """Write the frames of a scene dataset below root, a folder for each subset."""
+def dataset_classes(spark: SparkSession, name: str) -> DataFrame:
+    """class_id, class_name of a scene dataset; an unknown dataset is an error."""
+    return spark.createDataFrame(list(enumerate(CLASSES[name], 1)), "class_id int, class_name string")
+
+
+def convert_dataset(spark: SparkSession, root: str, name: str, classes: DataFrame | None, out: str) -> None:
+    """Write the frames of a scene dataset below root, a folder for each subset. Without classes, those of the dataset's own list are taken."""
+    classes = dataset_classes(spark, name) if classes is None else classes
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
     frames = converted_frames(spark, f"{root}/{IMAGE_FOLDERS[name]}", classes)
     frames.repartitionByRange(n, "subset", "frame_index").sortWithinPartitions("subset", "frame_index").write.mode("overwrite").partitionBy("subset").parquet(out)

@@ -75,11 +75,22 @@ def test_convert_dataset(spark, tmp_path):
     assert (x["class"], x["object id"], x.pos, x.rotation) == ("can", 1, [0.01, 0.02, 1.0], [0, 0, 0, 1])
     assert (x.bbox_visib, x.bbox_obj, x.px_count_visib, x.px_count_valid, x.px_count_all, x.visib_fract) == ([2, 1, 3, 1], [1, 1, 4, 2], 2, 1, 8, 0.25)
     assert (y["object id"], y.bbox_obj, y.px_count_all, y.visib_fract) == (2, [0, 0, 0, 0], 0, 0.0)
+    files.convert_dataset(spark, f"{tmp_path}/data", "lm", None, f"{tmp_path}/own")  # the dataset's own classes
+    assert spark.read.parquet(f"{tmp_path}/own").where("img_index = 8").first().objs == b.objs
     (d / "mask_visib/000008_000001.png").unlink()
     with pytest.raises(Exception, match="no partner"):
         files.convert_dataset(spark, f"{tmp_path}/data", "lm", classes, f"{tmp_path}/out2")
 
 
+def test_dataset_classes(spark):
+    assert {k: len(v) for k, v in files.CLASSES.items()} == {"lm": 15, "lmo": 15, "tless": 30, "hb": 33, "ycbv": 21, "hope": 28}
+    assert set(files.CLASSES) == set(files.IMAGE_FOLDERS)
+    of = lambda name: dict(map(tuple, files.dataset_classes(spark, name).collect()))
+    assert (of("ycbv")[12], of("hb")[33], of("hope")[20]) == ("021_bleach_cleanser", "obj_33", "Peas&Carrots")
+    with pytest.raises(KeyError):
+        files.dataset_classes(spark, "other")
+
+
 def test_images(spark, scene):
     table = images.image_table(spark, scene)
     depth = table.where("dtype = 'uint16'")
