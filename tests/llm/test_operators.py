@@ -322,6 +322,40 @@ def test_all_swaps_are_kept():
     assert len(toxicity.counterfactuals(toxicity.words_of("a black gay christian woman, an old deaf muslim and a young jewish man"))) == 3 + 3 + 5 * 3 + 1 + 1 + 1 + 2 + 1
 
 
+def test_mentions_are_all_counted(spark):
+    """Over the steps of a round the mentions' penalty is that of all pairs of sentence and mention, and so is its gradient."""
+    rng = np.random.default_rng(5)
+    rows = [sorted(rng.choice(9, rng.integers(0, 6), replace=False).tolist()) for _ in range(23)]
+    counts, mentions = rng.integers(1, 9, 23).tolist(), [[0], [0, 1, 7], [8]]
+    w, b, total = rng.normal(size=9), 0.3, 3 * sum(counts)
+    pairs = toxicity.Pairs(rows, [(i, sorted(set(m) - set(x)), [], 0.5 * c / total) for i, (x, c) in enumerate(zip(rows, counts)) for m in mentions])
+    for common, dealt, steps in ((23, 5, 9), (4, 5, 9), (0, 1, 3), (7, 100, 1)):
+        made = toxicity.Mentions(rows, counts, mentions, common, dealt, steps)
+        k = max(1, len(made.parts))
+        assert k <= max(1, steps) and sorted(np.concatenate([made.common, *made.parts]).tolist()) == list(range(23))
+        each = [made.penalty(w, b, t) for t in range(k)]
+        for got, want in zip([sum(x[i] for x in each) / k for i in range(3)], pairs.penalty(w, b)):
+            assert np.allclose(got, want, atol=1e-12)
+    assert toxicity.Mentions([], [], mentions).penalty(w, b)[0] == 0
+
+
+def test_toxicity_sample_bounds(spark):
+    """Equal rows are one, long texts stay out, and the first rows by hash come until the characters are used up."""
+    docs = spark.createDataFrame([(i, "x" * (10 + i)) for i in range(20)] + [(3, "x" * 13)] * 5 + [(30, "y" * 500), (None, "z")], "doc_id long, text string")
+    labels = docs.select("doc_id", F.lit(1).alias("toxic"))
+    of = lambda **k: sorted(r["text"] for r in toxicity.labelled_sample(docs, labels, F.lit(False), **k).collect())
+    assert of(longest=400) == sorted("x" * (10 + i) for i in range(20))
+    order = [r["doc_id"] for r in spark.range(20).withColumnRenamed("id", "doc_id").orderBy(F.xxhash64("doc_id")).collect()]
+    want, used = [], 0
+    for i in order:
+        used += 10 + i
+        if used > 100:
+            break
+        want.append("x" * (10 + i))
+    assert of(longest=400, sample_chars=100) == sorted(want)
+    assert len(of(sample_rows=4)) == 4
+
+
 def test_neutral_mentions(spark):
     """Labels that go with a group's name: the penalty takes false positives on neutral mentions away, and leaves the insults."""
     r = random.Random(2)
