@@ -32,10 +32,12 @@ from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import CountVectorizer
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from .common import shared, table, texts_of
+from .common import shared, table, texts_of, written
 
 #: Bounds of the fit: paragraphs sampled from the corpus, and n-grams of the model.
 SAMPLE_PARAGRAPHS = 2000
+#: Named paragraphs (three short columns) that are broadcast; more are joined by a shuffle.
+MOST_BROADCAST = 500_000
 VOCABULARY = 4096
 #: Tasks over the training paragraphs, which are bounded too.
 FIT_TASKS = 8
@@ -250,15 +252,17 @@ def scan_licenses(docs: DataFrame, model: LicenseModel, templates=TEMPLATES) ->
     likely = paragraphs(docs).withColumn("w", words(F.col("text")))
     if triggers is not None:  # whole words: as a part of longer words, short triggers are everywhere
         likely = likely.where(F.arrays_overlap("w", F.array(*map(F.lit, triggers))) if triggers else F.lit(False))
-    likely = shared(likely.withColumn("p", F.monotonically_increasing_id()))  # written, so that the numbers stay
+    likely = written(likely.drop("w").withColumn("p", F.monotonically_increasing_id()))  # written, so that the numbers stay
     weights = docs.sparkSession.createDataFrame(model.rows or [("", [0.0] * len(model.families))], "gram string, weight array<double>").coalesce(1)
-    grams = likely.select("p", F.explode(F.array_distinct(ngrams("w"))).alias("gram"))
+    grams = likely.select("p", words(F.col("text")).alias("w")).select("p", F.explode(F.array_distinct(ngrams("w"))).alias("gram"))
     met = grams.join(F.broadcast(weights), "gram")  # VOCABULARY rows at most
     sums = met.groupBy("p").agg(*[F.sum(F.element_at("weight", k + 1)).alias(f"s{k}") for k in range(len(model.families))])
     scores = F.array(*[F.col(f"s{k}") + F.lit(b) for k, b in enumerate(model.intercepts)])
     q = sums.select("p", scores.alias("scores")).withColumn("q", model.probabilities(F.col("scores"))).withColumn("best", F.array_position("q", F.array_max("q")).cast("int"))
     named = q.where((F.col("best") > 1) & (F.array_max("q") >= model.least)).select("p", F.element_at(F.array(*map(F.lit, model.families)), F.col("best")).alias("family"), F.array_max("q").alias("probability"))
-    found = shared(confirm(likely.join(named, "p"), templates))
+    named = shared(named)
+    few = named.count() <= MOST_BROADCAST  # then the texts stay where they are
+    found = shared(confirm(likely.join(F.broadcast(named) if few else named, "p").withColumn("w", words(F.col("text"))), templates))
     lines, blocks = found.where("kind = 'line'"), found.where("kind = 'block'")
     inner = blocks.select("p", "doc", "family", F.explode(F.split("text", "\n")).alias("text")).join(lines.select("doc", "family", "text").distinct(), ["doc", "family", "text"], "left_semi")
     blocks = blocks.join(inner.select("p").distinct(), "p", "left_anti")  # equal lines are judged alike, so the line that was found stands in the block
