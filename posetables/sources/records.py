@@ -1,6 +1,6 @@
-"""Sharded record files: a Python data source, one task for each shard.
+"""Sharded record files: a Python data source, whose tasks read one shard or several.
 
-A shard is a ZLIB stream of length-framed Example records; it can't be split. Below a root, all datasets are read: of
+A shard is a ZLIB stream of length-framed Example records; it can't be split. A task reads small shards one after another. Below a root, all datasets are read: of
 version 2 the shards `data/*.tfrecord`, of version 1 four file families (rgb, depth, mask, gt), whose records belong together by
 position. Option keys picks features, so that others are passed over undecoded and families without a wanted key aren't
 opened. Options subsets and shards leave shards out before any is opened. They are options rather than pushed filters because Spark 4.1
@@ -17,7 +17,7 @@ import os
 import uuid
 import zlib
 from collections import defaultdict
-from collections.abc import Iterator
+from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass
 from fnmatch import fnmatchcase
 from pathlib import Path
@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, DataSourceReader, DataSourceStreamReader, InputPartition, WriterCommitMessage
 
 from ..operators.windows import placed_in_shards
-from .tensors import KEYS, decode_example, encode_example, frame_record, keys_of, records, spark_type
+from .tensors import KEYS, arrow_type, decode_example, decode_examples, encode_examples, frame_records, keys_of, records, spark_type
 
 #: Families of version 1 with their keys. Fixed values.
 FAMILIES = {
@@ -36,8 +36,10 @@ FAMILIES = {
     "mask": ["mask"],
     "gt": [k for k in KEYS if k.startswith(("cam_", "obj_", "stereo_"))],
 }
-#: A batch of rows ends at so many rows, or bytes of images.
-BATCH_ROWS, BATCH_BYTES = 1000, 32 << 20
+#: A batch of rows ends at so many rows, or bytes of records.
+BATCH_ROWS, BATCH_BYTES = 16_384, 32 << 20
+#: A task reads shards of so many bytes in all, or one that is larger. Opening a shard counts as some bytes.
+TASK_BYTES, OPEN_BYTES = 16 << 20, 64 << 10
 PATTERN = "**/*.tfrecord"
 
 
@@ -64,15 +66,34 @@ class Shard(InputPartition):
     shard: str
     paths: tuple[tuple[str, str], ...]
 
-    def rows(self, keys: list[str], safe: bool) -> Iterator[dict]:
-        """Records by position; of several families, as many as the shortest has."""
-        wanted = [[k for k in keys if family == "data" or k in FAMILIES[family]] for family, _ in self.paths]
-        streams = [records(pieces_of(path), path) for _, path in self.paths]
-        for position, together in enumerate(zip(*streams)):
-            row = {k: v for data, names in zip(together, wanted) for k, v in decode_example(data, names).items()}
-            if not safe and (missing := [k for k in keys if k not in row]):
-                raise ValueError(f"{self.paths[0][1]}: record {position} has no {', '.join(missing)}")
-            yield row
+    def wanted(self, keys: list[str]) -> list[list[str]]:
+        """Which keys each file is read for."""
+        return [[k for k in keys if family == "data" or k in FAMILIES[family]] for family, _ in self.paths]
+
+    def messages(self) -> Iterator[tuple[bytes, ...]]:
+        """The records of each position, one for each file; of several families, as many as the shortest has."""
+        return zip(*[records(pieces_of(path), path) for _, path in self.paths])
+
+
+@dataclass(frozen=True)
+class Shards(InputPartition):
+    """What one task reads."""
+
+    of: tuple[Shard, ...]
+
+
+def dealt_out(shards: list[Shard]) -> list[Shards]:
+    """Neighbouring shards together, up to TASK_BYTES."""
+    out: list[list[Shard]] = []
+    left = 0
+    for shard in shards:
+        size = sum(os.stat(path).st_size + OPEN_BYTES for _, path in shard.paths)
+        if not out or size > left:
+            out.append([])
+            left = TASK_BYTES
+        out[-1].append(shard)
+        left -= size
+    return [Shards(tuple(x)) for x in out]
 
 
 def find_shards(root: str, pattern: str, keys: list[str]) -> list[Shard]:
@@ -84,7 +105,9 @@ def find_shards(root: str, pattern: str, keys: list[str]) -> list[Shard]:
     versions: dict[Path, float] = {}
     for path in sorted(base.glob(pattern)):
         folder = path.parent.parent if path.parent.name in ("data", *FAMILIES) else path.parent
-        version = versions.setdefault(folder, layout_version(folder if (folder / "metadata.json").exists() else base))
+        if folder not in versions:
+            versions[folder] = layout_version(folder if (folder / "metadata.json").exists() else base)
+        version = versions[folder]
         subset = "" if folder == base else folder.relative_to(base).as_posix()
         if version >= 2:
             found.append(Shard(subset, path.stem, (("data", str(path)),)))
@@ -100,25 +123,44 @@ def find_shards(root: str, pattern: str, keys: list[str]) -> list[Shard]:
 
 
 def arrow_schema(keys: list[str]) -> pa.Schema:
-    one = {"float": pa.float32(), "int": pa.int32(), "string": pa.string()}
-    image = pa.struct([("height", pa.int32()), ("width", pa.int32()), ("channels", pa.int32()), ("dtype", pa.string()), ("data", pa.binary())])
+    return pa.schema([("subset", pa.string()), ("shard", pa.string()), ("position", pa.int32()), *((k, arrow_type(k)) for k in keys)])
 
-    def kind(name: str) -> pa.DataType:
-        return image if name.startswith("struct") else pa.list_(kind(name[6:-1])) if name.startswith("array") else one[name]
 
-    return pa.schema([("subset", pa.string()), ("shard", pa.string()), ("position", pa.int32()), *((k, kind(spark_type(k))) for k in keys)])
-
-
-def _batches(shard: Shard, keys: list[str], safe: bool) -> Iterator[pa.RecordBatch]:
-    schema, rows, size = arrow_schema(keys), [], 0
-    for position, row in enumerate(shard.rows(keys, safe)):
-        rows.append({"subset": shard.subset, "shard": shard.shard, "position": position, **row})
-        size += sum(len(v["data"]) for v in row.values() if isinstance(v, dict))
-        if len(rows) >= BATCH_ROWS or size >= BATCH_BYTES:
-            yield pa.RecordBatch.from_pylist(rows, schema=schema)
-            rows, size = [], 0
-    if rows:
-        yield pa.RecordBatch.from_pylist(rows, schema=schema)
+def _batch(heads: list[tuple[str, str, int]], columns: list[pa.Array], keys: list[str]) -> pa.RecordBatch:
+    schema = arrow_schema(keys)
+    return pa.RecordBatch.from_arrays([*(pa.array(x, schema.field(i).type) for i, x in enumerate(zip(*heads))), *columns], schema=schema)
+
+
+def _batches(shards: Iterable[Shard], keys: list[str], safe: bool) -> Iterator[pa.RecordBatch]:
+    """Rows of the shards. Those of several with the same files are decoded together."""
+    heads: list[tuple[str, str, int]] = []
+    held: list[tuple[bytes, ...]] = []
+    wanted: list[list[str]] = []
+    size = 0
+
+    def flush() -> pa.RecordBatch:
+        found = {k: c for data, of_file in zip(zip(*held), wanted) for k, c in zip(of_file, decode_examples(list(data), of_file))}
+        columns = [found[k] if k in found else pa.nulls(len(held), arrow_type(k)) for k in keys]
+        if not safe and any(c.null_count for c in columns):
+            at = min(c.is_null().index(True).as_py() for c in columns if c.null_count)
+            raise ValueError(f"{heads[at][0]} {heads[at][1]}: record {heads[at][2]} has no {', '.join(k for k, c in zip(keys, columns) if not c[at].is_valid)}")
+        return _batch(heads, columns, keys)
+
+    for shard in shards:
+        of_shard = shard.wanted(keys)
+        if held and of_shard != wanted:
+            yield flush()
+            heads, held, size = [], [], 0
+        wanted = of_shard
+        for position, together in enumerate(shard.messages()):
+            heads.append((shard.subset, shard.shard, position))
+            held.append(together)
+            size += sum(map(len, together))
+            if len(held) >= BATCH_ROWS or size >= BATCH_BYTES:
+                yield flush()
+                heads, held, size = [], [], 0
+    if held:
+        yield flush()
 
 
 class PoseRecords(DataSource):
@@ -164,7 +206,7 @@ class PoseRecords(DataSource):
         return ", ".join(["subset string", "shard string", "position int", *(f"{k} {spark_type(k)}" for k in keys)])
 
     def reader(self, schema: T.StructType) -> DataSourceReader:
-        return RecordReader(self.shards(), [f.name for f in schema if f.name in KEYS], self.safe)
+        return RecordReader(self.shards, [f.name for f in schema if f.name in KEYS], self.safe)
 
     def streamReader(self, schema: T.StructType) -> DataSourceStreamReader:
         return RecordStreamReader(self.options["path"], self.options.get("pattern", PATTERN), [f.name for f in schema if f.name in KEYS], self.safe)
@@ -174,15 +216,17 @@ class PoseRecords(DataSource):
 
 
 class RecordReader(DataSourceReader):
-    def __init__(self, shards: list[Shard], keys: list[str], safe: bool):
-        self.shards, self.keys, self.safe = shards, keys, safe
+    """find: gives the shards. They are not kept here, because each task gets a copy of the reader."""
+
+    def __init__(self, find: Callable[[], list[Shard]], keys: list[str], safe: bool):
+        self.find, self.keys, self.safe = find, keys, safe
 
     def partitions(self):
-        return list(self.shards)
+        return dealt_out(self.find())
 
     def read(self, partition):
         if partition is not None:  # what is read if there are no shards
-            yield from _batches(partition, self.keys, self.safe)
+            yield from _batches(partition.of, self.keys, self.safe)
 
 
 class RecordStreamReader(DataSourceStreamReader):
@@ -204,10 +248,10 @@ class RecordStreamReader(DataSourceStreamReader):
 
     def partitions(self, start: dict, end: dict):
         low, high = (start["time"], start["path"]), (end["time"], end["path"])
-        return [s for time, path, s in self._landed() if low < (time, path) <= high]
+        return dealt_out([s for time, path, s in self._landed() if low < (time, path) <= high])
 
     def read(self, partition):
-        yield from _batches(partition, self.keys, self.safe)
+        yield from _batches(partition.of, self.keys, self.safe)
 
     def commit(self, end: dict) -> None:
         pass
@@ -218,6 +262,14 @@ class Written(WriterCommitMessage):
     shards: tuple[tuple[str, str], ...]  # temporary and final paths
 
 
+def sliced(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The batches, cut up so that images of about BATCH_BYTES are held at a time."""
+    for batch in batches:
+        step = max(1, batch.num_rows * BATCH_BYTES // max(1, batch.nbytes))
+        for at in range(0, batch.num_rows, step):
+            yield batch.slice(at, step)
+
+
 class RecordWriter(DataSourceArrowWriter):
     """A shard for each range shard_start, shard_end of the rows, which come sorted by it; without these columns, one for each task."""
 
@@ -236,17 +288,19 @@ class RecordWriter(DataSourceArrowWriter):
             done[-1] = (done[-1][0], f"{self.root}/data/{start:06}_{end:06}.tfrecord")
 
         try:
-            for batch in iterator:
-                for row in batch.to_pylist():
-                    of = (row["shard_start"], row["shard_end"]) if "shard_start" in row else None
+            for batch in sliced(iterator):
+                index = batch.column("frame_index").to_pylist()
+                ranges = list(zip(batch.column("shard_start").to_pylist(), batch.column("shard_end").to_pylist())) if "shard_start" in batch.schema.names else [None] * len(index)
+                data = frame_records(encode_examples({k: batch.column(k) for k in KEYS if k in batch.schema.names}))
+                for i, of, record in zip(index, ranges, data):
                     if out is None or of != planned:
                         if out is not None:
                             close()
                         done.append((f"{self.root}/data/_{self.job}_{uuid.uuid4().hex}", ""))
                         out, packer, planned = open(done[-1][0], "wb"), zlib.compressobj(), of
-                        low = high = row["frame_index"]
-                    low, high = min(low, row["frame_index"]), max(high, row["frame_index"])
-                    out.write(packer.compress(frame_record(encode_example(row))))
+                        low = high = i
+                    low, high = min(low, i), max(high, i)
+                    out.write(packer.compress(record))
             if out is not None:
                 close()
         except BaseException:
@@ -303,23 +357,23 @@ def read_records_from_store(spark: SparkSession, root: str, keys: list[str], pat
     unknown = [k for k in keys if k not in KEYS]
     if unknown:
         raise ValueError(f"unknown keys: {', '.join(unknown)}")
-    schema = arrow_schema(keys)
 
     def work(batches):
         for batch in batches:
             for i in range(batch.num_rows):
                 path, content = batch.column("path")[i].as_py(), batch.column("content")[i].as_buffer()
                 subset, shard = batch.column("subset")[i].as_py(), Path(path).stem
-                rows, size = [], 0
+                heads, held, size = [], [], 0
                 pieces = (bytes(content[a : a + (1 << 20)]) for a in range(0, len(content), 1 << 20))
                 for position, data in enumerate(records(pieces, path)):
-                    rows.append({"subset": subset, "shard": shard, "position": position, **decode_example(data, keys)})
+                    heads.append((subset, shard, position))
+                    held.append(data)
                     size += len(data)
-                    if len(rows) >= BATCH_ROWS or size >= BATCH_BYTES:
-                        yield pa.RecordBatch.from_pylist(rows, schema=schema)
-                        rows, size = [], 0
-                if rows:
-                    yield pa.RecordBatch.from_pylist(rows, schema=schema)
+                    if len(held) >= BATCH_ROWS or size >= BATCH_BYTES:
+                        yield _batch(heads, decode_examples(held, keys), keys)
+                        heads, held, size = [], [], 0
+                if held:
+                    yield _batch(heads, decode_examples(held, keys), keys)
 
     files = spark.read.format("binaryFile").option("pathGlobFilter", pattern).option("recursiveFileLookup", "true").load(root)
     base = root.rstrip("/").rsplit("/", 1)[-1]
@@ -331,10 +385,10 @@ def read_records_from_store(spark: SparkSession, root: str, keys: list[str], pat
 def write_records(frames: DataFrame, root: str, divisor: int, mode: str = "append") -> None:
     """A shard for each range of the plan of frame_index. Mode overwrite also removes shards that are not in the plan.
 
-    Rows are dealt out by ranges of shards, so names don't depend on the number of tasks. A frame_index must not be null or repeated.
+    Rows are dealt out by shards, so names don't depend on the number of tasks. A frame_index must not be null or repeated.
     """
     register(frames.sparkSession)
     indices = placed_in_shards(frames, "frame_index", divisor).select(F.col("i").alias("frame_index"), F.col("start").alias("shard_start"), F.col("end").alias("shard_end"))
-    dealt = frames.join(indices, "frame_index").repartitionByRange("shard_start").sortWithinPartitions("shard_start", "frame_index")
+    dealt = frames.join(indices, "frame_index").repartition("shard_start").sortWithinPartitions("shard_start", "frame_index")
     columns = ["frame_index", "shard_start", "shard_end", *(k for k in KEYS if k in frames.columns)]
     dealt.select(*columns).write.format("pose_records").mode(mode).save(root)

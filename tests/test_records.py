@@ -6,6 +6,7 @@ import zlib
 from pathlib import Path
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -232,3 +233,30 @@ def test_stream_of_shards(spark, tmp_path):
     r.write_records(more, str(tmp_path / "in"), 5)
     assert follow() == list(range(33))
     assert follow() == list(range(33))
+
+
+def test_many_records_at_once_are_as_one_by_one():
+    rng = np.random.default_rng(3)
+    parts = [rng.integers(0, 256, n).astype(np.uint8).tobytes() for n in (0, 1, 3, 4, 5, 63, 64, 65, 700, 5000, 70_000)]
+    assert t.frame_records(parts) == [t.frame_record(p) for p in parts]
+    rows = [{k: v for k, v in frame(i, i % 3).items() if t.KEYS[k][0] != "image" and k != "stereo_baseline"} for i in range(40)]
+    rows[5]["obj_classes"], rows[6]["obj_pos"], rows[7]["obj_ids"], rows[8]["obj_classes"] = None, None, [1, None], ["a", "long"]
+    rows[9]["obj_pos"] = [[1.0, None, 2.0], None]
+    keys = list(rows[0])
+    batch = pa.RecordBatch.from_pylist(rows, pa.schema([(k, t.arrow_type(k)) for k in keys]))
+    data = [t.encode_example(x) for x in rows]
+    assert t.encode_examples(dict(zip(keys, batch.columns))) == data and t.encode_examples(dict(zip(keys, batch.slice(4, 9).columns))) == data[4:13]
+    data += [t.encode_example(frame(50)), t.encode_example({})]
+    for wanted in (keys, ["obj_pos", "rgb", "obj_classes", "stereo_baseline"], []):
+        columns = t.decode_examples(data, wanted)
+        for i, d in enumerate(data):
+            assert repr({k: c[i].as_py() for k, c in zip(wanted, columns)}) == repr({k: t.decode_example(d, wanted).get(k) for k in wanted})
+
+
+def test_a_task_reads_many_small_shards(spark, tmp_path):
+    for i in range(150):
+        shard(tmp_path / f"data/{i:06}_{i:06}.tfrecord", [frame(i, 1)], ["obj_ids", "cam_location"])
+    back = r.read_records(spark, str(tmp_path), ["obj_ids", "cam_location"])
+    assert back.rdd.getNumPartitions() < 10
+    assert sorted(x.cam_location[1] for x in back.collect()) == [float(i) for i in range(150)]
+    assert sum(len(x.of) for x in r.dealt_out(r.find_shards(str(tmp_path), r.PATTERN, ["obj_ids"]))) == 150
