@@ -1,6 +1,6 @@
 """Pose tables derived from the benchmark tables: frames from orders, instances from lineitem, classes from part.
 
-One portable SQL text for each, which Spark runs here and DuckDB runs as a CTE of the oracles. Every row of the
+One portable SQL text for each, which Spark runs here (but for fx_masks) and DuckDB runs as a CTE of the oracles. Every row of the
 tables takes part; the pixel grid of a frame is region x region, 5 x 5 pixels of 128 x 96 image points.
 """
 
@@ -33,6 +33,13 @@ FROM (SELECT l.*, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumb
     CAST(l_quantity AS BIGINT) % 10 <> 0 AS vis, (l_partkey * 7) % 600 AS bx, (l_suppkey * 13) % 440 AS b_y FROM lineitem l) a
 JOIN part ON l_partkey = p_partkey"""
 
+#: Joins of fx_masks as Spark makes them: objects meet their frame before its pixels are made, so that no pixel is shuffled or sorted on its own.
+SPARK_MASKS = """
+SELECT frame_id, instance_index, y, x, CASE WHEN (x + y * 2 + frame_id) % 7 = 0 THEN 0 ELSE CAST(200 + (x * 131 + y * 117 + frame_id) % 1200 AS INT) END AS depth_raw
+FROM (SELECT f.frame_id, a.instance_index, CAST(r.r_regionkey AS INT) AS y, CAST(s.r_regionkey AS INT) AS x
+  FROM fx_frames f JOIN fx_annotations a ON a.frame_id = f.frame_id AND a.x2 > 0
+  JOIN region r ON r.r_regionkey BETWEEN floor(a.y1 / 96.0e0) AND floor(a.y2 / 96.0e0) JOIN region s ON s.r_regionkey BETWEEN floor(a.x1 / 128.0e0) AND floor(a.x2 / 128.0e0)) m"""
+
 PIXELS = """
 SELECT f.frame_id, CAST(r.r_regionkey AS INT) AS y, CAST(s.r_regionkey AS INT) AS x, f.depth_scale,
   CASE WHEN (s.r_regionkey + r.r_regionkey * 2 + f.frame_id) % 7 = 0 THEN 0 ELSE CAST(200 + (s.r_regionkey * 131 + r.r_regionkey * 117 + f.frame_id) % 1200 AS INT) END AS depth_raw
@@ -65,14 +72,19 @@ TABLES = {
     "fx_quats": (QUATS, ["embeddings"]),
 }
 
+#: Tables that Spark derives by another text with the same rows.
+SPARK_TABLES = {"fx_masks": (SPARK_MASKS, ["fx_frames", "fx_annotations", "region"])}
+
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A table of the directory, or one derived from it."""
     if name not in TABLES:
         return spark.read.parquet(f"{sf_dir}/{name}.parquet")
-    sql, needs = TABLES[name]
+    sql, needs = SPARK_TABLES.get(name, TABLES[name])
     sql = sql.format(*range(7))  # Spark counts from 0, DuckDB from 1
     inputs = {n: read(spark, sf_dir, n) for n in needs}
+    if name == "fx_pixels":  # pixels come dealt out by frame, as frames are before their pixels are made
+        inputs["fx_frames"] = inputs["fx_frames"].repartition("frame_id")
     for n in needs:
         sql = re.sub(rf"(FROM|JOIN) {n}\b", rf"\1 {{{n}}}", sql)
     return spark.sql(sql, **inputs)

@@ -43,9 +43,16 @@ def unit_scale(source: Column) -> Column:
 
 
 def instance_mask(pixels: DataFrame, masks: DataFrame) -> DataFrame:
-    """frame_id, y, x, id: the last instance on a pixel wins; 0 where there is none."""
-    painted = masks.groupBy("frame_id", "y", "x").agg((F.max("instance_index") + 1).alias("id"))
-    return pixels.join(painted, ["frame_id", "y", "x"], "left").select("frame_id", "y", "x", "depth_raw", "depth_scale", F.coalesce("id", F.lit(0)).alias("id"))
+    """frame_id, y, x, id: the last instance on a pixel wins; 0 where there is none.
+
+    What is painted is packed by frame, as rows of an image: both sides meet by frame_id alone, so that pixels and masks which are dealt out by it
+    already are not shuffled again.
+    """
+    painted = masks.where("y IS NOT NULL AND x IS NOT NULL").groupBy("frame_id", "y", "x").agg((F.max("instance_index") + 1).alias("id"))
+    lines = painted.groupBy("frame_id", "y").agg(F.map_from_entries(F.collect_list(F.struct("x", "id"))).alias("line"))  # one row of an image
+    images = lines.groupBy("frame_id").agg(F.map_from_entries(F.collect_list(F.struct("y", "line"))).alias("image"))  # one image
+    found = F.try_element_at(F.try_element_at("image", F.col("y")), F.col("x"))
+    return pixels.join(images, "frame_id", "left").select("frame_id", "y", "x", "depth_raw", "depth_scale", F.coalesce(found, F.lit(0)).alias("id"))
 
 
 MASK = """fx_mask AS MATERIALIZED (SELECT p.frame_id, p.y, p.x, p.depth_raw, p.depth_scale, coalesce(m.id, 0) AS id FROM fx_pixels p LEFT JOIN
@@ -117,8 +124,8 @@ def proj_binary_mask(pixels, masks, annotations):
 
 @query("proj_semantic_mask", f"WITH {MASK} SELECT m.frame_id, m.y, m.x, coalesce(a.class_id, 0) AS class_id FROM fx_mask m LEFT JOIN fx_annotations a ON a.frame_id = m.frame_id AND a.obj_id = m.id AND a.has_semantics", "fx_pixels", "fx_masks", "fx_annotations")
 def proj_semantic_mask(pixels, masks, annotations):
-    labelled = annotations.where("has_semantics").select("frame_id", F.col("obj_id").alias("id"), "class_id")
-    return instance_mask(pixels, masks).join(labelled, ["frame_id", "id"], "left").select("frame_id", "y", "x", F.coalesce("class_id", F.lit(0)).alias("class_id"))
+    classes = annotations.where("has_semantics").groupBy("frame_id").agg(F.map_from_entries(F.collect_list(F.struct("obj_id", "class_id"))).alias("classes"))  # the objects of one frame
+    return instance_mask(pixels, masks).join(classes, "frame_id", "left").select("frame_id", "y", "x", F.coalesce(F.try_element_at("classes", F.col("id")), F.lit(0)).alias("class_id"))
 
 
 @query("proj_depth_u8", "SELECT frame_id, y, x, CAST(least(255, round_even(abs(depth_raw / 1000.0e0 * 170), 0)) AS INT) AS v FROM fx_pixels", "fx_pixels")
