@@ -1,8 +1,10 @@
 """Operators of the pose tables on values that the derived tables don't hold: nulls, empty tables, large indices."""
 
 import inspect
+import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -196,3 +198,37 @@ def test_all_operators_on_empty_and_null_tables(spark, what):
         rows = f["f"](*inputs).collect()
         if what == "empty":
             assert len(rows) <= 1 or name == "agg_hist_fixed", name
+
+
+def test_pixels_are_not_shuffled_on_their_own(spark):
+    plan = projections.instance_mask(read(spark, SF, "fx_pixels"), read(spark, SF, "fx_masks"))._jdf.queryExecution().executedPlan().toString()
+    keys = re.findall(r"Exchange hashpartitioning\((.*?), \d+\)", plan)
+    assert keys and not any(re.search(r"\b[xy]#", k) for k in keys)
+
+
+def test_small_images_together_are_as_one_by_one(spark, monkeypatch):
+    rng = np.random.default_rng(5)
+    depths, masks, objects = [], [], []
+    for f in range(60):
+        if f % 7:
+            depths.append((f, 3, 4, rng.integers(0, 2, 12).astype("<u2").tobytes() if f % 5 else None))
+        for i in range(int(rng.integers(0, 5))):
+            objects.append((f, i, f"c{i}", [True, False, None][int(rng.integers(3))]))
+            if rng.random() < 0.8:
+                masks.append((f, i, 3, 4, (rng.random(12) < 0.4).astype(np.uint8).tobytes()))
+    frames = (
+        spark.createDataFrame(depths, "frame_id long, height int, width int, data binary"), spark.createDataFrame(masks, "frame_id long, instance_index int, height int, width int, data binary"),
+        spark.createDataFrame(objects, "frame_id long, instance_index int, cls string, has_semantics boolean"),
+    )
+    together = sorted(map(tuple, payload.annotate_payload(*frames).collect()))
+    monkeypatch.setattr(payload, "_together", lambda rows, schema: None)
+    assert together == sorted(map(tuple, payload.annotate_payload(*frames).collect())) and len(together) == len(objects)
+    monkeypatch.undo()
+    few = [sorted(x for x in rows if x[0] < 40) for rows in (depths, masks, objects)]
+    batch = [(x[0], 0, None, None, None, *x[1:]) for x in few[0]] + [(x[0], 1, *x[1:], None, None, None) for x in few[2]] + [(x[0], 2, x[1], None, None, *x[2:]) for x in few[1]]
+    columns = zip(*sorted(batch, key=lambda x: (x[0], x[1], x[2] or 0)))
+    kinds = [pa.int64(), pa.int32(), pa.int32(), pa.string(), pa.bool_(), pa.int32(), pa.int32(), pa.binary()]
+    rows = pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], ["frame_id", "kind", "instance_index", "cls", "has_semantics", "height", "width", "data"])
+    schema = pa.schema([(c.split()[0], {"long": pa.int64(), "int": pa.int32(), "string": pa.string()}[c.split()[1]]) for c in payload._RAW.split(", ")])
+    made = payload._together(rows, schema)
+    assert sorted(tuple(r.values()) for r in made.to_pylist()) == sorted(x[:-1] for x in together if x[0] < 40)
