@@ -13,7 +13,8 @@ temperature by log loss, and the least probability as the lowest at which at mos
 twenty cuts of the foreign notices held out, gets a family.
 
 Scanning: from the weights follows a list of words of which a paragraph needs at least one to be given any family
-(LicenseModel.triggers; the bound is exact, so nothing is lost). Paragraphs with such a word are cut into n-grams, which
+(LicenseModel.triggers; the bound is exact, so nothing is lost), and from the notices one of the words without which a paragraph
+of more than a few different words can't be confirmed (needed; exact too). Paragraphs with such words are cut into n-grams, which
 are joined to the model's weights, a table of at most VOCABULARY rows that is broadcast, and summed for each paragraph.
 Softmax with an unknown class gives family and probability. A prediction stands if a notice of the family is similar: its
 distinct words and word pairs cover at least COVER of the paragraph's or the paragraph's cover as much of the notice's; a notice of
@@ -46,6 +47,8 @@ SHORT_COPIES = 20
 TEMPERATURES = (0.125, 0.25, 0.5, 1.0, 2.0, 4.0)
 NGRAMS = (1, 2, 3)
 COVER = 0.6
+#: N-grams of a paragraph that may be similar to a notice by its common words alone; see needed().
+SHORT = 28
 #: Share of word pairs that a hard unknown paragraph may have in common with a notice.
 FOREIGN = 0.2
 #: Shares of held-out unknown paragraphs, and of cuts of held-out foreign notices, that may get a family.
@@ -132,23 +135,48 @@ def ngrams(w: str, sizes=NGRAMS) -> Column:
     return F.concat(*parts)
 
 
-def paragraphs(docs: DataFrame) -> DataFrame:
+def paragraphs(docs: DataFrame, blocks: bool = True) -> DataFrame:
     """doc (a number for each row), doc_id, kind, para (from 0 in each kind), text: every line that isn't blank, and every block of several."""
     rows = texts_of(docs).withColumn("doc", F.monotonically_increasing_id())
     several = lambda b: F.rtrim(F.ltrim(b)).contains("\n")
-    parts = F.array(F.struct(F.lit("line").alias("kind"), F.split("text", "\n").alias("t")), F.struct(F.lit("block").alias("kind"), F.transform(F.split("text", r"\n[\s]*\n"), lambda b: F.when(several(b), b)).alias("t")))
-    each = rows.select("doc", "doc_id", F.explode(parts).alias("p")).select("doc", "doc_id", "p.kind", F.posexplode("p.t").alias("para", "text"))
+    parts = [F.struct(F.lit("line").alias("kind"), F.split("text", "\n").alias("t"))]
+    if blocks:
+        parts.append(F.struct(F.lit("block").alias("kind"), F.transform(F.split("text", r"\n[\s]*\n"), lambda b: F.when(several(b), b)).alias("t")))
+    each = rows.select("doc", "doc_id", F.explode(F.array(*parts)).alias("p")).select("doc", "doc_id", "p.kind", F.posexplode("p.t").alias("para", "text"))
     return each.where(F.col("text").rlike(r"\S"))
 
 
+def cut(found: DataFrame) -> DataFrame:
+    """found (text and others) with w, the words; as an array's one element they are made once, however many filters follow."""
+    return found.select("*", F.explode(F.array(words(F.col("text")))).alias("w"))
+
+
 def template_table(spark: SparkSession, templates=TEMPLATES) -> DataFrame:
     return spark.createDataFrame([(i, f, t) for i, (f, t) in enumerate(templates)], "template_id int, family string, text string")
 
 
+def _low(n: int, most: int) -> int:
+    """The hash up to which about `most` of n texts lie."""
+    return min(2**63 - 1, -(2**63) + int(min(1.0, most / max(1, n)) * 2**64))
+
+
 def _sampled(texts: DataFrame, n: int, most: int) -> DataFrame:
     """About `most` of n texts (w), chosen by a hash, each once: how many there are doesn't depend on partitions."""
-    low = min(2**63 - 1, -(2**63) + int(min(1.0, most / max(1, n)) * 2**64))
-    return texts.where(F.xxhash64(F.array_join("w", " ")) <= F.lit(low)).distinct()
+    return texts.where(F.xxhash64(F.array_join("w", " ")) <= F.lit(_low(n, most))).distinct()
+
+
+def _samples(docs: DataFrame, sample: int) -> tuple[DataFrame, DataFrame]:
+    """w of sampled lines without and with a word of LICENSE_WORDS. Lines are cut into words once: all that could be sampled are written."""
+    n = paragraphs(docs, blocks=False).count()
+    named = F.arrays_overlap("w", F.array(*map(F.lit, LICENSE_WORDS)))
+    every = cut(paragraphs(docs, blocks=False)).select("w").withColumn("named", F.coalesce(named, F.lit(False)))
+    guess = n // 2  # of the lines so many at least are plain, or else all of this is done again
+    while True:
+        kept = written(every.where(F.col("named") | (F.xxhash64(F.array_join("w", " ")) <= F.lit(_low(guess, sample)))))
+        n_named = kept.where("named").count()
+        if guess <= n - n_named:
+            return _sampled(kept.where("not named").select("w"), n - n_named, sample), _sampled(kept.where("named").select("w"), n_named, sample)
+        guess = n - n_named
 
 
 def training_paragraphs(docs: DataFrame, sample: int = SAMPLE_PARAGRAPHS, templates=TEMPLATES) -> DataFrame:
@@ -158,11 +186,7 @@ def training_paragraphs(docs: DataFrame, sample: int = SAMPLE_PARAGRAPHS, templa
     cut = _cuts(known, ["family"]).groupBy("family", "w").agg(F.min("held").alias("held"))  # what the fit saw is not held out
     notices = spark.createDataFrame([(i % 2 == 1, t) for i, t in enumerate(FOREIGN_NOTICES)], "foreign boolean, text string").select("foreign", words(F.col("text")).alias("w"))
     foreign = _cuts(notices, ["foreign"]).groupBy("w").agg(F.min("foreign").alias("foreign"))
-    found = paragraphs(docs).where("kind = 'line'").select(words(F.col("text")).alias("w"))
-    named = found.withColumn("named", F.arrays_overlap("w", F.array(*map(F.lit, LICENSE_WORDS))))
-    n = {r["named"]: r["n"] for r in named.groupBy("named").agg(F.count("*").alias("n")).collect()}  # two rows
-    plain = _sampled(named.where("not named").select("w"), n.get(False, 0), sample)
-    hard = _sampled(named.where("named").select("w"), n.get(True, 0), sample)
+    plain, hard = _samples(docs, sample)
     pairs = template_table(spark, templates).select(words(F.col("text")).alias("w")).select(F.array_distinct(ngrams("w", (2,))).alias("t"))
     lists = F.broadcast(pairs.agg(F.collect_list("t").alias("ts")))  # the notices, a fixed list, in one row
     shares = F.transform("ts", lambda t: F.size(F.array_intersect(t, F.col("g"))) / F.greatest(F.least(F.size(t), F.size("g")), F.lit(1)))
@@ -184,10 +208,13 @@ def _cuts(notices: DataFrame, keep: list[str]) -> DataFrame:
 
 
 class LicenseModel:
-    """families; weights (n-gram -> one weight for each family); intercepts; temperature and least probability."""
+    """families; weights (n-gram -> one weight for each family); intercepts; temperature and least probability.
+
+    common, usual: in how many unknown paragraphs of the training a word is, and in how many without a word of LICENSE_WORDS.
+    """
 
-    def __init__(self, families: list[str], rows: list[tuple[str, list[float]]], intercepts: list[float], common: dict[str, int], temperature: float = 1.0, least: float = 0.5):
-        self.families, self.rows, self.intercepts, self.common, self.temperature, self.least = families, rows, intercepts, common, temperature, least
+    def __init__(self, families: list[str], rows: list[tuple[str, list[float]]], intercepts: list[float], common: dict[str, int], temperature: float = 1.0, least: float = 0.5, usual: dict[str, int] | None = None):
+        self.families, self.rows, self.intercepts, self.common, self.temperature, self.least, self.usual = families, rows, intercepts, common, temperature, least, usual or {}
 
     def probabilities(self, scores: Column) -> Column:
         """Softmax of the families' scores at the model's temperature."""
@@ -230,7 +257,10 @@ def fit(docs: DataFrame, sample: int = SAMPLE_PARAGRAPHS, templates=TEMPLATES) -
     unknown = train.where("label = 0").select(F.explode(F.array_distinct("grams")).alias("g"))
     single = sorted({w for g, _ in rows for w in g.split(" ")})  # at most three for each n-gram
     common = {r["g"]: r["n"] for r in unknown.join(F.broadcast(spark.createDataFrame([(w,) for w in single], "g string")), "g").groupBy("g").agg(F.count("*").alias("n")).collect()}
-    model = LicenseModel(families, rows, [float(cut[k]) if k < len(cut) else -30.0 for k in range(len(families))], common)
+    plain = train.where("label = 0").where(~F.arrays_overlap("grams", F.array(*map(F.lit, LICENSE_WORDS)))).select(F.explode(F.array_distinct("grams")).alias("g"))
+    own = template_table(spark, templates).select(F.explode(words(F.col("text"))).alias("g")).distinct()  # a fixed list
+    usual = {r["g"]: r["n"] for r in plain.join(F.broadcast(own), "g").groupBy("g").agg(F.count("*").alias("n")).collect()}
+    model = LicenseModel(families, rows, [float(cut[k]) if k < len(cut) else -30.0 for k in range(len(families))], common, usual=usual)
     held = fitted.transform(vectors.where("held")).select("label", "foreign", F.expr("cast(rawPrediction as string)").alias("r")).select("label", "foreign", F.from_json("r", "array<double>").alias("r"))
     held = shared(held)
     loss = lambda t: F.avg(-F.log(F.greatest(F.element_at(model_at(model, t).probabilities(F.col("r")), F.col("label").cast("int") + 1), F.lit(1e-12))))
@@ -246,12 +276,37 @@ def model_at(model: LicenseModel, temperature: float) -> LicenseModel:
     return LicenseModel(model.families, model.rows, model.intercepts, model.common, temperature, model.least)
 
 
+def needed(notices: list[list[str]], usual: dict[str, int]) -> tuple[list[str], int]:
+    """Words, and a number: a paragraph that has none of the words, and more different words than the number, is confirmed by no notice.
+
+    Of each notice (its words and word pairs) the commonest words are left out of the list, as long as what consists of
+    such words alone is less than confirm() asks for of the notice, and of a paragraph of SHORT n-grams. A shorter paragraph is
+    similar at most if it has no more n-grams than those suffice for; d different words have d - 1 different pairs at least.
+    """
+    listed, most = set(), 0
+    for grams in notices:
+        least = (1.0 if len(grams) <= 3 else COVER) - 1e-6
+        out, left = set(), 0
+        for w in sorted({w for g in grams for w in g.split(" ")}, key=lambda w: (-usual.get(w, 0), w)):
+            more = sum(set(g.split(" ")) <= out | {w} for g in grams)
+            if more < least * len(grams) and more <= least * SHORT:
+                out.add(w)
+                left = more
+            else:
+                listed.add(w)
+        most = max(most, int(left / least))
+    return sorted(listed), (most + 1) // 2
+
+
 def scan_licenses(docs: DataFrame, model: LicenseModel, templates=TEMPLATES) -> DataFrame:
     """doc_id, kind, para, family, probability, template_id, cover of every paragraph that is a notice."""
     triggers = model.triggers()
-    likely = paragraphs(docs).withColumn("w", words(F.col("text")))
+    likely = cut(paragraphs(docs))
     if triggers is not None:  # whole words: as a part of longer words, short triggers are everywhere
         likely = likely.where(F.arrays_overlap("w", F.array(*map(F.lit, triggers))) if triggers else F.lit(False))
+    notices = template_table(docs.sparkSession, templates).select(words(F.col("text")).alias("w")).select(F.array_distinct(ngrams("w", (1, 2))).alias("t"))
+    listed, few = needed([r["t"] for r in notices.collect()], model.usual)  # a fixed list
+    likely = likely.where((F.size(F.array_distinct("w")) <= few) | F.arrays_overlap("w", F.array(*map(F.lit, listed))))
     likely = written(likely.drop("w").withColumn("p", F.monotonically_increasing_id()))  # written, so that the numbers stay
     weights = docs.sparkSession.createDataFrame(model.rows or [("", [0.0] * len(model.families))], "gram string, weight array<double>").coalesce(1)
     grams = likely.select("p", words(F.col("text")).alias("w")).select("p", F.explode(F.array_distinct(ngrams("w"))).alias("gram"))

@@ -289,6 +289,43 @@ def test_license_rows_and_blocks(spark, documents):
     assert len(mits) == 1  # repeated rows don't add up
 
 
+def test_license_scan_looks_at_few_paragraphs(spark, documents, monkeypatch):
+    """Prose that has common words of notices, and of the model's triggers, isn't cut into n-grams; what a notice confirms is."""
+    notices = [r.t for r in license.template_table(spark).select(license.words(F.col("text")).alias("w")).select(F.array_distinct(license.ngrams("w", (1, 2))).alias("t")).collect()]
+    usual = {w: 100 - i for i, w in enumerate("the of and to a is in this that it for on as was by with are at or an mit".split())}
+    listed, few = license.needed(notices, usual)
+    assert not {"the", "of", "and"} & set(listed) and few < 15
+    r = random.Random(2)
+    for grams in notices:  # parts of notices among other words: none that is similar is lost
+        own = [g for g in grams if " " not in g]
+        for _ in range(40):
+            w = own[(a := r.randrange(len(own))) : a + r.randrange(1, len(own) + 1)] + r.choices(["the", "of", "and", "harbour", "mit"], k=r.randrange(8))
+            g = set(w) | {f"{x} {y}" for x, y in zip(w, w[1:])}
+            if any(len(g & set(t)) / min(len(g), len(t)) >= (1.0 if len(t) <= 3 else license.COVER) for t in notices):
+                assert len(set(w)) <= few or set(w) & set(listed), w
+    model = license.fit(documents)
+    assert model.usual["the"] > 0
+    model.usual = usual
+    monkeypatch.setattr(license.LicenseModel, "triggers", lambda self: ["an", "at", "or", "mit", "license"])
+    kept, write = [], license.written
+    monkeypatch.setattr(license, "written", lambda df: kept.append(write(df)) or kept[-1])
+    prose = "er kam mit dem Boot an einem Morgen or at noon and saw that the harbour was empty and that the ferries had gone to an island"
+    found = license.scan_licenses(spark.createDataFrame([(1, "\n".join([prose, prose, "Released under the MIT License."]))], "doc_id long, text string"), model).collect()
+    assert [(x.kind, x.para, x.family) for x in found] == [("line", 2, "mit")]
+    assert sorted((x.kind, x.para) for x in kept[0].collect()) == [("block", 0), ("line", 2)]
+
+
+def test_license_samples_are_those_of_all_lines(spark):
+    """Also where most lines speak of licences."""
+    for share in (2, 9):
+        lines = [f"line {i} has a license" if i % 10 < share else f"line {i} is plain" for i in range(400)]
+        plain, hard = license._samples(spark.createDataFrame([(1, "\n".join(lines))], "doc_id long, text string"), 30)
+        every = spark.createDataFrame([(x.split(" "), "license" in x) for x in lines], "w array<string>, named boolean")
+        for got, rows in ((plain, every.where("not named")), (hard, every.where("named"))):
+            want = license._sampled(rows.select("w"), rows.count(), 30)
+            assert sorted(x.w for x in got.collect()) == sorted(x.w for x in want.collect()) != []
+
+
 def test_license_plan_has_no_python(documents):
     plan = license.scan_licenses(documents, license.fit(documents))._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan
