@@ -4,12 +4,14 @@ A line is normalised (trimmed, white space collapsed, A-Z lowered) and ended by
 line of n characters has n shingles of SHINGLE characters. Each distinct line gets one-permutation MinHash
 minima, empty bins filled from full ones (optimal densification; Shrivastava, 2017), cut into BANDS bands of ROWS (recall
 0.995 at a Jaccard similarity of 0.8, 0.99998 at 0.85; short shingles make unrelated lines more alike, so a band has
-eight rows). Equal lines count once. Lines with a band in common are a bucket. First each line is verified against
+eight rows). Equal lines count once. Lines with a band in common are a bucket. First each line is compared with
 the smallest hash of each of its buckets, and union-find joins what is linked. Then, where the other lines of a bucket are
-not yet one component, all pairs of different components among them are verified; of buckets with the same lines (by 128
-bits of their hashes) one stands for all. Pairs are verified many at a time, buckets of more than SMALL lines by rows of
-bits over the shingles met there; a bucket of more than TILE lines or TILE_CHARS characters is dealt out as pairs of tiles,
-and a task gives a spanning forest of its links. So no link between lines of a bucket is lost, and pairs are never tried beyond a bucket. Links need an exact
+not yet one component, all pairs of different components among them are compared; of buckets with the same lines (by 128
+bits of their hashes) one stands for all. Compared are signatures first: the parities of SIGNS classes of a line's shingles
+differ in no more places than the shingle sets do, so this loses no link, and texts are shuffled only of pairs that may
+be similar. Those are verified many at a time. Where a run of rows has more of them than FEW a line, its lines
+are dealt out by text, as pairs of tiles of TILE lines or TILE_CHARS characters at most, those of more than SMALL lines by rows of bits over
+the shingles met there, and a task gives a spanning forest of its links. So no link between lines of a bucket is lost, and pairs are never tried beyond a bucket. Links need an exact
 Jaccard similarity of THRESHOLD over the shingle sets. The first line of each component by doc_id and line number stays.
 
 Defined results: null and empty texts have one blank line; blank lines are never duplicates and stay; rows with
@@ -21,13 +23,15 @@ their 64-bit hashes are: with 1e9 distinct lines the chance that any two collide
 
 from __future__ import annotations
 
+from itertools import chain
+
 import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from .bits import bit_table, holds
-from .common import shared, slices, table, texts_of
+from .common import shared, slices, table, texts_of, written
 from .components import connected_components, spanning_stars
 
 SHINGLE = 4  # a power of two; longer ones make one replaced word fatal for lines of 10 to 19 words
@@ -37,6 +41,21 @@ _BINS = BANDS * ROWS
 TILE, TILE_CHARS = 256, 4_000_000
 SMALL = 12  # lines of a bucket whose pairs are verified one by one, with those of other buckets
 _PAIR_CHARS = 1_000_000
+KEY_BITS = 43  # of a band key: 11 for its part, 32 packed beside the 64 of the line's hash
+PACKED, RUN = 1 << 20, 2048  # band keys that are sorted and packed together, and the most of them in one row
+_RUNS = "part int, key long, h long, keys binary, hashes binary"
+SIGNS, FEW = 512, 4
+_SIGNS = [f"s{i}" for i in range(SIGNS // 64)]
+_FACTORS = [0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93]
+
+
+_SPACES = bytes.maketrans(b"\t\r\x0b\x0c", b"    ")
+
+
+def normals(text: str) -> list[bytes]:
+    """The lines of a text, normalised."""
+    lines = [x.strip(b" ") for x in text.encode().lower().translate(_SPACES).split(b"\n")]
+    return [b" ".join(x.split()) if b"  " in x else x for x in lines]
 
 
 def normal(line: str) -> bytes:
@@ -47,12 +66,30 @@ def line_hash(line: bytes) -> int:
     return xxhash.xxh64_intdigest(line, 5) - (1 << 63)
 
 
+def _donors(hop: int) -> np.ndarray:
+    """For each bin the one that is looked at in a hop, if it is empty; before the first hop it is the bin itself."""
+    bin_ = np.arange(_BINS)
+    if not hop:
+        return bin_
+    return (bin_ * 7919 + hop * hop * 104729 + hop * bin_ * 1299709) % 1000003 % _BINS
+
+
+_DONORS = np.stack([_donors(hop) for hop in range(4 * _BINS)])
+
+
+def _code_points(lines: list[bytes], after: int) -> tuple[np.ndarray, np.ndarray]:
+    """Code points (uint32) of lines with SHINGLE - 1 marks between them and so many after them, and their numbers of characters."""
+    text = (b"\0" * (SHINGLE - 1)).join(lines) + b"\0" * after
+    if text.isascii():
+        return np.frombuffer(text, np.uint8).astype(np.uint32), np.fromiter(map(len, lines), np.int64, len(lines))
+    return np.frombuffer(text.decode().encode("utf-32-le"), np.uint32), np.array([len(x.decode()) for x in lines])
+
+
 def band_keys(lines: list[bytes]) -> np.ndarray:
     """Band keys (len(lines) x BANDS, int64) of normalised lines."""
     if not lines:
         return np.zeros((0, BANDS), np.int64)
-    text = ("\0" * (SHINGLE - 1)).join(x.decode() for x in lines) + "\0" * (2 * SHINGLE)
-    c = np.frombuffer(text.encode("utf-32-le"), np.uint32)
+    c, sizes = _code_points(lines, 2 * SHINGLE)
     h, step, factor = c * np.uint32(0x9E3779B1), 1, 0x01000193
     while step < SHINGLE:
         h = h[:-step] + h[step:] * np.uint32(factor)
@@ -61,33 +98,38 @@ def band_keys(lines: list[bytes]) -> np.ndarray:
     h ^= h >> np.uint32(16)
     h *= np.uint32(0x85EBCA6B)
     h ^= h >> np.uint32(13)
-    sizes = np.array([len(x.decode()) for x in lines])
-    starts = np.cumsum(sizes + SHINGLE - 1) - (sizes + SHINGLE - 1)
-    keep = np.ones(int(starts[-1] + sizes[-1]), bool)
-    for gap in range(SHINGLE - 1):
-        keep[(starts + sizes + gap)[:-1]] = False
-    h = h[: len(keep)][keep]
-    bins = (h.astype(np.uint64) * np.uint64(_BINS) >> np.uint64(32)).astype(np.int64) + np.repeat(np.arange(len(lines)) * _BINS, sizes)
-    least = np.full(len(lines) * _BINS, 0xFFFFFFFF, np.uint32)
-    np.minimum.at(least, bins, h * np.uint32(0xC2B2AE35) >> np.uint32(1))
-    least = least.reshape(-1, _BINS).astype(np.uint64)
-    full = least != 0xFFFFFFFF
-    i, bin_ = np.nonzero(~full)
-    for hop in range(1, 4 * _BINS):  # an empty bin takes that of a full one, each looking in an order of its own
+    line = np.repeat(np.arange(len(lines)), sizes)
+    h = h[np.arange(len(line)) + (SHINGLE - 1) * line]  # without those that begin in marks
+    bins = (h.astype(np.uint64) * np.uint64(_BINS) >> np.uint64(32)).view(np.int64) * len(lines) + line
+    first = np.full(len(lines) * _BINS, 0xFFFFFFFF, np.uint32)
+    np.minimum.at(first, bins, h * np.uint32(0xC2B2AE35) >> np.uint32(1))
+    first = first.reshape(_BINS, -1)
+    full = first != 0xFFFFFFFF
+    empty, hops, hop = ~full, np.zeros(full.shape, np.uint8), 1
+    # An empty bin takes that of a full one, each looking in an order of its own: all bins at a time, then the few that are left.
+    while hop < 256 and np.count_nonzero(empty) * 25 > empty.size:
+        met = empty & full[_DONORS[hop]]
+        hops |= met.view(np.uint8) * np.uint8(hop)
+        empty ^= met
+        hop += 1
+    donor = _DONORS[hops, np.arange(_BINS)[:, None]] * len(lines) + np.arange(len(lines))
+    least = first.reshape(-1)[donor] + (hops.astype(np.uint64) << np.uint64(33))
+    bin_, i = np.nonzero(empty)
+    for hop in range(hop, 4 * _BINS):
         if not len(i):
             break
-        donor = (bin_ * 7919 + hop * hop * 104729 + hop * bin_ * 1299709) % 1000003 % _BINS
-        met = full[i, donor]
-        least[i[met], bin_[met]] = least[i[met], donor[met]] + np.uint64(hop << 33)
+        donor = _DONORS[hop][bin_]
+        met = full[donor, i]
+        least[bin_[met], i[met]] = first[donor[met], i[met]] + np.uint64(hop << 33)
         i, bin_ = i[~met], bin_[~met]
-    keys = np.zeros((len(lines), BANDS), np.uint64)
+    keys = np.zeros((BANDS, len(lines)), np.uint64)
     for r in range(ROWS):
-        keys = (keys ^ least[:, r * BANDS : (r + 1) * BANDS]) * np.uint64(0x9E3779B97F4A7C15)
+        keys = (keys ^ least[r * BANDS : (r + 1) * BANDS]) * np.uint64(0x9E3779B97F4A7C15)
         keys ^= keys >> np.uint64(31)
-    return (keys + np.arange(BANDS, dtype=np.uint64) * np.uint64(0xD6E8FEB86659FD93)).view(np.int64)
+    return (keys + np.arange(BANDS, dtype=np.uint64)[:, None] * np.uint64(0xD6E8FEB86659FD93)).view(np.int64).T
 
 
-def _keys_in_parts(lines: list[bytes], most: int = 250_000) -> np.ndarray:
+def _keys_in_parts(lines: list[bytes], most: int = 500_000) -> np.ndarray:
     """band_keys of so many bytes of lines at a time."""
     parts, start, size = [band_keys([])], 0, 0
     for i, line in enumerate(lines):
@@ -118,8 +160,8 @@ def _lines(docs: DataFrame) -> DataFrame:
                 ids, numbers, hashes = [], [], []
                 for i, text in enumerate(texts):
                     doc_id = batch.column("doc_id")[start + i].as_py()
-                    for n, line in enumerate(text.split("\n")):
-                        if line := normal(line):
+                    for n, line in enumerate(normals(text)):
+                        if line:
                             ids.append(doc_id)
                             numbers.append(n)
                             hashes.append(line_hash(line))
@@ -128,78 +170,193 @@ def _lines(docs: DataFrame) -> DataFrame:
     return texts_of(docs).mapInArrow(work, "doc_id long, line_no int, h long")
 
 
+def _ordered(k: np.ndarray, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """k, h sorted by k, then h."""
+    if len(k) <= 1 << (64 - KEY_BITS):  # a key and a place are one number
+        order = k << np.uint64(64 - KEY_BITS) | np.arange(len(k), dtype=np.uint64)
+        order.sort()
+        k, h = order >> np.uint64(64 - KEY_BITS), h[(order & np.uint64((1 << (64 - KEY_BITS)) - 1)).view(np.int64)]
+    else:
+        order = np.argsort(k)
+        k, h = k[order], h[order]
+    same = k[1:] == k[:-1]
+    tied = np.zeros(len(k), bool)
+    tied[1:] |= same
+    tied[:-1] |= same
+    at = np.flatnonzero(tied)
+    h[at] = h[at][np.lexsort((h[at], k[at]))]
+    return k, h
+
+
+def _runs(pieces):
+    """Sorted runs of the rows of (key, h) arrays, as batches of their part, first row and packed rows; of RUN rows at most."""
+
+    def packed(k, h):
+        k, h = _ordered(np.concatenate(k).view(np.uint64) & np.uint64((1 << KEY_BITS) - 1), np.concatenate(h))
+        part, i = (k >> np.uint64(32)).astype(np.int32), np.arange(len(k))
+        begins = np.maximum.accumulate(np.where(np.append(True, part[1:] != part[:-1]), i, 0))
+        at = np.flatnonzero((i - begins) % RUN == 0)
+        ends = np.append(at, len(k)).astype(np.int32)
+        low = k.astype(np.uint32)
+        binary = lambda x: pa.Array.from_buffers(pa.binary(), len(at), [None, pa.py_buffer(ends * np.int32(x.itemsize)), pa.py_buffer(x)])
+        return pa.RecordBatch.from_arrays([pa.array(part[at]), pa.array(low[at].astype(np.int64)), pa.array(h[at]), binary(low), binary(h)], names=["part", "key", "h", "keys", "hashes"])
+
+    k, h, size = [], [], 0
+    for more_k, more_h in pieces:
+        k.append(more_k)
+        h.append(more_h)
+        size += len(more_k)
+        if size >= PACKED:
+            yield packed(k, h)
+            k, h, size = [], [], 0
+    if size:
+        yield packed(k, h)
+
+
+def _merged(batches):
+    """Arrays of key, h in order, of runs sorted by part and first row: what comes before the first row of the last run is whole."""
+    k, h = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        part, first = batch.column("part").to_numpy().astype(np.uint64), batch.column("key").to_numpy().astype(np.uint64)
+        low = batch.column("keys").to_pylist()
+        sizes = np.fromiter(map(len, low), np.int64, len(low)) // 4
+        new = np.repeat(part << np.uint64(32), sizes) | np.frombuffer(b"".join(low), np.uint32)
+        k, h = _ordered(np.concatenate([k, new]), np.concatenate([h, np.frombuffer(b"".join(batch.column("hashes").to_pylist()), np.int64)]))
+        last = part[-1] << np.uint64(32) | first[-1]
+        done, end = np.searchsorted(k, last), np.searchsorted(k, last, "right")
+        done += np.searchsorted(h[done:end], batch.column("h")[-1].as_py())
+        yield k[:done], h[:done]
+        k, h = k[done:], h[done:]
+    yield k, h
+
+
 def _bands(docs: DataFrame) -> DataFrame:
-    """key, h of each band of each line that a task meets for the first time. Too many to be written: they go straight to their buckets."""
+    """Runs of the key, h of each band of each line that a task meets for the first time. Too many to be written: they go straight to their buckets."""
 
-    def work(batches):
+    def rows(batches):
         seen: set[int] = set()
         for batch in batches:
             for _, _, texts in slices(batch):
                 hashes, new = [], []
                 for text in texts:
-                    for line in text.split("\n"):
-                        if (line := normal(line)) and (h := line_hash(line)) not in seen:
+                    for line in normals(text):
+                        if line and (h := line_hash(line)) not in seen:
                             seen.add(h)
                             hashes.append(h)
                             new.append(line)
                 if len(seen) > 500_000:
                     seen.clear()
-                yield pa.RecordBatch.from_arrays([pa.array(_keys_in_parts(new).reshape(-1)), pa.array(np.repeat(np.array(hashes, np.int64), BANDS))], names=["key", "h"])
+                yield _keys_in_parts(new).reshape(-1), np.repeat(np.array(hashes, np.int64), BANDS)
 
-    return texts_of(docs).mapInArrow(work, "key long, h long")
+    return texts_of(docs).mapInArrow(lambda batches: _runs(rows(batches)), _RUNS)
 
 
-def _bucket_members(banded: DataFrame) -> DataFrame:
-    """key, h of buckets with more than one line; rows come sorted by key and h, so one row is held of a bucket of any size."""
+def _bucket_members(banded: DataFrame, more: bool = False) -> DataFrame:
+    """key, h of buckets with more than one line, of rows key, h or runs of them; with more also the smallest h of the bucket (low)
+    and whether the bucket has a third line (open). Keys keep KEY_BITS bits, so a few lines more meet by chance. Runs are merged in
+    the order of key and h, so four rows are held of a bucket of any size, and what runs have in common."""
+    names = ["key", "h", "low", "open"] if more else ["key", "h"]
 
     def work(batches):
-        held, follows = None, False  # the last row, and whether the row before it has its key
-        for batch in batches:
-            k, h = batch.column("key").to_numpy(), batch.column("h").to_numpy()
+        k, h, low, given = np.zeros(0, np.int64), np.zeros(0, np.int64), None, 0  # the last rows, the smallest h of the first one's key, how many of them are given out
+        for end, (new_k, new_h) in chain(((2, x) for x in _merged(batches)), [(0, (np.zeros(0, np.uint64), np.zeros(0, np.int64)))]):
+            k, h = np.append(k, new_k.view(np.int64) << (64 - KEY_BITS) >> (64 - KEY_BITS)), np.append(h, new_h)
             if not len(k):
                 continue
-            if held is not None:
-                k, h = np.append(held[0], k), np.append(held[1], h)
-            new = np.concatenate([[True], (k[1:] != k[:-1]) | (h[1:] != h[:-1])])
+            new = np.append(True, (k[1:] != k[:-1]) | (h[1:] != h[:-1]))
             k, h = k[new], h[new]
-            same = k[1:] == k[:-1]
-            before = np.concatenate([[follows], same])
-            keep = before[:-1] | same
-            yield pa.RecordBatch.from_arrays([pa.array(k[:-1][keep], pa.int64()), pa.array(h[:-1][keep], pa.int64())], names=["key", "h"])
-            held, follows = (k[-1], h[-1]), bool(before[-1])
-        if follows:
-            yield pa.RecordBatch.from_arrays([pa.array([held[0]], pa.int64()), pa.array([held[1]], pa.int64())], names=["key", "h"])
+            one, two = k[1:] == k[:-1], k[2:] == k[:-2]
+            before, after = np.append(False, one), np.append(one, False)
+            third = before & after | np.append([False, False], two)[: len(k)] | np.append(two, [False, False])[: len(k)]
+            lows = h[np.maximum.accumulate(np.where(before, 0, np.arange(len(k))))]
+            if low is not None:
+                lows[k == k[0]] = low
+            upto = max(given, len(k) - end)
+            i = np.flatnonzero((before | after)[given:upto]) + given
+            yield pa.RecordBatch.from_arrays([pa.array(x[i]) for x in (k, h, lows, third)][: len(names)], names=names)
+            start = max(0, upto - 2)
+            k, h, low, given = k[start:], h[start:], lows[start], upto - start
 
     n = int(banded.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return banded.repartition(n, "key").sortWithinPartitions("key", "h").mapInArrow(work, "key long, h long")
+    if "keys" not in banded.columns:
+        banded = banded.mapInArrow(lambda batches: _runs((x.column("key").to_numpy(), x.column("h").to_numpy()) for x in batches), _RUNS)
+    dealt = banded.repartition(n, "part").sortWithinPartitions("part", "key", "h")
+    return dealt.mapInArrow(work, "key long, h long, low long, open boolean" if more else "key long, h long")
+
+
+def signatures(lines: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """How many distinct shingles each line has, and SIGNS bits in longs: a bit is 1 if an odd number of them fall to it.
+
+    Two lines have at least as many shingles that only one of them has as bits that differ. Shingles are told apart by 48 bits.
+    """
+    c, sizes = _code_points([x.encode() for x in lines], SHINGLE - 1)
+    c = c.astype(np.uint64)
+    g = sum(c[k : len(c) - SHINGLE + 1 + k] * np.uint64(f) for k, f in enumerate(_FACTORS))
+    line = np.repeat(np.arange(len(lines)), sizes)
+    g = g[np.arange(len(line)) + (SHINGLE - 1) * line]
+    g = (g ^ g >> np.uint64(32)) * np.uint64(0x9E3779B97F4A7C15)
+    key = g >> np.uint64(16) | line.astype(np.uint64) << np.uint64(48)
+    key.sort()
+    key = key[np.append(True, key[1:] != key[:-1])[: len(key)]]
+    line = (key >> np.uint64(48)).view(np.int64)
+    odd = np.bincount(line * SIGNS + (key >> np.uint64(39) & np.uint64(SIGNS - 1)).view(np.int64), minlength=len(lines) * SIGNS) & 1
+    return np.bincount(line, minlength=len(lines)), np.packbits(odd.astype(bool).reshape(len(lines), SIGNS), axis=1).view(np.int64)
 
 
-def _texts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+def _unlike(threshold: float) -> float:
+    """Lines are no pair if more bits of their signatures differ than this share of their shingles and one more."""
+    return (1 - threshold) / (1 + threshold) + 1e-9
+
+
+def _signed(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """h, size, signature and text of the lines wanted (h) and of some others; a line may come from several tasks."""
+    found = bit_table(wanted, "h")
+
+    def work(batches):
+        for lines, hashes in _held(batches, found):
+            parts, start, size = [], 0, 0
+            for i, line in enumerate(lines):
+                size += len(line)
+                if size >= 250_000 or i + 1 == len(lines) or i - start > 30_000:
+                    parts.append(signatures(lines[start : i + 1]))
+                    start, size = i + 1, 0
+            if parts:
+                sizes, bits = (np.concatenate(x) for x in zip(*parts))
+                yield pa.RecordBatch.from_arrays([pa.array(hashes, pa.int64()), pa.array(sizes), *(pa.array(x) for x in bits.T.copy()), pa.array(lines, pa.string())], names=["h", "size", *_SIGNS, "line"])
+
+    return texts_of(docs).mapInArrow(work, "h long, size long, " + ", ".join(f"{x} long" for x in _SIGNS) + ", line string")
+
+
+def _held(batches, found: np.ndarray):
+    """Lines that a bit table holds and their hashes, those of a slice of texts at a time; few of them twice."""
+    seen: set[int] = set()
+    for batch in batches:
+        for _, _, texts in slices(batch):
+            lines = [x for text in texts for x in normals(text) if x]
+            hashes = list(map(line_hash, lines))
+            out_h, out_l = [], []
+            for i in np.flatnonzero(holds(found, np.array(hashes, np.int64))).tolist() if hashes else []:
+                if hashes[i] not in seen:
+                    seen.add(hashes[i])
+                    out_h.append(hashes[i])
+                    out_l.append(lines[i].decode())
+            if len(seen) > 500_000:
+                seen.clear()
+            yield out_l, out_h
+
+
+def _texts(signs: DataFrame, wanted: DataFrame) -> DataFrame:
     """h, line of the lines wanted (h); the bit table drops most others before the shuffle."""
     found = bit_table(wanted, "h")
 
     def work(batches):
-        seen: set[int] = set()
         for batch in batches:
-            for _, _, texts in slices(batch):
-                hashes, lines = [], []
-                for text in texts:
-                    for line in text.split("\n"):
-                        if line := normal(line):
-                            hashes.append(line_hash(line))
-                            lines.append(line)
-                h = np.array(hashes, np.int64)
-                out_h, out_l = [], []
-                for i in np.flatnonzero(holds(found, h)).tolist() if len(h) else []:
-                    if hashes[i] not in seen:
-                        seen.add(hashes[i])
-                        out_h.append(hashes[i])
-                        out_l.append(lines[i].decode())
-                if len(seen) > 500_000:
-                    seen.clear()
-                yield pa.RecordBatch.from_arrays([pa.array(out_h, pa.int64()), pa.array(out_l, pa.string())], names=["h", "line"])
+            yield batch.filter(pa.array(holds(found, batch.column("h").to_numpy())))
 
-    return texts_of(docs).mapInArrow(work, "h long, line string").groupBy("h").agg(F.min("line").alias("line"))
+    lines = signs.select("h", "line").mapInArrow(work, "h long, line string").join(wanted.select("h").distinct(), "h", "left_semi")
+    return lines.groupBy("h").agg(F.min("line").alias("line"))
 
 
 def _packed(line: str) -> np.ndarray | list[str]:
@@ -350,28 +507,94 @@ def _verify_buckets(threshold: float):
     return work
 
 
+def _compare(threshold: float):
+    """Of each run of rows with the same (key, pa, pb) the pairs a, b of lines of different components (ca, cb) that their signatures don't
+    tell apart; where they are more than FEW a line, the lines that have such a partner, with null as b."""
+    least, column = _unlike(threshold), ["key", "pa", "pb", "c", "h", "size", *_SIGNS]
+
+    def pairs(rows):
+        n = len(rows[0])
+        same = (rows[:3, 1:] == rows[:3, :-1]).all(axis=0)
+        run = np.cumsum(np.append(False, ~same))
+        bits, low, high = rows[6:].T.copy().view(np.uint64), [], []
+        i = np.arange(n)
+        for d in range(1, n):
+            i = i[: np.searchsorted(i, n - d)]
+            i = i[run[i] == run[i + d]]
+            if not len(i):
+                break
+            at = i[rows[3, i] != rows[3, i + d]]
+            near = np.bitwise_count(bits[at] ^ bits[at + d]).sum(axis=1, dtype=np.int64) <= least * (rows[5, at] + rows[5, at + d]) + 1
+            low.append(at[near])
+            high.append(at[near] + d)
+        a, b = (np.concatenate([np.zeros(0, np.int64), *x]) for x in (low, high))
+        many = np.bincount(run[a], minlength=run[-1] + 1) > FEW * np.bincount(run)
+        dense = many[run[a]]
+        own = np.unique(np.concatenate([a[dense], b[dense]]))
+        a, b = a[~dense], b[~dense]
+        none = pa.nulls(len(own), pa.int64())
+        columns = [pa.array(np.append(rows[0, a], rows[0, own]))]
+        for k in (4, 3):
+            columns += [pa.array(np.append(rows[k, a], rows[k, own])), pa.concat_arrays([pa.array(rows[k, b]), none])]
+        return pa.RecordBatch.from_arrays(columns, names=["key", "a", "b", "ca", "cb"])
+
+    def work(batches):
+        held = np.zeros((len(column), 0), np.int64)
+        for batch in batches:
+            rows = np.concatenate([held, np.stack([batch.column(x).to_numpy().astype(np.int64) for x in column])], axis=1)
+            if not rows.shape[1]:
+                continue
+            whole = rows.shape[1] - np.argmin(np.append((rows[:3] == rows[:3, -1:]).all(axis=0)[::-1], False))  # the last run may go on
+            if whole:
+                yield pairs(rows[:, :whole])
+            held = rows[:, whole:]
+        if held.shape[1]:
+            yield pairs(held)
+
+    return work
+
+
+def _tiled(rows: DataFrame, tiles: DataFrame) -> DataFrame:
+    """rows with key and h, once for each pair of tiles (pa, pb) that they are in; tiles has key and the number of tiles."""
+    split = rows.join(tiles, "key").withColumn("tile", F.pmod(F.xxhash64("h"), F.col("tiles")).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)))
+    return split.withColumn("pa", F.least("tile", "other")).withColumn("pb", F.greatest("tile", "other")).drop("tiles", "tile", "other")
+
+
 def line_components(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """h, component of distinct lines that have a near duplicate."""
     n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    members = shared(_bucket_members(_bands(docs)))
-    texts = shared(_texts(docs, members.select("h")).join(members.select("h").distinct(), "h", "left_semi"))
-    low = members.groupBy("key").agg(F.min("h").alias("low"))
-    others = shared(members.join(low, "key").where("h <> low"))
-    star = others.select(F.col("h").alias("a"), F.col("low").alias("b")).distinct()
-    named = lambda k, name: texts.select(F.col("h").alias(k), F.col("line").alias(name))
-    first = star.join(named("a", "left"), "a").join(named("b", "right"), "b").mapInArrow(_verify_star(threshold), "a long, b long")
+    runs = lambda rows: rows.repartition(n, "key", "pa", "pb").sortWithinPartitions("key", "pa", "pb")
+    members = written(_bucket_members(_bands(docs), more=True))
+    signs = written(_signed(docs, members.select("h")))
+    side = lambda name: signs.select(F.col("h").alias(name), *(F.col(x).alias(f"{name}_{x}") for x in ("size", *_SIGNS)))
+    others = members.where("h <> low")
+    differ = sum((F.bit_count(F.col(f"a_{x}").bitwiseXOR(F.col(f"b_{x}"))) for x in _SIGNS), F.lit(0))
+    star = others.select(F.col("h").alias("a"), F.col("low").alias("b")).distinct().join(side("a"), "a").join(side("b"), "b")
+    star = shared(star.where(differ <= _unlike(threshold) * (F.col("a_size") + F.col("b_size")) + 1).select("a", "b").distinct())
+    ends = lambda pairs: pairs.select(F.explode(F.array("a", "b")).alias("h"))
+    texts = shared(_texts(signs, ends(star)))
+    named = lambda texts, k, name: texts.select(F.col("h").alias(k), F.col("line").alias(name))
+    verified = lambda pairs, texts: pairs.join(named(texts, "a", "left"), "a").join(named(texts, "b", "right"), "b")
+    first = verified(star, texts).mapInArrow(_verify_star(threshold), "a long, b long")
     found = shared(connected_components(shared(first)))
-    sizes = texts.select("h", F.length("line").alias("chars"))
-    placed = others.join(found, F.col("h") == F.col("node"), "left").join(sizes, "h").select("key", "h", F.coalesce("component", "h").alias("c"), "chars")
+    placed = others.where("open").join(found, F.col("h") == F.col("node"), "left").select("key", "h", F.coalesce("component", "h").alias("c"))
     placed = shared(placed)
     # Buckets whose lines but the smallest are several components: only there can a link be missing.
     marks = [F.bit_xor(F.xxhash64("h", F.lit(i))).alias(f"mark{i}") for i in range(2)]
-    tiles = F.greatest(F.ceil(F.count("*") / TILE), F.ceil(F.sum("chars") / TILE_CHARS)).cast("int")
-    open_ = placed.groupBy("key").agg(F.min("c").alias("least"), F.max("c").alias("most"), tiles.alias("tiles"), *marks).where("least <> most")
+    tiles = F.ceil(F.count("*") / TILE).cast("int").alias("tiles")
+    open_ = placed.groupBy("key").agg(F.min("c").alias("least"), F.max("c").alias("most"), tiles, *marks).where("least <> most")
     open_ = open_.groupBy("mark0", "mark1").agg(F.min("key").alias("key"), F.max("tiles").alias("tiles")).select("key", "tiles")
-    split = placed.join(open_, "key").withColumn("tile", F.pmod(F.xxhash64("h"), F.col("tiles")).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)))
-    dealt = split.select("key", F.least("tile", "other").alias("pa"), F.greatest("tile", "other").alias("pb"), "c", "h").join(texts, "h").select("key", "pa", "pb", "c", "line")
-    links = shared(dealt.repartition(n, "key", "pa", "pb").sortWithinPartitions("key", "pa", "pb").mapInArrow(_verify_buckets(threshold), "a long, b long"))
+    near = runs(_tiled(placed, open_).join(signs.drop("line").dropDuplicates(["h"]), "h"))
+    near = shared(near.mapInArrow(_compare(threshold), "key long, a long, b long, ca long, cb long"))
+    # Few pairs are verified one by one, the lines of other runs in tiles that have bounded texts.
+    texts = shared(_texts(signs, ends(near).where("h is not null")))
+    pairs = near.where("b is not null").groupBy("a", "b").agg(F.min("ca").alias("ca"), F.min("cb").alias("cb"))
+    pairs = verified(pairs, texts).select(F.col("ca").alias("a"), F.col("cb").alias("b"), "left", "right").mapInArrow(_verify_star(threshold), "a long, b long")
+    dense = near.where("b is null").select("key", F.col("a").alias("h"), F.col("ca").alias("c")).distinct().join(texts, "h")
+    dense = shared(dense)
+    tiles = dense.groupBy("key").agg(F.greatest(F.ceil(F.count("*") / TILE), F.ceil(F.sum(F.length("line")) / TILE_CHARS)).cast("int").alias("tiles"))
+    dense = runs(_tiled(dense.select("key", "h", "c"), tiles).join(texts, "h").select("key", "pa", "pb", "c", "line"))
+    links = shared(pairs.unionByName(dense.mapInArrow(_verify_buckets(threshold), "a long, b long")))
     merged = connected_components(links)  # of components
     whole = found.join(merged.select(F.col("node").alias("component"), F.col("component").alias("top")), "component", "left").select(F.col("node").alias("h"), F.coalesce("top", "component").alias("component"))
     # Lines that were alone until they met in a bucket.
@@ -383,10 +606,10 @@ def dropped_lines(docs: DataFrame, lines: DataFrame, threshold: float = THRESHOL
     """doc_id, line_no of each line but the first of its component."""
     place = F.coalesce(F.col("doc_id"), F.lit(2**63 - 1)).cast("decimal(20,0)") * F.lit(10**9).cast("decimal(10,0)") + F.col("line_no")
     own = lines.groupBy("h").agg(F.min(place).alias("first"), F.count("*").alias("n"))
-    near = line_components(docs, threshold)
-    whole = own.join(near, "h", "left").select("h", "first", "n", F.coalesce("component", "h").alias("c"))
-    groups = whole.groupBy("c").agg(F.min("first").alias("first"), F.sum("n").alias("n")).where("n > 1")
-    firsts = whole.select("h", "c").join(groups, "c").select("h", "first")
+    near = shared(line_components(docs, threshold))
+    whole = own.join(near, "h").select("h", "first", "component")
+    firsts = whole.select("h", "component").join(whole.groupBy("component").agg(F.min("first").alias("first")), "component").select("h", "first")
+    firsts = firsts.unionByName(own.where("n > 1").join(near, "h", "left_anti").select("h", "first"))
     return lines.select("doc_id", "line_no", "h").join(firsts, "h").where(place != F.col("first")).select("doc_id", "line_no")
 
 
